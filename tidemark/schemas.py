@@ -118,8 +118,20 @@ def schema_from_avro(document: str | dict) -> T.StructType:
     return convert(json.loads(document) if isinstance(document, str) else document)
 
 
+_WORDS = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "money": MONEY,
+}
+
+
 def _table(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """A row type from 'name word, name word, …'; needs no session, unlike DDL parsing."""
+    pairs = (column.split() for column in text.split(","))
+    return T.StructType([T.StructField(name, _WORDS[word]) for name, word in pairs])
 
 
 # The target tables, column by column.
@@ -160,11 +172,11 @@ DTL_RETAIL_SALES = _table("""
     size_rhid int, size_grpid string, style_rhid int, style_grpid string,
     division_rhid int, division_grpid string, catalog_item_code string,
     store_rhid int, store_grpid string, ship_store_rhid int, ship_store_grpid string,
-    item_type_desc string, unit_price_amt decimal(20,6), sales_qty int,
-    tax_type1_code string, tax_type1_amt decimal(20,6),
-    tax_type2_code string, tax_type2_amt decimal(20,6),
-    tax_type3_code string, tax_type3_amt decimal(20,6),
-    tax_type4_code string, tax_type4_amt decimal(20,6),
+    item_type_desc string, unit_price_amt money, sales_qty int,
+    tax_type1_code string, tax_type1_amt money,
+    tax_type2_code string, tax_type2_amt money,
+    tax_type3_code string, tax_type3_amt money,
+    tax_type4_code string, tax_type4_amt money,
     discount1_reason_code string, cancel_date date, return_date date, version_nbr int,
     carrier_name string, shipping_vendor_name string, tracking_code string, charge_ind int,
     pick_code string, available_date date, pick_date date, email_notified_ind int,
@@ -184,7 +196,7 @@ def _metric_fields(prefix: str) -> str:
     counts = ("transaction_count", "sales_quantity", "return_quantity")
     amounts = ("sales", "tax", "discount", "promo", "shipping")
     return ", ".join(
-        [f"{prefix}_{c} int" for c in counts] + [f"{prefix}_{a}_usd_amount decimal(20,6)" for a in amounts]
+        [f"{prefix}_{c} int" for c in counts] + [f"{prefix}_{a}_usd_amount money" for a in amounts]
     )
 
 

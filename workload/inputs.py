@@ -40,7 +40,7 @@ VIEWS = {
         where rn = 1""",
     "v_order_log": """
         select cast(o_orderkey as int) as order_id, cast(c_nationkey as varchar(20)) as store_num,
-          cast(o_orderdate as timestamp) as order_timestamp,
+          cast(o_orderdate as timestamp) + interval 0 day as order_timestamp,
           concat('CUR', cast(c_nationkey as varchar(20))) as currency_code
         from {orders} left join {customer} on o_custkey = c_custkey""",
     # Two validity versions per store.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,8 +72,10 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payload_text() -> F.Column:
-    return F.to_json(F.struct("data", "beforeData", "headers"))
+def payload_text() -> Column:
+    """The envelope as JSON, timestamps to the microsecond."""
+    record = F.struct("data", "beforeData", "headers")
+    return F.to_json(record, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +85,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("data.event_ts").alias("timestamp"))
 
 
-def framed(schema_id: F.Column, text: F.Column) -> F.Column:
+def framed(schema_id: Column, text: Column) -> Column:
     header = F.unhex(F.lpad(F.hex(schema_id), 10, "0"))
     return F.concat(header, F.encode(text, "UTF-8"))
 
@@ -102,7 +104,7 @@ def wire_header_strip(spark, sf_dir):
 
 @query
 def envelope_decode(spark, sf_dir):
-    """Every tenth of a second's worth of payloads cut short: error events decode to nulls."""
+    """Payloads of error events arrive cut short and decode to nulls."""
     text = payload_text()
     cut = F.substring(text, F.lit(1), F.length(text) - 9)
     sent = changes(spark, sf_dir).select(
@@ -297,7 +299,7 @@ def dq_duplicates(spark, sf_dir):
 
 @query
 def dq_exceptions(spark, sf_dir):
-    rows = incomplete(spark, sf_dir).withColumn("slot", F.col("event_id") - F.col("event_id") % 2)
+    rows = incomplete(spark, sf_dir).withColumn("slot", F.to_date("hdr_timestamp"))
     return quality.exceptions(rows, ["user_id", "slot"], ["props", "amount"], ["user_id", "event_id", "props"])
 
 
@@ -526,18 +528,13 @@ def retail_sales_per_line(spark, sf_dir):
 
 @query
 def store_visits_daily(spark, sf_dir):
-    return visits.store_visits(frame(spark, sf_dir, "v_traffic"), all_time_hub(spark, sf_dir))
-
-
-def all_time_hub(spark, sf_dir):
-    """Visits happen in 2024: the second store versions apply."""
-    return store_hub(spark, sf_dir)
+    return visits.store_visits(frame(spark, sf_dir, "v_traffic"), store_hub(spark, sf_dir))
 
 
 @query
 def store_visits_merge(spark, sf_dir):
     """Days with late readings, recomputed whole and merged over the first load."""
-    traffic, hub = frame(spark, sf_dir, "v_traffic"), all_time_hub(spark, sf_dir)
+    traffic, hub = frame(spark, sf_dir, "v_traffic"), store_hub(spark, sf_dir)
     late = F.col("rec_update_timestamp") >= F.lit(MID).cast("timestamp")
     first = visits.stamped_visits(visits.store_visits(traffic.where(~late), hub), "first", "2024-01-16 00:00:00")
     again = visits.stamped_visits(visits.store_visits(traffic, hub, changed=late), "second", "2024-02-01 00:00:00")
