@@ -20,6 +20,8 @@ DEFAULT_USER = "DL User"
 
 HEADER_COLUMNS = {"timestamp": "hdr_timestamp", "changeSequence": "changeSequence"}
 ORDERING = ("changeSequence", "hdr_timestamp")
+# Columns that stay behind the metadata columns of a flat row.
+TRAILING = ("hdr_timestamp", "changeSequence", "change_sequence", "rec_row_hash", "rec_pk_hash")
 
 
 def header_timestamp(operation: Column, timestamp: Column) -> Column:
@@ -68,6 +70,36 @@ def enrich_cdc(df: DataFrame, user: str = DEFAULT_USER, now: Column | datetime |
     return df.select(F.struct(*headers).alias("headers"), F.struct(*data, *meta).alias("data"))
 
 
+def change_columns(df: DataFrame) -> DataFrame:
+    """Flat change rows of envelopes: business columns, operation, normalised header order.
+
+    The narrow form the ranking and the duplicate check work on; ``with_meta``
+    adds the other metadata columns to the rows that remain.
+    """
+    operation = F.col("headers.operation")
+    return df.select(
+        "data.*",
+        operation.alias("rec_crud_text"),
+        header_timestamp(operation, F.col("headers.timestamp")).alias("hdr_timestamp"),
+        header_sequence(operation, F.col("headers.changeSequence")).alias("changeSequence"),
+    )
+
+
+def with_meta(
+    df: DataFrame, user: str = DEFAULT_USER, now: Column | datetime | str | None = None, flagged: bool = False
+) -> DataFrame:
+    """Flat change rows with all ten metadata columns in their place after the business columns.
+
+    ``flagged`` keeps an ``exception_ind`` the rows already carry.
+    """
+    meta = meta_columns(F.col("rec_crud_text"), clock(now), user)
+    if flagged:
+        meta["exception_ind"] = F.col("exception_ind")
+    trailing = [c for c in df.columns if c in TRAILING]
+    business = [c for c in df.columns if c not in meta and c not in TRAILING]
+    return df.select(*business, *[v.alias(n) for n, v in meta.items()], *trailing)
+
+
 def history_view(ct: DataFrame, user: str = DEFAULT_USER) -> DataFrame:
     """One flat row per change, dated by its header or, for initial loads, by arrival.
 

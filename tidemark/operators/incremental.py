@@ -14,9 +14,11 @@ def incremental(df: DataFrame, audit: DataFrame, job: str, ts: str = "rec_update
     """Rows newer than the job's last completed load.
 
     The mark is an uncorrelated scalar subquery: Spark evaluates it first and
-    pushes the resulting comparison into the file scan.
+    pushes the resulting comparison into the file scan.  It is the mark that is
+    cast to the column's type, never the column.
     """
-    return df.where(F.col(ts) > watermark(audit, job).scalar())
+    mark = watermark(audit, job).scalar().cast(df.schema[ts].dataType)
+    return df.where(F.col(ts) > mark)
 
 
 def touched_rows(df: DataFrame, changed: Column, keys: Sequence[str]) -> DataFrame:

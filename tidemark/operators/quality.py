@@ -70,11 +70,18 @@ def duplicate_check(
     df: DataFrame, primary_keys: Sequence[str], crud: str = CRUD, order: Sequence[str] = ORDERING
 ) -> DataFrame:
     """Every row whose (key, operation) also belongs to a superseded row of the batch."""
+    groups, same = _keyed_groups(df, primary_keys, crud, order)
+    return df.join(groups, same, "left_semi")
+
+
+def _keyed_groups(
+    df: DataFrame, primary_keys: Sequence[str], crud: str, order: Sequence[str]
+) -> tuple[DataFrame, Column]:
+    """The superseded groups under ``_g_`` names and the null-safe condition that joins them."""
     keys = [*primary_keys, crud]
     groups = superseded_groups(df, primary_keys, crud, order)
-    groups = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys])
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
-    return df.join(groups, same, "left_semi")
+    return groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys]), same
 
 
 def exceptions(
@@ -89,14 +96,17 @@ def exceptions(
     A row can appear twice, once for each reason.
     """
     row = df.columns if row is None else row
-    nulls = null_check(df, primary_keys, not_null).where("exception_ind = 1")
-    duplicates = duplicate_check(df, primary_keys, order=order).withColumns(
-        {"rule_name": F.lit(DUPLICATE_RULE), "exception_ind": F.lit(1)}
+    keys = [*primary_keys, CRUD]
+    groups, same = _keyed_groups(df, primary_keys, CRUD, order)
+    flagged = df.join(groups.withColumn("_duplicate", F.lit(True)), same, "left").drop(*[f"_g_{k}" for k in keys])
+    # Both reasons of a row come out of one pass over it.
+    reasons = F.array_compact(
+        F.array(F.when(F.col("_duplicate"), F.lit(DUPLICATE_RULE)), null_rule(keys, not_null))
     )
-    both = with_hashes(duplicates.unionByName(nulls), primary_keys, row)
-    hidden = {"rule_name", "rec_row_hash", "rec_pk_hash", *order}
-    return both.select(
-        "rule_name", *[c for c in both.columns if c not in hidden], "rec_row_hash", "rec_pk_hash"
+    kept = [c for c in df.columns if c not in {"exception_ind", *order}]
+    bad = with_hashes(flagged.where(F.size(reasons) > 0).withColumn("_reasons", reasons), primary_keys, row)
+    return bad.select(
+        F.explode("_reasons").alias("rule_name"), *kept, F.lit(1).alias("exception_ind"), "rec_row_hash", "rec_pk_hash"
     )
 
 
@@ -110,8 +120,10 @@ def valid_rows(
     """The newest row of each key with ``exception_ind`` 0 or 1, hashes added.
 
     Rows breaking a null rule still pass, flagged.  Header columns are kept so
-    a merge can compare change sequences.
+    a merge can compare change sequences.  Rules and hashes are computed on the
+    newest rows only.
     """
     newest = latest_by_key(df, primary_keys, order)
+    row = df.columns if row is None else row
     checked = null_check(with_hashes(newest, primary_keys, row), primary_keys, not_null)
     return checked.drop("rule_name").withColumn("exception_ind", F.coalesce("exception_ind", F.lit(0)))

@@ -113,15 +113,17 @@ def store_metrics(
         F.max("store_close_date").alias("latest_close_date"),
     )
     joined = daily.join(stores, F.col("store_rhid") == F.col("_store"), "left")
+    # Visits count only for known stores; the key is the one already exchanged on.
+    of_store = (F.col("store_rhid") == F.col("_vs")) & F.col("_store").isNotNull()
     seen = [F.count(F.lit(1)).alias("_visits"), F.sum("entry_count").alias("_entries")]
     if visits_grain == "day":
         per = visits.groupBy(F.col("store_rhid").alias("_vs"), F.col("visit_date_key").alias("_vd")).agg(*seen)
-        joined = joined.join(per, (F.col("_store") == F.col("_vs")) & (F.col("date_key") == F.col("_vd")), "left")
+        joined = joined.join(per, of_store & (F.col("date_key") == F.col("_vd")), "left")
         factor = F.lit(1).cast("bigint")
         visit_count = F.col("_entries")
     else:
         per = visits.groupBy(F.col("store_rhid").alias("_vs")).agg(*seen)
-        joined = joined.join(per, F.col("_store") == F.col("_vs"), "left")
+        joined = joined.join(per, of_store, "left")
         versions = F.coalesce("_versions", F.lit(1))
         factor = versions * F.coalesce("_visits", F.lit(1))
         visit_count = F.col("_lines") * versions * F.col("_entries")

@@ -18,12 +18,13 @@ from tidemark.operators import quality
 from tidemark.operators.audit import run_log_row
 from tidemark.operators.cdc import (
     DEFAULT_USER,
-    HEADER_COLUMNS,
-    enrich_cdc,
+    TRAILING,
+    change_columns,
     flat_to_envelope,
     history_view,
+    with_meta,
 )
-from tidemark.operators.envelope import decode_envelope, flatten
+from tidemark.operators.envelope import decode_envelope
 from tidemark.operators.merge import KeyedTable, delta_merge
 from tidemark.schemas import META_FIELDS, current_schema
 from tidemark.session import configure
@@ -125,28 +126,33 @@ def publish_history(spark: SparkSession, cfg: JobConfig, user: str = DEFAULT_USE
     return name
 
 
-def change_rows(
-    source: DataFrame, cfg: JobConfig, user: str = DEFAULT_USER, now: Column | datetime | str | None = None
-) -> DataFrame:
-    """Flat change rows: business columns, metadata, header timestamp and sequence.
+def change_rows(source: DataFrame, cfg: JobConfig) -> DataFrame:
+    """Flat change rows: business columns, operation, header timestamp and sequence.
 
     A translation type other than the native one marks a flat feed with
     ``flag`` and ``timestamp`` columns, which is wrapped into envelopes first.
     """
     if (cfg.translation_type or NATIVE_TRANSLATION).strip().upper() != NATIVE_TRANSLATION:
         source = flat_to_envelope(source)
-    rows = flatten(enrich_cdc(source, user, now), HEADER_COLUMNS)
+    rows = change_columns(source)
     return epoch_to_timestamp(rows, cfg.epochs) if cfg.epochs else rows
 
 
 def business_columns(rows: DataFrame) -> list[str]:
-    return [c for c in rows.columns if c not in META_NAMES and c not in HEADER_COLUMNS.values()]
+    return [c for c in rows.columns if c not in META_NAMES and c not in TRAILING]
 
 
-def current_rows(rows: DataFrame, cfg: JobConfig) -> DataFrame:
+def current_rows(rows: DataFrame, cfg: JobConfig, user: str = DEFAULT_USER, now=None) -> DataFrame:
     """The rows a batch contributes to the current table, one per key."""
     newest = quality.valid_rows(rows, cfg.keys, cfg.not_null, business_columns(rows))
-    return newest.withColumnRenamed("changeSequence", "change_sequence").drop("hdr_timestamp")
+    named = newest.withColumnRenamed("changeSequence", "change_sequence").drop("hdr_timestamp")
+    return with_meta(named, user, now, flagged=True)
+
+
+def exception_rows(rows: DataFrame, cfg: JobConfig, user: str = DEFAULT_USER, now=None) -> DataFrame:
+    """The rows a batch contributes to the exception table."""
+    bad = quality.exceptions(rows, cfg.keys, cfg.not_null, business_columns(rows))
+    return with_meta(bad, user, now, flagged=True)
 
 
 def current_table_schema(rows: DataFrame) -> T.StructType:
@@ -161,6 +167,7 @@ def merge_batch(
     audit: Audit,
     guarded: bool = True,
     null_keys: str = "quarantine",
+    now: Column | datetime | str | None = None,
 ) -> None:
     """Validate one batch of change rows, store its exceptions and merge its newest rows.
 
@@ -171,12 +178,12 @@ def merge_batch(
     source = ("KAFKA" if cfg.kafka_topic else "TABLE", cfg.input_location)
     rows_in = 0
     rows = batch.persist()
-    newest = current_rows(rows, cfg).persist()
+    newest = current_rows(rows, cfg, audit.user, now).persist()
     try:
         # Filling the cache is the count; everything below reads the cache.
         rows_in = rows.count()
         tag = batch_tag(spark, cfg, batch_id)
-        bad = quality.exceptions(rows, cfg.keys, cfg.not_null, business_columns(rows))
+        bad = exception_rows(rows, cfg, audit.user, now)
         append_batch(bad, cfg.exception_location, ["rec_create_date_key"], tag, balance=True)
         rows_out = newest.count()
         seq = "change_sequence" if guarded else None
@@ -197,7 +204,7 @@ def merge_batch(
 
 def append_hashes(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the append load: hashes without the operation in the key hash."""
-    data = rows.drop(*HEADER_COLUMNS.values())
+    data = rows.drop(*TRAILING)
     return data.withColumns({"rec_row_hash": digest(business_columns(rows)), "rec_pk_hash": digest(keys)})
 
 
@@ -217,18 +224,18 @@ def current_stream(
     Load type CDC merges by key, APPEND writes every row.  ``source`` is any
     stream of change envelopes; the configured source when not given.
     """
-    audit = audit or Audit()
+    audit = audit or Audit(user=user)
     changes = source if source is not None else open_source(spark, cfg, schema)
-    rows = change_rows(changes, cfg, user, now)
+    rows = change_rows(changes, cfg)
     load = (cfg.load_type or "").strip().upper()
     if load == "CDC":
 
         def merge(batch: DataFrame, batch_id: int) -> None:
-            merge_batch(batch, batch_id, cfg, audit, guarded, null_keys)
+            merge_batch(batch, batch_id, cfg, audit, guarded, null_keys, now)
 
         return _start(rows, cfg, merge, mode="update")
     if load == "APPEND":
-        hashed = append_hashes(rows, cfg.keys)
+        hashed = append_hashes(with_meta(rows, user, now), cfg.keys)
         create_table(spark, cfg.output_location, hashed.schema, ["rec_create_date_key"])
         writer = hashed.writeStream.format(cfg.table_format).outputMode("append")
         if cfg.table_format == "delta":

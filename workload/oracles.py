@@ -34,6 +34,10 @@ META = f"""{SECOND} as rec_create_timestamp, 'DL User' as rec_create_user_name,
   cast(operation = 'DELETE' as int) as delete_ind, 0 as exception_ind, 0 as resolved_ind"""
 HEADER = """case when operation = 'REFRESH' then timestamp '1970-01-01 00:00:00' else hdr_timestamp end as hdr_timestamp,
   case when operation = 'REFRESH' then '1970010100000000' else change_sequence end as "changeSequence\""""
+META_NAMES = (
+    "rec_create_timestamp", "rec_create_user_name", "rec_update_timestamp", "rec_update_user_name",
+    "rec_create_date_key", "rec_create_time_key", "rec_crud_text", "delete_ind", "exception_ind", "resolved_ind",
+)
 EVENT = "user_id, event_id, event_type, amount, props, event_ts"
 FLAT = f"flat as (select {EVENT}, {META}, {HEADER} from {{v_cdc}})"
 HASHED = "sha256(concat_ws('||', {}))"
@@ -273,6 +277,18 @@ def ranked(partition: str) -> str:
 ROW_STATE = """state as (select * from (select *, row_number() over (partition by jobname, rec_create_timestamp
     order by (load_status is not null) desc, rec_update_timestamp desc nulls last) as rn from {v_audit}) a where rn = 1)"""
 
+WHOLE_ROW = "sha256(concat_ws('||', {0}user_id, {0}event_id, {0}event_type, {0}amount, {0}props, {0}event_ts))"
+
+# Rows of the current table as the stream job keeps it.
+LATEST = f"""
+    with {FLAT}
+    select {EVENT}, {", ".join(META_NAMES)}, "changeSequence" as change_sequence,
+      {WHOLE_ROW.format("")} as rec_row_hash, sha256(concat_ws('||', user_id, rec_crud_text)) as rec_pk_hash
+    from (select *, row_number() over (partition by user_id
+      order by "changeSequence" desc, hdr_timestamp desc, event_id desc) as rn from flat) x where rn = 1"""
+
+FEED = """select event_id, amount, event_ts as timestamp, substr(operation, 1, 1) as flag from {v_cdc}"""
+
 ORACLES = {
     "wire_header_strip": """
         with framed as (select event_id,
@@ -347,10 +363,7 @@ ORACLES = {
         from r""",
     "cdc_latest": f"""
         with {FLAT}
-        select {EVENT}, {", ".join(f.split(" as ")[-1] for f in (
-            "rec_create_timestamp", "rec_create_user_name", "rec_update_timestamp", "rec_update_user_name",
-            "rec_create_date_key", "rec_create_time_key", "rec_crud_text", "delete_ind", "exception_ind",
-            "resolved_ind"))}, "changeSequence",
+        select {EVENT}, {", ".join(META_NAMES)}, "changeSequence",
           sha256(concat_ws('||', user_id, event_id, event_type, amount, props)) as rec_row_hash,
           sha256(concat_ws('||', user_id, rec_crud_text)) as rec_pk_hash
         from (select *, row_number() over (partition by user_id
@@ -447,6 +460,51 @@ ORACLES = {
     "store_visits_merge": VISITS_MERGE,
     "gold_store_metrics_as_written": metrics_sql(per_day=False),
     "gold_store_metrics_per_day": metrics_sql(per_day=True),
+    "stream_ingest_ct": """
+        select sha256(cast(user_id as varchar)) as user_id, event_id, event_type, amount, sha256(props) as props,
+          event_ts, case when operation in ('UPDATE', 'DELETE') then sha256(props) end as before_props,
+          operation, change_sequence, ingest_date from {v_cdc}""",
+    "stream_ct_to_current": LATEST,
+    "stream_exceptions": f"""
+        with {FLAT}, rows as (select * from flat), {ranked("user_id, event_type")},
+        dup as (select distinct user_id, event_type, rec_crud_text from ranked where _rank > 1)
+        select 'DuplicateCheck' as rule_name,
+          r.* exclude ("changeSequence", hdr_timestamp) replace (1 as exception_ind),
+          {WHOLE_ROW.format("r.")} as rec_row_hash,
+          sha256(concat_ws('||', r.user_id, r.event_type, r.rec_crud_text)) as rec_pk_hash
+        from rows r join dup d on r.user_id = d.user_id and r.event_type = d.event_type
+          and r.rec_crud_text = d.rec_crud_text""",
+    "stream_append_current": f"""
+        with {FLAT} select {EVENT}, {", ".join(META_NAMES)},
+          {WHOLE_ROW.format("")} as rec_row_hash,
+          sha256(cast(user_id as varchar)) as rec_pk_hash from flat""",
+    "stream_csv_source": FEED,
+    "stream_json_source": FEED,
+    "stream_table_source": f"select {EVENT}, operation, ingest_date from {{v_cdc}}",
+    "stream_json_value_source": f"select {EVENT}, operation, ingest_date from {{v_cdc}}",
+    "stream_flat_feed_to_current": """
+        select user_id, event_id, amount, rec_crud_text, cast(rec_crud_text = 'DELETE' as int) as delete_ind
+        from (select *, operation as rec_crud_text, row_number() over (partition by user_id
+          order by (operation = 'REFRESH'), event_ts desc, event_id desc) as rn from {v_cdc}) x where rn = 1""",
+    "stream_progress_log": "select 'progress' as name, count(*) as num_input_rows from {events}",
+    "audit_run_log": """
+        select 'logged' as job_name, 'KAFKA' as source_type, 'events' as source_name, 'TABLE' as sink_type,
+          'DL User' as rec_create_user_name, count(*) as input_row_count, count(*) as output_row_count,
+          0 as exception_ind from {events}""",
+    "incremental_load": """
+        select 'loader' as jobname, max(event_ts) as src_last_upd_timestamp, 'COMPLETED' as load_status,
+          case when event_ts < timestamp '2024-01-16 00:00:00' then timestamp '2024-02-01 00:00:00'
+            else timestamp '2024-02-02 00:00:00' end as rec_create_timestamp, count(*) as loaded_rows
+        from {v_cdc} group by 4""",
+    "merge_keyed_table": merge_sql("late", "early", True),
+    "sql_job_append_overwrite": """
+        select event_type, count(*) as n, max(value) as top from {events} where user_id >= 0 group by 1
+        union all select event_type, count(*), max(value) from {events} where user_id >= 10 group by 1""",
+    "sql_script_run": """
+        with daily as (select store_number, visit_date, cast(sum(entries) as bigint) as entries from {v_traffic}
+          group by 1, 2), busy as (select * from daily where entries > 100)
+        select *, 'nightly' as loaded_by, (select count(*) from {v_traffic}) as input_rows,
+          (select count(*) from busy) as output_rows from busy""",
 }
 
 

@@ -50,7 +50,10 @@ ENVELOPE = envelope_type(EVENT)
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log as change envelopes; updates and deletes carry a before image."""
-    log = frame(spark, sf_dir, "v_cdc")
+    return as_envelopes(frame(spark, sf_dir, "v_cdc"))
+
+
+def as_envelopes(log: DataFrame) -> DataFrame:
     image = {n: F.col(n) for n in EVENT.names}
     before = image | {"amount": (F.col("amount") + 1).cast(MONEY)}
     headers = {
@@ -78,10 +81,9 @@ def payload_text() -> Column:
     return F.to_json(record, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_messages(envelopes: DataFrame) -> DataFrame:
     """Framed payloads as (value, timestamp); the frame's schema id is the user id."""
-    frames = changes(spark, sf_dir)
-    return frames.select(framed(F.col("data.user_id"), payload_text()).alias("value"),
+    return envelopes.select(framed(F.col("data.user_id"), payload_text()).alias("value"),
                          F.col("data.event_ts").alias("timestamp"))
 
 
@@ -261,14 +263,12 @@ def scalar_functions(spark, sf_dir):
 
 # --- latest state, quality, merge -------------------------------------------
 
-CURRENT = ["rec_crud_text", "delete_ind", "exception_ind", "resolved_ind"]
-
-
 @query
 def cdc_latest(spark, sf_dir):
     """Flagship: the current state of every user."""
-    rows = flat_changes(spark, sf_dir)
-    return quality.valid_rows(rows, ["user_id"], ["props"], EVENT.names[:5]).drop("hdr_timestamp")
+    rows = cdc.change_columns(changes(spark, sf_dir))
+    newest = quality.valid_rows(rows, ["user_id"], ["props"], EVENT.names[:5])
+    return cdc.with_meta(newest, now=NOW, flagged=True).drop("hdr_timestamp")
 
 
 def incomplete(spark, sf_dir):
@@ -293,7 +293,7 @@ def dq_null_check(spark, sf_dir):
 
 @query
 def dq_duplicates(spark, sf_dir):
-    rows = flat_changes(spark, sf_dir).withColumn("slot", F.to_date("event_ts"))
+    rows = cdc.change_columns(changes(spark, sf_dir)).withColumn("slot", F.to_date("event_ts"))
     return quality.duplicate_check(rows, ["user_id", "slot"]).select("event_id", "user_id", "slot", "rec_crud_text")
 
 
