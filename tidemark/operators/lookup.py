@@ -61,7 +61,7 @@ def effective_join(
     columns: Mapping[str, str] | Sequence[str],
     closed: str = "both",
     system: str | None = None,
-    limit: int = BROADCAST_LIMIT,
+    limit: int | None = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Left join to the hub version in force at ``ts``; unmatched facts get nulls.
 
@@ -70,7 +70,8 @@ def effective_join(
     ``system`` restricts the matching hub rows to one source system.
 
     The equality on the hub code makes this a hash join with a range residual.
-    A hub within ``limit`` bytes is broadcast and the fact does not move.
+    A hub within ``limit`` bytes is broadcast and the fact does not move; None
+    takes the hub as given, with the hint it may already carry.
     """
     if not isinstance(columns, Mapping):
         columns = {c: c for c in columns}
@@ -87,7 +88,7 @@ def effective_join(
     if closed not in ("both", "left"):
         raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
     matched = fact.join(
-        broadcast_if_small(side, limit),
+        side if limit is None else broadcast_if_small(side, limit),
         (F.col(code).cast("string") == F.col("_code")) & (at >= F.col("_start")) & upper,
         "left",
     )

@@ -140,8 +140,8 @@ class KeyedTable:
         seq: str | None = "change_sequence",
         null_keys: str = "quarantine",
         batch: str | None = None,
-    ) -> None:
-        """Merge the source rows (one per key) into the table.
+    ) -> int:
+        """Merge the source rows (one per key) into the table; returns how many there were.
 
         ``batch`` identifies the source, so that a repeated batch whose staging
         was complete is only put in place again.
@@ -149,25 +149,26 @@ class KeyedTable:
         self.create()
         spark = source.sparkSession
         batch = batch or uuid.uuid4().hex
-        if self._staged_batch(spark) != batch and not self._stage(source, preserve, seq, null_keys, batch):
-            return
-        merged = self._load(spark, f"{self.path}.staged")
-        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(self.part).parquet(self.path)
-
-    def _stage(
-        self, source: DataFrame, preserve: Sequence[str], seq: str | None, null_keys: str, batch: str
-    ) -> bool:
-        spark = source.sparkSession
         source = source.select(*self.schema.names)
         if self.part == BUCKET:
             source = source.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
         if null_keys == "quarantine":
             source = source.where(~any_null(self.keys))
-        # The touched buckets (or days) come back to the driver, not the rows.
-        touched = [r[0] for r in source.select(self.part).distinct().collect()]
+        # The touched buckets (or days) and their row counts come back, not the rows.
+        touched = {r[0]: r[1] for r in source.groupBy(self.part).count().collect()}
         if not touched:
-            return False
+            return 0
+        if self._staged_batch(spark) != batch:
+            self._stage(source, list(touched), preserve, seq, null_keys, batch)
+        merged = self._load(spark, f"{self.path}.staged")
+        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(self.part).parquet(self.path)
+        return sum(touched.values())
+
+    def _stage(
+        self, source: DataFrame, touched: list, preserve: Sequence[str], seq: str | None, null_keys: str, batch: str
+    ) -> None:
+        spark = source.sparkSession
         old = self._load(spark, self.path).where(F.col(self.part).isin(touched))
         # One exchange per side: the join accepts a partitioning by the bucket
         # alone, and the write then has one task per bucket.
@@ -179,8 +180,7 @@ class KeyedTable:
             )
             merged.write.mode("overwrite").partitionBy(self.part).parquet(f"{self.path}.staged")
         marker = spark.createDataFrame([(batch,)], "batch string")
-        marker.write.mode("overwrite").parquet(f"{self.path}.staged_batch")
-        return True
+        marker.coalesce(1).write.mode("overwrite").parquet(f"{self.path}.staged_batch")
 
     def _staged_batch(self, spark: SparkSession) -> str | None:
         """The batch whose staging is known to be complete, if any."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,15 +17,19 @@ _WIDTHS = {
 _ROW_OVERHEAD = 32
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes of the frame's rows, counted in one aggregate over it."""
+def _size(df: DataFrame) -> DataFrame:
+    """One row with the bytes of the frame's rows."""
     flexible = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     fixed = _ROW_OVERHEAD + sum(
         _WIDTHS.get(type(f.dataType), 16 if isinstance(f.dataType, T.DecimalType) else 8) for f in df.schema.fields
     )
     text = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in flexible), F.lit(0))
-    rows, chars = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(text.cast("bigint")), F.lit(0))).first()
-    return rows * fixed + chars
+    return df.agg(F.coalesce(F.sum(text.cast("bigint") + fixed), F.lit(0)).alias("bytes"))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the frame's rows, counted in one aggregate over it."""
+    return _size(df).first()[0]
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
@@ -31,4 +38,11 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     Beyond the limit the frame is returned as it is: the join is then a
     sort-merge join whose hot partitions adaptive execution splits.
     """
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    return broadcast_small([df], limit)[0]
+
+
+def broadcast_small(frames: Sequence[DataFrame], limit: int = BROADCAST_LIMIT) -> list[DataFrame]:
+    """The same for several frames, all measured in one job."""
+    sizes = [_size(df).select(F.lit(i).alias("i"), "bytes") for i, df in enumerate(frames)]
+    measured = dict(tuple(r) for r in reduce(DataFrame.unionByName, sizes).collect())
+    return [F.broadcast(df) if measured[i] <= limit else df for i, df in enumerate(frames)]

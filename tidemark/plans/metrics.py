@@ -55,13 +55,15 @@ def _product_lines(product: DataFrame, product_line: DataFrame) -> DataFrame:
     )
 
 
-def _sums(prefix: str, where: Column | None = None) -> list[Column]:
+def _sums(prefix: str, line: str | None = None) -> list[Column]:
+    """The four sums of one product line (or of all) over rows that are sums per line already."""
+
     def total(column: str) -> Column:
-        if where is None:
+        if line is None:
             return F.sum(column)
-        return F.sum(F.when(where, F.col(column)).otherwise(F.lit(0)))
+        return F.coalesce(F.sum(F.when(F.col("_line") == line, F.col(column))), F.lit(0))
 
-    counted = "_orders" if where is None else "_lines"
+    counted = "_orders" if line is None else "_lines"
     return [
         total(counted).alias(f"{prefix}_transaction_count"),
         total("_qty").alias(f"{prefix}_sales_quantity"),
@@ -80,8 +82,11 @@ def _per_store_day(sales: DataFrame, product: DataFrame, product_line: DataFrame
         # moves sums and a hot product is one row per store and day.
         lines = lines.groupBy(*GRAIN, "product_rhid").agg(*[F.sum(m).alias(m) for m in MEASURES])
     joined = lines.join(products, F.col("product_rhid") == F.col("_product"), "left")
-    by_line = [c for name in PRODUCT_LINES for c in _sums(name.lower(), F.col("_line") == name)]
-    return joined.groupBy(*GRAIN).agg(F.sum("_lines").alias("_lines"), *_sums("total"), *by_line)
+    # Five plain sums per sales line; the wide conditional form is taken over
+    # at most one row per store, day and product line.
+    by_line = joined.groupBy(*GRAIN, "_line").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    wide = [c for name in PRODUCT_LINES for c in _sums(name.lower(), name)]
+    return by_line.groupBy(*GRAIN).agg(F.sum("_lines").alias("_lines"), *_sums("total"), *wide)
 
 
 def store_metrics(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.conform import as_table
 from tidemark.functions.times import clock, date_key, load_stamp, to_utc
 from tidemark.operators.lookup import assemble_branches, effective_join
+from tidemark.operators.sizing import broadcast_small
 from tidemark.schemas import DTL_RETAIL_SALES
 
 KEYS = ("order_id", "order_item_id")
@@ -97,6 +98,7 @@ def ecom_sales(
     small hubs are broadcast, so the lines move only for the header join.  The
     distinct reuses that join's partitioning by order.
     """
+    store_hub, currency_hub, product_hub = broadcast_small([store_hub, currency_hub, product_hub])
     lines = order_lines(items, order_log)
     for hub, code, columns in (
         (store_hub, "store_num", STORE),
@@ -104,7 +106,7 @@ def ecom_sales(
         (currency_hub, "currency_code", CURRENCY),
         (product_hub, "sku_number", PRODUCT),
     ):
-        lines = effective_join(lines, hub, code, "order_timestamp", _known(hub, columns), closed)
+        lines = effective_join(lines, hub, code, "order_timestamp", _known(hub, columns), closed, limit=None)
     looked_up = [*STORE, *SHIP_STORE.values(), *CURRENCY, *PRODUCT]
     kept = [F.col(c) for c in (*KEYS, *looked_up) if c in lines.columns]
     rows = lines.select(*kept, *[v.alias(n) for n, v in fact_columns(lines).items()]).distinct()
@@ -135,10 +137,11 @@ def ecom_sales_by_branch(
     It equals ``ecom_sales`` while (order, item) is unique among the items, and
     is there for staging the branches one by one.
     """
+    store_hub, currency_hub, product_hub = broadcast_small([store_hub, currency_hub, product_hub])
     lines = order_lines(items, order_log)
 
     def branch(hub: DataFrame, code: str, columns: Mapping[str, str], extra: Mapping[str, Column]) -> DataFrame:
-        found = effective_join(lines, hub, code, "order_timestamp", _known(hub, columns), closed)
+        found = effective_join(lines, hub, code, "order_timestamp", _known(hub, columns), closed, limit=None)
         names = [out for c, out in columns.items() if c in hub.columns]
         return found.select(*KEYS, *names, *[v.alias(n) for n, v in extra.items()]).distinct()
 

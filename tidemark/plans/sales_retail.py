@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.conform import as_table
 from tidemark.functions.times import clock, date_key, load_stamp, to_utc, twelve_hour
 from tidemark.operators.lookup import effective_join
+from tidemark.operators.sizing import broadcast_small
 from tidemark.plans.sales_ecom import PRODUCT
 from tidemark.schemas import DTL_RETAIL_SALES
 
@@ -50,7 +51,7 @@ def _sale_lines(sales: DataFrame) -> DataFrame:
     return sales.select(
         *[F.col(s).alias(f) for f, s in present.items()],
         sale_time().alias("order_timestamp"),
-        date_key(F.col("sl_date").cast("timestamp")).alias("order_date_key"),
+        date_key(F.col("sl_date")).alias("order_date_key"),
         "sl_date", "sl_store", "sl_seq", "sl_size_id",
     )
 
@@ -63,12 +64,12 @@ def _with_product(
         codes, (F.col("sl_seq") == F.col("up_seq")) & (F.col("sl_size_id") == F.col("up_size")), "left"
     )
     columns = {c: out for c, out in PRODUCT.items() if c in product_hub.columns}
-    return effective_join(crossed, product_hub, "up_code", "sl_date", columns, closed, system)
+    return effective_join(crossed, product_hub, "up_code", "sl_date", columns, closed, system, limit=None)
 
 
 def _with_store(lines: DataFrame, store_hub: DataFrame, closed: str) -> DataFrame:
     columns = {c: out for c, out in STORE.items() if c in store_hub.columns}
-    return effective_join(lines, store_hub, "sl_store", "sl_date", columns, closed)
+    return effective_join(lines, store_hub, "sl_store", "sl_date", columns, closed, limit=None)
 
 
 def retail_sales(
@@ -95,6 +96,7 @@ def retail_sales(
     store half is made distinct first, so a key repeated n times costs n rows
     and not n squared.
     """
+    store_hub, product_hub = broadcast_small([store_hub, product_hub])
     lines = _sale_lines(sales)
     found = _with_product(lines, upcref, product_hub, system, closed)
     helpers = ("sl_date", "sl_seq", "sl_size_id", "up_seq", "up_size", "up_code")

@@ -64,10 +64,14 @@ def _counting(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def query_id(spark: SparkSession, cfg: JobConfig) -> str:
+    """The id Spark keeps in the checkpoint: the same after a restart, another for a fresh checkpoint."""
+    return spark.read.schema("id string").json(f"{cfg.checkpoint_location}/metadata").first()[0]
+
+
 def batch_tag(spark: SparkSession, cfg: JobConfig, batch_id: int) -> str:
-    """A name for the batch that a replay shares and a fresh checkpoint does not."""
-    metadata = spark.read.json(f"{cfg.checkpoint_location}/metadata").first()
-    return f"{metadata['id']}-{batch_id}"
+    """A name for the batch that a replay shares and no other batch has."""
+    return f"{query_id(spark, cfg)}-{batch_id}"
 
 
 def ingest_batch(
@@ -83,7 +87,7 @@ def ingest_batch(
         counted, seen = _counting(changes, f"ingest-{cfg.job_name}-{batch_id}")
         if cfg.table_format == "delta":
             writer = counted.write.format("delta").mode("append").option("mergeSchema", "true")
-            writer = writer.option("txnAppId", cfg.job_name).option("txnVersion", batch_id)
+            writer = writer.option("txnAppId", query_id(spark, cfg)).option("txnVersion", batch_id)
             writer.partitionBy("ingest_date").save(cfg.output_location)
         else:
             append_batch(counted, cfg.output_location, ["ingest_date"], batch_tag(spark, cfg, batch_id))
@@ -186,14 +190,14 @@ def merge_batch(
         bad = exception_rows(rows, cfg, audit.user, now)
         append_batch(bad, cfg.exception_location, ["rec_create_date_key"], tag, balance=True)
         newest = current_rows(rows, cfg, audit.user, now).persist()
-        rows_out = newest.count()
         seq = "change_sequence" if guarded else None
         if cfg.table_format == "delta":
+            rows_out = newest.count()
             delta_merge(spark, cfg.output_location, newest, cfg.keys, seq=seq)
         else:
             schema = current_table_schema(rows)
             table = KeyedTable(spark, cfg.output_location, schema, cfg.keys, cfg.buckets)
-            table.merge(newest, seq=seq, null_keys=null_keys, batch=tag)
+            rows_out = table.merge(newest, seq=seq, null_keys=null_keys, batch=tag)
     except Exception as error:
         audit.record(spark, cfg, source, rows_in, 0, error)
         raise
