@@ -50,7 +50,7 @@ VIEWS = {
           concat('C',cast(s_nationkey as varchar(20))) as primary_store_currency_grpid,
           case v when 1 then timestamp '1900-01-01 00:00:00' else timestamp '1998-07-01 00:00:00' end
             as effective_start_timestamp,
-          case v when 1 then timestamp '1998-06-30 23:59:59.999999' else timestamp '9999-12-31 00:00:00' end
+          case v when 1 then timestamp '1998-06-30 23:59:59.999999' else timestamp '2099-12-31 00:00:00' end
             as effective_end_timestamp,
           case v when 1 then date '1990-01-01' else date '1998-07-01' end as store_open_date,
           case v when 1 then date '1998-06-30' else cast(null as date) end as store_close_date
@@ -61,7 +61,7 @@ VIEWS = {
             when 'STANDARD' then 3 else null end as product_line_rhid,
           cast(p_size as int) as size_rhid, p_brand as style_grpid,
           timestamp '1900-01-01 00:00:00' as effective_start_timestamp,
-          timestamp '9999-12-31 00:00:00' as effective_end_timestamp
+          timestamp '2099-12-31 00:00:00' as effective_end_timestamp
         from {part}""",
     "v_mst_product_line": """
         select cast(n_regionkey as int) as product_line_rhid,
@@ -72,7 +72,7 @@ VIEWS = {
     "v_mst_currency": """
         select cast(n_nationkey as int) as currency_rhid, concat('C',cast(n_nationkey as varchar(20))) as currency_grpid,
           timestamp '1900-01-01 00:00:00' as effective_start_timestamp,
-          timestamp '9999-12-31 00:00:00' as effective_end_timestamp
+          timestamp '2099-12-31 00:00:00' as effective_end_timestamp
         from {nation}""",
     # Source keys of the masters; stores in debt and economy products are unmapped.
     "v_src_hub": """

@@ -424,7 +424,7 @@ ORACLES = {
     "hub_lookup_product": PRODUCT_HUB,
     "hub_lookup_currency": CURRENCY_HUB,
     "hub_overlap_check": f"""
-        with {HUBS}, rounded as (select * replace (case when year(effective_end_timestamp) < 9999
+        with {HUBS}, rounded as (select * replace (case when year(effective_end_timestamp) < 2099
             then date_trunc('day', effective_end_timestamp) + interval 1 day else effective_end_timestamp end
             as effective_end_timestamp) from store_hub)
         select source_system_natural_key, store_rhid, effective_end_timestamp, next_start_timestamp

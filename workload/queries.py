@@ -432,7 +432,7 @@ def hub_overlap_check(spark, sf_dir):
     """Store versions that touch or overlap the next one, the end rounded up to the day."""
     rounded = F.date_add(F.col(lookup.END).cast("date"), 1).cast("timestamp")
     hub = store_hub(spark, sf_dir).where(F.col("store_rhid").isNotNull())
-    ends = F.when(F.year(lookup.END) < 9999, rounded).otherwise(F.col(lookup.END))
+    ends = F.when(F.year(lookup.END) < 2099, rounded).otherwise(F.col(lookup.END))
     return lookup.hub_overlaps(hub.withColumn(lookup.END, ends)).select(
         "source_system_natural_key", "store_rhid", lookup.END, "next_start_timestamp"
     )
