@@ -29,6 +29,8 @@ def test_query_matches_its_sql(spark, oracles, name):
     assert sorted(columns) == sorted(df.columns)
     assert got == normal(columns, result.fetchall())
     assert len(got) > 0
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
 def test_entry_has_rows(spark):
