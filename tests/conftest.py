@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="4",
+        spark__sql__codegen__factoryMode=os.environ.get("TEST_CODEGEN", "FALLBACK"),
         spark__driver__memory="6g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),

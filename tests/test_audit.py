@@ -108,10 +108,10 @@ def test_audited_loads_pick_up_where_the_last_completed_one_stopped(spark, rows,
     audit_path, target = str(tmp_path / "audit"), str(tmp_path / "target")
     schema = "id int, rec_update_timestamp timestamp"
 
-    def load(batch):
+    def load(batch, low):
         append_rows(batch, target)
 
-    def broken(batch):
+    def broken(batch, low):
         raise RuntimeError("no space")
 
     source = [(1, at(1)), (2, at(2))]

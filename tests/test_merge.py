@@ -131,7 +131,7 @@ def test_int_and_bigint_keys_share_buckets(spark):
 
 
 def test_keyed_merge_needs_one_exchange_per_side(spark, tmp_path):
-    from tidemark.operators.merge import setting
+    from tidemark.session import setting
 
     left = table(spark, (1, "a", "t", 1)).withColumn("pk_bucket", bucket_of(["id"], 8))
     with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"), setting(

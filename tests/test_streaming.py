@@ -54,6 +54,16 @@ def test_batches_restart_and_state(spark, tmp_path):
     assert current(spark, cfg)[1] == (2, "b", "DELETE", 1)
 
 
+def test_tables_are_registered_under_their_names(spark, tmp_path):
+    cfg = config(tmp_path, trgt_table_name="reg_curr_t")
+    land(spark, cfg, (1, "a", "UPDATE", 1), (1, "b", "UPDATE", 2))
+    run(spark, cfg)
+    for name in ("reg_curr_t", "reg_excp_t"):
+        spark.catalog.refreshTable(name)
+    assert spark.table("reg_curr_t").select("id", "name").collect() == [(1, "b")]
+    assert spark.table("reg_excp_t").where("rec_create_date_key = 20240201").count() == 2
+
+
 @pytest.mark.parametrize("guarded,name", [(True, "new"), (False, "old")])
 def test_older_change_in_a_later_batch(spark, tmp_path, guarded, name):
     cfg = config(tmp_path)

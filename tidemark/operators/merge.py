@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from contextlib import contextmanager
 from functools import reduce
 from operator import and_, or_
 
@@ -15,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.cdc import latest_by_key
 from tidemark.schemas import CREATE_COLUMNS
+from tidemark.session import setting
 
 BUCKET = "pk_bucket"
 NULL_KEY_MODES = ("quarantine", "match", "insert")
@@ -80,19 +80,6 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
 
 
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 class KeyedTable:
     """A table in Parquet with one row per key, maintained by merges.
 

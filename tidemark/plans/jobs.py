@@ -26,15 +26,17 @@ def run_incremental(
     job: str,
     audit_path: str,
     source: DataFrame,
-    load: Callable[[DataFrame], None],
+    load: Callable[[DataFrame, datetime], None],
     ts: str = "rec_update_timestamp",
     now: Column | datetime | str | None = None,
 ) -> LoadResult:
     """Open an audit row, load the rows above the job's watermark, close the row.
 
-    The batch is fixed by two literals, the last completed mark and the newest
-    source time, so both reach the file scan and a growing source cannot slip
-    rows in between.  A load that fails leaves its row open: the mark stays.
+    ``load`` gets the batch and the mark it starts from.  The batch is fixed by
+    two literals, the last completed mark and the newest source time, so both
+    reach the file scan and a growing source cannot slip rows in between.  A
+    load that fails leaves its row open: the mark stays, and the next run
+    starts from it again.
     """
 
     def audit() -> DataFrame:
@@ -46,7 +48,7 @@ def run_incremental(
     batch = newer.where(F.col(ts) <= F.lit(high)) if high is not None else newer.limit(0)
     append_rows(open_run(batch, job, now, ts).coalesce(1), audit_path, USECASE_AUDIT_LOGS)
     if high is not None:
-        load(batch)
+        load(batch, low)
     append_rows(close_run(audit(), job, now).coalesce(1), audit_path, USECASE_AUDIT_LOGS)
     return LoadResult(low, high, rows)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.conform import as_table
+from tidemark.session import setting
 
 
 def create_table(
@@ -36,8 +37,14 @@ def register_table(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     properties: Mapping[str, str] | None = None,
+    track_partitions: bool = False,
 ) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` over the files at ``path``."""
+    """``CREATE TABLE IF NOT EXISTS`` over the files at ``path``.
+
+    Partitions are found in the files, so what a job writes is there at once.
+    ``track_partitions`` keeps them in the catalog instead, which prunes without
+    listing files but needs ``MSCK REPAIR TABLE`` after a load.
+    """
     columns = ""
     if schema is not None:
         columns = "(" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ")"
@@ -45,10 +52,8 @@ def register_table(
     props = ""
     if properties:
         props = " TBLPROPERTIES (" + ", ".join(f"'{k}'='{v}'" for k, v in properties.items()) + ")"
-    known = spark.catalog.tableExists(name)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {fmt}{parts} LOCATION '{path}'{props}")
-    if not known and parts and fmt == "parquet":
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+    with setting(spark, "spark.sql.hive.manageFilesourcePartitions", str(track_partitions).lower()):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {fmt}{parts} LOCATION '{path}'{props}")
 
 
 def create_database(spark: SparkSession, name: str) -> None:
@@ -71,19 +76,13 @@ def append_batch(
 ) -> None:
     """Append one batch so that repeating it leaves the same table.
 
-    Files land in ``<partition>/batch_id=<id>`` and a repeat replaces exactly
-    those folders.  New columns simply appear in later files.  ``balance``
-    first evens out the file sizes, splitting large partitions.
+    Files land in ``batch_id=<id>/<partition>`` and a repeat replaces that
+    folder.  New columns simply appear in later files.  ``balance`` first evens
+    out the file sizes, splitting large partitions.
     """
     if balance:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    (
-        df.withColumn("batch_id", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by, "batch_id")
-        .parquet(path)
-    )
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_appended(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

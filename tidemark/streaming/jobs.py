@@ -29,7 +29,7 @@ from tidemark.operators.merge import KeyedTable, delta_merge
 from tidemark.schemas import META_FIELDS, current_schema
 from tidemark.session import configure
 from tidemark.sources.streams import framed_payloads, kafka_stream, open_source
-from tidemark.sources.tables import append_batch, append_rows, create_table, create_view
+from tidemark.sources.tables import append_batch, append_rows, create_table, create_view, register_table
 
 # Fixed value: the translation type whose records already are change envelopes.
 NATIVE_TRANSLATION = "ATTUNITY"
@@ -164,6 +164,29 @@ def current_table_schema(rows: DataFrame) -> T.StructType:
     return current_schema(data)
 
 
+def publish_current(spark: SparkSession, cfg: JobConfig, rows: DataFrame) -> None:
+    """Register the current and the exception table of a job under their configured names."""
+    append = (cfg.load_type or "").strip().upper() == "APPEND"
+    if cfg.table_format != "parquet":
+        register_table(spark, cfg.trgt_table_name, cfg.output_location, fmt=cfg.table_format)
+        return
+    if append:
+        schema, parts = append_hashes(with_meta(rows), cfg.keys).schema, ["rec_create_date_key"]
+        create_table(spark, cfg.output_location, schema, parts)
+    else:
+        table = KeyedTable(spark, cfg.output_location, current_table_schema(rows), cfg.keys, cfg.buckets)
+        table.create()
+        schema, parts = table.stored, [table.part]
+        bad = T.StructType(
+            [T.StructField("rule_name", T.StringType()), *current_table_schema(rows).fields[:-1],
+             T.StructField("batch_id", T.StringType())]
+        )
+        create_table(
+            spark, cfg.exception_location, bad, ["batch_id", "rec_create_date_key"], cfg.exception_table
+        )
+    register_table(spark, cfg.trgt_table_name, cfg.output_location, schema, parts)
+
+
 def merge_batch(
     batch: DataFrame,
     batch_id: int,
@@ -233,6 +256,8 @@ def current_stream(
     audit = audit or Audit(user=user)
     changes = source if source is not None else open_source(spark, cfg, schema)
     rows = change_rows(changes, cfg)
+    if cfg.trgt_table_name:
+        publish_current(spark, cfg, rows)
     load = (cfg.load_type or "").strip().upper()
     if load == "CDC":
 
