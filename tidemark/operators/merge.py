@@ -141,12 +141,16 @@ class KeyedTable:
             source = source.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
         if null_keys == "quarantine":
             source = source.where(~any_null(self.keys))
-        # The touched buckets (or days) and their row counts come back, not the rows.
-        touched = {r[0]: r[1] for r in source.groupBy(self.part).count().collect()}
-        if not touched:
-            return 0
-        if self._staged_batch(spark) != batch:
-            self._stage(source, list(touched), preserve, seq, null_keys, batch)
+        # Computed once: the touched partitions are counted, then the rows merged.
+        source = source.persist()
+        try:
+            touched = {r[0]: r[1] for r in source.groupBy(self.part).count().collect()}
+            if not touched:
+                return 0
+            if self._staged_batch(spark) != batch:
+                self._stage(source, list(touched), preserve, seq, null_keys, batch)
+        finally:
+            source.unpersist()
         merged = self._load(spark, f"{self.path}.staged")
         writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(self.part).parquet(self.path)

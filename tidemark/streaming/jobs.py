@@ -205,14 +205,13 @@ def merge_batch(
     source = ("KAFKA" if cfg.kafka_topic else "TABLE", cfg.input_location)
     rows_in = 0
     rows = batch.persist()
-    newest = None
     try:
         # Filling the cache is the count; everything below reads the cache.
         rows_in = rows.count()
         tag = batch_tag(spark, cfg, batch_id)
         bad = exception_rows(rows, cfg, audit.user, now)
         append_batch(bad, cfg.exception_location, ["rec_create_date_key"], tag, balance=True)
-        newest = current_rows(rows, cfg, audit.user, now).persist()
+        newest = current_rows(rows, cfg, audit.user, now)
         seq = "change_sequence" if guarded else None
         if cfg.table_format == "delta":
             rows_out = newest.count()
@@ -225,8 +224,6 @@ def merge_batch(
         audit.record(spark, cfg, source, rows_in, 0, error)
         raise
     finally:
-        if newest is not None:
-            newest.unpersist()
         rows.unpersist()
     audit.record(spark, cfg, source, rows_in, rows_out)
 

@@ -7,7 +7,7 @@ makes are repeated here.
 
 from __future__ import annotations
 
-from tidemark.schemas import DTL_RETAIL_SALES
+from tidemark.schemas import AGG_STORE_METRICS_DAILY, DTL_RETAIL_SALES
 from workload.inputs import duck
 
 NOW = "timestamp '2024-02-01 10:11:12.345678'"
@@ -237,6 +237,19 @@ def metrics_sql(per_day: bool) -> str:
     group by 1, 2"""
 
 
+def gold_end_to_end() -> str:
+    """The fan-out metrics over the online fact and the visits, in the gold table's types."""
+    text = metrics_sql(per_day=False).replace("{v_fact}", "fact").replace("{v_visits}", "seen")
+    typed = ", ".join(
+        f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}"
+        for f in AGG_STORE_METRICS_DAILY.fields
+        if not f.name.startswith("rec_")
+    )
+    parts, fact_rows = ECOM.rsplit("\nselect distinct", 1)
+    return f"""{parts}, fact as (select distinct{fact_rows}),
+        seen as ({visits_sql("{v_traffic}")}) select {typed} from ({text}) g"""
+
+
 STATES = f"""{FLAT},
 early as (select * from (select *, row_number() over (partition by user_id
     order by "changeSequence" desc, hdr_timestamp desc, event_id desc) as rn
@@ -496,6 +509,24 @@ ORACLES = {
           case when event_ts < timestamp '2024-01-16 00:00:00' then timestamp '2024-02-01 00:00:00'
             else timestamp '2024-02-02 00:00:00' end as rec_create_timestamp, count(*) as loaded_rows
         from {v_cdc} group by 4""",
+    "load_store_visits": f"""
+        with {HUBS}, v as ({visits_sql("{v_traffic}")}),
+        first as (select distinct store_rhid, visit_date from (
+          {visits_sql("(select * from {v_traffic} where rec_update_timestamp < timestamp '2024-01-16 00:00:00')")}) e),
+        late as (select distinct coalesce(h.store_rhid, -1) as store_rhid, t.visit_date from {{v_traffic}} t
+          {at_hub("store_hub", "h", "t.store_number", "t.visit_date")}
+          where t.rec_update_timestamp >= timestamp '2024-01-16 00:00:00')
+        select v.visit_date_key, v.store_rhid, v.store_grpid, v.visit_date, cast(v.entry_count as int) as entry_count,
+          cast(v.exit_count as int) as exit_count,
+          case when f.visit_date is null then timestamp '2024-02-01' else timestamp '2024-01-16' end
+            as rec_create_timestamp, 'visits' as rec_create_user_name,
+          case when l.visit_date is null then timestamp '2024-01-16' else timestamp '2024-02-01' end
+            as rec_update_timestamp, 'visits' as rec_update_user_name,
+          case when f.visit_date is null then 20240201 else 20240116 end as rec_create_date_key,
+          0 as rec_create_time_key
+        from v left join first f on v.store_rhid = f.store_rhid and v.visit_date = f.visit_date
+          left join late l on v.store_rhid = l.store_rhid and v.visit_date = l.visit_date""",
+    "gold_end_to_end": gold_end_to_end(),
     "merge_keyed_table": merge_sql("late", "early", True),
     "sql_job_append_overwrite": """
         select event_type, count(*) as n, max(value) as top from {events} where user_id >= 0 group by 1

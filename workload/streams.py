@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,8 @@ from tidemark.config import JobConfig
 from tidemark.operators import audit
 from tidemark.operators.merge import KeyedTable
 from tidemark.plans import jobs as batch_jobs
+from tidemark.plans import loads
+from tidemark.plans.targets import STORE_METRICS, STORE_VISITS
 from tidemark.schemas import AUDIT_LOGS, USECASE_AUDIT_LOGS
 from tidemark.session import work_path
 from tidemark.sources import streams, tables
@@ -248,3 +252,33 @@ def sql_script_run(spark, sf_dir):
     results = batch_jobs.run_script(spark, steps, {"job_name": q.JOB})
     rows_in, rows_out = batch_jobs.script_counts(results)
     return results["script_busy"].withColumns({"input_rows": F.lit(rows_in), "output_rows": F.lit(rows_out)})
+
+
+@query
+def load_store_visits(spark, sf_dir):
+    """Two audited visit loads; the second recomputes every day with a late reading."""
+    root = work_path(spark, "visits")
+    traffic, hub = frame(spark, sf_dir, "v_traffic"), q.store_hub(spark, sf_dir)
+    early = traffic.where(F.col("rec_update_timestamp") < q.MID)
+    loads.load_visits(spark, root, "visits", early, hub, datetime(2024, 1, 16))
+    loads.load_visits(spark, root, "visits", traffic, hub, datetime(2024, 2, 1))
+    return spark.read.schema(STORE_VISITS.schema).parquet(STORE_VISITS.path(root))
+
+
+@query
+def gold_end_to_end(spark, sf_dir):
+    """Online sales and visits loaded into silver tables, then the gold table from those."""
+    root = work_path(spark, "lake")
+    now = datetime(2024, 2, 1, 10, 11, 12)
+    hub = q.store_hub(spark, sf_dir)
+    loads.load_ecom_sales(
+        spark, root, "ecom", frame(spark, sf_dir, "v_items"), frame(spark, sf_dir, "v_order_log"), hub,
+        q.currency_hub(spark, sf_dir), q.product_hub(spark, sf_dir), now,
+    )
+    loads.load_visits(spark, root, "visits", frame(spark, sf_dir, "v_traffic"), hub, now)
+    masters = [frame(spark, sf_dir, n) for n in ("v_mst_store", "v_mst_product", "v_mst_product_line")]
+    loads.load_metrics(
+        spark, root, "gold", *masters, upstream=["ecom", "visits"], since=now, now=now, visits_grain="store"
+    )
+    gold = spark.read.schema(STORE_METRICS.schema).parquet(STORE_METRICS.path(root))
+    return gold.drop(*[c for c in gold.columns if c.startswith("rec_")], "batch_id")
