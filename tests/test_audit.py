@@ -108,10 +108,10 @@ def test_audited_loads_pick_up_where_the_last_completed_one_stopped(spark, rows,
     audit_path, target = str(tmp_path / "audit"), str(tmp_path / "target")
     schema = "id int, rec_update_timestamp timestamp"
 
-    def load(batch, low):
+    def load(batch, marks):
         append_rows(batch, target)
 
-    def broken(batch, low):
+    def broken(batch, marks):
         raise RuntimeError("no space")
 
     source = [(1, at(1)), (2, at(2))]
@@ -121,7 +121,7 @@ def test_audited_loads_pick_up_where_the_last_completed_one_stopped(spark, rows,
         jobs.run_incremental(spark, "j", audit_path, spark.createDataFrame(source, schema), broken, now=at(11))
     source.append((4, at(4)))
     result = jobs.run_incremental(spark, "j", audit_path, spark.createDataFrame(source, schema), load, now=at(12))
-    assert (result.low, result.high, result.input_rows) == (at(2), at(4), 2)
+    assert (result.marks.low, result.marks.high, result.input_rows) == (at(2), at(4), 2)
     assert rows(spark.read.parquet(target), "id") == [(1,), (2,), (3,), (4,)]
     empty = jobs.run_incremental(spark, "j", audit_path, spark.createDataFrame(source, schema), load, now=at(13))
     assert empty.input_rows == 0
@@ -130,7 +130,7 @@ def test_audited_loads_pick_up_where_the_last_completed_one_stopped(spark, rows,
         (at(10), "COMPLETED"), (at(11), None), (at(12), "COMPLETED"), (at(13), "COMPLETED"),
     ]
     again = jobs.run_incremental(spark, "j", audit_path, spark.createDataFrame(source, schema), load, now=at(14))
-    assert again.low == at(4)
+    assert again.marks.low == at(4)
 
 
 def test_script_counts_and_failures_are_logged(spark, rows, tmp_path):

@@ -69,6 +69,14 @@ def test_history_dates_initial_loads_by_arrival(spark):
     assert second["exception_ind"] is None
 
 
+def test_history_query_equals_the_view(spark, rows):
+    df = envelopes(spark, [("REFRESH", 1, 1, "a"), ("INSERT", 61, 2, "b"), ("DELETE", 62, 2, "b"), (None, 5, 3, "c")])
+    df.createOrReplaceTempView("history_input")
+    view, query = cdc.history_view(df, "me"), spark.sql(cdc.history_sql("history_input", "me"))
+    assert [(f.name, f.dataType) for f in view.schema] == [(f.name, f.dataType) for f in query.schema]
+    assert rows(view) == rows(query)
+
+
 def test_latest_orders_by_sequence_before_timestamp(spark):
     df = spark.createDataFrame(
         [(1, "002", 1, "late sequence"), (1, "001", 9, "late clock"), (1, "002", 2, "tie, later clock")],

@@ -134,3 +134,4 @@ def test_broadcast_follows_the_measured_size(spark):
     hinted = [broadcast_if_small(df, limit)._jdf.queryExecution().logical().toString() for limit in (size, size - 1)]
     assert "broadcast" in hinted[0] and "broadcast" not in hinted[1]
     assert measured_bytes(df.where("false")) == 0
+    assert measured_bytes(df.select(F.struct("text").alias("s"))) > 100_000

@@ -196,6 +196,7 @@ def test_ingest_lands_masked_changes_by_arrival_date(spark, tmp_path):
     logged = tables.read_or_empty(spark, log, AUDIT_LOGS).agg(F.sum("input_row_count"), F.count("*")).first()
     assert tuple(logged) == (3, 2)
     name = jobs.publish_history(spark, cfg)
+    assert name == "job_hist"
     assert spark.table(name).where("rec_crud_text = 'REFRESH'").first()["rec_create_time_key"] == 120000
 
 

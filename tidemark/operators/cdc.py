@@ -70,6 +70,26 @@ def enrich_cdc(df: DataFrame, user: str = DEFAULT_USER, now: Column | datetime |
     return df.select(F.struct(*headers).alias("headers"), F.struct(*data, *meta).alias("data"))
 
 
+def history_sql(table: str, user: str = DEFAULT_USER) -> str:
+    """``history_view`` as a query over a registered change table, for a lasting view."""
+    meta = {
+        "rec_create_timestamp": "stamp",
+        "rec_create_user_name": f"'{user}'",
+        "rec_update_timestamp": "stamp",
+        "rec_update_user_name": f"'{user}'",
+        "rec_create_date_key": "year(stamp) * 10000 + month(stamp) * 100 + day(stamp)",
+        "rec_create_time_key": f"if(initial, {REFRESH_TIME_KEY}, hour(stamp) * 100 + minute(stamp))",
+        "rec_crud_text": "operation",
+        "delete_ind": "int(coalesce(operation = 'DELETE', false))",
+        "exception_ind": "int(null)",
+        "resolved_ind": "int(null)",
+    }
+    dated = f"""select data, headers.operation, headers.operation = 'REFRESH' as initial,
+        if(headers.operation = 'REFRESH', timestamp(ingest_date), timestamp(headers.timestamp)) as stamp
+        from {table}"""
+    return f"select data.*, {', '.join(f'{v} as {n}' for n, v in meta.items())} from ({dated})"
+
+
 def change_columns(df: DataFrame) -> DataFrame:
     """Flat change rows of envelopes: business columns, operation, normalised header order.
 

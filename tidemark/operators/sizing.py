@@ -23,7 +23,9 @@ def _size(df: DataFrame) -> DataFrame:
     fixed = _ROW_OVERHEAD + sum(
         _WIDTHS.get(type(f.dataType), 16 if isinstance(f.dataType, T.DecimalType) else 8) for f in df.schema.fields
     )
-    text = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in flexible), F.lit(0))
+    nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]
+    texts = [F.col(f"`{c}`") for c in flexible] + [F.to_json(F.struct(F.col(f"`{c}`"))) for c in nested]
+    text = sum((F.coalesce(F.octet_length(t), F.lit(0)) for t in texts), F.lit(0))
     return df.agg(F.coalesce(F.sum(text.cast("bigint") + fixed), F.lit(0)).alias("bytes"))
 
 

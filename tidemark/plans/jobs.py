@@ -15,9 +15,16 @@ from tidemark.sources.tables import append_rows, read_or_empty, register_table
 
 
 @dataclass(frozen=True)
-class LoadResult:
+class Marks:
+    """A batch holds the source rows after ``low`` up to ``high`` (None: there are none)."""
+
     low: datetime
     high: datetime | None
+
+
+@dataclass(frozen=True)
+class LoadResult:
+    marks: Marks
     input_rows: int
 
 
@@ -26,13 +33,13 @@ def run_incremental(
     job: str,
     audit_path: str,
     source: DataFrame,
-    load: Callable[[DataFrame, datetime], None],
+    load: Callable[[DataFrame, Marks], None],
     ts: str = "rec_update_timestamp",
     now: Column | datetime | str | None = None,
 ) -> LoadResult:
     """Open an audit row, load the rows above the job's watermark, close the row.
 
-    ``load`` gets the batch and the mark it starts from.  The batch is fixed by
+    ``load`` gets the batch and the marks that bound it.  The batch is fixed by
     two literals, the last completed mark and the newest source time, so both
     reach the file scan and a growing source cannot slip rows in between.  A
     load that fails leaves its row open: the mark stays, and the next run
@@ -45,12 +52,13 @@ def run_incremental(
     low = watermark(audit(), job).first()[0]
     newer = source.where(F.col(ts) > F.lit(low))
     high, rows = newer.agg(F.max(ts), F.count(F.lit(1))).first()
-    batch = newer.where(F.col(ts) <= F.lit(high)) if high is not None else newer.limit(0)
-    append_rows(open_run(batch, job, now, ts).coalesce(1), audit_path, USECASE_AUDIT_LOGS)
+    marks = Marks(low, high)
+    newest = spark.createDataFrame([(high,)], f"`{ts}` timestamp")
+    append_rows(open_run(newest, job, now, ts).coalesce(1), audit_path, USECASE_AUDIT_LOGS)
     if high is not None:
-        load(batch, low)
+        load(newer.where(F.col(ts) <= F.lit(high)), marks)
     append_rows(close_run(audit(), job, now).coalesce(1), audit_path, USECASE_AUDIT_LOGS)
-    return LoadResult(low, high, rows)
+    return LoadResult(marks, rows)
 
 
 def run_sql_job(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.conform import as_table
 from tidemark.operators.audit import all_ready
 from tidemark.operators.merge import KeyedTable
-from tidemark.plans.jobs import LoadResult, run_incremental
+from tidemark.plans.jobs import LoadResult, Marks, run_incremental
 from tidemark.plans.metrics import metrics_table, store_metrics
 from tidemark.plans.sales_ecom import ecom_sales
 from tidemark.plans.sales_retail import retail_sales
@@ -32,9 +32,9 @@ def load_ecom_sales(
 ) -> LoadResult:
     """Append the fact rows of the order items changed since the job's last load."""
 
-    def load(batch: DataFrame, low: datetime) -> None:
+    def load(batch: DataFrame, marks: Marks) -> None:
         rows = ecom_sales(batch, order_log, store_hub, currency_hub, product_hub, job, now)
-        append_batch(rows, RETAIL_SALES.path(root), RETAIL_SALES.partition_by, _batch_name(job, low))
+        append_batch(rows, RETAIL_SALES.path(root), RETAIL_SALES.partition_by, _batch_name(job, marks.low))
 
     return run_incremental(spark, job, USECASE_AUDIT.path(root), items, load, now=now)
 
@@ -45,9 +45,9 @@ def load_retail_sales(
 ) -> LoadResult:
     """Append the fact rows of the register lines changed since the job's last load."""
 
-    def load(batch: DataFrame, low: datetime) -> None:
+    def load(batch: DataFrame, marks: Marks) -> None:
         rows = retail_sales(batch, upcref, store_hub, product_hub, job, now, system, assembly)
-        append_batch(rows, RETAIL_SALES.path(root), RETAIL_SALES.partition_by, _batch_name(job, low))
+        append_batch(rows, RETAIL_SALES.path(root), RETAIL_SALES.partition_by, _batch_name(job, marks.low))
 
     return run_incremental(spark, job, USECASE_AUDIT.path(root), sales, load, now=now)
 
@@ -58,10 +58,9 @@ def load_visits(
     """Recompute the days with changed readings and merge them, day partition by day partition."""
     table = KeyedTable(spark, STORE_VISITS.path(root), STORE_VISITS.schema, KEYS, partition_by="visit_date_key")
 
-    def load(batch: DataFrame, low: datetime) -> None:
-        high = batch.agg(F.max("rec_update_timestamp")).first()[0]
+    def load(batch: DataFrame, marks: Marks) -> None:
         stamp = F.col("rec_update_timestamp")
-        changed = (stamp > F.lit(low)) & (stamp <= F.lit(high))
+        changed = (stamp > F.lit(marks.low)) & (stamp <= F.lit(marks.high))
         rows = stamped_visits(store_visits(traffic, store_hub, changed), job, now)
         table.merge(as_table(rows, STORE_VISITS.schema), seq=None)
 
@@ -84,8 +83,8 @@ def load_metrics(
     sales = spark.read.schema(RETAIL_SALES.schema).parquet(RETAIL_SALES.path(root))
     visits = spark.read.schema(STORE_VISITS.schema).parquet(STORE_VISITS.path(root))
 
-    def load(batch: DataFrame, low: datetime) -> None:
+    def load(batch: DataFrame, marks: Marks) -> None:
         rows = metrics_table(store_metrics(batch, store, visits, product, product_line, visits_grain), job, now)
-        append_batch(rows, STORE_METRICS.path(root), STORE_METRICS.partition_by, _batch_name(job, low))
+        append_batch(rows, STORE_METRICS.path(root), STORE_METRICS.partition_by, _batch_name(job, marks.low))
 
     return run_incremental(spark, job, USECASE_AUDIT.path(root), sales, load, now=now)

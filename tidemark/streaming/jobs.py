@@ -21,6 +21,7 @@ from tidemark.operators.cdc import (
     TRAILING,
     change_columns,
     flat_to_envelope,
+    history_sql,
     history_view,
     with_meta,
 )
@@ -122,11 +123,18 @@ def ingest_stream(
 
 
 def publish_history(spark: SparkSession, cfg: JobConfig, user: str = DEFAULT_USER) -> str:
-    """(Re)create the flat history view over the change table; returns its name."""
-    name = (cfg.history_view or f"{cfg.job_name}_hist").replace(".", "_")
-    reader = spark.read.option("mergeSchema", "true")
-    ct = reader.format(cfg.table_format).load(cfg.output_location)
-    create_view(history_view(ct, user), name)
+    """(Re)create the flat history view over the change table; returns its name.
+
+    With a target table name the change table is registered and the view lasts
+    in the catalog; without one it is a view of this session.
+    """
+    if cfg.trgt_table_name:
+        register_table(spark, cfg.trgt_table_name, cfg.output_location, fmt=cfg.table_format)
+        spark.sql(f"CREATE OR REPLACE VIEW {cfg.history_view} AS {history_sql(cfg.trgt_table_name, user)}")
+        return cfg.history_view
+    name = "".join(c if c.isalnum() else "_" for c in f"{cfg.job_name}_hist")
+    reader = spark.read.option("mergeSchema", "true").format(cfg.table_format)
+    create_view(history_view(reader.load(cfg.output_location), user), name)
     return name
 
 

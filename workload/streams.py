@@ -201,7 +201,7 @@ def incremental_load(spark, sf_dir):
     for number, (source, now) in enumerate(zip(grown, ("2024-02-01 00:00:00", "2024-02-02 00:00:00"))):
         batch_jobs.run_incremental(
             spark, "loader", f"{root}/audit", source,
-            lambda batch, low, n=number: tables.append_rows(batch.withColumn("load", F.lit(n)), f"{root}/target"), now=now,
+            lambda batch, marks, n=number: tables.append_rows(batch.withColumn("load", F.lit(n)), f"{root}/target"), now=now,
         )
     state = audit.run_state(tables.read_or_empty(spark, f"{root}/audit", USECASE_AUDIT_LOGS))
     counts = (
