@@ -1,10 +1,8 @@
-"""High-water-mark filters and touched-group selection."""
+"""High-water-mark filters."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.audit import watermark
@@ -19,12 +17,3 @@ def incremental(df: DataFrame, audit: DataFrame, job: str, ts: str = "rec_update
     """
     mark = watermark(audit, job).scalar().cast(df.schema[ts].dataType)
     return df.where(F.col(ts) > mark)
-
-
-def touched_rows(df: DataFrame, changed: Column, keys: Sequence[str]) -> DataFrame:
-    """All rows of every key group that has a changed row.
-
-    Recomputing whole groups keeps a re-sent part of a day from replacing the day.
-    """
-    groups = df.where(changed).select(*keys).distinct()
-    return df.join(groups, list(keys), "left_semi")

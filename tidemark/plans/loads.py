@@ -61,7 +61,10 @@ def load_visits(
     def load(batch: DataFrame, marks: Marks) -> None:
         stamp = F.col("rec_update_timestamp")
         changed = (stamp > F.lit(marks.low)) & (stamp <= F.lit(marks.high))
-        rows = stamped_visits(store_visits(traffic, store_hub, changed), job, now)
+        # Two literals bound the touched days, so the scan of old readings is pruned.
+        first, last = batch.agg(F.min("visit_date"), F.max("visit_date")).first()
+        days = traffic.where(F.col("visit_date").between(F.lit(first), F.lit(last)))
+        rows = stamped_visits(store_visits(days, store_hub, changed), job, now)
         table.merge(as_table(rows, STORE_VISITS.schema), seq=None)
 
     return run_incremental(spark, job, USECASE_AUDIT.path(root), traffic, load, now=now)

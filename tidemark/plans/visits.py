@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import clock, load_stamp
-from tidemark.operators.incremental import touched_rows
 from tidemark.operators.lookup import effective_join
 from tidemark.operators.merge import merge_upsert
 from tidemark.schemas import CREATE_COLUMNS
@@ -23,13 +22,16 @@ def store_visits(
     """Entries and exits per store version and day; unmapped stores share one row per day.
 
     Readings are first summed per store number and day, map-side, and only
-    those sums are looked up.  With ``changed`` every day holding a changed
-    reading is recomputed from all its readings.
+    those sums are looked up.  With ``changed`` only days holding a changed
+    reading are kept, recomputed from all their readings: the flag is one more
+    aggregate of the same pass, so the readings meet no join.
     """
-    grain = ["store_number", "visit_date", "visit_date_key"]
-    if changed is not None:
-        traffic = touched_rows(traffic, changed, grain)
-    daily = traffic.groupBy(*grain).agg(F.sum("entries").alias("entries"), F.sum("exits").alias("exits"))
+    daily = traffic.groupBy("store_number", "visit_date", "visit_date_key").agg(
+        F.sum("entries").alias("entries"),
+        F.sum("exits").alias("exits"),
+        F.bool_or(F.lit(True) if changed is None else changed).alias("_changed"),
+    )
+    daily = daily.where("_changed").drop("_changed")
     found = effective_join(daily, store_hub, "store_number", "visit_date", ["store_rhid", "store_grpid"], closed)
     return found.groupBy(
         "visit_date_key",
