@@ -162,6 +162,15 @@ def test_job_config_is_one_row_with_typed_properties(spark):
             JobConfig.from_table(table, name)
 
 
+def test_sibling_names_never_equal_the_table():
+    cfg = JobConfig("j", output_location="lake/orders/", trgt_table_name="orders")
+    assert (cfg.exception_location, cfg.exception_table, cfg.history_view) == (
+        "lake/orders_excp", "orders_excp", "orders_hist",
+    )
+    cfg = JobConfig("j", output_location="lake/curr/orders", trgt_table_name="brz_ct_x.orders")
+    assert (cfg.exception_location, cfg.history_view) == ("lake/excp/orders", "brz_hist_x.orders")
+
+
 def test_job_config_defaults():
     cfg = JobConfig("j", trigger_processing_time="10 seconds", timeout="0")
     assert cfg.trigger == {"processingTime": "10 seconds"}

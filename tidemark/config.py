@@ -96,12 +96,18 @@ class JobConfig:
 
     @property
     def exception_location(self) -> str:
-        return (self.output_location or "").replace("/curr", "/excp")
+        """Beside the current table, never inside it."""
+        return _sibling(self.output_location or "", "/curr", "/excp", "_excp")
 
     @property
     def exception_table(self) -> str | None:
-        return self.trgt_table_name and self.trgt_table_name.replace("_curr_", "_excp_")
+        return self.trgt_table_name and _sibling(self.trgt_table_name, "_curr_", "_excp_", "_excp")
 
     @property
     def history_view(self) -> str | None:
-        return self.trgt_table_name and self.trgt_table_name.replace("_ct_", "_hist_")
+        return self.trgt_table_name and _sibling(self.trgt_table_name, "_ct_", "_hist_", "_hist")
+
+
+def _sibling(name: str, part: str, other: str, suffix: str) -> str:
+    """The name with its layer part replaced, or with a suffix where it has none."""
+    return name.replace(part, other) if part in name else name.rstrip("/") + suffix
