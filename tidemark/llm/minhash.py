@@ -9,7 +9,7 @@
    ``COORDINATES - MATCHES + 1`` rarest pairs of each. Only these are posted, so
    frequent pairs (passages that many documents hold) are skipped, and a class
    with too few shared pairs is not merged at all. At a similarity of 0.75 a
-   pair falls below the threshold with probability 0.0006.
+   pair falls below the threshold with probability 0.00005.
 4. Round one merges each list with its least member only, which is linear in
    the list. Collisions are counted over the whole signatures, pairs that reach
    the threshold are confirmed on full sets, and components follow.
@@ -38,7 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidemark.llm.common import WordHashes, as_schema, components, in_blocks, map_batches, mix, prepare, runs, split_words, stage, windows
 
 COORDINATES = 32
-MATCHES = 16
+MATCHES = 14
 SHINGLE = 5
 PERCENT = 75
 BLOCK = 256  #: members of a block of a posting list; members confirmed against one pivot in one task
