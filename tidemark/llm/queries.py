@@ -4,12 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash, secrets
+from tidemark.llm import langid, minhash, mixing, packing, secrets
 from tidemark.llm.common import table
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
@@ -18,5 +34,5 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op8_secret_scan, op10_minhash_near_dedup)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mix_sources, op5_pack_sequences, op7_language_id, op8_secret_scan, op10_minhash_near_dedup)}
+ORACLES: dict[str, str] = {"op2_mix_sources": mixing.ORACLE}
