@@ -10,13 +10,13 @@
    frequent pairs (passages that many documents hold) are skipped, and a class
    with too few shared pairs is not merged at all. At a similarity of 0.75 a
    pair falls below the threshold with probability 0.00005.
-4. Round one merges each list with its least member only, which is linear in
-   the list. Collisions are counted over the whole signatures, pairs that reach
+4. Round one merges each list with its most central member only, which is
+   linear in the list. Collisions are counted over the whole signatures, pairs that reach
    the threshold are confirmed on full sets, and components follow.
 5. Round two takes the lists whose other members still lie in several
-   components, deals them out in pairs of bounded blocks, and confirms the pairs
-   that lie in different components. After it every pair of every list is
-   confirmed, below the threshold, or inside one component.
+   components, those of one pivot together, deals them out in pairs of bounded
+   blocks, and confirms the pairs that lie in different components. After it
+   every pair of every list is confirmed, refused, or inside one component.
 
 Links are pairs of documents with 100 * intersection >= 75 * union. A null text is
 empty. A null doc_id has a null component, is kept, and links with nothing.
@@ -41,6 +41,7 @@ COORDINATES = 32
 MATCHES = 14
 SHINGLE = 5
 PERCENT = 75
+COLUMNS = 4096  #: shingles of one incidence matrix
 BLOCK = 256  #: members of a block of a posting list; members confirmed against one pivot in one task
 
 _RNG = np.random.default_rng(20240611)
@@ -110,12 +111,18 @@ def _classes(signed: DataFrame) -> DataFrame:
 
 
 def _prefixes(classes: DataFrame) -> DataFrame:
-    """(key, node): the rarest coordinate-value pairs of each class, as many as the threshold needs."""
+    """(key, node, weight): the rarest coordinate-value pairs of each class, as many as the threshold needs.
+
+    The weight is the number of collisions of a class over all its pairs: in a
+    group of copies the original, whose values most of them kept, has most.
+    """
     posted = classes.select("node", F.explode("sig").alias("key"))
     shared = stage(posted.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "pair-counts")
     own = posted.join(shared, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("own"))
     kept = own.filter(F.size("own") >= MATCHES)
-    return kept.select("node", F.explode(F.slice("own", F.lit(1), F.size("own") - (MATCHES - 1))).alias("o")).select(F.col("o.key").alias("key"), "node")
+    weight = F.aggregate("own", F.lit(0).cast("bigint"), lambda s, x: s + x["n"])
+    prefix = F.explode(F.slice("own", F.lit(1), F.size("own") - (MATCHES - 1))).alias("o")
+    return kept.select("node", weight.alias("weight"), prefix).select(F.col("o.key").alias("key"), "node", "weight")
 
 
 def _collide(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -154,32 +161,78 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
     return dealt.mapInArrow(confirm, schema).distinct()
 
 
-def _rest(prefixes: DataFrame, pivots: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame:
-    """(a, b), a > b: pairs of lists, without their pivots, that collide enough and lie in different components."""
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """The number of shingles that each two sets share, by products of incidence matrices."""
+    own = np.concatenate([np.full(len(s), i, np.int64) for i, s in enumerate(sets)])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    held = times[column] > 1
+    own, column = own[held], np.unique(column[held], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    own, column = own[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (at, at + COLUMNS))
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[own[a:b], column[a:b] - at] = 1
+        out += part @ part.T
+    return out.astype(np.int64)
+
+
+def forest(a: np.ndarray, b: np.ndarray, component: np.ndarray) -> tuple[list[int], list[int]]:
+    """Of the links between rows a and b, those that join what the others and the components have not joined."""
+    root = {c: c for c in component.tolist()}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    kept: tuple[list[int], list[int]] = ([], [])
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = find(int(component[x])), find(int(component[y]))
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            kept[0].append(x)
+            kept[1].append(y)
+    return kept
+
+
+def _rest(prefixes: DataFrame, pivots: DataFrame, classes: DataFrame, linked: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) that join components within the lists of a pivot, confirmed on full sets.
+
+    Lists with the same pivot are taken together: their members move once for
+    all of them. A task holds two blocks of such a group; it counts shared
+    shingles for all pairs at once and returns a spanning forest of the links.
+    """
     at = linked.select(F.col("id").alias("node"), "component")
-    others = prefixes.join(pivots, "key").filter("node <> pivot").select("key", "node").join(at, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    others = stage(others, "others")
-    mixed = others.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-    open_lists = others.join(stage(mixed, "mixed"), "key")
-    dealt = in_blocks(open_lists, "key", "node", BLOCK).join(classes.select("node", "sig"), "node")
-    dealt = dealt.select("key", "_i", "_j", "_own", "node", "component", "sig").repartition("key", "_i", "_j").sortWithinPartitions("key", "_i", "_j")
+    others = prefixes.join(pivots, "key").filter("node <> pivot").select("pivot", "node").distinct()
+    others = stage(others.join(at, "node", "left").withColumn("component", F.coalesce("component", "node")), "others")
+    mixed = others.groupBy("pivot").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("pivot")
+    open_groups = others.join(stage(mixed, "mixed"), "pivot")
+    dealt = in_blocks(open_groups, "pivot", "node", BLOCK).join(classes.select("node", "lo"), "node")
+    texts = docs.select(F.col("doc_id").alias("node"), "text").filter("node is not null")
+    dealt = dealt.join(texts, "node").select("pivot", "_i", "_j", "_own", "node", "component", "lo", "text")
+    dealt = dealt.repartition("pivot", "_i", "_j").sortWithinPartitions("pivot", "_i", "_j")
     schema = as_schema("a bigint, b bigint")
 
-    def collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches, ("key", "_i", "_j")):
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for run in runs(batches, ("pivot", "_i", "_j")):
             own, node, component = (run.column(c).to_numpy() for c in ("_own", "node", "component"))
-            sig = run.column("sig").flatten().to_numpy().reshape(-1, COORDINATES)
-            i, j = run.column("_i")[0].as_py(), run.column("_j")[0].as_py()
-            x, y = np.flatnonzero(own == i), np.flatnonzero(own == j)
-            a, b = [], []
-            for r in x:
-                near = y[(component[y] != component[r]) & ((sig[y] == sig[r]).sum(axis=1) >= MATCHES)]
-                near = near[node[near] < node[r]] if i == j else near
-                a.append(np.maximum(node[near], node[r]))
-                b.append(np.minimum(node[near], node[r]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v) if v else [], pa.int64()) for v in (a, b)], schema=to_arrow_schema(schema))
+            if (component == component[0]).all():
+                continue
+            sets = [shingle_set(t.as_py(), words) for t in run.column("text")]
+            right = np.array([set_hash(s)[0] for s in sets]) == run.column("lo").to_numpy()
+            size = np.array([len(s) for s in sets])
+            shared = shared_counts(sets)
+            linked = 100 * shared >= PERCENT * (size[:, None] + size[None, :] - shared)
+            linked &= (component[:, None] != component[None, :]) & right[:, None] & right[None, :]
+            linked &= (own[:, None] != own[None, :]) | (run.column("_i")[0] == run.column("_j")[0])
+            a, b = forest(*np.nonzero(np.triu(linked, 1)), component)
+            a, b = np.maximum(node[a], node[b]), np.minimum(node[a], node[b])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=to_arrow_schema(schema))
 
-    return dealt.mapInArrow(collide, schema).distinct()
+    return dealt.mapInArrow(confirm, schema).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -188,14 +241,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = stage(map_batches(docs, ["doc_id", "text"], _sign, "doc_id bigint, n_shingles bigint, lo bigint, hi bigint, sig array<bigint>"), "signed")
     classes = stage(_classes(signed), "classes")
     prefixes = stage(_prefixes(classes), "prefixes")
-    pivots = stage(prefixes.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select("key", "pivot"), "pivots")
+    central = F.max(F.struct("weight", "node"))["node"]
+    pivots = stage(prefixes.groupBy("key").agg(central.alias("pivot"), F.count("*").alias("n")).filter("n > 1").select("key", "pivot"), "pivots")
     pairs = prefixes.join(pivots, "key").filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     pairs = stage(_collide(pairs, classes), "pairs")
     links = stage(_confirmed(pairs, classes, docs), "links")
     linked = stage(components(links), "linked")
-    rest = stage(_rest(prefixes, pivots, classes, linked).join(pairs, ["a", "b"], "left_anti"), "rest")
+    rest = stage(_rest(prefixes, pivots, classes, linked, docs), "rest")
     if not rest.isEmpty():
-        linked = components(links.unionByName(_confirmed(rest, classes, docs)))
+        linked = components(links.unionByName(rest))
     of_class = classes.join(linked.withColumnRenamed("id", "node"), "node", "left").select("lo", "hi", "node", F.coalesce("component", "node").alias("c"))
     # A text whose id stands for another text has no class row of its own: its copies share the least id.
     out = signed.select("doc_id", "n_shingles", "lo", "hi").join(of_class, ["lo", "hi"], "left")
