@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, extract, langid, minhash, mixing, packing, rules, secrets, vectors
+from tidemark.llm import chat, extract, langid, minhash, mixing, packing, quality, rules, secrets, vectors
 from tidemark.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op6_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -59,7 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_extract_pages, op2_mix_sources, op3_near_vectors, op4_format_chats, op5_pack_sequences,
-        op7_language_id, op8_secret_scan, op9_quality_rules, op10_minhash_near_dedup,
+        op6_quality_score, op7_language_id, op8_secret_scan, op9_quality_rules, op10_minhash_near_dedup,
     )
 }
 ORACLES: dict[str, str] = {"op2_mix_sources": mixing.ORACLE}
