@@ -18,9 +18,10 @@ from __future__ import annotations
 import itertools
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import ahocorasick
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -173,9 +174,6 @@ def redact_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     Overlapping spans become the mark of the first. Other columns, whatever
     their names, stay as they are; a null text stays null.
     """
-    import pandas as pd
-    from collections.abc import Iterator
-
     @F.pandas_udf("string")
     def redacted(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         redact = _redact_setup()
