@@ -183,6 +183,8 @@ class Lines(HTMLParser):
                 self.plain += len(data)
 
     def finish(self):
+        if re.match(r"<[a-zA-Z/!?]", self.rawdata):  # a tag or comment cut off by the end is no text
+            self.rawdata = ""
         self.close()
         self._close_to(0)
         self._break()

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -114,14 +114,20 @@ def canonical(a: np.ndarray, b: np.ndarray, table: int, key: int) -> np.ndarray:
     return (first == table) & (least == np.uint64(key))
 
 
-def _classes(vectors: DataFrame) -> DataFrame:
-    """(label, dims, embedding, node, copies): distinct usable vectors; node is the least vec_id."""
-    values = F.transform("embedding", lambda x: x.cast("double"))
-    usable = F.size("embedding") > 0
+def _values() -> Column:
+    return F.transform("embedding", lambda x: x.cast("double"))
+
+
+def _usable() -> Column:
+    """Whether a row can have links: an id, a label and a finite vector other than zero."""
+    usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()
     usable &= ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull())
-    rows = rows.filter(usable).select("vec_id", "label", values.alias("embedding")).filter(F.exists("embedding", lambda x: x != 0))
-    # A node stands for one vector: where rows of one id differ, the number tells them apart.
+    return F.coalesce(usable & F.exists("embedding", lambda x: x != 0), F.lit(False))
+
+
+def _classes(vectors: DataFrame) -> DataFrame:
+    """(label, dims, embedding, first_id, copies, node): distinct usable vectors; node is their digest."""
+    rows = vectors.filter(_usable()).select("vec_id", "label", _values().alias("embedding"))
     classes = rows.groupBy("label", "embedding").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
     return classes.select("label", F.size("embedding").alias("dims"), "embedding", "first_id", "copies", F.xxhash64("label", "embedding").alias("node"))
 
@@ -271,7 +277,6 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
         .select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "first_id").alias("c"))
     )
     # Rows find their class by the same digest of label and values; an unusable row finds none.
-    values = F.transform("embedding", lambda x: x.cast("double"))
-    rows = vectors.select("vec_id", F.when(F.col("vec_id").isNotNull() & F.col("label").isNotNull(), F.xxhash64("label", values)).alias("node"))
+    rows = vectors.select("vec_id", F.when(_usable(), F.xxhash64("label", _values())).alias("node"))
     out = rows.join(of_class, "node", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
