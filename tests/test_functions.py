@@ -92,7 +92,8 @@ def test_declared_types_come_from_a_metadata_frame(spark):
         "classname string, columnname string, columndatatype string",
     )
     assert conform.declared_types(meta, "t") == {"a": "bigint", "b": "varchar string"}
-    assert conform.declared_type("bigint") == T.IntegerType()
+    assert conform.declared_type("bigint") == T.LongType()
+    assert conform.declared_type("datetime not null") == T.TimestampType() and conform.declared_type("int(11)") == T.IntegerType()
     with pytest.raises(ValueError):
         conform.declared_type("blob")
 

@@ -140,3 +140,26 @@ def test_keyed_merge_needs_one_exchange_per_side(spark, tmp_path):
         merged = merge_upsert(left.repartition(8, "pk_bucket"), left.repartition(8, "pk_bucket"), ["id"], also=["pk_bucket"])
         plan = merged._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_a_repeated_source_key_is_refused(spark, tmp_path):
+    schema = T.StructType.fromDDL("id bigint, value string, rec_create_timestamp timestamp, change_sequence string")
+    keyed = KeyedTable(spark, str(tmp_path / "twice"), schema, ["id"], buckets=4)
+    twice = spark.sql("select id % 3 as id, 'x' as value, now() as rec_create_timestamp, '1' as change_sequence from range(4)")
+    with pytest.raises(ValueError, match="more than once"):
+        keyed.merge(twice)
+    assert keyed.read().count() == 0
+
+
+def test_another_bucket_count_is_refused_until_the_table_is_rebucketed(spark, tmp_path):
+    schema = T.StructType.fromDDL("id bigint, value string, rec_create_timestamp timestamp, change_sequence string")
+    source = spark.sql("select id, 'x' as value, now() as rec_create_timestamp, '1' as change_sequence from range(20)")
+    path = str(tmp_path / "dealt")
+    keyed = KeyedTable(spark, path, schema, ["id"], buckets=4)
+    keyed.merge(source)
+    with pytest.raises(ValueError, match="rebucket"):
+        KeyedTable(spark, path, schema, ["id"], buckets=8).merge(source)
+    keyed.rebucket(8)
+    again = KeyedTable(spark, path, schema, ["id"], buckets=8)
+    again.merge(source)
+    assert again.read().count() == 20 and again.read().select("id").distinct().count() == 20

@@ -122,7 +122,7 @@ def test_retail_shared_invoices_pair_up_only_when_keyed(spark, rows):
 
 def test_retail_null_invoice_survives_only_per_line(spark):
     sales = [(None, 1, "S1"), (1, 1, None)]
-    assert retail(spark, sales).count() == 1
+    assert retail(spark, sales, assembly="keyed").count() == 1
     assert retail(spark, sales, assembly="line").count() == 2
     with pytest.raises(ValueError):
         retail(spark, sales, assembly="other")
@@ -241,3 +241,17 @@ def test_hierarchy_joins_all_seventeen_dimensions(spark):
     assert len(set(got.columns)) == len(got.columns)
     row = got.first()
     assert all(row[f"{name}_name"] == name.upper() for name in tables)
+
+
+def test_a_late_reading_of_one_unmapped_number_keeps_the_others(spark, rows):
+    hubs = hub(spark, {"S1": 1}, "store")
+    on, key = dt.date(2024, 1, 2), 20240102
+    first = [("X", on, key, 40, 0, dt.datetime(2024, 1, 2)), ("Y", on, key, 60, 0, dt.datetime(2024, 1, 2))]
+    late = [*first, ("X", on, key, 1, 0, dt.datetime(2024, 1, 9))]
+    changed = F.col("rec_update_timestamp") > F.lit(dt.datetime(2024, 1, 5))
+    target = visits.stamped_visits(visits.store_visits(spark.createDataFrame(first, TRAFFIC), hubs), "one", "2024-01-03")
+    again = visits.stamped_visits(visits.store_visits(spark.createDataFrame(late, TRAFFIC), hubs, changed), "two", "2024-01-09")
+    assert rows(visits.merge_visits(target, again), "store_rhid", "entry_count") == [(-1, 101)]
+    mapped = hub(spark, {"S1": 1, "X": 2, "Y": 2}, "store")
+    moved = visits.stamped_visits(visits.store_visits(spark.createDataFrame(late, TRAFFIC), mapped, changed), "two", "2024-01-09")
+    assert rows(visits.merge_visits(target, moved), "store_rhid", "entry_count") == [(2, 101)]

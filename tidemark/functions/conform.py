@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -10,20 +11,19 @@ from pyspark.sql import types as T
 
 from tidemark.schemas import MONEY
 
-# Declared type words, first match wins: 'bigint' counts as int.
-_TYPE_WORDS = (
-    ("int", T.IntegerType()),
-    ("decimal", MONEY),
-    ("string", T.StringType()),
-    ("timestamp", T.TimestampType()),
-    ("date", T.DateType()),
-)
+# Whole words of a declaration; the first known one counts.
+_TYPE_WORDS = {
+    "int": T.IntegerType(), "integer": T.IntegerType(), "smallint": T.IntegerType(), "tinyint": T.IntegerType(),
+    "bigint": T.LongType(), "long": T.LongType(), "decimal": MONEY, "numeric": MONEY,
+    "string": T.StringType(), "varchar": T.StringType(), "char": T.StringType(), "text": T.StringType(),
+    "timestamp": T.TimestampType(), "datetime": T.TimestampType(), "date": T.DateType(),
+}
 
 
 def declared_type(text: str) -> T.DataType:
-    for word, kind in _TYPE_WORDS:
-        if word in text.lower():
-            return kind
+    for word in re.findall(r"[a-z]+", text.lower()):
+        if word in _TYPE_WORDS:
+            return _TYPE_WORDS[word]
     raise ValueError(f"unknown declared type {text!r}")
 
 

@@ -17,6 +17,7 @@ from tidemark.schemas import CREATE_COLUMNS
 from tidemark.session import setting
 
 BUCKET = "pk_bucket"
+LAYOUT = "keys string, part string, buckets int"
 NULL_KEY_MODES = ("quarantine", "match", "insert")
 
 
@@ -113,9 +114,31 @@ class KeyedTable:
         return spark.read.schema(self.stored).parquet(path)
 
     def create(self) -> None:
-        """Write an empty table unless one is there."""
+        """Write an empty table unless one is there; one laid out otherwise is an error."""
         empty = self.spark.createDataFrame([], self.stored)
         empty.write.mode("ignore").partitionBy(self.part).parquet(self.path)
+        wanted = (",".join(self.keys), self.part, self.buckets if self.part == BUCKET else 0)
+        try:
+            found = self.spark.read.schema(LAYOUT).parquet(f"{self.path}.layout").first()
+        except AnalysisException:
+            found = None
+        if found is None:
+            self._note_layout(wanted)
+        elif tuple(found) != wanted:
+            raise ValueError(f"{self.path} is laid out by {tuple(found)}, not {wanted}; rebucket() changes the number of buckets")
+
+    def _note_layout(self, layout: tuple) -> None:
+        self.spark.createDataFrame([layout], LAYOUT).coalesce(1).write.mode("overwrite").parquet(f"{self.path}.layout")
+
+    def rebucket(self, buckets: int) -> None:
+        """Deal the rows out anew; a job that dies on the way is repaired by repeating it."""
+        spark = self.spark
+        rows = self.read().withColumn(BUCKET, bucket_of(self.keys, buckets))
+        rows.repartition(buckets, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}.rebucketed")
+        dealt = self._load(spark, f"{self.path}.rebucketed")
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(self.path)
+        self.buckets = buckets
+        self._note_layout((",".join(self.keys), BUCKET, buckets))
 
     def read(self) -> DataFrame:
         return self._load(self.spark, self.path).select(*self.schema.names)
@@ -127,10 +150,12 @@ class KeyedTable:
         seq: str | None = "change_sequence",
         null_keys: str = "quarantine",
         batch: str | None = None,
+        whole: bool = False,
     ) -> int:
         """Merge the source rows (one per key) into the table; returns how many there were.
 
-        ``batch`` identifies the source, so that a repeated batch whose staging
+        A key that the source holds twice is an error.  With ``whole`` the
+        touched partitions keep only keys that the source holds.  ``batch`` identifies the source, so that a repeated batch whose staging
         was complete is only put in place again.
         """
         self.create()
@@ -144,11 +169,16 @@ class KeyedTable:
         # Computed once: the touched partitions are counted, then the rows merged.
         source = source.persist()
         try:
-            touched = {r[0]: r[1] for r in source.groupBy(self.part).count().collect()}
+            per_key = source.groupBy(self.part, *[k for k in self.keys if k != self.part]).agg(F.count("*").alias("_n"))
+            most = F.max(F.when(~any_null(self.keys), F.col("_n")))
+            touched = per_key.groupBy(self.part).agg(F.sum("_n"), most).collect()
+            if any((r[2] or 0) > 1 for r in touched):
+                raise ValueError(f"the source of {self.path} holds a key more than once")
+            touched = {r[0]: r[1] for r in touched}
             if not touched:
                 return 0
             if self._staged_batch(spark) != batch:
-                self._stage(source, list(touched), preserve, seq, null_keys, batch)
+                self._stage(source, list(touched), preserve, seq, null_keys, batch, whole)
         finally:
             source.unpersist()
         merged = self._load(spark, f"{self.path}.staged")
@@ -157,10 +187,14 @@ class KeyedTable:
         return sum(touched.values())
 
     def _stage(
-        self, source: DataFrame, touched: list, preserve: Sequence[str], seq: str | None, null_keys: str, batch: str
-    ) -> None:
+        self, source: DataFrame, touched: list, preserve: Sequence[str], seq: str | None, null_keys: str, batch: str,
+        whole: bool = False,
+    ) -> None:
         spark = source.sparkSession
         old = self._load(spark, self.path).where(F.col(self.part).isin(touched))
+        if whole:
+            keys = list(dict.fromkeys([self.part, *self.keys]))
+            old = old.join(source.select(*[F.col(k).alias(f"_{k}") for k in keys]), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi")
         # One exchange per side: the join accepts a partitioning by the bucket
         # alone, and the write then has one task per bucket.
         with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):

@@ -41,7 +41,7 @@ def load_ecom_sales(
 
 def load_retail_sales(
     spark: SparkSession, root: str, job: str, sales: DataFrame, upcref: DataFrame, store_hub: DataFrame,
-    product_hub: DataFrame, now: datetime | None = None, system: str | None = None, assembly: str = "keyed",
+    product_hub: DataFrame, now: datetime | None = None, system: str | None = None, assembly: str = "line",
 ) -> LoadResult:
     """Append the fact rows of the register lines changed since the job's last load."""
 
@@ -55,7 +55,7 @@ def load_retail_sales(
 def load_visits(
     spark: SparkSession, root: str, job: str, traffic: DataFrame, store_hub: DataFrame, now: datetime | None = None
 ) -> LoadResult:
-    """Recompute the days with changed readings and merge them, day partition by day partition."""
+    """Recompute the days with changed readings and replace them, day partition by day partition."""
     table = KeyedTable(spark, STORE_VISITS.path(root), STORE_VISITS.schema, KEYS, partition_by="visit_date_key")
 
     def load(batch: DataFrame, marks: Marks) -> None:
@@ -65,7 +65,7 @@ def load_visits(
         first, last = batch.agg(F.min("visit_date"), F.max("visit_date")).first()
         days = traffic.where(F.col("visit_date").between(F.lit(first), F.lit(last)))
         rows = stamped_visits(store_visits(days, store_hub, changed), job, now)
-        table.merge(as_table(rows, STORE_VISITS.schema), seq=None)
+        table.merge(as_table(rows, STORE_VISITS.schema), seq=None, whole=True)
 
     return run_incremental(spark, job, USECASE_AUDIT.path(root), traffic, load, now=now)
 

@@ -80,7 +80,7 @@ def retail_sales(
     job: str,
     now: Column | datetime | str | None = None,
     system: str | None = None,
-    assembly: str = "keyed",
+    assembly: str = "line",
     closed: str = "both",
 ) -> DataFrame:
     """The sales fact rows of a set of register lines, without duplicates.

@@ -23,15 +23,16 @@ def store_visits(
 
     Readings are first summed per store number and day, map-side, and only
     those sums are looked up.  With ``changed`` only days holding a changed
-    reading are kept, recomputed from all their readings: the flag is one more
-    aggregate of the same pass, so the readings meet no join.
+    reading are kept, each recomputed whole: several store numbers may share a
+    row, and a number may have moved to another one since.
     """
+    if changed is not None:
+        days = traffic.where(changed).select(F.col("visit_date").alias("_day")).distinct()
+        traffic = traffic.join(days, F.col("visit_date").eqNullSafe(F.col("_day")), "left_semi")
     daily = traffic.groupBy("store_number", "visit_date", "visit_date_key").agg(
         F.sum("entries").alias("entries"),
         F.sum("exits").alias("exits"),
-        F.bool_or(F.lit(True) if changed is None else changed).alias("_changed"),
     )
-    daily = daily.where("_changed").drop("_changed")
     found = effective_join(daily, store_hub, "store_number", "visit_date", ["store_rhid", "store_grpid"], closed)
     return found.groupBy(
         "visit_date_key",
@@ -46,5 +47,13 @@ def stamped_visits(visits: DataFrame, job: str, now: Column | datetime | str | N
 
 
 def merge_visits(target: DataFrame, visits: DataFrame) -> DataFrame:
-    """Upsert by (store, day); the create columns of known rows stay."""
-    return merge_upsert(target, visits, KEYS, preserve=CREATE_COLUMNS)
+    """Replace the days of ``visits`` by (store, day); the create columns of known rows stay.
+
+    A row of such a day whose store is no longer there goes: its readings belong
+    to another store now.
+    """
+    days = visits.select(F.col("visit_date").alias("_day")).distinct()
+    keys = visits.select(*[F.col(k).alias(f"_{k}") for k in KEYS])
+    others = target.join(days, F.col("visit_date") == F.col("_day"), "left_anti")
+    known = target.join(keys, [F.col(k) == F.col(f"_{k}") for k in KEYS], "left_semi")
+    return merge_upsert(others.unionByName(known), visits, KEYS, preserve=CREATE_COLUMNS)

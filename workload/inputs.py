@@ -38,6 +38,18 @@ VIEWS = {
                 order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_extendedprice desc,
                   l_quantity desc, l_discount desc, l_tax desc) as rn from {lineitem}) x
         where rn = 1""",
+    # Every line, repeated (order, line number) pairs included.
+    "v_lines": """
+        select cast(l_orderkey as int) as order_id, cast(l_linenumber as int) as id,
+          cast(l_partkey as varchar(20)) as sku_number, cast(l_suppkey as varchar(20)) as ship_store_num,
+          l_linestatus as order_status, l_returnflag as item_type,
+          cast(l_extendedprice as decimal(20,6)) as unit_price, cast(l_quantity as int) as quantity,
+          'STATE' as tax_type, cast(l_tax as decimal(20,6)) as tax,
+          'CITY' as tax_type2, cast(l_discount as decimal(20,6)) as tax2,
+          cast(l_tax + l_discount as decimal(20,6)) as vat,
+          cast(l_shipdate as date) as ship_date, cast(l_shipdate as timestamp) as charge_timestamp,
+          cast(l_shipdate as timestamp) as rec_update_timestamp
+        from {lineitem}""",
     "v_order_log": """
         select cast(o_orderkey as int) as order_id, cast(c_nationkey as varchar(20)) as store_num,
           cast(o_orderdate as timestamp) + interval 0 day as order_timestamp,
@@ -97,6 +109,14 @@ VIEWS = {
           cast(floor(value) as int) as entries, cast(floor(value/2) as int) as exits,
           cast(ts as timestamp) as rec_update_timestamp
         from {events}""",
+    # The same readings; of every second day a fifth arrive two months late.
+    "v_late_traffic": """
+        select cast(user_id as varchar(20)) as store_number, cast(ts as date) as visit_date,
+          year(ts)*10000 + month(ts)*100 + day(ts) as visit_date_key,
+          cast(floor(value) as int) as entries, cast(floor(value/2) as int) as exits,
+          case when day(ts) % 2 = 0 and second(cast(ts as timestamp)) % 5 = 0 then cast(ts as timestamp) + interval 60 day
+            else cast(ts as timestamp) end as rec_update_timestamp
+        from {events}""",
     # Register lines with a 12-hour clock text; returned items carry an unknown size.
     "v_sales": """
         select cast(l_suppkey as varchar(20)) as sl_store, cast(l_shipdate as date) as sl_date,

@@ -87,7 +87,7 @@ def at_hub(name: str, alias: str, code: str, ts: str, end: str = "<=") -> str:
 def asof(name: str, code: str, columns: dict[str, str], side: str, end: str = "<=") -> str:
     listed = ", ".join(f"h.{c} as {out}" for c, out in columns.items())
     return f"""with {HUBS} select i.order_id, i.id as order_item_id, {side}.{code}, o.order_timestamp, {listed}
-    from {{v_items}} i join {{v_order_log}} o on i.order_id = o.order_id
+    from {{v_lines}} i join {{v_order_log}} o on i.order_id = o.order_id
     {at_hub(name, "h", f"{side}.{code}", "o.order_timestamp", end)}"""
 
 
@@ -168,10 +168,10 @@ RETAIL_LINE = f"""with {HUBS} select distinct {fact(SALE_VALUES)}
 from {{v_sales}} x {SALE_PRODUCT} {at_hub("store_hub", "s", "x.sl_store", "x.sl_date")}"""
 
 
-def visits_sql(source: str) -> str:
+def visits_sql(source: str, hub: str = "store_hub") -> str:
     return f"""select t.visit_date_key, coalesce(h.store_rhid, -1) as store_rhid, h.store_grpid, t.visit_date,
       cast(sum(t.entries) as bigint) as entry_count, cast(sum(t.exits) as bigint) as exit_count
-    from {source} t {at_hub("store_hub", "h", "t.store_number", "t.visit_date")}
+    from {source} t {at_hub(hub, "h", "t.store_number", "t.visit_date")}
     group by 1, 2, 3, 4"""
 
 
@@ -179,13 +179,13 @@ VISIT_STAMP = """{ts} as rec_create_timestamp, '{job}' as rec_create_user_name,
   '{job}' as rec_update_user_name, {key} as rec_create_date_key, 0 as rec_create_time_key"""
 
 VISITS_MERGE = f"""with {HUBS},
-early as (select * from {{v_traffic}} where rec_update_timestamp < timestamp '2024-01-16 00:00:00'),
-late_days as (select distinct store_number, visit_date from {{v_traffic}}
-  where rec_update_timestamp >= timestamp '2024-01-16 00:00:00'),
-again as (select v.* from {{v_traffic}} v join late_days d
-  on v.store_number = d.store_number and v.visit_date = d.visit_date),
+first_hub as (select * from store_hub where store_grpid not like '%5'),
+early as (select * from {{v_late_traffic}} where rec_update_timestamp < timestamp '2024-02-15 00:00:00'),
+late_days as (select distinct visit_date from {{v_late_traffic}}
+  where rec_update_timestamp >= timestamp '2024-02-15 00:00:00'),
+again as (select v.* from {{v_late_traffic}} v where v.visit_date in (select visit_date from late_days)),
 t as (select *, {VISIT_STAMP.format(ts="timestamp '2024-01-16 00:00:00'", job="first", key=20240116)}
-  from ({visits_sql("early")}) a),
+  from ({visits_sql("early", "first_hub")}) a),
 s as (select *, {VISIT_STAMP.format(ts="timestamp '2024-02-01 00:00:00'", job="second", key=20240201)}
   from ({visits_sql("again")}) b)
 select coalesce(s.visit_date_key, t.visit_date_key) as visit_date_key,
@@ -199,7 +199,8 @@ select coalesce(s.visit_date_key, t.visit_date_key) as visit_date_key,
   coalesce(s.rec_update_user_name, t.rec_update_user_name) as rec_update_user_name,
   coalesce(t.rec_create_date_key, s.rec_create_date_key) as rec_create_date_key,
   coalesce(t.rec_create_time_key, s.rec_create_time_key) as rec_create_time_key
-from t full join s on t.store_rhid = s.store_rhid and t.visit_date = s.visit_date"""
+from t full join s on t.store_rhid = s.store_rhid and t.visit_date = s.visit_date
+where s.store_rhid is not null or t.visit_date not in (select visit_date from late_days)"""
 
 
 def metrics_sql(per_day: bool) -> str:
@@ -510,22 +511,8 @@ ORACLES = {
             else timestamp '2024-02-02 00:00:00' end as rec_create_timestamp, count(*) as loaded_rows
         from {v_cdc} group by 4""",
     "load_store_visits": f"""
-        with {HUBS}, v as ({visits_sql("{v_traffic}")}),
-        first as (select distinct store_rhid, visit_date from (
-          {visits_sql("(select * from {v_traffic} where rec_update_timestamp < timestamp '2024-01-16 00:00:00')")}) e),
-        late as (select distinct coalesce(h.store_rhid, -1) as store_rhid, t.visit_date from {{v_traffic}} t
-          {at_hub("store_hub", "h", "t.store_number", "t.visit_date")}
-          where t.rec_update_timestamp >= timestamp '2024-01-16 00:00:00')
-        select v.visit_date_key, v.store_rhid, v.store_grpid, v.visit_date, cast(v.entry_count as int) as entry_count,
-          cast(v.exit_count as int) as exit_count,
-          case when f.visit_date is null then timestamp '2024-02-01' else timestamp '2024-01-16' end
-            as rec_create_timestamp, 'visits' as rec_create_user_name,
-          case when l.visit_date is null then timestamp '2024-01-16' else timestamp '2024-02-01' end
-            as rec_update_timestamp, 'visits' as rec_update_user_name,
-          case when f.visit_date is null then 20240201 else 20240116 end as rec_create_date_key,
-          0 as rec_create_time_key
-        from v left join first f on v.store_rhid = f.store_rhid and v.visit_date = f.visit_date
-          left join late l on v.store_rhid = l.store_rhid and v.visit_date = l.visit_date""",
+        select * replace (cast(entry_count as int) as entry_count, cast(exit_count as int) as exit_count)
+        from ({VISITS_MERGE.replace("'first'", "'visits'").replace("'second'", "'visits'")}) m""",
     "gold_end_to_end": gold_end_to_end(),
     "merge_keyed_table": merge_sql("late", "early", True),
     "sql_job_append_overwrite": """

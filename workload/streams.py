@@ -258,9 +258,9 @@ def sql_script_run(spark, sf_dir):
 def load_store_visits(spark, sf_dir):
     """Two audited visit loads; the second recomputes every day with a late reading."""
     root = work_path(spark, "visits")
-    traffic, hub = frame(spark, sf_dir, "v_traffic"), q.store_hub(spark, sf_dir)
-    early = traffic.where(F.col("rec_update_timestamp") < q.MID)
-    loads.load_visits(spark, root, "visits", early, hub, datetime(2024, 1, 16))
+    traffic, hub = frame(spark, sf_dir, "v_late_traffic"), q.store_hub(spark, sf_dir)
+    early = traffic.where(F.col("rec_update_timestamp") < q.LATE)
+    loads.load_visits(spark, root, "visits", early, hub.where("store_grpid not like '%5'"), datetime(2024, 1, 16))
     loads.load_visits(spark, root, "visits", traffic, hub, datetime(2024, 2, 1))
     return spark.read.schema(STORE_VISITS.schema).parquet(STORE_VISITS.path(root))
 
