@@ -27,6 +27,7 @@ def test_targets_are_registered_with_layer_and_partitions(spark, root):
         assert shown["layer"] == target.layer
     parts = [c.name for c in spark.catalog.listColumns("slv_retail_sales.dtl_retail_sales") if c.isPartition]
     assert parts == ["batch_id", "rec_create_date_key"]
+    assert [c.name for c in spark.catalog.listColumns(targets.STORE_METRICS.table) if c.isPartition] == ["date_key"]
 
 
 def test_silver_to_gold(spark, root, rows, monkeypatch):
@@ -73,6 +74,43 @@ def test_silver_to_gold(spark, root, rows, monkeypatch):
     assert again.input_rows == 0 and spark.table(targets.STORE_METRICS.table).count() == 2
 
 
+def sold(spark, order, item, store, day, loaded, qty, channel="ECOM"):
+    """One row of the sales fact."""
+    values = {
+        "order_id": order, "order_item_id": item, "order_channel_code": channel, "store_rhid": store,
+        "order_date_key": day, "product_rhid": 7, "sales_qty": qty, "rec_update_timestamp": at(loaded),
+    }
+    return spark.range(1).select(
+        *[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in targets.RETAIL_SALES.schema.fields if f.name != "rec_create_date_key"],
+        F.lit(20240100 + loaded).alias("rec_create_date_key"),
+    )
+
+
+def test_gold_has_one_row_per_store_day(spark, root, rows):
+    """Two loads feed one store-day; a changed item counts once, and on its new day and store only."""
+    store = spark.createDataFrame([(1, None, None), (2, None, None)], "store_rhid int, store_open_date date, store_close_date date")
+    masters = store, spark.createDataFrame([(7, 1)], "product_rhid int, product_line_rhid int"), spark.createDataFrame(
+        [(1, "FOOTWEAR", "4")], "product_line_rhid int, product_line_desc string, product_line_code string"
+    )
+    target = targets.RETAIL_SALES
+
+    def land(*facts):
+        for n, fact in enumerate(facts):
+            fact.write.mode("append").partitionBy("rec_create_date_key").parquet(f"{target.path(root)}/batch_id={n}")
+
+    def gold(now):
+        loads.load_metrics(spark, root, "gold", *masters, now=at(now))
+        table = spark.read.schema(targets.STORE_METRICS.schema).parquet(targets.STORE_METRICS.path(root))
+        return rows(table, "date_key", "store_rhid", "total_transaction_count", "total_sales_quantity")
+
+    land(sold(spark, 1, 1, 1, 20240101, 3, 5), sold(spark, 2, 1, 1, 20240102, 3, 1), sold(spark, 3, 1, 2, 20240102, 3, 4))
+    land(sold(spark, 9, 1, 1, 20240101, 3, 2, "RETAIL"), sold(spark, 9, 1, 1, 20240101, 3, 2, "RETAIL"))
+    assert gold(4) == [(20240101, 1, 3, 9), (20240102, 1, 1, 1), (20240102, 2, 1, 4)]
+    land(sold(spark, 4, 1, 1, 20240101, 5, 10), sold(spark, 2, 1, 2, 20240103, 5, 7))
+    assert gold(6) == [(20240101, 1, 4, 19), (20240102, 2, 1, 4), (20240103, 2, 1, 7)]
+    assert gold(7) == gold(8)
+
+
 def test_visit_days_are_recomputed_whole(spark, root, rows):
     stores = hub(spark, {"S1": 1}, "store")
     first = [reading("S1", 1, 5, 1), reading("S1", 2, 4, 2)]

@@ -10,7 +10,7 @@ from tidemark.operators.merge import KeyedTable
 from tidemark.schemas import AUDIT_LOGS, STREAMING_AUDITS, envelope
 from tidemark.sources import streams, tables
 from tidemark.streaming import jobs
-from tidemark.streaming.progress import ProgressLog, progress_rows
+from tidemark.streaming.progress import ProgressLog
 
 NOW = "2024-02-01 10:11:12"
 
@@ -243,21 +243,60 @@ def test_epoch_columns_become_timestamps(spark, tmp_path):
     assert rows.first()["id"].second == 1
 
 
-def test_progress_rows_and_listener(spark, tmp_path):
+def test_progress_log_keeps_more_reports_than_spark_does(spark, tmp_path):
+    """Spark keeps a few reports of a query; the log has all of them."""
+    from tidemark.session import setting
+
     cfg = config(tmp_path, load_type="APPEND")
-    land(spark, cfg, (1, "a", "UPDATE", 1))
-    listener = ProgressLog(spark, str(tmp_path / "progress"))
-    spark.streams.addListener(listener)
-    try:
-        query = run(spark, cfg)
-        got = progress_rows(spark, query)
-        assert got.schema == STREAMING_AUDITS
-        assert got.agg(F.sum("num_input_rows")).first()[0] == 1
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    finally:
-        spark.streams.removeListener(listener)
-    logged = spark.read.schema(STREAMING_AUDITS).parquet(str(tmp_path / "progress"))
-    assert logged.agg(F.sum("num_input_rows")).first()[0] == 1
+    for n in range(8):
+        land(spark, cfg, (n, "a", "UPDATE", n + 1))
+    with setting(spark, "spark.sql.streaming.numRecentProgressUpdates", "3"):
+        with ProgressLog(spark, str(tmp_path / "progress")) as log:
+            query = run(spark, cfg)
+            log.wait(query)
+    assert len(query.recentProgress) < 8
+    logged = log.read()
+    assert logged.schema == STREAMING_AUDITS
+    assert logged.agg(F.sum("num_input_rows"), F.countDistinct("batch_id")).first()[:2] == (8, 8)
+
+
+def test_a_reload_replaces_changed_rows_and_ignored_rows_are_counted(spark, tmp_path):
+    cfg, log = config(tmp_path), str(tmp_path / "audit")
+    land(spark, cfg, (1, "changed", "UPDATE", 9), (2, "b", "INSERT", 2))
+    run(spark, cfg)
+    land(spark, cfg, (1, "loaded", "REFRESH", 10), (3, "c", "REFRESH", 10))
+    run(spark, cfg, audit=jobs.Audit(log))
+    assert current(spark, cfg)[0] == (1, "changed", "UPDATE", 0)
+    counts = spark.read.parquet(log).select("input_row_count", "output_row_count").collect()
+    assert [tuple(r) for r in counts] == [(2, 1)]
+    land(spark, cfg, (1, "loaded", "REFRESH", 11))
+    run(spark, cfg, reload=True)
+    assert current(spark, cfg)[0] == (1, "loaded", "REFRESH", 0)
+    land(spark, cfg, (1, "later", "UPDATE", 12))
+    run(spark, cfg)
+    assert current(spark, cfg)[0] == (1, "later", "UPDATE", 0)
+
+
+def test_history_is_published_while_the_stream_runs(spark, tmp_path):
+    """Each batch asks for the newest record type; the view follows it and survives a quote in the user's name."""
+    cfg = config(tmp_path, output_location=str(tmp_path / "ct"), trgt_table_name="pub_ct_t")
+    calls = []
+
+    def newest():
+        calls.append(1)
+        return envelope(ROW)
+
+    record = {"data": {"id": 1, "name": "a"}, "headers": {"operation": "INSERT", "changeSequence": seq(1), "timestamp": "2024-01-01T00:00:01"}}
+    frame = bytearray(b"\x00\x00\x00\x00\x01" + json.dumps(record).encode())
+    landed = spark.createDataFrame([(frame, "2024-01-05")], "value binary, timestamp string")
+    landed.selectExpr("value", "cast(timestamp as timestamp) as timestamp").write.parquet(cfg.input_location)
+    source = spark.readStream.schema("value binary, timestamp timestamp").parquet(cfg.input_location)
+    query = jobs.ingest_stream(spark, cfg, newest, source, audit=jobs.Audit(user="O'Neil"), publish=True)
+    jobs.wait(query, cfg)
+    assert calls
+    assert spark.table("pub_hist_t").select("id", "rec_create_user_name").collect() == [(1, "O'Neil")]
+    days = list((tmp_path / "ct").glob("ingest_date=*/batch_id=*"))
+    assert len(days) == 1
 
 
 def test_kafka_and_delta_adapters_name_their_modules(spark, tmp_path):

@@ -1,21 +1,24 @@
 """Command line: ``spark-submit … -m tidemark <job> --job-name NAME --config TABLE``.
 
 Jobs: ``ingest`` (topic to change table), ``current`` (change table to current
-table), ``usecase`` (a statement list) and ``sql`` (one query).
+table), ``load`` (one of the built loads: ecom, retail, visits, metrics),
+``usecase`` (a statement list) and ``sql`` (one query).
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.config import JobConfig
+from tidemark.config import JobConfig, split_list
 from tidemark.plans.jobs import load_steps, run_sql_job, run_usecase
+from tidemark.plans.loads import LOADS, run_load
 from tidemark.schemas import load_schema, schema_from_avro
 from tidemark.session import get_session
 from tidemark.sources.streams import kafka_stream
-from tidemark.streaming.jobs import Audit, current_stream, ingest_stream, publish_history, wait
+from tidemark.streaming.jobs import Audit, current_stream, ingest_stream, wait
+from tidemark.streaming.progress import ProgressLog
 
 
 def parser() -> argparse.ArgumentParser:
@@ -30,7 +33,17 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("--envelope", required=True, help="record schema: an Avro schema document or Spark JSON")
     ingest.add_argument("--format", choices=("json", "avro"), default="avro")
     ingest.add_argument("--source-folder", help="read (value, timestamp) Parquet files instead of the topic")
+    for name in ("ingest", "current"):
+        jobs.choices[name].add_argument("--progress", help="folder of the progress log")
+    jobs.choices["current"].add_argument("--reload", action="store_true", help="initial-load rows replace stored ones")
     jobs.choices["current"].add_argument("--compatible", action="store_true", help="last batch wins, whatever its sequence")
+    load = jobs.add_parser("load")
+    load.add_argument("name", choices=tuple(LOADS))
+    load.add_argument("--job-name", required=True)
+    load.add_argument("--root", required=True, help="folder of the target tables")
+    load.add_argument("--input", action="append", default=[], metavar="NAME=TABLE", help="a table, or a Parquet folder")
+    load.add_argument("--upstream", help="jobs that metrics wait for, comma-separated")
+    load.add_argument("--audit", help="folder of the run log")
     sql = jobs.add_parser("sql")
     sql.add_argument("--job-name")
     sql.add_argument("--sql-query", required=True)
@@ -45,6 +58,28 @@ def load_config(spark: SparkSession, source: str, job_name: str) -> JobConfig:
     return JobConfig.from_table(table, job_name)
 
 
+def read_input(spark: SparkSession, name: str) -> DataFrame:
+    return spark.read.parquet(name) if "/" in name else spark.table(name)
+
+
+def load(spark: SparkSession, args: argparse.Namespace) -> None:
+    named = dict(pair.split("=", 1) for pair in args.input)
+    inputs = {name: read_input(spark, table) for name, table in named.items()}
+    options = {"upstream": split_list(args.upstream)} if args.upstream else {}
+    run_load(spark, args.name, args.root, args.job_name, inputs, args.audit or f"{args.root}/run_log", **options)
+
+
+def logging_progress(spark: SparkSession, args: argparse.Namespace, cfg: JobConfig, start) -> None:
+    """Run a stream to its end, its progress reports going to the log where one is named."""
+    if not args.progress:
+        wait(start(), cfg)
+        return
+    with ProgressLog(spark, args.progress) as log:
+        query = wait(start(), cfg)
+        if not query.isActive:
+            log.wait(query)
+
+
 def ingest(spark: SparkSession, args: argparse.Namespace, cfg: JobConfig) -> None:
     document = spark.read.text(args.envelope, wholetext=True).first()[0]
     if args.envelope.endswith(".avsc"):
@@ -57,8 +92,9 @@ def ingest(spark: SparkSession, args: argparse.Namespace, cfg: JobConfig) -> Non
     else:
         user = spark.conf.get("tidemark.kafka.user", None)
         messages = kafka_stream(spark, cfg, user, spark.conf.get("tidemark.kafka.password", None))
-    wait(ingest_stream(spark, cfg, envelope, messages, args.format, Audit(args.audit)), cfg)
-    publish_history(spark, cfg)
+    logging_progress(
+        spark, args, cfg, lambda: ingest_stream(spark, cfg, envelope, messages, args.format, Audit(args.audit), publish=True)
+    )
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -67,11 +103,15 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "sql":
         run_sql_job(spark, args.sql_query, args.output_location, args.write_mode, args.trgt_table_name)
         return
+    if args.job == "load":
+        load(spark, args)
+        return
     cfg = load_config(spark, args.config, args.job_name)
     if args.job == "ingest":
         ingest(spark, args, cfg)
     elif args.job == "current":
-        wait(current_stream(spark, cfg, audit=Audit(args.audit), guarded=not args.compatible), cfg)
+        how = {"audit": Audit(args.audit), "guarded": not args.compatible, "reload": args.reload}
+        logging_progress(spark, args, cfg, lambda: current_stream(spark, cfg, **how))
     else:
         steps = load_steps(spark, cfg.input_sql_stmt)
         sink = (cfg.dataset_name or "", cfg.trgt_table_name or "")

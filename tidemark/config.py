@@ -18,8 +18,9 @@ class JobConfig:
     """One configured job.
 
     The text columns are those of the configuration table; the properties give
-    them their types.  ``table_format``, ``merge_buckets`` and
-    ``max_files_per_trigger`` are optional extra columns.
+    them their types.  ``table_format``, ``merge_buckets``,
+    ``max_files_per_trigger`` and ``max_offsets_per_trigger`` are optional extra
+    columns.
     """
 
     job_name: str
@@ -47,6 +48,7 @@ class JobConfig:
     table_format: str = "parquet"
     merge_buckets: str | None = None
     max_files_per_trigger: str | None = None
+    max_offsets_per_trigger: str | None = None
 
     @classmethod
     def from_mapping(cls, row: dict) -> JobConfig:

@@ -73,3 +73,9 @@ def as_table(df: DataFrame, schema: T.StructType) -> DataFrame:
             for f in schema.fields
         ]
     )
+
+
+def sql_text(value: str) -> str:
+    """A text as a SQL literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.conform import sql_text
 from tidemark.functions.times import clock, date_key, time_key_minutes, time_key_seconds
 from tidemark.schemas import HEADERS
 
@@ -74,9 +75,9 @@ def history_sql(table: str, user: str = DEFAULT_USER) -> str:
     """``history_view`` as a query over a registered change table, for a lasting view."""
     meta = {
         "rec_create_timestamp": "stamp",
-        "rec_create_user_name": f"'{user}'",
+        "rec_create_user_name": sql_text(user),
         "rec_update_timestamp": "stamp",
-        "rec_update_user_name": f"'{user}'",
+        "rec_update_user_name": sql_text(user),
         "rec_create_date_key": "year(stamp) * 10000 + month(stamp) * 100 + day(stamp)",
         "rec_create_time_key": f"if(initial, {REFRESH_TIME_KEY}, hour(stamp) * 100 + minute(stamp))",
         "rec_crud_text": "operation",

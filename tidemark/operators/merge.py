@@ -8,7 +8,7 @@ from functools import reduce
 from operator import and_, or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,10 @@ from tidemark.schemas import CREATE_COLUMNS
 from tidemark.session import setting
 
 BUCKET = "pk_bucket"
+SLICE = "_slice"
+STAGED = "batch string, ignored bigint"
 LAYOUT = "keys string, part string, buckets int"
+OPERATION, REFRESH = "rec_crud_text", "REFRESH"
 NULL_KEY_MODES = ("quarantine", "match", "insert")
 
 
@@ -33,6 +36,8 @@ def merge_upsert(
     seq: str | None = None,
     null_keys: str = "quarantine",
     also: Sequence[str] = (),
+    reload: bool = False,
+    ignored: Observation | None = None,
 ) -> DataFrame:
     """The target after updating matched keys from the source and inserting the others.
 
@@ -44,6 +49,11 @@ def merge_upsert(
 
     The source must hold one row per key.  ``also`` names further columns equal
     on both sides of a match (a bucket column) to join on.
+
+    Initial-load rows carry the lowest sequence, so the guard ignores them where
+    a change is stored.  With ``reload`` they win: the source was loaded anew,
+    and its later changes build on that.  ``ignored`` observes, as ``rows``, how
+    many source rows the guard left out.
     """
     if null_keys not in NULL_KEY_MODES:
         raise ValueError(f"null_keys must be one of {NULL_KEY_MODES}")
@@ -66,7 +76,11 @@ def merge_upsert(
     wins = F.col("_s").isNotNull()
     if seq is not None:
         newer = F.coalesce(F.col(f"_s_{seq}") >= F.col(f"_t_{seq}"), F.lit(True))
+        if reload:
+            newer = newer | F.coalesce(F.col(f"_s_{OPERATION}") == REFRESH, F.lit(False))
         wins = wins & (F.col("_t").isNull() | newer)
+    if ignored is not None:
+        joined = joined.observe(ignored, F.count_if(F.col("_s") & ~wins).alias("rows"))
     kept = set(preserve)
 
     def merged(name: str) -> Column:
@@ -87,8 +101,9 @@ class KeyedTable:
     It is partitioned by a hash bucket of the key, or by ``partition_by``, a
     column that the key determines.  A merge reads and rewrites only the
     partitions its source touches.  Both sides are exchanged once, by that
-    partition; the join and the write reuse the layout.  Choose ``buckets`` so
-    that one bucket is a few hundred megabytes.
+    partition and a slice of the key; the join and the write reuse the layout.
+    The slices spread a large partition over several tasks, and adaptive
+    execution puts small ones together again.  One writer at a time.
 
     The merged partitions are written to ``<path>.staged`` first and then
     replace the old ones, so a job that dies in the replacement is finished by
@@ -151,12 +166,15 @@ class KeyedTable:
         null_keys: str = "quarantine",
         batch: str | None = None,
         whole: bool = False,
+        reload: bool = False,
     ) -> int:
-        """Merge the source rows (one per key) into the table; returns how many there were.
+        """Merge the source rows (one per key) into the table; returns how many took effect.
 
-        A key that the source holds twice is an error.  With ``whole`` the
-        touched partitions keep only keys that the source holds.  ``batch`` identifies the source, so that a repeated batch whose staging
-        was complete is only put in place again.
+        The others were older than the stored row (see ``merge_upsert``).  A key
+        that the source holds twice is an error.  With ``whole`` the touched
+        partitions keep only keys that the source holds.  ``batch`` identifies
+        the source, so that a repeated batch whose staging was complete is only
+        put in place again.
         """
         self.create()
         spark = source.sparkSession
@@ -177,43 +195,49 @@ class KeyedTable:
             touched = {r[0]: r[1] for r in touched}
             if not touched:
                 return 0
-            if self._staged_batch(spark) != batch:
-                self._stage(source, list(touched), preserve, seq, null_keys, batch, whole)
+            staged = self._staged_batch(spark)
+            if staged is None or staged[0] != batch:
+                staged = batch, self._stage(source, list(touched), preserve, seq, null_keys, batch, whole, reload)
         finally:
             source.unpersist()
         merged = self._load(spark, f"{self.path}.staged")
         writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(self.part).parquet(self.path)
-        return sum(touched.values())
+        return sum(touched.values()) - staged[1]
 
     def _stage(
         self, source: DataFrame, touched: list, preserve: Sequence[str], seq: str | None, null_keys: str, batch: str,
-        whole: bool = False,
-    ) -> None:
+        whole: bool = False, reload: bool = False,
+    ) -> int:
         spark = source.sparkSession
         old = self._load(spark, self.path).where(F.col(self.part).isin(touched))
         if whole:
             keys = list(dict.fromkeys([self.part, *self.keys]))
             old = old.join(source.select(*[F.col(k).alias(f"_{k}") for k in keys]), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi")
-        # One exchange per side: the join accepts a partitioning by the bucket
-        # alone, and the write then has one task per bucket.
+        # As many slices as give every shuffle task work; one exchange per side,
+        # since the join accepts a partitioning by these two columns alone.
+        slices = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // len(touched)))
+        cut = bucket_of(self.keys, slices * self.buckets)
+        cut = F.floor(cut / self.buckets) if self.part == BUCKET else cut % slices
+        seen = Observation()
         with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
             merged = merge_upsert(
-                old.repartition(len(touched), self.part),
-                source.repartition(len(touched), self.part),
-                self.keys, preserve, seq, null_keys, also=[self.part],
+                *[side.withColumn(SLICE, cut).repartition(self.part, SLICE) for side in (old, source)],
+                self.keys, preserve, seq, null_keys, [self.part, SLICE], reload, seen,
             )
-            merged.write.mode("overwrite").partitionBy(self.part).parquet(f"{self.path}.staged")
-        marker = spark.createDataFrame([(batch,)], "batch string")
+            merged.drop(SLICE).write.mode("overwrite").partitionBy(self.part).parquet(f"{self.path}.staged")
+        ignored = seen.get.get("rows") or 0
+        marker = spark.createDataFrame([(batch, ignored)], STAGED)
         marker.coalesce(1).write.mode("overwrite").parquet(f"{self.path}.staged_batch")
+        return ignored
 
-    def _staged_batch(self, spark: SparkSession) -> str | None:
-        """The batch whose staging is known to be complete, if any."""
+    def _staged_batch(self, spark: SparkSession) -> tuple[str, int] | None:
+        """The batch whose staging is known to be complete, if any, and how many of its rows were ignored."""
         try:
-            row = spark.read.schema("batch string").parquet(f"{self.path}.staged_batch").first()
+            row = spark.read.schema(STAGED).parquet(f"{self.path}.staged_batch").first()
         except AnalysisException:
             return None
-        return row and row[0]
+        return row and tuple(row)
 
 
 def delta_merge(
@@ -223,14 +247,22 @@ def delta_merge(
     keys: Sequence[str],
     preserve: Sequence[str] = CREATE_COLUMNS,
     seq: str | None = "change_sequence",
-    null_safe: bool = False,
+    null_keys: str = "quarantine",
+    reload: bool = False,
 ) -> None:
-    """The same merge on a Delta table; needs the delta-spark package."""
+    """The same merge on a Delta table, created first where there is none; needs the delta-spark package."""
     from delta.tables import DeltaTable
 
-    equals = "<=>" if null_safe else "="
+    if null_keys not in NULL_KEY_MODES:
+        raise ValueError(f"null_keys must be one of {NULL_KEY_MODES}")
+    DeltaTable.createIfNotExists(spark).location(path).addColumns(source.schema).execute()
+    if null_keys == "quarantine":
+        source = source.where(~any_null(keys))
+    equals = "<=>" if null_keys == "match" else "="
     condition = " AND ".join(f"t.`{k}` {equals} s.`{k}`" for k in keys)
-    guard = f"s.`{seq}` >= t.`{seq}`" if seq else None
+    guard = f"coalesce(s.`{seq}` >= t.`{seq}`, true)" if seq else None
+    if guard and reload:
+        guard += f" OR s.`{OPERATION}` = '{REFRESH}'"
     values = {c: f"s.`{c}`" for c in source.columns}
     updates = {c: v for c, v in values.items() if c not in set(preserve)}
     (

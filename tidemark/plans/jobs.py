@@ -26,6 +26,7 @@ class Marks:
 class LoadResult:
     marks: Marks
     input_rows: int
+    output_rows: int = 0
 
 
 def run_incremental(
@@ -33,13 +34,14 @@ def run_incremental(
     job: str,
     audit_path: str,
     source: DataFrame,
-    load: Callable[[DataFrame, Marks], None],
+    load: Callable[[DataFrame, Marks], int | None],
     ts: str = "rec_update_timestamp",
     now: Column | datetime | str | None = None,
 ) -> LoadResult:
     """Open an audit row, load the rows above the job's watermark, close the row.
 
-    ``load`` gets the batch and the marks that bound it.  The batch is fixed by
+    ``load`` gets the batch and the marks that bound it, and returns how many
+    rows it wrote, if it knows.  The batch is fixed by
     two literals, the last completed mark and the newest source time, so both
     reach the file scan and a growing source cannot slip rows in between.  A
     load that fails leaves its row open: the mark stays, and the next run
@@ -55,10 +57,37 @@ def run_incremental(
     marks = Marks(low, high)
     newest = spark.createDataFrame([(high,)], f"`{ts}` timestamp")
     append_rows(open_run(newest, job, now, ts).coalesce(1), audit_path, USECASE_AUDIT_LOGS)
-    if high is not None:
-        load(newer.where(F.col(ts) <= F.lit(high)), marks)
+    written = load(newer.where(F.col(ts) <= F.lit(high)), marks) if high is not None else 0
     append_rows(close_run(audit(), job, now).coalesce(1), audit_path, USECASE_AUDIT_LOGS)
-    return LoadResult(marks, rows)
+    return LoadResult(marks, rows, written or 0)
+
+
+def logged_load(
+    spark: SparkSession,
+    log_path: str,
+    job: str,
+    source: str,
+    sink: tuple[str, str],
+    load: Callable[[], LoadResult | None],
+    now: datetime | None = None,
+) -> LoadResult | None:
+    """Run a load and log its input and output counts, or its failure before raising it again.
+
+    A load that had to wait for another job (None) leaves no row.
+    """
+
+    def log(rows_in: int, rows_out: int, error: Exception | None = None) -> None:
+        row = run_log_row(spark, job, ("TABLE", source), sink, rows_in, rows_out, error, now)
+        append_rows(row.coalesce(1), log_path)
+
+    try:
+        result = load()
+    except Exception as error:
+        log(0, 0, error)
+        raise
+    if result is not None:
+        log(result.input_rows, result.output_rows)
+    return result
 
 
 def run_sql_job(

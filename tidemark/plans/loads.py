@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.conform import as_table
 from tidemark.operators.audit import all_ready
 from tidemark.operators.merge import KeyedTable
-from tidemark.plans.jobs import LoadResult, Marks, run_incremental
-from tidemark.plans.metrics import metrics_table, store_metrics
+from tidemark.plans.jobs import LoadResult, Marks, logged_load, run_incremental
+from tidemark.plans.metrics import GRAIN, metrics_table, store_metrics
 from tidemark.plans.sales_ecom import ecom_sales
 from tidemark.plans.sales_retail import retail_sales
 from tidemark.plans.targets import RETAIL_SALES, STORE_METRICS, STORE_VISITS, USECASE_AUDIT
@@ -20,21 +22,32 @@ from tidemark.plans.visits import KEYS, stamped_visits, store_visits
 from tidemark.schemas import USECASE_AUDIT_LOGS
 from tidemark.sources.tables import append_batch, read_or_empty
 
+#: What an online order item is known by in the sales fact.
+ITEM = ["order_id", "order_item_id"]
+ONLINE = "order_channel_code = 'ECOM'"
+
 
 def _batch_name(job: str, low: datetime) -> str:
     """A load is named by where it starts: repeating a failed one replaces what it left."""
     return f"{''.join(c if c.isalnum() else '-' for c in job)}-{low:%Y%m%dT%H%M%S%f}"
 
 
+def _append(rows: DataFrame, path: str, partition_by: Iterable[str], batch: str) -> int:
+    """Append the batch and count it on its way."""
+    seen = Observation()
+    append_batch(rows.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by, batch)
+    return seen.get.get("rows") or 0
+
+
 def load_ecom_sales(
     spark: SparkSession, root: str, job: str, items: DataFrame, order_log: DataFrame, store_hub: DataFrame,
     currency_hub: DataFrame, product_hub: DataFrame, now: datetime | None = None,
 ) -> LoadResult:
     """Append the fact rows of the order items changed since the job's last load."""
 
-    def load(batch: DataFrame, marks: Marks) -> None:
+    def load(batch: DataFrame, marks: Marks) -> int:
         rows = ecom_sales(batch, order_log, store_hub, currency_hub, product_hub, job, now)
-        append_batch(rows, RETAIL_SALES.path(root), RETAIL_SALES.partition_by, _batch_name(job, marks.low))
+        return _append(rows, RETAIL_SALES.path(root), RETAIL_SALES.partition_by, _batch_name(job, marks.low))
 
     return run_incremental(spark, job, USECASE_AUDIT.path(root), items, load, now=now)
 
@@ -45,9 +58,9 @@ def load_retail_sales(
 ) -> LoadResult:
     """Append the fact rows of the register lines changed since the job's last load."""
 
-    def load(batch: DataFrame, marks: Marks) -> None:
+    def load(batch: DataFrame, marks: Marks) -> int:
         rows = retail_sales(batch, upcref, store_hub, product_hub, job, now, system, assembly)
-        append_batch(rows, RETAIL_SALES.path(root), RETAIL_SALES.partition_by, _batch_name(job, marks.low))
+        return _append(rows, RETAIL_SALES.path(root), RETAIL_SALES.partition_by, _batch_name(job, marks.low))
 
     return run_incremental(spark, job, USECASE_AUDIT.path(root), sales, load, now=now)
 
@@ -58,27 +71,60 @@ def load_visits(
     """Recompute the days with changed readings and replace them, day partition by day partition."""
     table = KeyedTable(spark, STORE_VISITS.path(root), STORE_VISITS.schema, KEYS, partition_by="visit_date_key")
 
-    def load(batch: DataFrame, marks: Marks) -> None:
+    def load(batch: DataFrame, marks: Marks) -> int:
         stamp = F.col("rec_update_timestamp")
         changed = (stamp > F.lit(marks.low)) & (stamp <= F.lit(marks.high))
         # Two literals bound the touched days, so the scan of old readings is pruned.
         first, last = batch.agg(F.min("visit_date"), F.max("visit_date")).first()
         days = traffic.where(F.col("visit_date").between(F.lit(first), F.lit(last)))
         rows = stamped_visits(store_visits(days, store_hub, changed), job, now)
-        table.merge(as_table(rows, STORE_VISITS.schema), seq=None, whole=True)
+        return table.merge(as_table(rows, STORE_VISITS.schema), seq=None, whole=True)
 
     return run_incremental(spark, job, USECASE_AUDIT.path(root), traffic, load, now=now)
 
 
+def newest_lines(lines: DataFrame, fact: DataFrame) -> DataFrame:
+    """The ``lines`` of the fact without those that a later load replaced.
+
+    A changed order item is a further row of the fact; only the rows of its
+    newest load count.  Register lines have no line key and all count.
+    """
+    items = lines.where(ONLINE).select(*ITEM).distinct()
+    stamps = fact.where(ONLINE).join(items, ITEM, "left_semi")
+    stamps = stamps.groupBy(*[F.col(c).alias(f"_{c}") for c in ITEM]).agg(F.max("rec_update_timestamp").alias("_newest"))
+    same = reduce(and_, [F.col(c) == F.col(f"_{c}") for c in ITEM], F.expr(ONLINE))
+    newest = lines.join(stamps, same, "left")
+    stands = F.col("_newest").isNull() | (F.col("rec_update_timestamp") == F.col("_newest"))
+    return newest.where(stands).select(*lines.columns)
+
+
+def touched_days(batch: DataFrame, fact: DataFrame, visits: DataFrame, low: datetime) -> DataFrame:
+    """The days whose metrics the batch changes: its own, those its items stood on before, those of newer visits."""
+    items = batch.where(ONLINE).select(*ITEM).distinct()
+    before = fact.where(ONLINE).join(items, ITEM, "left_semi").select("order_date_key")
+    seen = visits.where(F.col("rec_update_timestamp") > F.lit(low)).select("visit_date_key")
+    return batch.select("order_date_key").union(before).union(seen).toDF("_day").distinct()
+
+
 def load_metrics(
     spark: SparkSession, root: str, job: str, store: DataFrame, product: DataFrame, product_line: DataFrame,
     upstream: Iterable[str] = (), since: datetime | None = None, now: datetime | None = None,
-    visits_grain: str = "day",
+    visits_grain: str = "day", mode: str = "merge",
 ) -> LoadResult | None:
-    """Append the metrics of the sales loaded since the last run, once the upstream jobs are done.
+    """Bring the metrics up to the sales loaded since the last run, once the upstream jobs are done.
+
+    ``mode``:
 
-    Returns None, and does nothing, while an upstream job has not completed since ``since``.
+    * ``merge``: every touched day is recomputed from all its sales and
+      replaced, so a store-day has one row however many loads fed it.
+    * ``insert``: the metrics of the new sales alone are appended; a store-day
+      fed by two loads has two rows.
+
+    The modes lay the table out differently: keep to one.  Returns None, and
+    does nothing, while an upstream job has not completed since ``since``.
     """
+    if mode not in ("merge", "insert"):
+        raise ValueError(f"mode must be 'merge' or 'insert', not {mode!r}")
     upstream = list(upstream)
     audit = read_or_empty(spark, USECASE_AUDIT.path(root), USECASE_AUDIT_LOGS)
     if upstream and not all_ready(audit, upstream, since or datetime(1900, 1, 1)):
@@ -86,8 +132,42 @@ def load_metrics(
     sales = spark.read.schema(RETAIL_SALES.schema).parquet(RETAIL_SALES.path(root))
     visits = spark.read.schema(STORE_VISITS.schema).parquet(STORE_VISITS.path(root))
 
-    def load(batch: DataFrame, marks: Marks) -> None:
-        rows = metrics_table(store_metrics(batch, store, visits, product, product_line, visits_grain), job, now)
-        append_batch(rows, STORE_METRICS.path(root), STORE_METRICS.partition_by, _batch_name(job, marks.low))
+    def measured(lines: DataFrame) -> DataFrame:
+        return metrics_table(store_metrics(lines, store, visits, product, product_line, visits_grain), job, now)
 
-    return run_incremental(spark, job, USECASE_AUDIT.path(root), sales, load, now=now)
+    def insert(batch: DataFrame, marks: Marks) -> int:
+        return _append(measured(batch), STORE_METRICS.path(root), ("rec_create_date_key",), _batch_name(job, marks.low))
+
+    def merge(batch: DataFrame, marks: Marks) -> int:
+        days = touched_days(batch, sales, visits, marks.low)
+        lines = sales.join(days, F.col("order_date_key") == F.col("_day"), "left_semi")
+        (part,) = STORE_METRICS.partition_by
+        table = KeyedTable(spark, STORE_METRICS.path(root), STORE_METRICS.schema, GRAIN, partition_by=part)
+        return table.merge(measured(newest_lines(lines, sales)), seq=None, whole=True)
+
+    return run_incremental(spark, job, USECASE_AUDIT.path(root), sales, merge if mode == "merge" else insert, now=now)
+
+
+#: The loads by name, with the tables each one reads.
+LOADS = {
+    "ecom": (load_ecom_sales, ("items", "order_log", "store_hub", "currency_hub", "product_hub"), RETAIL_SALES),
+    "retail": (load_retail_sales, ("sales", "upcref", "store_hub", "product_hub"), RETAIL_SALES),
+    "visits": (load_visits, ("traffic", "store_hub"), STORE_VISITS),
+    "metrics": (load_metrics, ("store", "product", "product_line"), STORE_METRICS),
+}
+
+
+def run_load(
+    spark: SparkSession, name: str, root: str, job: str, inputs: Mapping[str, DataFrame], log_path: str,
+    source: str = "", now: datetime | None = None, **options,
+) -> LoadResult | None:
+    """Run one of the loads by name, with a row in the run log; ``inputs`` are named as its arguments."""
+    load, wanted, target = LOADS[name]
+    missing = [n for n in wanted if n not in inputs]
+    if missing:
+        raise ValueError(f"load {name!r} needs the inputs {', '.join(missing)}")
+    tables = {n: inputs[n] for n in wanted}
+    return logged_load(
+        spark, log_path, job, source or wanted[0], ("TABLE", target.table),
+        lambda: load(spark, root, job, **tables, now=now, **options), now,
+    )

@@ -24,8 +24,9 @@ def kafka_stream(
 ) -> DataFrame:
     """One topic from its earliest offset as (value, timestamp); needs Spark's Kafka module.
 
-    Credentials switch on SASL over TLS.  ``options`` go to the source as they
-    are, for example ``maxOffsetsPerTrigger`` to bound a batch.
+    Credentials switch on SASL over TLS.  ``max_offsets_per_trigger`` of the job
+    bounds a batch; without it the first one holds the whole topic.  ``options``
+    go to the source as they are.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -43,6 +44,8 @@ def kafka_stream(
                 "kafka.sasl.jaas.config": f'{module} required username="{user}" password="{password}";',
             }
         )
+    if cfg.max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", int(cfg.max_offsets_per_trigger))
     return reader.options(**(options or {})).load().select("value", "timestamp")
 
 

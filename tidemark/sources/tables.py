@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.conform import as_table
+from tidemark.functions.conform import as_table, sql_text
 from tidemark.session import setting
 
 
@@ -51,9 +51,10 @@ def register_table(
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if schema is not None and partition_by else ""
     props = ""
     if properties:
-        props = " TBLPROPERTIES (" + ", ".join(f"'{k}'='{v}'" for k, v in properties.items()) + ")"
+        pairs = (f"{sql_text(k)}={sql_text(v)}" for k, v in properties.items())
+        props = f" TBLPROPERTIES ({', '.join(pairs)})"
     with setting(spark, "spark.sql.hive.manageFilesourcePartitions", str(track_partitions).lower()):
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {fmt}{parts} LOCATION '{path}'{props}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {fmt}{parts} LOCATION {sql_text(path)}{props}")
 
 
 def create_database(spark: SparkSession, name: str) -> None:
@@ -72,16 +73,26 @@ def create_view(df: DataFrame, name: str) -> None:
 
 
 def append_batch(
-    df: DataFrame, path: str, partition_by: Sequence[str], batch_id: int | str, balance: bool = False
-) -> None:
+    df: DataFrame, path: str, partition_by: Sequence[str], batch_id: int | str, balance: bool = False,
+    fixed: bool = False,
+) -> None:
     """Append one batch so that repeating it leaves the same table.
 
     Files land in ``batch_id=<id>/<partition>`` and a repeat replaces that
     folder.  New columns simply appear in later files.  ``balance`` first evens
     out the file sizes, splitting large partitions.
+
+    ``fixed`` says that the rows alone, and no clock, decide their partition.
+    The folders are then ``<partition>/batch_id=<id>``: a filter on the
+    partition lists its own folders only.
     """
     if balance:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if fixed:
+        named = df.withColumn("batch_id", F.lit(str(batch_id)))
+        writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partition_by, "batch_id").parquet(path)
+        return
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
 

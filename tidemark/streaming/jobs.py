@@ -38,6 +38,10 @@ NATIVE_TRANSLATION = "ATTUNITY"
 META_NAMES = {f.name for f in META_FIELDS}
 
 
+#: A record type, a schema document, or a function that returns the newest one.
+Envelope = T.StructType | str | Callable[[], T.StructType | str]
+
+
 @dataclass
 class Audit:
     """Where a stream job records its batches; no path, no record."""
@@ -91,7 +95,7 @@ def ingest_batch(
             writer = writer.option("txnAppId", query_id(spark, cfg)).option("txnVersion", batch_id)
             writer.partitionBy("ingest_date").save(cfg.output_location)
         else:
-            append_batch(counted, cfg.output_location, ["ingest_date"], batch_tag(spark, cfg, batch_id))
+            append_batch(counted, cfg.output_location, ["ingest_date"], batch_tag(spark, cfg, batch_id), fixed=True)
         rows = seen.get["rows"]
     except Exception as error:
         audit.record(spark, cfg, source, 0, 0, error)
@@ -102,22 +106,30 @@ def ingest_batch(
 def ingest_stream(
     spark: SparkSession,
     cfg: JobConfig,
-    envelope: T.StructType | str,
+    envelope: Envelope,
     source: DataFrame | None = None,
     fmt: str = "json",
     audit: Audit | None = None,
+    publish: bool = False,
 ) -> StreamingQuery:
     """Start the job that lands framed messages as change records by arrival date.
 
     ``source`` is any stream of (value, timestamp); the configured topic when
     not given.  ``envelope`` is the record's StructType, or for ``avro`` the
-    schema document.
+    schema document, or a function that returns it, which every batch calls
+    anew.  ``publish`` puts the history view in place with the first batch, and
+    again whenever the schema has changed.
     """
     messages = source if source is not None else kafka_stream(spark, cfg)
     audit = audit or Audit()
+    published = []
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, cfg, envelope, fmt, audit)
+        known = envelope() if callable(envelope) else envelope
+        ingest_batch(batch, batch_id, cfg, known, fmt, audit)
+        if publish and known not in published:
+            publish_history(batch.sparkSession, cfg, audit.user)
+            published[:] = [known]
 
     return _start(messages, cfg, land)
 
@@ -203,11 +215,14 @@ def merge_batch(
     guarded: bool = True,
     null_keys: str = "quarantine",
     now: Column | datetime | str | None = None,
+    reload: bool = False,
 ) -> None:
     """Validate one batch of change rows, store its exceptions and merge its newest rows.
 
     ``guarded`` ignores changes older than the stored row; without it the last
-    batch wins, whatever its sequence.
+    batch wins, whatever its sequence.  With ``reload`` initial-load rows
+    replace what is stored.  The run log's output count has the rows that took
+    effect.
     """
     spark = configure(batch.sparkSession)
     source = ("KAFKA" if cfg.kafka_topic else "TABLE", cfg.input_location)
@@ -218,16 +233,21 @@ def merge_batch(
         rows_in = rows.count()
         tag = batch_tag(spark, cfg, batch_id)
         bad = exception_rows(rows, cfg, audit.user, now)
-        append_batch(bad, cfg.exception_location, ["rec_create_date_key"], tag, balance=True)
+        if cfg.table_format == "delta":
+            writer = bad.write.format("delta").mode("append").option("mergeSchema", "true")
+            writer = writer.option("txnAppId", query_id(spark, cfg)).option("txnVersion", batch_id)
+            writer.partitionBy("rec_create_date_key").save(cfg.exception_location)
+        else:
+            append_batch(bad, cfg.exception_location, ["rec_create_date_key"], tag, balance=True)
         newest = current_rows(rows, cfg, audit.user, now)
         seq = "change_sequence" if guarded else None
         if cfg.table_format == "delta":
             rows_out = newest.count()
-            delta_merge(spark, cfg.output_location, newest, cfg.keys, seq=seq)
+            delta_merge(spark, cfg.output_location, newest, cfg.keys, seq=seq, null_keys=null_keys, reload=reload)
         else:
             schema = current_table_schema(rows)
             table = KeyedTable(spark, cfg.output_location, schema, cfg.keys, cfg.buckets)
-            rows_out = table.merge(newest, seq=seq, null_keys=null_keys, batch=tag)
+            rows_out = table.merge(newest, seq=seq, null_keys=null_keys, batch=tag, reload=reload)
     except Exception as error:
         audit.record(spark, cfg, source, rows_in, 0, error)
         raise
@@ -252,6 +272,7 @@ def current_stream(
     null_keys: str = "quarantine",
     user: str = DEFAULT_USER,
     now: Column | datetime | str | None = None,
+    reload: bool = False,
 ) -> StreamingQuery:
     """Start the job that turns change records into the current table.
 
@@ -267,12 +288,12 @@ def current_stream(
     if load == "CDC":
 
         def merge(batch: DataFrame, batch_id: int) -> None:
-            merge_batch(batch, batch_id, cfg, audit, guarded, null_keys, now)
+            merge_batch(batch, batch_id, cfg, audit, guarded, null_keys, now, reload)
 
         return _start(rows, cfg, merge, mode="update")
     if load == "APPEND":
         hashed = append_hashes(with_meta(rows, user, now), cfg.keys)
-        create_table(spark, cfg.output_location, hashed.schema, ["rec_create_date_key"])
+        create_table(spark, cfg.output_location, hashed.schema, ["rec_create_date_key"], fmt=cfg.table_format)
         writer = hashed.writeStream.format(cfg.table_format).outputMode("append")
         if cfg.table_format == "delta":
             writer = writer.option("mergeSchema", "true")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemark.schemas import STREAMING_AUDITS
+from tidemark.sources.tables import read_or_empty
 
 
 def _values(progress) -> tuple:
@@ -24,16 +28,31 @@ def _values(progress) -> tuple:
     )
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The query's kept progress reports, one row per batch."""
-    return spark.createDataFrame([_values(p) for p in query.recentProgress], STREAMING_AUDITS)
-
-
 class ProgressLog(StreamingQueryListener):
-    """Appends a row per progress report of every query to a Parquet folder."""
+    """Appends a row per progress report of every query to a Parquet folder.
+
+    Reports arrive while the queries run, so none is lost however many there
+    are.  Use it as a context: ``with ProgressLog(spark, path) as log``.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self.ended = defaultdict(threading.Event)
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.spark.streams.removeListener(self)
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Wait until every report of an ended query is in the log."""
+        if not self.ended[str(query.runId)].wait(seconds):
+            raise TimeoutError(f"no end of query {query.runId} was reported")
+
+    def read(self) -> DataFrame:
+        return read_or_empty(self.spark, self.path, STREAMING_AUDITS)
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -46,4 +65,4 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.ended[str(event.runId)].set()

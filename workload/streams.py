@@ -18,7 +18,7 @@ from tidemark.schemas import AUDIT_LOGS, USECASE_AUDIT_LOGS
 from tidemark.session import work_path
 from tidemark.sources import streams, tables
 from tidemark.streaming import jobs
-from tidemark.streaming.progress import progress_rows
+from tidemark.streaming.progress import ProgressLog
 from workload import queries as q
 from workload.inputs import VIEWS, frame
 from workload.queries import ENVELOPE, NOW, query
@@ -170,11 +170,12 @@ def stream_flat_feed_to_current(spark, sf_dir):
 
 @query
 def stream_progress_log(spark, sf_dir):
-    """Rows read, per query name, out of the progress reports."""
+    """Rows read, per query name, out of the logged progress reports."""
     cfg = config(spark, "progress")
     frames = q.as_messages(change_stream(spark, sf_dir))
-    log = progress_rows(spark, jobs.wait(jobs.ingest_stream(spark, cfg, ENVELOPE, frames), cfg))
-    return log.groupBy("name").agg(F.sum("num_input_rows").alias("num_input_rows"))
+    with ProgressLog(spark, f"{cfg.output_location}.progress") as log:
+        log.wait(jobs.wait(jobs.ingest_stream(spark, cfg, ENVELOPE, frames), cfg))
+    return log.read().where(F.col("name") == cfg.job_name).groupBy("name").agg(F.sum("num_input_rows").alias("num_input_rows"))
 
 
 @query
