@@ -27,7 +27,7 @@ def test_targets_are_registered_with_layer_and_partitions(spark, root):
         assert shown["layer"] == target.layer
     parts = [c.name for c in spark.catalog.listColumns("slv_retail_sales.dtl_retail_sales") if c.isPartition]
     assert parts == ["batch_id", "rec_create_date_key"]
-    assert [c.name for c in spark.catalog.listColumns(targets.STORE_METRICS.table) if c.isPartition] == ["date_key"]
+    assert [c.name for c in spark.catalog.listColumns(targets.STORE_METRICS.table) if c.isPartition] == ["month_key"]
 
 
 def test_silver_to_gold(spark, root, rows, monkeypatch):

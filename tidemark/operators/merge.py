@@ -165,16 +165,17 @@ class KeyedTable:
         seq: str | None = "change_sequence",
         null_keys: str = "quarantine",
         batch: str | None = None,
-        whole: bool = False,
+        whole: str | None = None,
         reload: bool = False,
     ) -> int:
         """Merge the source rows (one per key) into the table; returns how many took effect.
 
         The others were older than the stored row (see ``merge_upsert``).  A key
-        that the source holds twice is an error.  With ``whole`` the touched
-        partitions keep only keys that the source holds.  ``batch`` identifies
-        the source, so that a repeated batch whose staging was complete is only
-        put in place again.
+        that the source holds twice is an error.  ``whole`` names a column that
+        decides the partition: of each of its values that the source has, the
+        table keeps only keys that the source holds.  ``batch`` identifies the
+        source, so that a repeated batch whose staging was complete is only put
+        in place again.
         """
         self.create()
         spark = source.sparkSession
@@ -207,13 +208,16 @@ class KeyedTable:
 
     def _stage(
         self, source: DataFrame, touched: list, preserve: Sequence[str], seq: str | None, null_keys: str, batch: str,
-        whole: bool = False, reload: bool = False,
+        whole: str | None = None, reload: bool = False,
     ) -> int:
         spark = source.sparkSession
         old = self._load(spark, self.path).where(F.col(self.part).isin(touched))
         if whole:
-            keys = list(dict.fromkeys([self.part, *self.keys]))
-            old = old.join(source.select(*[F.col(k).alias(f"_{k}") for k in keys]), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_semi")
+            named = source.select(*[F.col(k).alias(f"_k_{k}") for k in self.keys], F.lit(True).alias("_held"))
+            groups = source.select(F.col(whole).alias("_group"), F.lit(True).alias("_sent")).distinct()
+            same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in self.keys]
+            marked = old.join(groups, F.col(whole).eqNullSafe(F.col("_group")), "left").join(named, same, "left")
+            old = marked.where("_sent is null or _held").select(*old.columns)
         # As many slices as give every shuffle task work; one exchange per side,
         # since the join accepts a partitioning by these two columns alone.
         slices = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // len(touched)))

@@ -17,7 +17,7 @@ from tidemark.plans.jobs import LoadResult, Marks, logged_load, run_incremental
 from tidemark.plans.metrics import GRAIN, metrics_table, store_metrics
 from tidemark.plans.sales_ecom import ecom_sales
 from tidemark.plans.sales_retail import retail_sales
-from tidemark.plans.targets import RETAIL_SALES, STORE_METRICS, STORE_VISITS, USECASE_AUDIT
+from tidemark.plans.targets import MONTH, RETAIL_SALES, STORE_METRICS, STORE_VISITS, USECASE_AUDIT
 from tidemark.plans.visits import KEYS, stamped_visits, store_visits
 from tidemark.schemas import USECASE_AUDIT_LOGS
 from tidemark.sources.tables import append_batch, read_or_empty
@@ -78,7 +78,7 @@ def load_visits(
         first, last = batch.agg(F.min("visit_date"), F.max("visit_date")).first()
         days = traffic.where(F.col("visit_date").between(F.lit(first), F.lit(last)))
         rows = stamped_visits(store_visits(days, store_hub, changed), job, now)
-        return table.merge(as_table(rows, STORE_VISITS.schema), seq=None, whole=True)
+        return table.merge(as_table(rows, STORE_VISITS.schema), seq=None, whole="visit_date")
 
     return run_incremental(spark, job, USECASE_AUDIT.path(root), traffic, load, now=now)
 
@@ -141,9 +141,9 @@ def load_metrics(
     def merge(batch: DataFrame, marks: Marks) -> int:
         days = touched_days(batch, sales, visits, marks.low)
         lines = sales.join(days, F.col("order_date_key") == F.col("_day"), "left_semi")
-        (part,) = STORE_METRICS.partition_by
-        table = KeyedTable(spark, STORE_METRICS.path(root), STORE_METRICS.schema, GRAIN, partition_by=part)
-        return table.merge(measured(newest_lines(lines, sales)), seq=None, whole=True)
+        rows = measured(newest_lines(lines, sales)).withColumn(MONTH.name, F.expr("date_key div 100").cast("int"))
+        table = KeyedTable(spark, STORE_METRICS.path(root), rows.schema, GRAIN, partition_by=MONTH.name)
+        return table.merge(rows, seq=None, whole="date_key")
 
     return run_incremental(spark, job, USECASE_AUDIT.path(root), sales, merge if mode == "merge" else insert, now=now)
 

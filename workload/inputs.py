@@ -50,6 +50,14 @@ VIEWS = {
           cast(l_shipdate as date) as ship_date, cast(l_shipdate as timestamp) as charge_timestamp,
           cast(l_shipdate as timestamp) as rec_update_timestamp
         from {lineitem}""",
+    # The newest lines after a change: the returned ones have one piece more.
+    "v_changed_items": """
+        select order_id, id, sku_number, ship_store_num, order_status, item_type, unit_price,
+          cast(case item_type when 'R' then quantity + 1 else quantity end as int) as quantity,
+          tax_type, tax, tax_type2, tax2, vat, ship_date, charge_timestamp,
+          case when item_type = 'R' or id = 1 then rec_update_timestamp + interval 4000 day
+            else rec_update_timestamp end as rec_update_timestamp
+        from {v_items}""",
     "v_order_log": """
         select cast(o_orderkey as int) as order_id, cast(c_nationkey as varchar(20)) as store_num,
           cast(o_orderdate as timestamp) + interval 0 day as order_timestamp,
@@ -100,6 +108,18 @@ VIEWS = {
         union all
         select 3, concat('CUR',cast(n_nationkey as varchar(20)),'_3'), concat('C',cast(n_nationkey as varchar(20))),
           'MST_CURRENCY' from {nation} where n_regionkey <> 4""",
+    # Stores that point into every dimension of the hierarchy, some nowhere.
+    "v_store_links": """
+        select cast(s_suppkey as int) as store_rhid, s_name as store_name,
+          cast(case when s_suppkey % 5 = 0 then null else s_nationkey end as int) as geo_location_rhid,
+          cast(s_suppkey % 7 as int) as store_type_rhid, cast(s_suppkey % 11 as int) as location_type_rhid,
+          cast(s_suppkey % 13 as int) as ownership_type_rhid, cast(s_suppkey % 17 as int) as retail_district_rhid,
+          cast(s_suppkey % 19 as int) as retail_region_rhid, cast(s_suppkey % 23 as int) as retail_territory_rhid,
+          cast(s_suppkey % 29 as int) as distribution_center_rhid, cast(s_suppkey * 3 as int) as customer_rhid,
+          cast(s_suppkey % 31 as int) as customer_type_rhid, cast(s_suppkey % 37 as int) as suboffice_rhid,
+          cast(s_suppkey % 41 as int) as company_rhid, cast(s_suppkey % 24 as int) as time_zone_rhid,
+          cast(s_suppkey % 6 as int) as climate_region_rhid, cast(s_nationkey % 5 as int) as region_rhid
+        from {supplier}""",
     "v_src_sys": """
         select distinct 3 as source_system_id, 'POS' as source_system_name from {region}
         union all select distinct 4, 'WEB' from {region}""",

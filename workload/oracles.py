@@ -238,15 +238,15 @@ def metrics_sql(per_day: bool) -> str:
     group by 1, 2"""
 
 
-def gold_end_to_end() -> str:
-    """The fan-out metrics over the online fact and the visits, in the gold table's types."""
-    text = metrics_sql(per_day=False).replace("{v_fact}", "fact").replace("{v_visits}", "seen")
+def gold_end_to_end(per_day: bool = False, items: str = "{v_items}") -> str:
+    """The metrics over the online fact and the visits, in the gold table's types."""
+    text = metrics_sql(per_day).replace("{v_fact}", "fact").replace("{v_visits}", "seen")
     typed = ", ".join(
         f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}"
         for f in AGG_STORE_METRICS_DAILY.fields
         if not f.name.startswith("rec_")
     )
-    parts, fact_rows = ECOM.rsplit("\nselect distinct", 1)
+    parts, fact_rows = ECOM.replace("{v_items}", items).rsplit("\nselect distinct", 1)
     return f"""{parts}, fact as (select distinct{fact_rows}),
         seen as ({visits_sql("{v_traffic}")}) select {typed} from ({text}) g"""
 
@@ -303,6 +303,36 @@ LATEST = f"""
 
 FEED = """select event_id, amount, event_ts as timestamp, substr(operation, 1, 1) as flag from {v_cdc}"""
 
+# A reload wins over what is stored, with the lowest sequence and its own operation.
+RELOAD = (
+    f"""with {STATES}, again as (select * replace ('REFRESH' as rec_crud_text,
+      '1970010100000000' as "changeSequence") from early)"""
+    + merge_sql("late", "again", False).removeprefix(f"with {STATES}")
+)
+
+LINKS = (
+    "geo_location_rhid store_type_rhid location_type_rhid ownership_type_rhid retail_district_rhid retail_region_rhid "
+    "retail_territory_rhid distribution_center_rhid customer_type_rhid suboffice_rhid company_rhid time_zone_rhid "
+    "climate_region_rhid"
+).split()
+
+
+def hierarchy_sql() -> str:
+    """Every nation-made dimension through the store's own link, region and customer apart."""
+    named = {link: link.removesuffix("_rhid") for link in LINKS} | {"time_zone_rhid": "timezone"}
+    shown = [f"'{name} ' || {name}.n_name as {name}_label" for name in named.values()]
+    joins = [f"left join {{nation}} {name} on s.{link} = {name}.n_nationkey" for link, name in named.items()]
+    return f"""select s.*, {", ".join(shown)}, 'address ' || geo_location.n_name as address_label,
+          c.c_name as customer_label, cast(c.c_nationkey as int) as customer_currency_rhid,
+          'currency ' || money.n_name as currency_label, 'region ' || r.r_name as region_label
+        from {{v_store_links}} s {" ".join(joins)}
+          left join {{customer}} c on s.customer_rhid = c.c_custkey
+          left join {{nation}} money on c.c_nationkey = money.n_nationkey
+          left join {{region}} r on s.region_rhid = r.r_regionkey"""
+
+
+HIERARCHY = hierarchy_sql()
+
 ORACLES = {
     "wire_header_strip": """
         with framed as (select event_id,
@@ -404,6 +434,8 @@ ORACLES = {
           sha256(concat_ws('||', user_id, event_id, props)) as rec_row_hash,
           sha256(concat_ws('||', user_id, slot, rec_crud_text)) as rec_pk_hash from bad""",
     "merge_upsert": merge_sql("early", "late", True),
+    "merge_reload": RELOAD,
+    "merge_rebucket": merge_sql("early", "late", True),
     "merge_out_of_order": merge_sql("late", "early", True),
     "merge_unguarded": merge_sql("late", "early", False),
     "distinct_lines": "select distinct l_orderkey, l_linenumber, l_returnflag from {lineitem}",
@@ -513,6 +545,27 @@ ORACLES = {
     "load_store_visits": f"""
         select * replace (cast(entry_count as int) as entry_count, cast(exit_count as int) as exit_count)
         from ({VISITS_MERGE.replace("'first'", "'visits'").replace("'second'", "'visits'")}) m""",
+    "gold_two_loads": gold_end_to_end(per_day=True, items="{v_changed_items}"),
+    "load_run_log": f"""
+        with {HUBS}, daily as ({visits_sql("{v_traffic}")}), counts as (
+          select (select count(*) from {{v_traffic}}) as rows_in, (select count(*) from daily) as rows_out)
+        select 'visits' as job_name, 'TABLE' as source_type, 'events' as source_name,
+          'slv_retail_sales.agg_store_visits_daily' as sink_name,
+          case d when 1 then rows_in else 0 end as input_row_count, case d when 1 then rows_out else 0 end as output_row_count,
+          0 as exception_ind, timestamp '2024-01-31 00:00:00' + d * interval 1 day as rec_create_timestamp
+        from counts, (values (1), (2)) v(d)""",
+    "store_hierarchy": HIERARCHY,
+    "schema_from_json": FEED,
+    "schema_from_avro_document": FEED,
+    "configured_job": LATEST,
+    "staged_overwrite": "select event_id, user_id, event_type from {events} where event_type <> 'view'",
+    "create_table_as_select": """
+        select visit_date_key, cast(sum(entries) as bigint) as entries from {v_traffic} group by 1""",
+    "typed_target_table": f"""
+        with {HUBS} select visit_date_key, store_rhid, visit_date, cast(entry_count as int) as entry_count,
+          cast(exit_count as int) as exit_count, 'nightly' as rec_create_user_name
+        from ({visits_sql("{v_traffic}")}) d""",
+    "stream_restart": f"select {EVENT}, operation, ingest_date from {{v_cdc}}",
     "gold_end_to_end": gold_end_to_end(),
     "merge_keyed_table": merge_sql("late", "early", True),
     "sql_job_append_overwrite": """

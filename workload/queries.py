@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import conform, hashing, times
 from tidemark.operators import audit, cdc, envelope, incremental, lookup, merge, quality
-from tidemark.plans import metrics, sales_ecom, sales_retail, visits
+from tidemark.plans import hierarchy, metrics, sales_ecom, sales_retail, visits
 from tidemark.schemas import MONEY, envelope as envelope_type
 from tidemark.session import configure
 from workload.inputs import frame
@@ -340,6 +340,14 @@ def merge_unguarded(spark, sf_dir):
     return merge.merge_upsert(target, source, ["user_id"], ["rec_create_timestamp"])
 
 
+@query
+def merge_reload(spark, sf_dir):
+    """The first half of the month sent anew as an initial load: it wins over the second half."""
+    source, target = states(spark, sf_dir)
+    load = source.withColumns({"rec_crud_text": F.lit("REFRESH"), "change_sequence": F.lit(cdc.REFRESH_SEQUENCE)})
+    return merge.merge_upsert(target, load, ["user_id"], ["rec_create_timestamp"], "change_sequence", reload=True)
+
+
 @query
 def distinct_lines(spark, sf_dir):
     return frame(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag").distinct()
@@ -490,6 +498,28 @@ def dimension_flatten(spark, sf_dir):
     return lookup.flatten_dimensions(frame(spark, sf_dir, "supplier").drop("s_acctbal"), dims)
 
 
+def hierarchy_tables(spark, sf_dir):
+    """A table for each of the seventeen dimensions, made of nations, regions and customers."""
+    nation, region = frame(spark, sf_dir, "nation"), frame(spark, sf_dir, "region")
+    tables = {}
+    for name, _, key in hierarchy.STORE_DIMENSIONS:
+        source, number, text = (region, "r_regionkey", "r_name") if name == "region" else (nation, "n_nationkey", "n_name")
+        label = F.concat(F.lit(f"{name} "), F.col(text)).alias("label")
+        tables[name] = source.select(F.col(number).cast("int").alias(key), label)
+    customer = frame(spark, sf_dir, "customer")
+    tables["customer"] = customer.select(
+        F.col("c_custkey").cast("int").alias("customer_rhid"), F.col("c_name").alias("label"),
+        F.col("c_nationkey").cast("int").alias("currency_rhid"),
+    )
+    return tables
+
+
+@query
+def store_hierarchy(spark, sf_dir):
+    """Stores with all seventeen dimensions: the currency through the customer, the address through the location."""
+    return hierarchy.store_hierarchy(frame(spark, sf_dir, "v_store_links"), hierarchy_tables(spark, sf_dir))
+
+
 # --- use cases ----------------------------------------------------------------
 
 

@@ -14,7 +14,8 @@ from tidemark.operators.merge import KeyedTable
 from tidemark.plans import jobs as batch_jobs
 from tidemark.plans import loads
 from tidemark.plans.targets import STORE_METRICS, STORE_VISITS
-from tidemark.schemas import AUDIT_LOGS, USECASE_AUDIT_LOGS
+from tidemark.plans.visits import stamped_visits
+from tidemark.schemas import AUDIT_LOGS, USECASE_AUDIT_LOGS, load_schema, schema_from_avro
 from tidemark.session import work_path
 from tidemark.sources import streams, tables
 from tidemark.streaming import jobs
@@ -225,6 +226,19 @@ def merge_keyed_table(spark, sf_dir):
     return table.read()
 
 
+@query
+def merge_rebucket(spark, sf_dir):
+    """The first half merged into few buckets, then the second into more."""
+    early, late = q.states(spark, sf_dir)
+    path = work_path(spark, "rebucket")
+    table = KeyedTable(spark, path, late.schema, ["user_id"], buckets=3)
+    table.merge(early, preserve=["rec_create_timestamp"])
+    table.rebucket(8)
+    table = KeyedTable(spark, path, late.schema, ["user_id"], buckets=8)
+    table.merge(late, preserve=["rec_create_timestamp"])
+    return table.read()
+
+
 @query
 def sql_job_append_overwrite(spark, sf_dir):
     """Overwrite, then append in a mode nobody knows: the rows of both runs."""
@@ -266,6 +280,131 @@ def load_store_visits(spark, sf_dir):
     return spark.read.schema(STORE_VISITS.schema).parquet(STORE_VISITS.path(root))
 
 
+@query
+def gold_two_loads(spark, sf_dir):
+    """Two loads of online sales, the second with changed and further items, the metrics brought up after each."""
+    root = work_path(spark, "gold")
+    hub = q.store_hub(spark, sf_dir)
+    masters = [frame(spark, sf_dir, n) for n in ("v_mst_store", "v_mst_product", "v_mst_product_line")]
+    loads.load_visits(spark, root, "visits", frame(spark, sf_dir, "v_traffic"), hub, datetime(2024, 2, 1))
+    first = frame(spark, sf_dir, "v_items").where("id <> 1")
+    for day, items in enumerate((first, frame(spark, sf_dir, "v_changed_items")), 1):
+        loads.load_ecom_sales(
+            spark, root, "ecom", items, frame(spark, sf_dir, "v_order_log"), hub,
+            q.currency_hub(spark, sf_dir), q.product_hub(spark, sf_dir), datetime(2024, 2, day),
+        )
+        loads.load_metrics(spark, root, "gold", *masters, now=datetime(2024, 2, day, 12))
+    gold = spark.read.schema(STORE_METRICS.schema).parquet(STORE_METRICS.path(root))
+    return gold.drop(*[c for c in gold.columns if c.startswith("rec_")], "month_key")
+
+
+@query
+def load_run_log(spark, sf_dir):
+    """The run log of two visit loads by name; the second has nothing to do."""
+    root = work_path(spark, "run-log")
+    inputs = {"traffic": frame(spark, sf_dir, "v_traffic"), "store_hub": q.store_hub(spark, sf_dir)}
+    for day in (1, 2):
+        loads.run_load(spark, "visits", root, "visits", inputs, f"{root}/log", "events", datetime(2024, 2, day))
+    log = tables.read_or_empty(spark, f"{root}/log", AUDIT_LOGS)
+    return log.select(
+        "job_name", "source_type", "source_name", "sink_name", "input_row_count", "output_row_count",
+        "exception_ind", "rec_create_timestamp",
+    )
+
+
+def _schema_file(spark: SparkSession, name: str, text: str) -> str:
+    folder = work_path(spark, name)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(folder)
+    return folder
+
+
+@query
+def schema_from_json(spark, sf_dir):
+    """The feed read by a record type that is stored as Spark's JSON."""
+    folder = work_path(spark, "typed")
+    _feed(spark, sf_dir).write.option("timestampFormat", FEED_CLOCK).json(folder)
+    schema = load_schema(spark, _schema_file(spark, "schema", FEED.json()))
+    return spark.read.schema(schema).option("timestampFormat", FEED_CLOCK).json(folder)
+
+
+@query
+def schema_from_avro_document(spark, sf_dir):
+    """The feed read by the record type of an Avro schema document."""
+    optional = [("event_id", "long"), ("amount", {"type": "bytes", "logicalType": "decimal", "precision": 20, "scale": 6}),
+                ("timestamp", {"type": "long", "logicalType": "timestamp-micros"}), ("flag", "string")]
+    document = {"type": "record", "name": "feed", "fields": [{"name": n, "type": ["null", t]} for n, t in optional]}
+    folder = work_path(spark, "avro-typed")
+    _feed(spark, sf_dir).write.option("timestampFormat", FEED_CLOCK).json(folder)
+    return spark.read.schema(schema_from_avro(document)).option("timestampFormat", FEED_CLOCK).json(folder)
+
+
+@query
+def configured_job(spark, sf_dir):
+    """The current-table job as a row of a configuration table describes it."""
+    folder, root = work_path(spark, "configured"), work_path(spark, "configured-out")
+    q.changes(spark, sf_dir).write.partitionBy("ingest_date").parquet(folder)
+    row = {
+        "JOB_NAME": "configured", "LOAD_TYPE": "CDC", "SOURCE_TYPE": "DELTA_AVRO", "INPUT_LOCATION": folder,
+        "OUTPUT_LOCATION": f"{root}/curr/events", "CHECKPOINT_LOCATION": f"{root}/checkpoint", "TIMEOUT": "-1",
+        "PRIMARY_KEYS": "user_id", "NOT_NULL_COLUMNS": "props", "TRIGGER_PROCESSING_TIME": "once", "MERGE_BUCKETS": "8",
+    }
+    table = spark.createDataFrame([tuple(row.values())], ", ".join(f"{n} string" for n in row))
+    cfg = JobConfig.from_table(table, "configured")
+    jobs.wait(jobs.current_stream(spark, cfg, now=NOW), cfg)
+    return spark.read.parquet(cfg.output_location).drop("pk_bucket")
+
+
+@query
+def staged_overwrite(spark, sf_dir):
+    """A staging table overwritten by a second, smaller content."""
+    path = work_path(spark, "stage")
+    rows = frame(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    tables.overwrite_stage(rows, path)
+    return tables.overwrite_stage(rows.where("event_type <> 'view'"), path)
+
+
+@query
+def create_table_as_select(spark, sf_dir):
+    """``CREATE TABLE IF NOT EXISTS … AS``: the second statement finds the table and leaves it."""
+    path = work_path(spark, "ctas")
+    name = f"ctas_{path.rsplit('-', 1)[1]}"
+    daily = frame(spark, sf_dir, "v_traffic").groupBy("visit_date_key").agg(F.sum("entries").alias("entries"))
+    tables.create_table_as(daily, name, path)
+    tables.create_table_as(daily.where("false"), name, path)
+    return spark.table(name)
+
+
+@query
+def typed_target_table(spark, sf_dir):
+    """A target created and registered by its declared types, filled by name, read by its name."""
+    path = work_path(spark, "target")
+    name = f"target_{path.rsplit('-', 1)[1]}"
+    tables.create_table(
+        spark, path, STORE_VISITS.schema, STORE_VISITS.partition_by, name, properties={"layer": STORE_VISITS.layer}
+    )
+    daily = stamped_visits(q.store_visits_daily(spark, sf_dir), q.JOB, NOW)
+    tables.append_rows(daily, path, STORE_VISITS.schema, STORE_VISITS.partition_by)
+    spark.catalog.refreshTable(name)
+    return spark.table(name).select("visit_date_key", "store_rhid", "visit_date", "entry_count", "exit_count", "rec_create_user_name")
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """An ingest job stopped, started again when more messages are there, and its last batch replayed."""
+    cfg = config(spark, "restart", max_files_per_trigger="1")
+    folder = work_path(spark, "restart-in")
+    messages = q.as_messages(q.changes(spark, sf_dir))
+    for half in ("timestamp < '2024-01-16'", "timestamp >= '2024-01-16'"):
+        part = messages.where(half)
+        part.coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        query = jobs.wait(jobs.ingest_stream(spark, cfg, ENVELOPE, source), cfg)
+    last = max(p.batchId for p in query.recentProgress if p.numInputRows)
+    jobs.ingest_batch(part, last, cfg, ENVELOPE, "json", jobs.Audit())
+    landed = tables.read_appended(spark, cfg.output_location)
+    return landed.select("data.*", F.col("headers.operation").alias("operation"), "ingest_date")
+
+
 @query
 def gold_end_to_end(spark, sf_dir):
     """Online sales and visits loaded into silver tables, then the gold table from those."""
@@ -282,4 +421,4 @@ def gold_end_to_end(spark, sf_dir):
         spark, root, "gold", *masters, upstream=["ecom", "visits"], since=now, now=now, visits_grain="store"
     )
     gold = spark.read.schema(STORE_METRICS.schema).parquet(STORE_METRICS.path(root))
-    return gold.drop(*[c for c in gold.columns if c.startswith("rec_")], "batch_id")
+    return gold.drop(*[c for c in gold.columns if c.startswith("rec_")], "month_key")
