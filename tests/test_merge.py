@@ -163,3 +163,33 @@ def test_another_bucket_count_is_refused_until_the_table_is_rebucketed(spark, tm
     again = KeyedTable(spark, path, schema, ["id"], buckets=8)
     again.merge(source)
     assert again.read().count() == 20 and again.read().select("id").distinct().count() == 20
+
+
+def test_delta_merge_creates_the_table_and_keeps_null_keys_out(spark, monkeypatch):
+    """The module is not here: a stand-in records what is asked of it."""
+    import sys
+    import types
+
+    from tidemark.operators.merge import delta_merge
+
+    calls = []
+
+    class Recorder:
+        def __getattr__(self, name):
+            def call(*args, **how):
+                calls.append((name, args, how))
+                return self
+
+            return call
+
+    module = types.ModuleType("delta.tables")
+    module.DeltaTable = Recorder()
+    monkeypatch.setitem(sys.modules, "delta", types.ModuleType("delta"))
+    monkeypatch.setitem(sys.modules, "delta.tables", module)
+    delta_merge(spark, "/t", table(spark, (1, "a", "t0", 1), (None, "b", "t0", 2)), ["id"], ["created"])
+    names = [c[0] for c in calls]
+    assert names.index("createIfNotExists") < names.index("forPath") < names.index("merge")
+    source, condition = next(c[1] for c in calls if c[0] == "merge")
+    assert condition == "t.`id` = s.`id`" and source.count() == 1
+    update = next(c[2] for c in calls if c[0] == "whenMatchedUpdate")
+    assert "created" not in update["set"] and update["condition"] == "coalesce(s.`change_sequence` >= t.`change_sequence`, true)"

@@ -382,7 +382,7 @@ ORACLES = {
           operation = 'DELETE' as cdc_deleted
         from {v_cdc}""",
     "conform_types": """
-        select cast(event_id as int) as event_id, amount, event_ts, ingest_date,
+        select event_id + 3000000000 as event_id, amount, event_ts, ingest_date,
           case when event_type <> 'click' then cast(user_id as int) end as user_id, event_type,
           case when event_type = 'click' then 'user_id' else '' end as failed_columns
         from {v_cdc}""",

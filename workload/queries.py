@@ -201,7 +201,7 @@ def csv_to_cdc(spark, sf_dir):
 @query
 def conform_types(spark, sf_dir):
     landed = frame(spark, sf_dir, "v_cdc").select(
-        F.col("event_id").cast("string"),
+        (F.col("event_id") + F.lit(3_000_000_000)).cast("string").alias("event_id"),
         F.col("amount").cast("string"),
         F.col("event_ts").cast("string"),
         F.col("ingest_date").cast("string"),
@@ -211,7 +211,7 @@ def conform_types(spark, sf_dir):
         "event_type",
     )
     declared = {
-        "event_id": "bigint", "amount": "decimal(18,2)", "event_ts": "timestamp",
+        "event_id": "bigint", "amount": "decimal(18,2)", "event_ts": "datetime",
         "ingest_date": "date", "user_id": "int", "event_type": "string",
     }
     return conform.conform_types(landed, declared, failures="failed_columns")
