@@ -73,6 +73,25 @@ def test_extraction(spark):
     assert extract.extract_pages(pages.limit(0)).collect() == []
 
 
+def test_extraction_by_names_and_place():
+    story = "A long enough sentence that tells the story of the day, with commas, and a point."
+    layout = f"<div class='site has-sidebar'><h1>T</h1><p>{story}</p><p>{story}</p><div class=sidebar><p>{story}</p></div></div>"
+    assert extract.main_text(layout) == f"T\n{story}\n{story}"
+    wrapped = f"<div class='content-sidebar-wrap'><main><p>{story}</p><p class=ad>ad</p></main><p>{story}</p></div>"
+    assert extract.main_text(wrapped) == story
+    assert extract.main_text(f"<main><article><p>{story}</p></article><article class='comment'><p>{story}</p></article></main>") == story
+    unmarked = f"<div><a href=a>Home</a> <a href=b>News</a></div><h1>T</h1><p>{story}</p><div>&copy; 2024 Site</div>"
+    assert extract.main_text(unmarked) == f"T\n{story}"
+    assert extract.main_text("<p><a href=x>only a link</a>") == "only a link"
+    assert extract.main_text("<p>&copy; 2024") == "© 2024"
+
+
+def test_extraction_of_deep_pages_is_linear():
+    deep = "<div>some words of a page " * 50_000
+    assert len(extract.main_text(deep).split("\n")) >= extract.MOST_SHARE * 50_000
+    assert extract.main_text("<b>" * 20_000 + "<p>words</p></span></ul>" * 20_000).count("words") == 20_000
+
+
 def test_mixing(docs, none):
     got = by_id(mixing.mix_sources(docs))
     assert len(got) == len(ROWS)

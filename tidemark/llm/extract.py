@@ -10,16 +10,23 @@ element that holds the clusters' text is the content region. The page's text is
 what is content in that region: all of it in an ``article`` or ``main``, and from
 the first to the last cluster elsewhere, with the headings before it.
 
+Names such as ``has-sidebar`` tell how a page is laid out and mark nothing, and a
+``main`` is content whatever the names around it. Outside an ``article`` or ``main``, lines of
+links and copyright lines at the ends of the clusters go.
+
 White space in a line becomes one space; lines are joined by one newline. A null or
 empty page, or one without content, has an empty text. Broken markup never fails: what
-stands open is closed by its parent. Extra columns are ignored.
+stands open is closed by its parent. Time and memory are linear in the page, however
+deep its elements nest. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -42,6 +49,8 @@ BLOCK = frozenset(
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTENT = frozenset(("article", "main"))
+#: Elements that may be the content region.
+REGIONS = frozenset("body center div section td".split())
 #: An opening tag closes these, if they stand open in the same container.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
@@ -56,7 +65,12 @@ NOISE = frozenset(
     "toolbar tracking widget widgets contentinfo complementary search alert alertdialog dialog tooltip".split()
 )
 HEADER = frozenset(("header", "pageheader", "topbar"))
-_WORDS = re.compile(r"[a-z]+(?:-[a-z]+)?|[a-z]+")
+#: Whole names of an ``article`` that is not the page's own.
+NOT_ARTICLES = frozenset("ad advert comment comment-body promo related reply sponsored teaser".split())
+#: A name with one of these parts describes the layout.
+LAYOUT = frozenset("has no with without layout template".split())
+COPYRIGHT = re.compile(r"(©|\(c\)\s|copyright\b)", re.IGNORECASE)
+LINK_SHARE = 0.5  #: a line with more of its text in links is a line of links
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -65,12 +79,14 @@ def _named_words(value: str) -> set[str]:
     words = set()
     for name in value.split():
         words.add(name.lower())
-        words.update(p.lower() for p in _PARTS.findall(name))
+        parts = {p.lower() for p in _PARTS.findall(name)}
+        if not parts & LAYOUT:
+            words |= parts
     return words
 
 
-def is_noise(tag: str, attributes: list[tuple[str, str | None]], in_content: bool) -> bool:
-    """Whether an element holds no content, by its tag and attributes."""
+def is_barred(tag: str, attributes: list[tuple[str, str | None]], in_content: bool) -> bool:
+    """Whether an element holds no content, by its tag or because it is hidden."""
     if tag in BOILERPLATE or tag == "header" and not in_content:
         return True
     if tag in ("html", "body", "article", "main"):
@@ -80,24 +96,41 @@ def is_noise(tag: str, attributes: list[tuple[str, str | None]], in_content: boo
             return True
         if name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
             return True
-        if name in ("class", "id", "role") and value:
-            words = _named_words(value)
-            if words & NOISE or not in_content and words & HEADER:
-                return True
     return False
 
 
+def is_named_noise(tag: str, attributes: list[tuple[str, str | None]], in_content: bool) -> bool:
+    """Whether an element holds no content, by its class, id or role."""
+    if tag in ("html", "body", "main"):
+        return False
+    named = [value for name, value in attributes if name in ("class", "id", "role") and value]
+    if tag == "article":
+        return any(x.lower() in NOT_ARTICLES for value in named for x in value.split())
+    words = set().union(*map(_named_words, named))
+    return bool(words & NOISE or not in_content and words & HEADER)
+
+
+class Line(NamedTuple):
+    text: str
+    plain: int  #: code points outside links
+    tags: int
+    noise: bool
+    element: int  #: the innermost element around it
+    heading: bool
+
+
 class Lines(HTMLParser):
-    """Lines of a page: text, code points outside links, tags, whether noise, the elements around it."""
+    """Lines of a page, and its elements numbered as they open, so that an element holds the numbers up to its ``last``."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int]] = []  # open elements: tag, number
-        self.hidden = self.noise = self.link = self.content = 0
-        self.marks: list[tuple[int, int, int, int]] = []  # what each open element adds to the four counts
-        self.number = 0
-        self.lines: list[tuple[str, int, int, bool, tuple[int, ...], bool]] = []
-        self.tags: dict[int, str] = {}
+        self.open: Counter[str] = Counter()
+        self.hidden = self.barred = self.named = self.link = self.content = 0
+        self.marks: list[tuple[int, int, int, int, int]] = []  # what each open element adds to the five counts
+        self.lines: list[Line] = []
+        self.tags = [""]  # by number; 0 is the page
+        self.last = [0]
         self._new_line()
 
     def _new_line(self):
@@ -108,7 +141,8 @@ class Lines(HTMLParser):
     def _break(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.plain, self.n_tags, self.noise > 0, tuple(n for _, n in self.stack), self.heading))
+            element = self.stack[-1][1] if self.stack else 0
+            self.lines.append(Line(text, self.plain, self.n_tags, self.barred + self.named > 0, element, self.heading))
             self._new_line()
         else:
             tags = self.n_tags
@@ -116,12 +150,18 @@ class Lines(HTMLParser):
             self.n_tags = min(tags, 1)
 
     def _pop(self):
-        self.stack.pop()
-        hidden, noise, link, content = self.marks.pop()
-        self.hidden -= hidden
-        self.noise -= noise
-        self.link -= link
-        self.content -= content
+        tag, number = self.stack.pop()
+        self.open[tag] -= 1
+        self.last[number] = len(self.tags) - 1
+        self._count(self.marks.pop(), -1)
+
+    def _count(self, marks: tuple[int, int, int, int, int], sign: int):
+        hidden, barred, named, link, content = marks
+        self.hidden += sign * hidden
+        self.barred += sign * barred
+        self.named += sign * named
+        self.link += sign * link
+        self.content += sign * content
 
     def _close_to(self, at: int):
         while len(self.stack) > at:
@@ -141,15 +181,16 @@ class Lines(HTMLParser):
             return
         if not self.parts and tag in HEADINGS:
             self.heading = True
-        self.number += 1
-        self.tags[self.number] = tag
-        marks = (int(tag in HIDDEN), int(is_noise(tag, attrs, self.content > 0)), int(tag == "a"), int(tag in CONTENT))
-        self.stack.append((tag, self.number))
-        self.marks.append(marks)
-        self.hidden += marks[0]
-        self.noise += marks[1]
-        self.link += marks[2]
-        self.content += marks[3]
+        barred = int(is_barred(tag, attrs, self.content > 0))
+        named = int(is_named_noise(tag, attrs, self.content > 0))
+        if tag == "main" and not self.barred:
+            named = -self.named  # content whatever the names around it
+        self.stack.append((tag, len(self.tags)))
+        self.open[tag] += 1
+        self.tags.append(tag)
+        self.last.append(0)
+        self.marks.append((int(tag in HIDDEN), barred, named, int(tag == "a"), int(tag in CONTENT)))
+        self._count(self.marks[-1], 1)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -158,6 +199,8 @@ class Lines(HTMLParser):
 
     def _close_open(self, tags: set[str]):
         """Close the innermost open element of these tags, unless a container stands between."""
+        if not any(self.open[t] for t in tags):
+            return
         for at in range(len(self.stack) - 1, -1, -1):
             tag = self.stack[at][0]
             if tag in tags:
@@ -169,6 +212,8 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCK:
             self._break()
+        if not self.open[tag]:
+            return
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == tag:
                 self._close_to(at)
@@ -188,6 +233,7 @@ class Lines(HTMLParser):
         self.close()
         self._close_to(0)
         self._break()
+        self.last[0] = len(self.tags) - 1
         return self.lines
 
 
@@ -206,35 +252,42 @@ def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html)
     lines = parser.finish()
-    good = np.array([not noise for _, _, _, noise, _, _ in lines], bool)
+    good = np.array([not x.noise for x in lines], bool)
     if not good.any():
         return ""
-    ratios = np.array([0.0 if noise else min(CAP, plain / max(1, tags)) for _, plain, tags, noise, _, _ in lines])
+    ratios = np.array([0.0 if x.noise else min(CAP, x.plain / max(1, x.tags)) for x in lines])
     smooth = smoothed(ratios)
     chosen = good & (smooth >= THRESHOLD * smooth.std())
     if not chosen.any():
         return ""
-    weight = np.array([plain for _, plain, _, _, _, _ in lines], float) * chosen
-    inside: dict[int, float] = {}
-    for w, (_, _, _, _, elements, _) in zip(weight, lines, strict=True):
-        for e in elements if w else ():
-            inside[e] = inside.get(e, 0.0) + w
-    total = weight.sum()
-    regions = [e for e, w in inside.items() if w >= MOST_SHARE * total]
-    marked = [e for e in inside if parser.tags[e] in CONTENT]
+    element = np.array([x.element for x in lines])
+    weight = np.bincount(element, np.array([x.plain for x in lines], float) * chosen, len(parser.tags))
+    upto = np.concatenate([[0.0], weight.cumsum()])
+    last = np.array(parser.last)
+    inside = upto[last + 1] - upto[:-1]  # by element, the text that the clusters have in it
+    marked = [e for e, tag in enumerate(parser.tags) if tag in CONTENT and inside[e] > 0]
     if marked:  # the page names its content: the heaviest such element, the outermost of equals
-        region = min(marked, key=lambda e: (-inside[e], e))
-        kept = [k for k in np.flatnonzero(good) if region in lines[k][4]]
+        region = max(marked, key=lambda e: (inside[e], -e))
     else:
-        region = max(regions, default=None)  # numbers grow inwards, so the innermost
-        held = [k for k in np.flatnonzero(good) if region is None or region in lines[k][4]]
-        picked = [k for k in held if chosen[k]]
-        first, last = picked[0], picked[-1]
-        before = [k for k in held if k < first]
-        while before and lines[before[-1]][5]:
-            first = before.pop()
-        kept = [k for k in held if first <= k <= last]
-    return "\n".join(lines[k][0] for k in kept)
+        most = [e for e in np.flatnonzero(inside >= MOST_SHARE * inside[0]).tolist() if parser.tags[e] in REGIONS]
+        region = most[-1] if inside[0] and most else 0  # numbers grow inwards, so the innermost
+    held = np.flatnonzero(good & (element >= region) & (element <= last[region])).tolist()
+    if not marked:
+        held = _between_clusters(lines, held, chosen)
+    return "\n".join(lines[k].text for k in held)
+
+
+def _between_clusters(lines: list[Line], held: list[int], chosen: np.ndarray) -> list[int]:
+    """Of a region's lines those from the first to the last cluster's, without links and copyright at the ends, and the headings before them."""
+    own = [k for k in held if chosen[k] and lines[k].plain >= LINK_SHARE * len(lines[k].text) and not COPYRIGHT.match(lines[k].text)]
+    picked = own or [k for k in held if chosen[k]]
+    if not picked:
+        return held
+    first, last = picked[0], picked[-1]
+    before = [k for k in held if k < first]
+    while before and lines[before[-1]].heading:
+        first = before.pop()
+    return [k for k in held if first <= k <= last]
 
 
 def _setup() -> Callable:
