@@ -5,7 +5,7 @@ import pytest
 from tests.changes import ROW, envelopes, seq
 from tidemark.__main__ import main
 from tidemark.schemas import AUDIT_LOGS, envelope
-from tidemark.sources.tables import read_or_empty
+from tidemark.sources.tables import append_batch, read_or_empty
 
 COLUMNS = "JOB_NAME,LOAD_TYPE,INPUT_LOCATION,OUTPUT_LOCATION,TIMEOUT,CHECKPOINT_LOCATION,PRIMARY_KEYS,SOURCE_TYPE,TRIGGER_PROCESSING_TIME,INPUT_SQL_STMT,TRGT_TABLE_NAME,MERGE_BUCKETS"
 
@@ -64,3 +64,12 @@ def test_sql_job(spark, tmp_path):
 def test_arguments_are_required():
     with pytest.raises(SystemExit):
         main(["current", "--job-name", "x"])
+
+
+def test_compact_job(spark, tmp_path):
+    path = str(tmp_path / "ct")
+    for batch in range(2):
+        append_batch(spark.sql(f"select {batch} a, date'2024-01-05' ingest_date"), path, ["ingest_date"], batch, fixed=True)
+    main(["compact", "--path", path, "--value", "2024-01-05"])
+    assert [f.name for f in (tmp_path / "ct" / "ingest_date=2024-01-05").iterdir() if f.is_dir()] == ["batch_id=compacted"]
+    assert spark.read.parquet(path).count() == 2

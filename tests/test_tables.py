@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,3 +81,46 @@ def test_balanced_append_splits_a_hot_partition(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(list((tmp_path / "t" / "batch_id=0" / "p=2").glob("*.parquet"))) > 1
+
+
+def test_compaction_makes_one_batch_of_a_partition(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    tables.append_batch(spark.sql("select 1 a, 10 p union all select 2, 20"), path, ["p"], "q-0", fixed=True)
+    tables.append_batch(spark.sql("select 3 a, 10 p, 'x' b"), path, ["p"], "q-1", fixed=True)
+    want = [(1, 10, None), (2, 20, None), (3, 10, "x")]
+    for _ in range(2):
+        assert tables.compact_partition(spark, path, "p", "10") == 2
+        assert rows(tables.read_appended(spark, path), "a", "p", "b") == want
+        assert [f.name for f in (tmp_path / "t" / "p=10").iterdir() if f.is_dir()] == ["batch_id=compacted"]
+    assert [f.name for f in (tmp_path / "t" / "p=20").iterdir() if f.is_dir()] == ["batch_id=q-0"]
+
+
+def test_compaction_that_broke_off_is_finished(spark, tmp_path, rows, monkeypatch):
+    """The run ends after the rows were staged, when the partition is already gone."""
+    path = str(tmp_path / "t")
+    tables.append_batch(spark.sql("select 1 a, 10 p"), path, ["p"], "q-0", fixed=True)
+    tables.append_batch(spark.sql("select 2 a, 10 p"), path, ["p"], "q-1", fixed=True)
+    writer = type(spark.range(1).write)
+    real = writer.parquet
+
+    def torn(self, to, *more, **options):
+        if to == f"{path}/p=10":
+            real(spark.range(0).withColumnRenamed("id", "a").write.mode("overwrite"), to)
+            raise OSError("lost")
+        return real(self, to, *more, **options)
+
+    monkeypatch.setattr(writer, "parquet", torn)
+    with pytest.raises(OSError):
+        tables.compact_partition(spark, path, "p", "10")
+    monkeypatch.setattr(writer, "parquet", real)
+    assert tables.compact_partition(spark, path, "p", "10") == 2
+    assert rows(tables.read_appended(spark, path), "a", "p") == [(1, 10), (2, 10)]
+
+
+def test_a_date_filter_lists_only_its_own_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.append_batch(spark.sql("select 1 a, date'2024-01-01' d union all select 2, date'2024-01-02'"), path, ["d"], "q-0", fixed=True)
+    day = tables.read_appended(spark, path).where("d = date'2024-01-02'")
+    assert day.count() == 1
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan

@@ -2,7 +2,8 @@
 
 Jobs: ``ingest`` (topic to change table), ``current`` (change table to current
 table), ``load`` (one of the built loads: ecom, retail, visits, metrics),
-``usecase`` (a statement list) and ``sql`` (one query).
+``usecase`` (a statement list), ``sql`` (one query) and ``compact`` (closed
+partitions of an appended table).
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from tidemark.plans.loads import LOADS, run_load
 from tidemark.schemas import load_schema, schema_from_avro
 from tidemark.session import get_session
 from tidemark.sources.streams import kafka_stream
+from tidemark.sources.tables import compact_partition
 from tidemark.streaming.jobs import Audit, current_stream, ingest_stream, wait
 from tidemark.streaming.progress import ProgressLog
 
@@ -44,6 +46,11 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--input", action="append", default=[], metavar="NAME=TABLE", help="a table, or a Parquet folder")
     load.add_argument("--upstream", help="jobs that metrics wait for, comma-separated")
     load.add_argument("--audit", help="folder of the run log")
+    compact = jobs.add_parser("compact")
+    compact.add_argument("--job-name")
+    compact.add_argument("--path", required=True, help="folder of the change table")
+    compact.add_argument("--column", default="ingest_date")
+    compact.add_argument("--value", action="append", required=True, help="a closed partition; may be repeated")
     sql = jobs.add_parser("sql")
     sql.add_argument("--job-name")
     sql.add_argument("--sql-query", required=True)
@@ -106,6 +113,10 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "load":
         load(spark, args)
         return
+    if args.job == "compact":
+        for value in args.value:
+            compact_partition(spark, args.path, args.column, value)
+        return
     cfg = load_config(spark, args.config, args.job_name)
     if args.job == "ingest":
         ingest(spark, args, cfg)

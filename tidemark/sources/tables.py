@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from tidemark.functions.conform import as_table, sql_text
 from tidemark.session import setting
 
+COMPACTED = "compacted"  #: the batch id of a compacted partition
+
 
 def create_table(
     spark: SparkSession,
@@ -102,6 +104,36 @@ def read_appended(spark: SparkSession, path: str, schema: T.StructType | None =
     return (reader.schema(schema) if schema is not None else reader).parquet(path).drop("batch_id")
 
 
+def compact_partition(spark: SparkSession, path: str, column: str, value: str) -> int:
+    """Rewrite the batches of one closed partition as one, of few files; returns its rows.
+
+    For tables appended with ``fixed``: the folders below ``<column>=<value>``
+    become ``batch_id=compacted`` under their merged schema.  The rows are
+    staged at ``<path>.compacting`` and noted there as complete before the
+    partition is replaced, so a run that broke off is finished by the next one.
+    Compact only what gets no more batches and replays, with one writer, while
+    nobody reads that partition.  Other partitions are neither read nor written.
+    """
+    folder, staged = f"{path}/{column}={value}", f"{path}.compacting/{column}={value}"
+    note = f"{staged}.complete"
+
+    def complete(rows: int | None) -> None:
+        spark.range(1).select(F.lit(rows).cast("bigint").alias("rows")).coalesce(1).write.mode("overwrite").parquet(note)
+
+    noted = read_or_empty(spark, note, T.StructType([T.StructField("rows", T.LongType())])).first()
+    if noted is None or noted["rows"] is None:
+        batches = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(folder)
+        batches.drop(column, "batch_id").hint("rebalance").write.mode("overwrite").parquet(staged)
+        rows = spark.read.parquet(staged).count()
+        complete(rows)
+    else:
+        rows = noted["rows"]
+    named = spark.read.parquet(staged).withColumn("batch_id", F.lit(COMPACTED))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(folder)
+    complete(None)
+    return rows
+
+
 def overwrite_stage(df: DataFrame, path: str) -> DataFrame:
     """Overwrite a staging table and read it back, with exact sizes for the planner."""
     df.write.mode("overwrite").parquet(path)

@@ -566,6 +566,7 @@ ORACLES = {
           cast(exit_count as int) as exit_count, 'nightly' as rec_create_user_name
         from ({visits_sql("{v_traffic}")}) d""",
     "stream_restart": f"select {EVENT}, operation, ingest_date from {{v_cdc}}",
+    "compact_day": f"select {EVENT}, operation, ingest_date, ingest_date = min(ingest_date) over () as compacted from {{v_cdc}}",
     "gold_end_to_end": gold_end_to_end(),
     "merge_keyed_table": merge_sql("late", "early", True),
     "sql_job_append_overwrite": """

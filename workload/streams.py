@@ -388,23 +388,41 @@ def typed_target_table(spark, sf_dir):
     return spark.table(name).select("visit_date_key", "store_rhid", "visit_date", "entry_count", "exit_count", "rec_create_user_name")
 
 
-@query
-def stream_restart(spark, sf_dir):
-    """An ingest job stopped, started again when more messages are there, and its last batch replayed."""
-    cfg = config(spark, "restart", max_files_per_trigger="1")
-    folder = work_path(spark, "restart-in")
+def ingest_in_parts(spark: SparkSession, sf_dir: str, cfg: JobConfig, parts: tuple[str, ...]):
+    """Land the messages in runs of one job, one for each condition; the last run and its messages."""
+    folder = work_path(spark, f"{cfg.job_name}-in")
     messages = q.as_messages(q.changes(spark, sf_dir))
-    for half in ("timestamp < '2024-01-16'", "timestamp >= '2024-01-16'"):
-        part = messages.where(half)
+    for condition in parts:
+        part = messages.where(condition)
         part.coalesce(1).write.mode("append").parquet(folder)
         source = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(folder)
         query = jobs.wait(jobs.ingest_stream(spark, cfg, ENVELOPE, source), cfg)
+    return query, part
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """An ingest job stopped, started again when more messages are there, and its last batch replayed."""
+    cfg = config(spark, "restart", max_files_per_trigger="1")
+    query, part = ingest_in_parts(spark, sf_dir, cfg, ("timestamp < '2024-01-16'", "timestamp >= '2024-01-16'"))
     last = max(p.batchId for p in query.recentProgress if p.numInputRows)
     jobs.ingest_batch(part, last, cfg, ENVELOPE, "json", jobs.Audit())
     landed = tables.read_appended(spark, cfg.output_location)
     return landed.select("data.*", F.col("headers.operation").alias("operation"), "ingest_date")
 
 
+@query
+def compact_day(spark, sf_dir):
+    """A change table landed in two batches that share their days; the batches of its first day made one."""
+    cfg = config(spark, "compact", max_files_per_trigger="1")
+    ingest_in_parts(spark, sf_dir, cfg, ("hour(timestamp) < 12", "hour(timestamp) >= 12"))
+    first = tables.read_appended(spark, cfg.output_location).agg(F.min("ingest_date")).first()[0]
+    tables.compact_partition(spark, cfg.output_location, "ingest_date", str(first))
+    landed = spark.read.option("mergeSchema", "true").parquet(cfg.output_location)
+    compacted = F.col("batch_id") == tables.COMPACTED
+    return landed.select("data.*", F.col("headers.operation").alias("operation"), "ingest_date", compacted.alias("compacted"))
+
+
 @query
 def gold_end_to_end(spark, sf_dir):
     """Online sales and visits loaded into silver tables, then the gold table from those."""
