@@ -98,7 +98,15 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
-def test_vectors(spark):
+def test_code_layout_follows_the_classes():
+    assert vectors.Layout.of(0) == vectors.Layout.of(10_000) == vectors.Layout(16, 4)
+    for n in (10**5, 10**7, 10**9):
+        layout = vectors.Layout.of(n)
+        assert n <= 1 << (layout.width - 1) <= 2 * n  # lists of unlike vectors keep their length
+
+
+@pytest.mark.parametrize("layout", [None, vectors.Layout(20, 5)])
+def test_vectors(spark, layout):
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(30, 64))
     spread = rng.uniform(0.05, 0.45, size=(900, 1))
@@ -109,7 +117,7 @@ def test_vectors(spark):
     unit = data.astype(float) / np.linalg.norm(data.astype(float), axis=1)[:, None]
     linked = np.triu(unit @ unit.T >= vectors.COSINE, 1) & (np.arange(1500)[:, None] % 2 == np.arange(1500)[None, :] % 2)
     want = linked.sum(0) + linked.sum(1)
-    got = {r["vec_id"]: r for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")).collect()}
+    got = {r["vec_id"]: r for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int"), layout).collect()}
     found = np.array([got[i]["n_links"] for i in range(1500)])
     assert (found <= want).all() and found.sum() >= 0.97 * want.sum() > 0
     component = roots(range(1500), zip(*np.nonzero(linked), strict=True))

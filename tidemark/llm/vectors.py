@@ -3,13 +3,15 @@
 1. Equal vectors of one label are one class.
 2. On a bounded sample of unit vectors (``SAMPLE``, picked by hash) their principal
    directions and a rotation are learned that bring the rotated values close to
-   their signs. Each class gets the ``BITS`` signs: balanced binary codes.
-3. A code is cut into ``TABLES`` parts. In each table a class is posted under its part
-   and under all parts one bit away, so that two classes whose parts differ in at
-   most two bits share a key: no pair within 3 * ``TABLES`` - 1 bits is missed.
+   their signs. Each class gets these signs as a balanced binary code.
+3. A code is cut into parts, one for each table. In each table a class is posted under its
+   part and under all parts one bit away, so that two classes whose parts differ in at
+   most two bits share a key: with t tables no pair within 3t - 1 bits is missed. Parts
+   grow by a bit when the classes double, so that lists of unlike vectors keep their
+   length; the number of tables follows from the recall wanted (``Layout``).
 4. A pair is judged in one list only: of its first table in which it meets, under
    the least key that both have. Lists up to ``BLOCK`` members give pairs
-   within ``RADIUS`` bits, which are reranked by cosine. Longer lists, such as those
+   within the radius, which are reranked by cosine. Longer lists, such as those
    of a large group of near copies, are dealt out in pairs of blocks, which
    compare the original vectors and return counts and a spanning forest, not pairs.
 
@@ -23,6 +25,7 @@ columns are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -35,53 +38,90 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidemark.llm.common import as_schema, components, in_blocks, map_batches, prepare, runs, stage
 
 COSINE = 0.93
-BITS, TABLES = 64, 4
-PART = BITS // TABLES
-RADIUS = 13
+LEAST_WIDTH = 16  #: bits of a part, at least
+MISSED = 0.02  #: share of the pairs at ``COSINE`` that may meet in no table, by independent bits
+RADIUS_SHARE = 0.2  #: bits of a code that may differ
 SAMPLE = 20_000
 ROUNDS = 50
 BLOCK = 256
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How a code is cut: ``tables`` parts of ``width`` bits."""
+
+    width: int
+    tables: int
+
+    @classmethod
+    def of(cls, classes: int) -> Layout:
+        """A key for every class or two, and tables enough for the recall.
+
+        A bit differs with the chance of the angle; parts that differ in up to two bits meet.
+        """
+        width = max(LEAST_WIDTH, classes.bit_length() + 1)
+        p = math.acos(COSINE) / math.pi
+        meets = sum(math.comb(width, k) * p**k * (1 - p) ** (width - k) for k in range(3))
+        return cls(width, math.ceil(math.log(MISSED) / math.log(1 - meets)))
+
+    @property
+    def bits(self) -> int:
+        return self.width * self.tables
+
+    @property
+    def radius(self) -> int:
+        return math.ceil(RADIUS_SHARE * self.bits)
+
+
 @dataclass
 class Quantiser:
-    """Codes of unit vectors: the signs of a learned projection."""
+    """Codes of unit vectors: the signs of a learned projection, in parts."""
 
+    layout: Layout
     mean: np.ndarray
-    projection: np.ndarray  # (dimensions, BITS)
+    projection: np.ndarray  # (dimensions, bits)
 
     @classmethod
-    def learn(cls, unit: np.ndarray, rounds: int = ROUNDS) -> Quantiser:
+    def learn(cls, unit: np.ndarray, layout: Layout, rounds: int = ROUNDS) -> Quantiser:
         """Principal directions, then the rotation that brings projections close to their signs."""
         rng = np.random.default_rng(7)
+        bits = layout.bits
         mean = unit.mean(axis=0)
         centred = unit - mean
         dimensions = centred.shape[1]
         _, directions = np.linalg.eigh(centred.T @ centred)
-        kept = directions[:, ::-1][:, :BITS]
-        if kept.shape[1] < BITS:  # fewer dimensions than bits: random directions fill up
-            kept = np.hstack([kept, np.linalg.qr(rng.normal(size=(BITS, BITS)))[0][:dimensions, : BITS - kept.shape[1]]])
-        rotation = np.linalg.qr(rng.normal(size=(BITS, BITS)))[0]
+        kept = directions[:, ::-1][:, :bits]
+        while kept.shape[1] < bits:  # fewer dimensions than bits: random directions fill up
+            more = np.linalg.qr(rng.normal(size=(dimensions, dimensions)))[0]
+            kept = np.hstack([kept, more[:, : bits - kept.shape[1]]])
+        rotation = np.linalg.qr(rng.normal(size=(bits, bits)))[0]
         projected = centred @ kept
         for _ in range(rounds if len(unit) else 0):
             signs = np.where(projected @ rotation >= 0, 1.0, -1.0)
             left, _, right = np.linalg.svd(projected.T @ signs)
             rotation = left @ right
-        return cls(mean, kept @ rotation)
+        return cls(layout, mean, kept @ rotation)
 
     def codes(self, unit: np.ndarray) -> np.ndarray:
+        """(n, tables) parts of the codes."""
         bits = ((unit - self.mean) @ self.projection >= 0).astype(np.uint64)
-        return (bits << np.arange(BITS, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+        bits = bits.reshape(len(unit), self.layout.tables, self.layout.width)
+        return (bits << np.arange(self.layout.width, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+
 
+def packed(codes: np.ndarray) -> list[bytes]:
+    """Codes as column values."""
+    return [row.tobytes() for row in np.ascontiguousarray(codes, "<u8")]
 
-def parts_of(codes: np.ndarray) -> np.ndarray:
-    """(n, TABLES) parts of codes."""
-    return (codes[:, None] >> (np.uint64(PART) * np.arange(TABLES, dtype=np.uint64))) & np.uint64((1 << PART) - 1)
 
+def unpacked(column: pa.Array | list, layout: Layout) -> np.ndarray:
+    rows = column if isinstance(column, list) else column.to_pylist()
+    return np.frombuffer(b"".join(rows), "<u8").reshape(-1, layout.tables)
 
-def neighbours(parts: np.ndarray) -> np.ndarray:
-    """(n, TABLES, PART + 1): each part and those one bit away."""
-    flips = np.concatenate([[np.uint64(0)], np.uint64(1) << np.arange(PART, dtype=np.uint64)])
+
+def neighbours(parts: np.ndarray, width: int) -> np.ndarray:
+    """(n, tables, width + 1): each part and those one bit away."""
+    flips = np.concatenate([[np.uint64(0)], np.uint64(1) << np.arange(width, dtype=np.uint64)])
     return parts[:, :, None] ^ flips
 
 
@@ -90,16 +130,16 @@ def bits_between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def canonical(a: np.ndarray, b: np.ndarray, table: int, key: int) -> np.ndarray:
-    """Which pairs of codes that share this key of this table are judged here: in their first table, under their least key.
+    """Which pairs of codes (rows of parts) that share this key of this table are judged here: in their first table, under their least key.
 
     Parts that are equal meet under the part and its neighbours, others under the
     keys that are at most one bit from both.
     """
-    first = np.full(a.shape, TABLES)
-    least = np.zeros(a.shape, np.uint64)
-    mask = np.uint64((1 << PART) - 1)
-    for t in range(TABLES - 1, -1, -1):
-        x, y = (a >> np.uint64(t * PART)) & mask, (b >> np.uint64(t * PART)) & mask
+    tables = a.shape[1]
+    first = np.full(len(a), tables)
+    least = np.zeros(len(a), np.uint64)
+    for t in range(tables - 1, -1, -1):
+        x, y = a[:, t], b[:, t]
         apart = bits_between(x, y)
         meets = apart <= 2
         low = (x ^ y) & (~(x ^ y) + np.uint64(1))  # the lowest differing bit
@@ -143,54 +183,55 @@ def _unit(embeddings: pa.Array | list, dims: int | None = None) -> np.ndarray:
     return out
 
 
-def learn_quantiser(classes: DataFrame, sample: int = SAMPLE) -> Quantiser:
-    """A quantiser from at most about ``sample`` vectors, picked by their hash."""
+def learn_quantiser(classes: DataFrame, sample: int = SAMPLE, layout: Layout | None = None) -> Quantiser:
+    """A quantiser from at most about ``sample`` vectors, picked by their hash; its layout follows from all of them."""
     total = classes.agg(F.count("*").alias("n"), F.max("dims").alias("d")).first()
     if not total["n"]:
-        return Quantiser(np.zeros(1), np.zeros((1, BITS)))
+        layout = layout or Layout.of(0)
+        return Quantiser(layout, np.zeros(1), np.zeros((1, layout.bits)))
     part = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 20))
     picked = classes.filter(part < int((1 << 20) * min(1.0, sample / total["n"])) + 1).select("embedding").collect()
-    return Quantiser.learn(_unit([r["embedding"] for r in picked] or [[1.0] * total["d"]], total["d"]))
+    unit = _unit([r["embedding"] for r in picked] or [[1.0] * total["d"]], total["d"])
+    return Quantiser.learn(unit, layout or Layout.of(total["n"]))
 
 
 def _coded(classes: DataFrame, quantiser: Quantiser) -> DataFrame:
     def setup() -> Callable:
         def code(nodes, labels, dims, embeddings):
-            codes = quantiser.codes(_unit(embeddings, len(quantiser.mean))).view(np.int64) if nodes else []
+            codes = packed(quantiser.codes(_unit(embeddings, len(quantiser.mean)))) if nodes else []
             return {"node": nodes, "label": labels, "dims": dims, "code": codes}
 
         return code
 
-    return map_batches(classes, ["node", "label", "dims", "embedding"], setup, "node bigint, label int, dims int, code bigint")
+    return map_batches(classes, ["node", "label", "dims", "embedding"], setup, "node bigint, label int, dims int, code binary")
 
 
-def _posted(coded: DataFrame) -> DataFrame:
-    """(key, bucket, part, node, code): each class under its parts and their neighbours."""
+def _posted(coded: DataFrame, layout: Layout) -> DataFrame:
+    """(key, place, node, code): each class under its parts and their neighbours; the place is table and part."""
 
     def setup() -> Callable:
         def post(nodes, codes):
-            codes = np.array(codes, np.int64)
-            keys = neighbours(parts_of(codes.view(np.uint64))) | (np.arange(TABLES, dtype=np.uint64)[None, :, None] << np.uint64(PART))
-            each = TABLES * (PART + 1)
-            return {"node": np.repeat(nodes, each), "code": np.repeat(codes, each), "place": keys.reshape(-1).astype(np.int32)}
+            places = neighbours(unpacked(codes, layout), layout.width) | (np.arange(layout.tables, dtype=np.uint64)[None, :, None] << np.uint64(layout.width))
+            each = layout.tables * (layout.width + 1)
+            return {"node": np.repeat(nodes, each), "code": [c for c in codes for _ in range(each)], "place": places.reshape(-1).astype(np.int64)}
 
         return post
 
-    posted = map_batches(coded, ["node", "code"], setup, "node bigint, code bigint, place int")
+    posted = map_batches(coded, ["node", "code"], setup, "node bigint, code binary, place bigint")
     return posted.join(coded.select("node", "label", "dims"), "node").select(F.xxhash64("label", "dims", "place").alias("key"), "place", "node", "code")
 
 
-def _near_pairs(posted: DataFrame) -> DataFrame:
+def _near_pairs(posted: DataFrame, layout: Layout) -> DataFrame:
     """(a, b): pairs of short lists within the radius, each once."""
     schema = as_schema("a bigint, b bigint")
     dealt = posted.repartition("key").sortWithinPartitions("key")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, ("key",)):
-            node, code = run.column("node").to_numpy(), run.column("code").to_numpy().view(np.uint64)
-            table, part = divmod(run.column("place")[0].as_py(), 1 << PART)
+            node, code = run.column("node").to_numpy(), unpacked(run.column("code"), layout)
+            table, part = divmod(run.column("place")[0].as_py(), 1 << layout.width)
             i, j = np.triu_indices(len(node), 1)
-            near = bits_between(code[i], code[j]) <= RADIUS
+            near = bits_between(code[i], code[j]).sum(axis=1) <= layout.radius
             i, j = i[near], j[near]
             if not len(i):
                 continue
@@ -216,7 +257,7 @@ def _reranked(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_batches(both, ["a", "b", "x", "y"], setup, "a bigint, b bigint")
 
 
-def _crowded_links(posted: DataFrame, classes: DataFrame) -> DataFrame:
+def _crowded_links(posted: DataFrame, classes: DataFrame, layout: Layout) -> DataFrame:
     """(a, b, n): for long lists, counts of linked vectors by node (b null) and a spanning forest (n null)."""
     dealt = in_blocks(posted, "key", "node", BLOCK).join(classes.select("node", "embedding", "copies"), "node")
     dealt = dealt.select("key", "_i", "_j", "_own", "place", "node", "code", "copies", "embedding").repartition("key", "_i", "_j").sortWithinPartitions("key", "_i", "_j")
@@ -225,8 +266,8 @@ def _crowded_links(posted: DataFrame, classes: DataFrame) -> DataFrame:
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, ("key", "_i", "_j")):
             own, node, copies = (run.column(c).to_numpy() for c in ("_own", "node", "copies"))
-            code = run.column("code").to_numpy().view(np.uint64)
-            table, part = divmod(run.column("place")[0].as_py(), 1 << PART)
+            code = unpacked(run.column("code"), layout)
+            table, part = divmod(run.column("place")[0].as_py(), 1 << layout.width)
             unit = _unit(run.column("embedding"))
             linked = np.triu(unit @ unit.T >= COSINE, 1)
             linked &= (own[:, None] != own[None, :]) | (run.column("_i")[0] == run.column("_j")[0])
@@ -254,17 +295,22 @@ def _crowded_links(posted: DataFrame, classes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(link, schema)
 
 
-def near_vectors(vectors: DataFrame) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding, label)."""
+def near_vectors(vectors: DataFrame, layout: Layout | None = None) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding, label).
+
+    ``layout``: how codes are cut; by default as the number of classes needs.
+    """
     prepare(vectors.sparkSession)
     classes = stage(_classes(vectors), "vector-classes")
-    coded = stage(_coded(classes, learn_quantiser(classes)), "vector-codes")
-    posted = stage(_posted(coded), "vector-postings")
+    quantiser = learn_quantiser(classes, layout=layout)
+    layout = quantiser.layout
+    coded = stage(_coded(classes, quantiser), "vector-codes")
+    posted = stage(_posted(coded, layout), "vector-postings")
     counts = stage(posted.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "vector-lists")
     short = posted.join(counts.filter(F.col("n") <= BLOCK).select("key"), "key")
     long = posted.join(counts.filter(F.col("n") > BLOCK).select("key"), "key")
-    pairs = stage(_reranked(_near_pairs(short), classes), "vector-pairs")
-    crowded = stage(_crowded_links(long, classes), "vector-crowded")
+    pairs = stage(_reranked(_near_pairs(short, layout), classes), "vector-pairs")
+    crowded = stage(_crowded_links(long, classes, layout), "vector-crowded")
     weight = classes.select(F.col("node").alias("b"), "copies")
     sides = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(weight, "b")
     links = sides.select("a", F.col("copies").alias("n")).unionByName(crowded.filter("n is not null").select("a", "n")).groupBy("a").agg(F.sum("n").alias("links"))
