@@ -248,6 +248,29 @@ def test_near_duplicates(docs, none):
     assert minhash.near_duplicates(none).collect() == []
 
 
+def test_near_duplicates_under_ambiguous_ids(spark):
+    def text(name, changed=()):
+        return " ".join(f"x{name}{i}" if i in changed else f"{name}{i}" for i in range(100))
+
+    a, b = sorted((text("a"), text("b")), key=lambda t: minhash.set_hash(minhash.shingle_set(t, minhash.WordHashes())))
+    rows = [(1, a), (1, b), (7, b), (9, b), (11, b.replace(" ", "  ", 3)), (12, b + " tail"), (20, text("c")), (21, text("c", {50})), (21, text("d")), (22, text("d", {99}))]
+    rows += [(0, text(f"e{k}")) for k in range(20)] + [(100 + k, text(f"e{k}", {99})) for k in range(20)]  # a placeholder id
+    rows += [(30, text("f")), (30, text("f", {99})), (31, text("f", {0}))]  # near copies under one id
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = minhash.near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    found = {}
+    for r in got:
+        found.setdefault(r["doc_id"], []).append((r["component_id"], r["kept"]))
+    assert found[1] == [(1, True)] * 2 and all(found[i] == [(1, False)] for i in (7, 9, 11, 12))
+    assert found[20] == [(20, True)] and sorted(found[21]) == [(20, False), (21, True)] and found[22] == [(21, False)]
+    assert found[0] == [(0, True)] * 20 and all(found[100 + k] == [(0, False)] for k in range(20))
+    assert sorted(found[30]) == [(30, False), (30, True)] and found[31] == [(30, False)]
+    kept = [tuple(r) for r in minhash.drop_near_duplicates(docs).collect()]
+    first = [t for t in (text("f"), text("f", {99})) if (30, t) in kept]
+    assert len(first) == 1 and sorted(kept) == sorted([*rows[:2], (20, text("c")), (21, text("d")), *[r for r in rows if r[0] == 0], (30, first[0])])
+
+
 def test_stages_keep_columns(spark, docs, none):
     plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
     for _, function in corpus_pipeline.STAGES[:-1]:

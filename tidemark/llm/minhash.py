@@ -20,9 +20,12 @@
 
 Links are pairs of documents with 100 * intersection >= 75 * union. A null text is
 empty. A null doc_id has a null component, is kept, and links with nothing.
-Repeated rows get equal results. Where rows of one doc_id hold different texts,
-the text of the least set hash stands for the id; the other texts meet only
-their exact copies. Extra columns are ignored. An empty table gives no rows.
+Repeated rows get equal results. A component is named by the least doc_id of its
+rows, and the rows with that id are kept. Rows of one doc_id with different texts
+are documents of their own: sharing an id links nothing, components that share their least
+id have one name, and where a component holds several texts of its least id, those
+of the least set hash are kept. Sets are told apart by 64 of their hash's bits in links,
+by 128 among exact copies. Extra columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -89,8 +92,8 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 def _sign() -> Callable:
     words = WordHashes()
 
-    def sign(ids, texts):
-        out = {"doc_id": ids, "n_shingles": [], "lo": [], "hi": [], "sig": []}
+    def sign(ids, texts, digests):
+        out = {"doc_id": ids, "digest": digests, "n_shingles": [], "lo": [], "hi": [], "sig": []}
         for text in texts:
             s = shingle_set(text, words)
             lo, hi = set_hash(s)
@@ -103,11 +106,25 @@ def _sign() -> Callable:
     return sign
 
 
+def _with_digest(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
+
+
 def _classes(signed: DataFrame) -> DataFrame:
-    """One row per distinct set that some document with an id holds: node, lo, hi, sig; node is the least id."""
-    sets = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("lo", "hi").agg(F.min("doc_id").alias("node"), F.any_value("sig").alias("sig"))
-    first = F.struct("lo", "hi", "sig")
-    return sets.groupBy("node").agg(F.min(first).alias("f")).select("node", "f.lo", "f.hi", "f.sig")
+    """(node, hi, doc_id, digest, sig): each distinct set that some document with an id holds; node is its hash.
+
+    ``doc_id`` and ``digest`` are those of its first row: the least id, the least digest under it.
+    """
+    first = F.min(F.struct("doc_id", "digest")).alias("f")
+    sets = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("lo", "hi").agg(first, F.any_value("sig").alias("sig"))
+    return sets.select(F.col("lo").alias("node"), "hi", "f.doc_id", "f.digest", "sig")
+
+
+def _texts(docs: DataFrame, classes: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """(node, text): the text of the first row of each posted class; repeated rows are one before the join."""
+    rows = _with_digest(docs).filter("doc_id is not null").groupBy("doc_id", "digest").agg(F.any_value("text").alias("text"))
+    posted = classes.join(prefixes.select("node").distinct(), "node").select("node", "doc_id", "digest")
+    return rows.join(posted, ["doc_id", "digest"]).select("node", "text")
 
 
 def _prefixes(classes: DataFrame) -> DataFrame:
@@ -133,24 +150,20 @@ def _collide(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.filter(equal >= MATCHES).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that are links on their full sets; each text moves once per pivot ``b`` that it meets."""
     sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = pairs.join(sizes, "b").select(F.col("b").alias("pivot"), F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("part"), F.lit(1).alias("side"), F.col("a").alias("node"))
     pivots = sizes.select(F.col("b").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(0).alias("side"), F.col("b").alias("node"))
-    wanted = members.unionByName(pivots).join(classes.select("node", "lo"), "node")
-    texts = docs.select(F.col("doc_id").alias("node"), "text").filter("node is not null")
-    dealt = wanted.join(texts, "node").select("pivot", "part", "side", "node", "lo", "text").repartition("pivot", "part").sortWithinPartitions("pivot", "part", "side")
+    dealt = members.unionByName(pivots).join(texts, "node").select("pivot", "part", "side", "node", "text").repartition("pivot", "part").sortWithinPartitions("pivot", "part", "side")
     schema = as_schema("a bigint, b bigint")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, at, pivot = WordHashes(), None, None
         for batch in batches:
             a, b = [], []
-            for p, part, side, node, lo, text in zip(*[batch.column(c).to_pylist() for c in ("pivot", "part", "side", "node", "lo", "text")], strict=True):
+            for p, part, side, node, text in zip(*[batch.column(c).to_pylist() for c in ("pivot", "part", "side", "node", "text")], strict=True):
                 s = shingle_set(text, words)
-                if set_hash(s)[0] != lo:
-                    continue
                 if side == 0:
                     at, pivot = (p, part), s
                 elif at == (p, part) and similar(pivot, s):
@@ -197,7 +210,7 @@ def forest(a: np.ndarray, b: np.ndarray, component: np.ndarray) -> tuple[list[in
     return kept
 
 
-def _rest(prefixes: DataFrame, pivots: DataFrame, classes: DataFrame, linked: DataFrame, docs: DataFrame) -> DataFrame:
+def _rest(prefixes: DataFrame, pivots: DataFrame, linked: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that join components within the lists of a pivot, confirmed on full sets.
 
     Lists with the same pivot are taken together: their members move once for
@@ -209,9 +222,7 @@ def _rest(prefixes: DataFrame, pivots: DataFrame, classes: DataFrame, linked: Da
     others = stage(others.join(at, "node", "left").withColumn("component", F.coalesce("component", "node")), "others")
     mixed = others.groupBy("pivot").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("pivot")
     open_groups = others.join(stage(mixed, "mixed"), "pivot")
-    dealt = in_blocks(open_groups, "pivot", "node", BLOCK).join(classes.select("node", "lo"), "node")
-    texts = docs.select(F.col("doc_id").alias("node"), "text").filter("node is not null")
-    dealt = dealt.join(texts, "node").select("pivot", "_i", "_j", "_own", "node", "component", "lo", "text")
+    dealt = in_blocks(open_groups, "pivot", "node", BLOCK).join(texts, "node").select("pivot", "_i", "_j", "_own", "node", "component", "text")
     dealt = dealt.repartition("pivot", "_i", "_j").sortWithinPartitions("pivot", "_i", "_j")
     schema = as_schema("a bigint, b bigint")
 
@@ -222,11 +233,10 @@ def _rest(prefixes: DataFrame, pivots: DataFrame, classes: DataFrame, linked: Da
             if (component == component[0]).all():
                 continue
             sets = [shingle_set(t.as_py(), words) for t in run.column("text")]
-            right = np.array([set_hash(s)[0] for s in sets]) == run.column("lo").to_numpy()
             size = np.array([len(s) for s in sets])
             shared = shared_counts(sets)
             linked = 100 * shared >= PERCENT * (size[:, None] + size[None, :] - shared)
-            linked &= (component[:, None] != component[None, :]) & right[:, None] & right[None, :]
+            linked &= component[:, None] != component[None, :]
             linked &= (own[:, None] != own[None, :]) | (run.column("_i")[0] == run.column("_j")[0])
             a, b = forest(*np.nonzero(np.triu(linked, 1)), component)
             a, b = np.maximum(node[a], node[b]), np.minimum(node[a], node[b])
@@ -235,30 +245,42 @@ def _rest(prefixes: DataFrame, pivots: DataFrame, classes: DataFrame, linked: Da
     return dealt.mapInArrow(confirm, schema).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
+def _judged(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
     prepare(docs.sparkSession)
-    signed = stage(map_batches(docs, ["doc_id", "text"], _sign, "doc_id bigint, n_shingles bigint, lo bigint, hi bigint, sig array<bigint>"), "signed")
+    ddl = "doc_id bigint, digest bigint, n_shingles bigint, lo bigint, hi bigint, sig array<bigint>"
+    signed = stage(map_batches(_with_digest(docs), ["doc_id", "text", "digest"], _sign, ddl), "signed")
     classes = stage(_classes(signed), "classes")
     prefixes = stage(_prefixes(classes), "prefixes")
+    texts = stage(_texts(docs, classes, prefixes), "texts")
     central = F.max(F.struct("weight", "node"))["node"]
     pivots = stage(prefixes.groupBy("key").agg(central.alias("pivot"), F.count("*").alias("n")).filter("n > 1").select("key", "pivot"), "pivots")
     pairs = prefixes.join(pivots, "key").filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     pairs = stage(_collide(pairs, classes), "pairs")
-    links = stage(_confirmed(pairs, classes, docs), "links")
+    links = stage(_confirmed(pairs, texts), "links")
     linked = stage(components(links), "linked")
-    rest = stage(_rest(prefixes, pivots, classes, linked, docs), "rest")
+    rest = stage(_rest(prefixes, pivots, linked, texts), "rest")
     if not rest.isEmpty():
         linked = components(links.unionByName(rest))
-    of_class = classes.join(linked.withColumnRenamed("id", "node"), "node", "left").select("lo", "hi", "node", F.coalesce("component", "node").alias("c"))
-    # A text whose id stands for another text has no class row of its own: its copies share the least id.
-    out = signed.select("doc_id", "n_shingles", "lo", "hi").join(of_class, ["lo", "hi"], "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("c", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.cast("bigint").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # The least id of each component, and the set that is kept of those that have it.
+    members = linked.withColumnRenamed("id", "node").join(classes.select("node", "doc_id"), "node")
+    least = members.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("first"))
+    named = members.join(least, "component").select("node", F.col("first.doc_id").alias("c"), F.col("first.node").alias("kept_node"))
+    of_class = classes.select(F.col("node").alias("lo"), "hi", F.col("doc_id").alias("own")).join(named.withColumnRenamed("node", "lo"), "lo", "left")
+    of_class = of_class.select("lo", "hi", F.coalesce("c", "own").alias("c"), F.coalesce("kept_node", "lo").alias("kept_node"))
+    out = signed.select("doc_id", "digest", "n_shingles", "lo", "hi").join(of_class, ["lo", "hi"], "left")
+    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("c"))
+    kept = alone | (F.col("doc_id") == F.col("c")) & (F.col("lo") == F.col("kept_node"))
+    return out.select("doc_id", "digest", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
+    return _judged(docs).drop("digest")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of one document of each group, the one with the least doc_id; all their columns."""
-    judged = near_duplicates(docs)
-    gone = judged.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("not kept").select(F.col("doc_id").alias("_gone_id"))
-    return docs.join(stage(gone, "gone"), docs["doc_id"] == F.col("_gone_id"), "left_anti")
+    gone = _judged(docs).filter("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("digest").alias("_gone_digest")).distinct()
+    return docs.join(stage(gone, "gone"), (docs["doc_id"] == F.col("_gone_id")) & (F.xxhash64(docs["text"]) == F.col("_gone_digest")), "left_anti")
