@@ -168,6 +168,28 @@ def test_shared_turns_are_emitted_once_and_crowded_trees_are_cut(spark, monkeypa
             place += len(n["tokens"])
 
 
+def test_a_crowded_trunk_is_repeated_once_a_run(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PATHS", 8)
+    written = []
+    monkeypatch.setattr(chat, "read_back", lambda nodes, path, read=chat.read_back: read(written.append(nodes.cache()) or written[-1], path))
+    rows = [(c, 0, "assistant", "hello") for c in range(65)]  # the last ends in the trunk
+    rows += [(c, 1, "user", f"{c // 2} again") for c in range(64)] + [(c, 2, "user", f"{c}") for c in range(64)] + [(99, 0, "user", "alone"), (99, 1, "user", "x")]
+    got = {r["conv_id"]: r for r in chat.format_conversations(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"), RANKS).collect()}
+    assert len(got) == 66 and all(r["n_turns"] == sum(x[0] == c for x in rows) for c, r in got.items())
+    nodes = written[0].collect()
+    assert sum(n["leaf"] is not None for n in nodes) == 66
+    units = {}
+    for n in nodes:
+        units.setdefault(n["unit"], []).append(n)
+    assert len(units) == 10 and sum(n["loss_end"] > 0 for n in nodes) == 9  # 65 paths in runs of 8, and the other tree
+    for own in units.values():
+        assert sum(n["leaf"] is not None for n in own) <= 8 and sum(n["parent"] == -1 for n in own) == 1
+        place = 0
+        for n in sorted(own, key=lambda n: n["node"]):
+            assert n["start"] == place and n["position_ids"][0] == sum(a["stop"] - a["start"] for a in n["ancestors"])
+            place += len(n["tokens"])
+
+
 def test_packing(docs, none):
     got = packing.pack(docs, TOKENIZER, length=256, group=4).collect()
     reference = packing.Tokenizer.from_file(TOKENIZER)

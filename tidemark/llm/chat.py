@@ -7,8 +7,8 @@ is exact.
 
 A node of the tree is a turn after all turns before it; its key is a chained
 digest. Conversations that share their first turns share these nodes. A unit is a
-subtree of at most ``PATHS`` different conversations, with the turns that lead to
-it; it is one training sequence. The nodes of a unit are emitted depth first,
+run, depth first, of at most ``PATHS`` different conversations of one tree, with the turns
+that lead to them; it is one training sequence. The nodes of a unit are emitted depth first,
 each once, with
 
 * ``tokens`` and their ``position_ids``, which go on from the parent's;
@@ -16,8 +16,10 @@ each once, with
   besides those before them in the node;
 * ``loss``: the interval of its own tokens that is an assistant's text.
 
-A tree with more conversations than that (a first turn that a third of them share) is cut
-where its branches fit; the turns above the cut are repeated in each unit.
+A tree with more conversations than that (a first turn that a third of them share) is
+several units: a turn above n of its conversations is repeated in about n / ``PATHS`` of
+them, with its loss interval. ``format_tree`` alone (``runs_of_paths=False``) cuts below each crowded
+turn instead, one unit for each turn after it.
 Conversations that are equal throughout are one path, whose ``leaf`` they share.
 
 Rows of a conversation go by turn; equal turns by role and text, nulls first. A null
@@ -42,6 +44,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidemark.llm.common import as_schema, map_batches, prepare, runs, stage
 
 PATHS = 512
+UNITS = 64  #: units of crowded trees dealt in one task; each task may cut one short
 LOSS_ROLE = "assistant"
 # Fixed value: the pattern that the rank file's vocabulary splits text by.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -122,7 +125,32 @@ def _units(paths: DataFrame) -> DataFrame:
     return placed.withColumn("unit", F.xxhash64(F.element_at("keys", F.least(F.col("cut") + 1, F.size("keys")))))
 
 
-def format_tree(paths: DataFrame, vocabulary_path: str) -> DataFrame:
+def _runs_of_paths(paths: DataFrame) -> DataFrame:
+    """Distinct paths with their unit: the tree, or in crowded trees a run of ``PATHS`` paths in depth-first order."""
+    distinct = stage(paths.groupBy("leaf").agg(F.any_value("keys").alias("keys"), F.any_value("turns").alias("turns")), "chat-distinct")
+    first = F.element_at("keys", 1)
+    crowded = stage(distinct.groupBy(first.alias("root")).agg(F.count("*").alias("n")).filter(F.col("n") > PATHS), "chat-crowded")
+    tasks = max(1, -(-(crowded.agg(F.sum("n")).first()[0] or 0) // (UNITS * PATHS)))
+    rows = distinct.select("leaf", first.alias("root"), F.array_join("keys", "").alias("path")).join(crowded.select("root"), "root", "left_semi")
+    ordered = stage(rows, "chat-crowded-paths").repartitionByRange(tasks, "path").sortWithinPartitions("path")
+    schema, most = as_schema("leaf string, unit bigint"), PATHS
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, unit, held = None, 0, 0
+        for batch in batches:
+            leaves, units = batch.column("leaf").to_pylist(), []
+            for leaf, root in zip(leaves, batch.column("root").to_pylist(), strict=True):
+                if root != tree or held == most:
+                    tree, unit, held = root, int.from_bytes(bytes.fromhex(leaf[:16]), "big", signed=True), 0
+                held += 1
+                units.append(unit)
+            yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.string()), pa.array(units, pa.int64())], schema=to_arrow_schema(schema))
+
+    dealt = stage(ordered.select("leaf", "root").mapInArrow(deal, schema), "chat-units")
+    return distinct.join(dealt, "leaf", "left").withColumn("unit", F.coalesce("unit", F.xxhash64(first)))
+
+
+def format_tree(paths: DataFrame, vocabulary_path: str, runs_of_paths: bool = False) -> DataFrame:
     """Nodes of all units, depth first.
 
     (unit, node, parent, start, tokens, position_ids, ancestors, loss_start,
@@ -135,7 +163,8 @@ def format_tree(paths: DataFrame, vocabulary_path: str) -> DataFrame:
         "ancestors array<struct<start:bigint, stop:bigint>>, loss_start int, loss_end int, leaf string"
     )
     schema = as_schema(ddl)
-    dealt = _units(paths).select("unit", F.array_join("keys", "").alias("path"), "keys", "turns").repartition("unit").sortWithinPartitions("unit", "path")
+    units = _runs_of_paths(paths) if runs_of_paths else _units(paths)
+    dealt = units.select("unit", F.array_join("keys", "").alias("path"), "keys", "turns").repartition("unit").sortWithinPartitions("unit", "path")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocabulary(vocabulary_path).encode_ordinary
@@ -207,6 +236,6 @@ def format_conversations(rows: DataFrame, vocabulary_path: str) -> DataFrame:
     """Digest of each conversation of rows (conv_id, turn, role, text), read back from the formatted tree."""
     prepare(rows.sparkSession)
     paths = stage(conversation_paths(rows), "chat-paths")
-    nodes = format_tree(paths, vocabulary_path)
+    nodes = format_tree(paths, vocabulary_path, runs_of_paths=True)
     digests = stage(read_back(nodes, vocabulary_path), "chat-digests")
     return paths.select("conv_id", "leaf").join(digests, "leaf").select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
