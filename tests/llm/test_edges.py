@@ -86,6 +86,22 @@ def test_extraction_by_names_and_place():
     assert extract.main_text("<p>&copy; 2024") == "© 2024"
 
 
+def test_extraction_keeps_the_body_against_tags_and_names():
+    body = [f"Part {k} of a long enough body that tells the story of the day, with commas, and a point." for k in range(6)]
+    text, paragraphs = "\n".join(body), "".join(f"<p>{b}</p>" for b in body)
+    cards = "".join(f"<article class=card><h3><a href=x>Other {k}</a></h3><p>An excerpt of another story, cut off here ...</p></article>" for k in range(3))
+    assert extract.main_text(f"<body><div class=post>{paragraphs}</div><div>{cards}</div></body>") == text
+    parts = [f"<article><p>{b}</p></article>" for b in body]
+    assert extract.main_text(f"<body><div>{''.join(parts)}</div></body>") == text
+    assert extract.main_text(f"<body><div>{''.join(parts[:4])}</div><div>{''.join(parts[4:])}</div></body>") == text
+    assert extract.main_text(f"<body><div>{paragraphs}</div></body>") == text
+    for name in ("elementor-widget-container", "search-result", "social", "post tags"):
+        assert extract.main_text(f"<body><div class='{name}'>{paragraphs}</div></body>") == text, name
+    blocks = "".join(f"<div class='elementor-widget elementor-widget-text-editor'><p>{b}</p></div>" for b in body)
+    assert extract.main_text(f"<body><nav>menu</nav><div>{blocks}</div><div class=sidebar><p>{body[0]}</p></div></body>") == text
+    assert extract.main_text(f"<body><div><p>{body[0]}</p><p>{body[1]}</p></div><div class=comments>{paragraphs}</div></body>") == "\n".join(body[:2])
+
+
 def test_extraction_of_deep_pages_is_linear():
     deep = "<div>some words of a page " * 50_000
     assert len(extract.main_text(deep).split("\n")) >= extract.MOST_SHARE * 50_000

@@ -5,13 +5,15 @@ text. A line's ratio is its code points outside links over its tags; lines in
 menus, headers, footers, sidebars, notices, adverts, forms and comments (known by
 tag, role, class or id) have ratio 0. The ratios, of at most ``CAP`` each so that
 one long line does not hide the others, are smoothed by a Gaussian. Lines above
-the threshold, a share of the standard deviation, form clusters; the heaviest
-element that holds the clusters' text is the content region. The page's text is
-what is content in that region: all of it in an ``article`` or ``main``, and from
-the first to the last cluster elsewhere, with the headings before it.
+the threshold, a share of the standard deviation, form clusters. The content region is
+the heaviest ``article`` that holds most of the clusters' text, or ``main`` that holds half of it; else
+what encloses the articles that hold most of it together; else the innermost element
+that does. The page's text is what is content in that region: all of it in an ``article`` or ``main``,
+and from the first to the last cluster elsewhere, with the headings before it.
 
 Names such as ``has-sidebar`` tell how a page is laid out and mark nothing, and a
-``main`` is content whatever the names around it. Outside an ``article`` or ``main``, lines of
+``main`` is content whatever the names around it. A name whose elements hold most of
+the page's dense lines (of comments: all of them) marks nothing on that page. Outside an ``article`` or ``main``, lines of
 links and copyright lines at the ends of the clusters go.
 
 White space in a line becomes one space; lines are joined by one newline. A null or
@@ -38,6 +40,8 @@ SIGMA = 1.5
 CAP = 400.0
 THRESHOLD = 0.5  #: of the standard deviation of the smoothed ratios
 MOST_SHARE = 0.6  #: of the clusters' text that the content region must hold
+MAIN_SHARE = 0.5  #: that a ``main`` must hold
+DENSE = 40  #: code points a tag from which on a line tells against a name
 
 # The elements of HTML by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,6 +68,8 @@ NOISE = frozenset(
     "reader-comments related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags teaser "
     "toolbar tracking widget widgets contentinfo complementary search alert alertdialog dialog tooltip".split()
 )
+#: Of these, what readers write: it may outweigh the page's own text.
+REPLIES = frozenset("comment comments commentlist disqus reader-comments replies reply respond comment-body".split())
 HEADER = frozenset(("header", "pageheader", "topbar"))
 #: Whole names of an ``article`` that is not the page's own.
 NOT_ARTICLES = frozenset("ad advert comment comment-body promo related reply sponsored teaser".split())
@@ -99,22 +105,22 @@ def is_barred(tag: str, attributes: list[tuple[str, str | None]], in_content: bo
     return False
 
 
-def is_named_noise(tag: str, attributes: list[tuple[str, str | None]], in_content: bool) -> bool:
-    """Whether an element holds no content, by its class, id or role."""
+def noise_names(tag: str, attributes: list[tuple[str, str | None]], in_content: bool) -> set[str]:
+    """The words of an element's class, id or role that tell boilerplate."""
     if tag in ("html", "body", "main"):
-        return False
+        return set()
     named = [value for name, value in attributes if name in ("class", "id", "role") and value]
     if tag == "article":
-        return any(x.lower() in NOT_ARTICLES for value in named for x in value.split())
+        return {x.lower() for value in named for x in value.split()} & NOT_ARTICLES
     words = set().union(*map(_named_words, named))
-    return bool(words & NOISE or not in_content and words & HEADER)
+    return words & (NOISE if in_content else NOISE | HEADER)
 
 
 class Line(NamedTuple):
     text: str
     plain: int  #: code points outside links
     tags: int
-    noise: bool
+    barred: bool
     element: int  #: the innermost element around it
     heading: bool
 
@@ -126,11 +132,13 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int]] = []  # open elements: tag, number
         self.open: Counter[str] = Counter()
-        self.hidden = self.barred = self.named = self.link = self.content = 0
-        self.marks: list[tuple[int, int, int, int, int]] = []  # what each open element adds to the five counts
+        self.hidden = self.barred = self.link = self.content = 0
+        self.marks: list[tuple[int, int, int, int]] = []  # what each open element adds to the four counts
+        self.named: list[tuple[int, set[str]]] = []  # elements with names that tell boilerplate
         self.lines: list[Line] = []
         self.tags = [""]  # by number; 0 is the page
         self.last = [0]
+        self.main = [0]  # by number, the innermost main around it, or 0: names outside it do not count
         self._new_line()
 
     def _new_line(self):
@@ -142,7 +150,7 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text:
             element = self.stack[-1][1] if self.stack else 0
-            self.lines.append(Line(text, self.plain, self.n_tags, self.barred + self.named > 0, element, self.heading))
+            self.lines.append(Line(text, self.plain, self.n_tags, self.barred > 0, element, self.heading))
             self._new_line()
         else:
             tags = self.n_tags
@@ -155,11 +163,10 @@ class Lines(HTMLParser):
         self.last[number] = len(self.tags) - 1
         self._count(self.marks.pop(), -1)
 
-    def _count(self, marks: tuple[int, int, int, int, int], sign: int):
-        hidden, barred, named, link, content = marks
+    def _count(self, marks: tuple[int, int, int, int], sign: int):
+        hidden, barred, link, content = marks
         self.hidden += sign * hidden
         self.barred += sign * barred
-        self.named += sign * named
         self.link += sign * link
         self.content += sign * content
 
@@ -182,14 +189,15 @@ class Lines(HTMLParser):
         if not self.parts and tag in HEADINGS:
             self.heading = True
         barred = int(is_barred(tag, attrs, self.content > 0))
-        named = int(is_named_noise(tag, attrs, self.content > 0))
-        if tag == "main" and not self.barred:
-            named = -self.named  # content whatever the names around it
-        self.stack.append((tag, len(self.tags)))
+        number = len(self.tags)
+        if names := noise_names(tag, attrs, self.content > 0):
+            self.named.append((number, names))
+        self.main.append(number if tag == "main" and not self.barred else self.main[self.stack[-1][1]] if self.stack else 0)
+        self.stack.append((tag, number))
         self.open[tag] += 1
         self.tags.append(tag)
         self.last.append(0)
-        self.marks.append((int(tag in HIDDEN), barred, named, int(tag == "a"), int(tag in CONTENT)))
+        self.marks.append((int(tag in HIDDEN), barred, int(tag == "a"), int(tag in CONTENT)))
         self._count(self.marks[-1], 1)
 
     def handle_startendtag(self, tag, attrs):
@@ -245,6 +253,54 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(np.pad(ratios, radius, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
+def _held(element: np.ndarray, weight: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """By element, the weight of the lines in it."""
+    upto = np.concatenate([[0.0], np.bincount(element, weight, len(last)).cumsum()])
+    return upto[last + 1] - upto[:-1]
+
+
+def _noise(parser: Lines, element: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Which lines are no content: barred ones, and those under a name that tells boilerplate on this page."""
+    lines = parser.lines
+    barred = np.array([x.barred for x in lines], bool)
+    if not parser.named:
+        return barred
+    inside = _held(element, np.array([0.0 if x.barred or x.plain < DENSE * max(1, x.tags) else x.plain for x in lines]), last)
+    held: Counter[str] = Counter()
+    end: dict[str, int] = {}
+    for e, names in parser.named:
+        for name in names:
+            if e > end.get(name, -1):  # not inside another of that name
+                held[name] += inside[e]
+                end[name] = last[e]
+    void = {name for name, x in held.items() if x and x >= (1.0 if name in REPLIES else MOST_SHARE) * inside[0]}
+    around = np.zeros(len(last) + 1, np.int64)
+    for e, names in parser.named:
+        if names - void:
+            around[e] += 1
+            around[last[e] + 1] -= 1
+    around = around.cumsum()
+    main = np.array(parser.main)[element]
+    return barred | (around[element] > np.where(main > 0, around[main], 0))
+
+
+def _region(tags: list[str], inside: np.ndarray, last: np.ndarray) -> tuple[int, bool]:
+    """The content region, and whether the page marks it as its content."""
+    marked = [e for e, tag in enumerate(tags) if tag in CONTENT and inside[e] > 0]
+    whole = [e for e in marked if inside[e] >= (MAIN_SHARE if tags[e] == "main" else MOST_SHARE) * inside[0]]
+    if whole:  # the heaviest, the outermost of equals
+        return max(whole, key=lambda e: (inside[e], -e)), True
+    together, end = 0.0, -1
+    for e in marked:
+        if e > end:
+            together += inside[e]
+            end = last[e]
+    if marked and together >= MOST_SHARE * inside[0]:  # parts of one text: what encloses them all
+        return int(np.flatnonzero(last[: marked[0]] >= end)[-1]), False
+    most = [e for e in np.flatnonzero(inside >= MOST_SHARE * inside[0]).tolist() if tags[e] in REGIONS]
+    return most[-1] if inside[0] and most else 0, False  # numbers grow inwards, so the innermost
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page."""
     if not html:
@@ -252,25 +308,17 @@ def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html)
     lines = parser.finish()
-    good = np.array([not x.noise for x in lines], bool)
+    element, last = np.array([x.element for x in lines], np.int64), np.array(parser.last)
+    good = ~_noise(parser, element, last)
     if not good.any():
         return ""
-    ratios = np.array([0.0 if x.noise else min(CAP, x.plain / max(1, x.tags)) for x in lines])
+    ratios = np.array([min(CAP, x.plain / max(1, x.tags)) if g else 0.0 for x, g in zip(lines, good.tolist(), strict=True)])
     smooth = smoothed(ratios)
     chosen = good & (smooth >= THRESHOLD * smooth.std())
     if not chosen.any():
         return ""
-    element = np.array([x.element for x in lines])
-    weight = np.bincount(element, np.array([x.plain for x in lines], float) * chosen, len(parser.tags))
-    upto = np.concatenate([[0.0], weight.cumsum()])
-    last = np.array(parser.last)
-    inside = upto[last + 1] - upto[:-1]  # by element, the text that the clusters have in it
-    marked = [e for e, tag in enumerate(parser.tags) if tag in CONTENT and inside[e] > 0]
-    if marked:  # the page names its content: the heaviest such element, the outermost of equals
-        region = max(marked, key=lambda e: (inside[e], -e))
-    else:
-        most = [e for e in np.flatnonzero(inside >= MOST_SHARE * inside[0]).tolist() if parser.tags[e] in REGIONS]
-        region = most[-1] if inside[0] and most else 0  # numbers grow inwards, so the innermost
+    inside = _held(element, np.array([x.plain for x in lines], float) * chosen, last)
+    region, marked = _region(parser.tags, inside, last)
     held = np.flatnonzero(good & (element >= region) & (element <= last[region])).tolist()
     if not marked:
         held = _between_clusters(lines, held, chosen)
