@@ -14,7 +14,8 @@ space; the text is framed by spaces.
 
 A null text, or one without a letter, is ``und`` with score 0. Other texts get a
 learned language: without any hit, the one with the most training documents
-(ties: the first by code point). With nothing learned every text is ``und``.
+(ties: the first by code point). With nothing learned every text is ``und``, and
+``keep_identified`` keeps the texts with a letter, as it does otherwise.
 Documents with a null id are learned from. Extra columns are ignored, or kept
 by ``keep_identified``. An empty table gives no rows.
 """
@@ -197,7 +198,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows with a language, all their columns; texts without a letter go."""
+    """The rows with a language, or with a letter if none was learned, all their columns; texts without a letter go."""
     prepare(docs.sparkSession)
     filters = learn(docs.filter(~held_out()))
 
@@ -205,6 +206,6 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     def known(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         rates = filters.false_positive()
         for part in parts:
-            yield pd.Series([_label(filters, rates, t)[0] != UNKNOWN for t in part], dtype=bool)
+            yield pd.Series([_label(filters, rates, t)[0] != UNKNOWN if filters.languages else len(grams(t)) > 0 for t in part], dtype=bool)
 
     return docs.filter(known(F.col("text")))
