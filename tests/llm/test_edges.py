@@ -241,6 +241,18 @@ def test_quality_score(docs, none, labels):
     assert quality.score_quality(none, labels).collect() == []
 
 
+def test_every_window_enters_its_dictionary(spark):
+    windows = [f"<{k}>" + "wörd " * 400 for k in range(1500)] + ["<short>"]
+    held = quality._dictionary(windows)
+    assert len(held) <= quality.DICTIONARY_BYTES and all(w[:7].encode() in held for w in windows)
+    assert len(held) > 0.99 * quality.DICTIONARY_BYTES and quality._dictionary(["a", "bc"]).rstrip() == b"a\nbc"
+    texts = spark.createDataFrame([(i, None if i % 2 else f"text {i}") for i in range(1, 41)], "doc_id bigint, text string")
+    known = texts.selectExpr("doc_id", "cast(doc_id % 3 = 0 as int) quality")
+    bad, good, used = quality.learn_dictionaries(texts, known)
+    entered = {r["doc_id"] for r in known.filter(used).collect()}
+    assert entered == {i for i in range(1, 41) if i % 2 == 0 and f"text {i}" in (bad + b"\n" + good).decode().split("\n")} != set()
+
+
 def test_language(docs, none):
     got = by_id(langid.identify(docs))
     for r in got:

@@ -7,8 +7,10 @@ dictionary the share of good ones by margin, made monotone (isotonic), calibrate
 the score.
 
 Both dictionaries come from at most about ``SAMPLE`` documents of each label,
-picked by the hash of their id, one window of ``WINDOW`` characters each; the
-calibration uses all other labelled documents, as a histogram of ``CELLS`` cells.
+picked by the hash of their id, one window of at most ``WINDOW`` characters each. A
+dictionary has ``DICTIONARY_BYTES``; the longest windows are cut to one length so that all enter (about
+700 bytes each when all are long). The calibration uses all labelled documents of which
+nothing entered, as a histogram of ``CELLS`` cells.
 Scores are of whole texts. Labels that are null, or contradict each other for one
 doc_id, are left out.
 
@@ -51,9 +53,15 @@ def held_out(column: str = "doc_id") -> Column:
 
 
 def _dictionary(samples: list[str]) -> bytes:
-    """Content of a dictionary: the samples, the last of them nearest."""
-    data = b"\n".join(s.encode("utf-8", "surrogatepass") for s in samples)[-DICTIONARY_BYTES:]
-    return data.ljust(16, b"\n")
+    """Content of a dictionary: all samples, the longest cut to one length so that they fit, the last of them nearest."""
+    data = [x.encode("utf-8", "surrogatepass") for x in samples]
+    left, most = DICTIONARY_BYTES - len(data), 0
+    for k, size in enumerate(sorted(map(len, data))):
+        most = min(size, left // (len(data) - k))
+        if most < size:
+            break
+        left -= size
+    return b"\n".join(x[:most] for x in data).ljust(16, b"\n")
 
 
 def _margins(bad: bytes, good: bytes) -> Callable:
@@ -79,14 +87,14 @@ def learn_dictionaries(docs: DataFrame, known: DataFrame, sample: int = SAMPLE)
     totals = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     rate = [min(0.5, sample / totals[q]) if totals.get(q) else 0.0 for q in (0, 1)]
     part = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) / float(1 << 20)
-    used = part < F.when(F.col("quality") == 1, rate[1]).otherwise(rate[0])
-    picked = F.broadcast(known.filter(used).select(F.col("doc_id").alias("label_id"), "quality"))  # bounded by the sample
+    sampled = part < F.when(F.col("quality") == 1, rate[1]).otherwise(rate[0])
+    picked = F.broadcast(known.filter(sampled).select(F.col("doc_id").alias("label_id"), "quality"))  # bounded by the sample
     start = (F.pmod(F.xxhash64("doc_id", F.lit(19)), F.greatest(F.lit(1), F.length("text") - WINDOW)) + 1).cast("int")
-    rows = docs.select("doc_id", "text").filter("text is not null").join(picked, F.col("doc_id") == F.col("label_id"))
-    texts = rows.select("quality", F.xxhash64("doc_id").alias("place"), F.substring("text", start, F.lit(WINDOW)).alias("text")).collect()
+    rows = docs.select("doc_id", "text").filter("text <> ''").join(picked, F.col("doc_id") == F.col("label_id"))
+    texts = rows.select("doc_id", "quality", F.xxhash64("doc_id").alias("place"), F.substring("text", start, F.lit(WINDOW)).alias("text")).collect()
     texts.sort(key=lambda r: (r["place"], r["text"]))
     bad, good = (_dictionary([r["text"] for r in texts if r["quality"] == q]) for q in (0, 1))
-    return bad, good, used
+    return bad, good, F.col("doc_id").isin({r["doc_id"] for r in texts})
 
 
 def isotonic(good: np.ndarray, total: np.ndarray, prior: float) -> np.ndarray:
