@@ -241,6 +241,16 @@ def test_quality_score(docs, none, labels):
     assert quality.score_quality(none, labels).collect() == []
 
 
+def test_repeated_rows_are_packed_in_many_groups(spark):
+    rows = spark.createDataFrame([(None, None)] * 400 + [(0, "same text")] * 300 + [(i, f"text {i}") for i in range(1, 101)], "doc_id bigint, text string")
+    got = packing.pack(rows, TOKENIZER, length=256, group=32).collect()
+    assert len(got) == 800
+    sizes = {}
+    for r in got:
+        sizes[r["sequence_id"] >> 32] = sizes.get(r["sequence_id"] >> 32, 0) + 1
+    assert len(sizes) == 25 and max(sizes.values()) < 100
+
+
 def test_every_window_enters_its_dictionary(spark):
     windows = [f"<{k}>" + "wörd " * 400 for k in range(1500)] + ["<short>"]
     held = quality._dictionary(windows)

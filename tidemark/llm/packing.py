@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import map_batches, prepare
+from tidemark.llm.common import map_batches, prepare, stage
 
 LENGTH = 4096
 END_ID = 2
@@ -157,9 +157,14 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID,
     (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)
     """
     prepare(docs.sparkSession)
-    pieces = tokenised_pieces(docs, path, length, end_id)
+    # Staging fixes the places of the rows, by which pieces repeated more than ``group`` times are dealt.
+    pieces = stage(tokenised_pieces(docs, path, length, end_id).withColumn("_place", F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-docs.count() // group))
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.lit(5)), F.lit(groups)))
+    own = F.xxhash64("doc_id", "start", "ids_crc32", F.lit(5))
+    repeated = pieces.groupBy(own.alias("_own")).agg(F.count("*").alias("n")).filter(F.col("n") > group).select("_own", F.lit(True).alias("_repeated"))
+    dealt = pieces.withColumn("_own", own).join(F.broadcast(repeated), "_own", "left")
+    dealt = dealt.withColumn("_group", F.pmod(F.when(F.col("_repeated"), F.xxhash64("_own", "_place")).otherwise(F.col("_own")), F.lit(groups)))
+    dealt = dealt.drop("_own", "_repeated", "_place")
     ddl = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
     def packed(part: pd.DataFrame) -> pd.DataFrame:
