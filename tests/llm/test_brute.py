@@ -124,6 +124,21 @@ def test_vectors(spark, layout):
     assert np.mean([got[i]["component_id"] == component[i] for i in range(1500)]) > 0.97
 
 
+def test_vectors_with_a_strong_common_mean(spark):
+    rng = np.random.default_rng(8)
+    u, v = rng.normal(size=(2, 900, 63))
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    v -= (u * v).sum(axis=1)[:, None] * u
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    near = 0.85 * u + np.sqrt(1 - 0.85**2) * v  # a cosine of 0.94 with the common component
+    data = np.concatenate([u, near]) * np.sqrt(0.4)
+    rows = [(i, [float(np.sqrt(0.6)), *x.tolist()], 0) for i, x in enumerate(data)]
+    got = {r["vec_id"]: r["component_id"] for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()}
+    found = np.mean([got[i] == got[900 + i] for i in range(900)])
+    print("recall", found)
+    assert found >= 0.97
+
+
 def test_pages(spark):
     got = result(spark, "op1_extract_pages").collect()
     assert len(got) == len(read("pages")) and all(r["n_chars"] == len(r["text"]) > 0 for r in got)

@@ -8,7 +8,9 @@
    part and under all parts one bit away, so that two classes whose parts differ in at
    most two bits share a key: with t tables no pair within 3t - 1 bits is missed. Parts
    grow by a bit when the classes double, so that lists of unlike vectors keep their
-   length; the number of tables follows from the recall wanted (``Layout``).
+   length; the number of tables follows from the recall wanted (``Layout``). Signs are taken
+around the sample's mean, so angles are too: a strong common component makes them
+wider, the tables more, and the radius larger.
 4. A pair is judged in one list only: of its first table in which it meets, under
    the least key that both have. Lists up to ``BLOCK`` members give pairs
    within the radius, which are reranked by cosine. Longer lists, such as those
@@ -16,7 +18,8 @@
    compare the original vectors and return counts and a spanning forest, not pairs.
 
 Links are pairs of one label with a cosine of at least ``COSINE`` in double precision,
-found with a recall of about 0.95 at that cosine and of nearly 1 above 0.96. Vectors that are
+found with a recall of about 0.95 at that cosine and of nearly 1 above 0.96 (less where
+the squared mean is beyond about 0.7, as there are at most ``MOST_TABLES``). Vectors that are
 null, empty, zero or hold null or non-finite values, rows with a null label and
 vectors of different lengths link with nothing. A null vec_id has no links and a null
 component, and is kept. Rows of one vec_id count as vectors of their own. Extra
@@ -40,12 +43,24 @@ from tidemark.llm.common import as_schema, components, in_blocks, map_batches, p
 COSINE = 0.93
 LEAST_WIDTH = 16  #: bits of a part, at least
 MISSED = 0.02  #: share of the pairs at ``COSINE`` that may meet in no table, by independent bits
-RADIUS_SHARE = 0.2  #: bits of a code that may differ
+MOST_TABLES = 16
+RADIUS_SHARE = 0.2  #: bits of a code that may differ, at least
+BEYOND = 0.001  #: share of the pairs at ``COSINE`` that may differ in more bits than the radius
 SAMPLE = 20_000
 ROUNDS = 50
 BLOCK = 256
 
 
+def bit_shares(spread: np.ndarray) -> np.ndarray:
+    """The chance that a bit of two vectors at ``COSINE`` differs, by their squared distance from the mean."""
+    return np.arccos(np.clip(1 - (1 - COSINE) / np.maximum(spread, 1e-9), -1, 1)) / math.pi
+
+
+def within(bits: int, most: int, p: np.ndarray) -> np.ndarray:
+    """The chance that at most ``most`` of ``bits`` differ."""
+    return sum(math.comb(bits, k) * p**k * (1 - p) ** (bits - k) for k in range(most + 1))
+
+
 @dataclass(frozen=True)
 class Layout:
     """How a code is cut: ``tables`` parts of ``width`` bits."""
@@ -54,23 +69,23 @@ class Layout:
     tables: int
 
     @classmethod
-    def of(cls, classes: int) -> Layout:
+    def of(cls, classes: int, spread: np.ndarray | None = None) -> Layout:
         """A key for every class or two, and tables enough for the recall.
 
-        A bit differs with the chance of the angle; parts that differ in up to two bits meet.
+        A bit differs with the chance of the angle around the mean; parts that differ in up to two bits meet.
         """
         width = max(LEAST_WIDTH, classes.bit_length() + 1)
-        p = math.acos(COSINE) / math.pi
-        meets = sum(math.comb(width, k) * p**k * (1 - p) ** (width - k) for k in range(3))
-        return cls(width, math.ceil(math.log(MISSED) / math.log(1 - meets)))
+        apart = 1 - within(width, 2, bit_shares(np.ones(1) if spread is None else spread))
+        return cls(width, next((t for t in range(1, MOST_TABLES) if (apart**t).mean() <= MISSED), MOST_TABLES))
 
     @property
     def bits(self) -> int:
         return self.width * self.tables
 
-    @property
-    def radius(self) -> int:
-        return math.ceil(RADIUS_SHARE * self.bits)
+    def radius(self, spread: np.ndarray) -> int:
+        """Bits that may differ: so many that hardly a pair at ``COSINE`` is beyond."""
+        p, least = bit_shares(spread), math.ceil(RADIUS_SHARE * self.bits)
+        return next((r for r in range(least, self.bits) if (1 - within(self.bits, r, p)).mean() <= BEYOND), self.bits)
 
 
 @dataclass
@@ -80,6 +95,7 @@ class Quantiser:
     layout: Layout
     mean: np.ndarray
     projection: np.ndarray  # (dimensions, bits)
+    radius: int = 0
 
     @classmethod
     def learn(cls, unit: np.ndarray, layout: Layout, rounds: int = ROUNDS) -> Quantiser:
@@ -183,6 +199,11 @@ def _unit(embeddings: pa.Array | list, dims: int | None = None) -> np.ndarray:
     return out
 
 
+def _spread(unit: np.ndarray) -> np.ndarray:
+    """Squared distances from the mean; a single vector tells nothing of them."""
+    return ((unit - unit.mean(axis=0)) ** 2).sum(axis=1) if len(unit) > 1 else np.ones(1)
+
+
 def learn_quantiser(classes: DataFrame, sample: int = SAMPLE, layout: Layout | None = None) -> Quantiser:
     """A quantiser from at most about ``sample`` vectors, picked by their hash; its layout follows from all of them."""
     total = classes.agg(F.count("*").alias("n"), F.max("dims").alias("d")).first()
@@ -192,7 +213,10 @@ def learn_quantiser(classes: DataFrame, sample: int = SAMPLE, layout: Layout | N
     part = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 20))
     picked = classes.filter(part < int((1 << 20) * min(1.0, sample / total["n"])) + 1).select("embedding").collect()
     unit = _unit([r["embedding"] for r in picked] or [[1.0] * total["d"]], total["d"])
-    return Quantiser.learn(unit, layout or Layout.of(total["n"]))
+    spread = _spread(unit)
+    quantiser = Quantiser.learn(unit, layout or Layout.of(total["n"], spread))
+    quantiser.radius = quantiser.layout.radius(spread)
+    return quantiser
 
 
 def _coded(classes: DataFrame, quantiser: Quantiser) -> DataFrame:
@@ -221,7 +245,7 @@ def _posted(coded: DataFrame, layout: Layout) -> DataFrame:
     return posted.join(coded.select("node", "label", "dims"), "node").select(F.xxhash64("label", "dims", "place").alias("key"), "place", "node", "code")
 
 
-def _near_pairs(posted: DataFrame, layout: Layout) -> DataFrame:
+def _near_pairs(posted: DataFrame, layout: Layout, radius: int) -> DataFrame:
     """(a, b): pairs of short lists within the radius, each once."""
     schema = as_schema("a bigint, b bigint")
     dealt = posted.repartition("key").sortWithinPartitions("key")
@@ -231,7 +255,7 @@ def _near_pairs(posted: DataFrame, layout: Layout) -> DataFrame:
             node, code = run.column("node").to_numpy(), unpacked(run.column("code"), layout)
             table, part = divmod(run.column("place")[0].as_py(), 1 << layout.width)
             i, j = np.triu_indices(len(node), 1)
-            near = bits_between(code[i], code[j]).sum(axis=1) <= layout.radius
+            near = bits_between(code[i], code[j]).sum(axis=1) <= radius
             i, j = i[near], j[near]
             if not len(i):
                 continue
@@ -309,7 +333,7 @@ def near_vectors(vectors: DataFrame, layout: Layout | None = None) -> DataFrame:
     counts = stage(posted.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "vector-lists")
     short = posted.join(counts.filter(F.col("n") <= BLOCK).select("key"), "key")
     long = posted.join(counts.filter(F.col("n") > BLOCK).select("key"), "key")
-    pairs = stage(_reranked(_near_pairs(short, layout), classes), "vector-pairs")
+    pairs = stage(_reranked(_near_pairs(short, layout, quantiser.radius), classes), "vector-pairs")
     crowded = stage(_crowded_links(long, classes, layout), "vector-crowded")
     weight = classes.select(F.col("node").alias("b"), "copies")
     sides = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(weight, "b")
