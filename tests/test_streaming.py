@@ -310,3 +310,24 @@ def test_kafka_and_delta_adapters_name_their_modules(spark, tmp_path):
 
 def test_envelope_fixture_is_what_the_table_holds():
     assert ENVELOPE.names == ["data", "beforeData", "headers", "ingest_date"]
+
+
+def test_parts_keep_their_partitions_and_are_one_batch_each(spark, monkeypatch):
+    from workload import streams as workload_streams
+
+    rows = spark.range(40).selectExpr("cast('{}' as binary) as value", "timestamp_seconds(id) as timestamp").repartition(4)
+    monkeypatch.setattr(workload_streams.q, "changes", lambda spark, sf_dir: None)
+    monkeypatch.setattr(workload_streams.q, "as_messages", lambda changes: rows)
+    sources = []
+
+    class Ended:
+        def awaitTermination(self, *seconds):
+            pass
+
+    monkeypatch.setattr(workload_streams.jobs, "ingest_stream", lambda spark, cfg, envelope, source: sources.append(source) or Ended())
+    cfg = workload_streams.config(spark, "parts")
+    workload_streams.ingest_in_parts(spark, "", cfg, ("second(timestamp) < 20", "second(timestamp) >= 20"))
+    batches = []
+    stream = sources[-1].writeStream.option("checkpointLocation", cfg.checkpoint_location).trigger(**cfg.trigger)
+    stream.foreachBatch(lambda df, i: batches.append((df.count(), df.select(F.input_file_name()).distinct().count()))).start().awaitTermination()
+    assert len(batches) == 1 and batches[0][0] == 40 and batches[0][1] > 2

@@ -389,13 +389,13 @@ def typed_target_table(spark, sf_dir):
 
 
 def ingest_in_parts(spark: SparkSession, sf_dir: str, cfg: JobConfig, parts: tuple[str, ...]):
-    """Land the messages in runs of one job, one for each condition; the last run and its messages."""
+    """Land the messages in runs of one job, one for each condition and each one batch; the last run and its messages."""
     folder = work_path(spark, f"{cfg.job_name}-in")
     messages = q.as_messages(q.changes(spark, sf_dir))
     for condition in parts:
         part = messages.where(condition)
-        part.coalesce(1).write.mode("append").parquet(folder)
-        source = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        part.write.mode("append").parquet(folder)
+        source = spark.readStream.schema(messages.schema).parquet(folder)  # all files that are new
         query = jobs.wait(jobs.ingest_stream(spark, cfg, ENVELOPE, source), cfg)
     return query, part
 
