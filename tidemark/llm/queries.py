@@ -7,12 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, extract, langid, minhash, mixing, packing, quality, rules, secrets, vectors
+from tidemark.llm import align, bestfit, chat, extract, langid, minhash, mixing, packing, quality, resample, rules, secrets, vectors
 from tidemark.llm.common import table
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: A conversation whose texts look like the template.
 CONTROL = r"\### Assistant: </turn> ok"
 
@@ -59,11 +61,24 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_tokens(table(spark, sf_dir, "documents"), BYTES, PIECES, RANKS)
+
+
+def op12_pack_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack_best_fit(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op13_resample_to_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_extract_pages, op2_mix_sources, op3_near_vectors, op4_format_chats, op5_pack_sequences,
         op6_quality_score, op7_language_id, op8_secret_scan, op9_quality_rules, op10_minhash_near_dedup,
+        op11_align_tokens, op12_pack_best_fit, op13_resample_to_target,
     )
 }
-ORACLES: dict[str, str] = {"op2_mix_sources": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_mix_sources": mixing.ORACLE, "op13_resample_to_target": resample.ORACLE}
