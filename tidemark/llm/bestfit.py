@@ -188,10 +188,10 @@ def pack_best_fit(docs: DataFrame, path: str, capacity: int = LENGTH, end_id: in
     pieces = stage(numbered_pieces(docs, path, capacity, end_id), "numbered-pieces")
     counts = stage(pieces.groupBy("length", "task").agg(F.count("*").alias("n")), "piece-counts")
     before = F.coalesce(F.sum("n").over(W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    shifts = counts.select("length", "task", before.alias("before"))
+    shifts = counts.select("length", "task", before.alias("before"))  # grows with the tasks: not to be broadcast
     total = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     patterns = Patterns(total, capacity)
-    numbered = pieces.join(shifts, ["length", "task"]).withColumn("number", F.col("number") + F.col("before"))
+    numbered = pieces.join(shifts.hint("merge"), ["length", "task"]).withColumn("number", F.col("number") + F.col("before"))
     schema = as_schema(RESULT)
     kept = [f.name for f in schema][:5]
 
