@@ -4,7 +4,7 @@ Tokenizer A (byte-level BPE) and B (BPE with byte fallback) encode a space and t
 token occurrences are linked if their byte ranges overlap; offsets at which tokens of both end cut
 them into groups. Neither tokenizer ever merges over a single space between a character
 that is no space and one that is no white space, so a text is cut there into
-chunks, each encoded and aligned once for as long as a task remembers it.
+chunks, each encoded and aligned once for as long as a Python worker remembers it.
 
 1. First pass: each task counts its pairs and hands them on, a row for each distinct
    pair it met since it last forgot its chunks.
@@ -57,7 +57,8 @@ BUCKET = 1 << 16  #: pairs of one hash function, about
 SLOTS = 1 << 22  #: pairs of one part of the table, about
 BLOCK = 1 << 16  #: slots of one vector that is sent
 FAN = 16
-CHUNKS, LINKS = 250_000, 4_000_000  #: what a task remembers at most before it starts anew
+CHUNKS, LINKS = 600_000, 6_000_000  #: what a Python worker remembers at most before it starts anew
+JOINED = 4096  #: chunks that are encoded as one text
 
 COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links")
 RESULT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
@@ -65,6 +66,7 @@ RESULT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint
 #: A space that ends what may be one piece: no space before it, no white space after it.
 _CUT = re.compile(r"(?<! )(?= \S)")
 _ODD = re.compile(r" (?!\S)")
+_NONE = np.zeros(0, np.int64)
 
 
 def chunks(text: str) -> list[str]:
@@ -83,12 +85,18 @@ class Encoders:
         byte = {c: b for b, c in BYTE_CHARACTERS.items()}
         tokenizer = Tokenizer.from_file(a_path)
         special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
-        self.a_bytes = {i: bytes(byte[ord(c)] for c in t) for t, i in model.items() if t not in special}
+        self.a_bytes = [b""] * (1 + max(model.values()))
+        for token, i in model.items():
+            if token not in special:
+                self.a_bytes[i] = bytes(byte[ord(c)] for c in token)
         tokenizer.encode_special_tokens = True
         self.tokenizer = tokenizer
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=b_path)
         of = self.pieces
         self.b_bytes = [bytes([int(of.id_to_piece(i)[3:5], 16)]) if of.is_byte(i) else of.id_to_piece(i).replace(MARK, " ").encode() for i in range(of.get_piece_size())]
+        self.a_sizes, self.b_sizes = (np.array([len(t) for t in of_ids], np.int64) for of_ids in (self.a_bytes, self.b_bytes))
+        # Each id as text with each sign that may follow it.
+        self.words = [b"%d%s" % (i, sign) for i in range(len(self.a_bytes)) for sign in (b",", b"|")] + [b"%d%s" % (i, sign) for i in range(len(self.b_bytes)) for sign in (b",", b";", b"\n")]
 
     def a_ids(self, texts: Sequence[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
@@ -119,27 +127,6 @@ def encoders(a_path: str, b_path: str, ranks: str | None) -> Encoders:
     return RankEncoders(a_path, b_path, ranks) if ranks else Encoders(a_path, b_path)
 
 
-def aligned(a: Sequence[int], b: Sequence[int], a_bytes, b_bytes) -> tuple[list[int], list[str], int]:
-    """(keys of the links, groups as text, number of groups) of ids whose bytes are the same in all."""
-    links, groups, i, j, at_i, at_j = [], [], 0, 0, 0, 0
-    end_a, end_b = len(a_bytes[a[0]]), len(b_bytes[b[0]])
-    while True:
-        links.append(a[i] << B_BITS | b[j])
-        if end_a == end_b:
-            groups.append(f"{','.join(map(str, a[at_i : i + 1]))}|{','.join(map(str, b[at_j : j + 1]))}")
-            i, j = i + 1, j + 1
-            if i == len(a):
-                return links, groups, len(groups)
-            at_i, at_j = i, j
-            end_a, end_b = end_a + len(a_bytes[a[i]]), end_b + len(b_bytes[b[j]])
-        elif end_a < end_b:
-            i += 1
-            end_a += len(a_bytes[a[i]])
-        else:
-            j += 1
-            end_b += len(b_bytes[b[j]])
-
-
 class _Numbers(dict):
     def __init__(self):
         self.fresh: list[str] = []
@@ -153,8 +140,9 @@ class _Numbers(dict):
 class ChunkMemory:
     """Chunks by number, with their tokens, groups and links; ``forget`` bounds it."""
 
-    def __init__(self, of: Encoders):
-        self.of = of
+    def __init__(self, of: Encoders, texts: bool):
+        """``texts``: whether the groups are wanted as text."""
+        self.of, self.texts = of, texts
         self.forget()
 
     def forget(self) -> None:
@@ -169,9 +157,9 @@ class ChunkMemory:
 
     def read(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(chunk numbers of all texts, how many each has); a text that has no tokens has no chunks."""
-        of_texts = [list(map(self.numbers.__getitem__, chunks(t))) if t and MARK not in t else [] for t in texts]
+        of_texts = [np.fromiter(map(self.numbers.__getitem__, own := chunks(t)), np.int64, len(own)) if t and MARK not in t else _NONE for t in texts]
         self._learn()
-        numbers = np.fromiter((n for o in of_texts for n in o), np.int64)
+        numbers = np.concatenate([_NONE, *of_texts])
         sizes = np.fromiter(map(len, of_texts), np.int64, len(of_texts))
         bad = self.shape[numbers, 0] == 0
         if bad.any():
@@ -181,22 +169,54 @@ class ChunkMemory:
         return numbers, sizes
 
     def _learn(self) -> None:
+        """Encode and align the chunks that are new; most of them joined again, which is faster than one by one."""
         fresh, self.numbers.fresh = self.numbers.fresh, []
-        a_bytes, b_bytes = self.of.a_bytes, self.of.b_bytes
-        shape, links = [], []
-        for chunk, a, b in zip(fresh, self.of.a_ids([f" {c}" for c in fresh]), self.of.b_ids(fresh), strict=True):
-            data = f" {chunk}".encode()
-            if b"".join(map(a_bytes.__getitem__, a)) == data == b"".join(map(b_bytes.__getitem__, b)):
-                own, groups, n = aligned(a, b, a_bytes, b_bytes)
-                self.groups.append(";".join(groups).encode())
-                shape.append((len(a), len(b), n, len(own)))
-                links += own
+        found, block = [], []
+        for chunk in fresh:
+            plain = chunk and chunk[-1] != " " and not chunk[0].isspace()
+            if block and (not plain or len(block) == JOINED):
+                found += self._aligned(block)
+                block = []
+            if plain:
+                block.append(chunk)
             else:
-                self.groups.append(b"")
-                shape.append((0, 0, 0, 0))
+                found += self._aligned([chunk])
+        if block:
+            found += self._aligned(block)
         if fresh:
-            self.shape = np.concatenate([self.shape, np.array(shape, np.int64)])
-            self.links = np.concatenate([self.links, np.array(links, np.int64)])
+            self.shape = np.concatenate([self.shape, *[f[0] for f in found]])
+            self.links = np.concatenate([self.links, *[f[1] for f in found]])
+            for f in found:
+                self.groups += f[2]
+
+    def _aligned(self, block: list[str]) -> list[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+        """(shape, links, groups) of chunks, in one or more parts."""
+        of, text = self.of, " ".join(block)
+        data = f" {text}".encode()
+        a, b = of.a_ids([f" {text}"])[0], of.b_ids([text])[0]
+        same = b"".join(map(of.a_bytes.__getitem__, a)) == data == b"".join(map(of.b_bytes.__getitem__, b))
+        if not same:
+            if len(block) == 1:
+                return [(np.zeros((1, 4), np.int64), _NONE, [b""])]
+            return [part for chunk in block for part in self._aligned([chunk])]
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        ends_a, ends_b = np.cumsum(of.a_sizes[a]), np.cumsum(of.b_sizes[b])
+        ends = np.cumsum([len(c.encode()) + 1 for c in block])
+        either, both = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        # Between two neighbouring ends lies one token of A and one of B: a link.
+        links = a[np.searchsorted(ends_a, either)] << B_BITS | b[np.searchsorted(ends_b, either)]
+        shape = np.diff(np.column_stack([np.searchsorted(e, ends, side="right") for e in (ends_a, ends_b, both, either)]), axis=0, prepend=0)
+        return [(shape, links, self._texts(a, b, ends_a, ends_b, both, ends) if self.texts else [])]
+
+    def _texts(self, a, b, ends_a, ends_b, both, ends) -> list[bytes]:
+        """The groups of each chunk: each id's text with what follows it, in order of group, A before B."""
+        of = self.of
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        last_a, last_b = both[group_a] == ends_a, both[group_b] == ends_b
+        closes = last_b & (ends[np.minimum(np.searchsorted(ends, ends_b), len(ends) - 1)] == ends_b)
+        words = np.concatenate([2 * a + last_a, 2 * len(of.a_bytes) + 3 * b + last_b + closes])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        return b"".join(map(of.words.__getitem__, words[order].tolist())).split(b"\n")[:-1]
 
     def pair_counts(self, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(key, count) of all links of the chunks, each as often as given."""
@@ -212,15 +232,21 @@ def dealt(keys: np.ndarray) -> np.ndarray:
     return (mix(keys.astype(np.uint64) + np.uint64(1)) >> np.uint64(33)).astype(np.int64)
 
 
+@cache
+def memories(make: Sequence, texts: bool) -> ChunkMemory:
+    """A Python worker's memory, kept from task to task: most words of a task are in the next one too."""
+    return ChunkMemory(encoders(*make), texts)
+
+
 def pair_counts(docs: DataFrame, make: Sequence) -> DataFrame:
     """(key, h, n): counts of pairs, several rows for a pair that several tasks met."""
     schema = as_schema("key bigint, h bigint, n bigint")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, times = ChunkMemory(encoders(*make)), np.zeros(0, np.int64)
+        memory, times = memories(make, False), np.zeros(0, np.int64)
 
         def told() -> pa.RecordBatch:
-            keys, counts = memory.pair_counts(times)
+            keys, counts = memory.pair_counts(np.pad(times, (0, len(memory.numbers) - len(times))))
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(dealt(keys)), pa.array(counts)], schema=to_arrow_schema(schema))
 
         for batch in batches:
@@ -367,7 +393,7 @@ def looked_up(docs: DataFrame, table: PairTable, make: Sequence) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, part, sums = ChunkMemory(encoders(*make)), shared.value, np.zeros((0, 2), np.int64)
+        memory, part, sums = memories(make, True), shared.value, np.zeros((0, 2), np.int64)
         for batch in batches:
             numbers, sizes = memory.read(batch.column("text").to_pylist())
             fresh = memory.links[memory.shape[: len(sums), 3].sum() :]
