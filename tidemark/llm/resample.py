@@ -124,18 +124,18 @@ def score_documents(docs: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def weighted_median(keys: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """The first row, in order of the columns, at which half of the weight is reached."""
+    """The first row, in order of the columns, at which half of the weight is reached: never the last of several."""
     order = np.lexsort(keys.T[::-1])
     return keys[order[np.searchsorted(2 * np.cumsum(weight[order]), weight.sum())]]
 
 
-def _below(keys: np.ndarray, pivot: tuple) -> np.ndarray:
+def _up_to(keys: np.ndarray, pivot: tuple) -> np.ndarray:
     s, d, p = keys.T
-    return (s < pivot[0]) | (s == pivot[0]) & ((d < pivot[1]) | (d == pivot[1]) & (p < pivot[2]))
+    return (s < pivot[0]) | (s == pivot[0]) & ((d < pivot[1]) | (d == pivot[1]) & (p <= pivot[2]))
 
 
 def _run_medians(keys: DataFrame, pivot: tuple | None) -> list[tuple[int, int, tuple]]:
-    """(side, weight, median) of merged runs of keys below (0) and not below (1) the pivot; all count as 1 without a pivot."""
+    """(side, weight, median) of merged runs of keys up to (0) and beyond (1) the pivot; all count as 1 without a pivot."""
     schema = as_schema("side int, part int, weight bigint, _s bigint, _d bigint, _p bigint")
     arrow = to_arrow_schema(schema)
 
@@ -144,7 +144,7 @@ def _run_medians(keys: DataFrame, pivot: tuple | None) -> list[tuple[int, int, t
 
         def reduced() -> pa.RecordBatch:
             rows = np.concatenate(held)
-            low = _below(rows, pivot) if pivot else np.zeros(len(rows), bool)
+            low = _up_to(rows, pivot) if pivot else np.zeros(len(rows), bool)
             out = [(side, (task * 31 + done) % FAN, len(k), *weighted_median(k, np.ones(len(k), np.int64)).tolist()) for side, k in enumerate((rows[low], rows[~low])) if len(k)]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
 
@@ -179,7 +179,7 @@ def select_key(keys: DataFrame, place: int) -> tuple | None:
             return None
         side = 1 if pivot is None or left > held[0] else 0
         if pivot is not None:
-            keys = keys.filter(F.struct(*KEY) < _literal(pivot) if side == 0 else F.struct(*KEY) >= _literal(pivot))
+            keys = keys.filter(F.struct(*KEY) <= _literal(pivot) if side == 0 else F.struct(*KEY) > _literal(pivot))
             left -= held[0] if side else 0
         if held[side] <= BASE:
             return sorted(tuple(r) for r in keys.collect())[left - 1]
