@@ -329,7 +329,8 @@ def test_near_duplicates_under_ambiguous_ids(spark):
     assert len(got) == len(rows)
     found = {}
     for r in got:
-        found.setdefault(r["doc_id"], []).append((r["component_id"], r["kept"]))
+        found.setdefault(r["doc_id"], []).append((r["component_id"], r["first"]))
+        assert r["kept"] == (r["doc_id"] == r["component_id"])
     assert found[1] == [(1, True)] * 2 and all(found[i] == [(1, False)] for i in (7, 9, 11, 12))
     assert found[20] == [(20, True)] and sorted(found[21]) == [(20, False), (21, True)] and found[22] == [(21, False)]
     assert found[0] == [(0, True)] * 20 and all(found[100 + k] == [(0, False)] for k in range(20))

@@ -21,10 +21,10 @@
 Links are pairs of documents with 100 * intersection >= 75 * union. A null text is
 empty. A null doc_id has a null component, is kept, and links with nothing.
 Repeated rows get equal results. A component is named by the least doc_id of its
-rows, and the rows with that id are kept. Rows of one doc_id with different texts
+rows. Rows of one doc_id with different texts
 are documents of their own: sharing an id links nothing, components that share their least
 id have one name, and where a component holds several texts of its least id, those
-of the least set hash are kept. Sets are told apart by 64 of their hash's bits in links,
+of the least set hash are its ``first`` ones. Sets are told apart by 64 of their hash's bits in links,
 by 128 among exact copies. Extra columns are ignored. An empty table gives no rows.
 """
 
@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm.common import WordHashes, as_schema, components, in_blocks, map_batches, mix, prepare, runs, split_words, stage, windows
+from tidemark.operators.sizing import broadcast_if_small
 
 COORDINATES = 32
 MATCHES = 14
@@ -121,10 +122,15 @@ def _classes(signed: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, classes: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """(node, text): the text of the first row of each posted class; repeated rows are one before the join."""
-    rows = _with_digest(docs).filter("doc_id is not null").groupBy("doc_id", "digest").agg(F.any_value("text").alias("text"))
+    """(node, text): the text of the first row of each posted class.
+
+    The rows meet the posted keys before they are put together, so where these
+    keys are few enough to be broadcast, only the texts of candidates move.
+    """
     posted = classes.join(prefixes.select("node").distinct(), "node").select("node", "doc_id", "digest")
-    return rows.join(posted, ["doc_id", "digest"]).select("node", "text")
+    posted = broadcast_if_small(stage(posted, "posted"))
+    rows = _with_digest(docs).join(posted, ["doc_id", "digest"])
+    return rows.groupBy("node").agg(F.any_value("text").alias("text"))
 
 
 def _prefixes(classes: DataFrame) -> DataFrame:
@@ -276,11 +282,19 @@ def _judged(docs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
-    return _judged(docs).drop("digest")
+    """(doc_id, n_shingles, component_id, kept, first) of every row of ``docs`` (doc_id, text).
+
+    ``kept`` says that the row's id names its component; ``first``, that
+    ``drop_near_duplicates`` keeps the row.
+    """
+    alone = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return _judged(docs).select("doc_id", "n_shingles", "component_id", alone.alias("kept"), F.col("kept").alias("first"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of one document of each group, the one with the least doc_id; all their columns."""
+    """The rows of one document of each group, the one with the least doc_id; all their columns.
+
+    Texts stay where they are while the list of what goes, 48 bytes a row, is small enough to be broadcast; beyond that they are exchanged once.
+    """
     gone = _judged(docs).filter("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("digest").alias("_gone_digest")).distinct()
-    return docs.join(stage(gone, "gone"), (docs["doc_id"] == F.col("_gone_id")) & (F.xxhash64(docs["text"]) == F.col("_gone_digest")), "left_anti")
+    return docs.join(broadcast_if_small(stage(gone, "gone")), (docs["doc_id"] == F.col("_gone_id")) & (F.xxhash64(docs["text"]) == F.col("_gone_digest")), "left_anti")
