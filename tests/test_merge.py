@@ -193,3 +193,29 @@ def test_delta_merge_creates_the_table_and_keeps_null_keys_out(spark, monkeypatc
     assert condition == "t.`id` = s.`id`" and source.count() == 1
     update = next(c[2] for c in calls if c[0] == "whenMatchedUpdate")
     assert "created" not in update["set"] and update["condition"] == "coalesce(s.`change_sequence` >= t.`change_sequence`, true)"
+
+
+def by_day(spark, path):
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("value", T.StringType()), T.StructField("day", T.IntegerType())])
+    return KeyedTable(spark, path, schema, ["id"], partition_by="day"), lambda *data: spark.createDataFrame(list(data), schema)
+
+
+def test_rows_of_the_null_partition_stay(spark, tmp_path, rows):
+    keyed, frame = by_day(spark, str(tmp_path / "null"))
+    keyed.merge(frame((1, "a", None), (2, "b", None), (3, "c", 7)), (), None)
+    keyed.merge(frame((4, "d", None)), (), None)
+    assert rows(keyed.read()) == [(1, "a", None), (2, "b", None), (3, "c", 7), (4, "d", None)]
+    keyed.merge(frame((1, "A", None), (3, "C", 7)), (), None)  # known keys are met there, not added again
+    assert rows(keyed.read()) == [(1, "A", None), (2, "b", None), (3, "C", 7), (4, "d", None)]
+
+
+def test_retracted_groups_go(spark, tmp_path, rows):
+    keyed, frame = by_day(spark, str(tmp_path / "retract"))
+    keyed.merge(frame((1, "a", 5), (2, "b", 5), (3, "c", 6), (4, "d", None)), (), None)
+    gone = spark.createDataFrame([(5,), (5,), (9,)], "day int")
+    keyed.merge(frame((3, "C", 6)), (), None, whole="day", retract=gone)
+    assert rows(keyed.read()) == [(3, "C", 6), (4, "d", None)]
+    keyed.merge(frame(), (), None, whole="day", retract=spark.createDataFrame([(None,)], "day int"))
+    assert rows(keyed.read()) == [(3, "C", 6)]
+    with pytest.raises(ValueError):
+        keyed.merge(frame(), (), None, retract=gone)

@@ -22,6 +22,9 @@ STAGED = "batch string, ignored bigint"
 LAYOUT = "keys string, part string, buckets int"
 OPERATION, REFRESH = "rec_crud_text", "REFRESH"
 NULL_KEY_MODES = ("quarantine", "match", "insert")
+# How Spark names the folder of a null partition, and the characters it writes as their code in folder names.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -38,6 +41,7 @@ def merge_upsert(
     also: Sequence[str] = (),
     reload: bool = False,
     ignored: Observation | None = None,
+    null_also: bool = False,
 ) -> DataFrame:
     """The target after updating matched keys from the source and inserting the others.
 
@@ -48,7 +52,8 @@ def merge_upsert(
       lets nulls match each other, ``insert`` adds such rows unmatched.
 
     The source must hold one row per key.  ``also`` names further columns equal
-    on both sides of a match (a bucket column) to join on.
+    on both sides of a match (a bucket column) to join on; with ``null_also``
+    they may be null on both sides.
 
     Initial-load rows carry the lowest sequence, so the guard ignores them where
     a change is stored.  With ``reload`` they win: the source was loaded anew,
@@ -70,7 +75,8 @@ def merge_upsert(
 
     def same(key: str) -> Column:
         left, right = F.col(f"_t_{key}"), F.col(f"_s_{key}")
-        return left.eqNullSafe(right) if null_keys == "match" else left == right
+        null_safe = null_also and key in also or null_keys == "match" and key in keys
+        return left.eqNullSafe(right) if null_safe else left == right
 
     joined = old.join(new, reduce(and_, [same(k) for k in [*also, *keys]]), "full")
     wins = F.col("_s").isNotNull()
@@ -95,6 +101,11 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
 
 
+def escaped(value: str) -> str:
+    """A partition value as it stands in a folder name."""
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in value)
+
+
 class KeyedTable:
     """A table in Parquet with one row per key, maintained by merges.
 
@@ -167,14 +178,17 @@ class KeyedTable:
         batch: str | None = None,
         whole: str | None = None,
         reload: bool = False,
+        retract: DataFrame | None = None,
     ) -> int:
         """Merge the source rows (one per key) into the table; returns how many took effect.
 
         The others were older than the stored row (see ``merge_upsert``).  A key
         that the source holds twice is an error.  ``whole`` names a column that
         decides the partition: of each of its values that the source has, the
-        table keeps only keys that the source holds.  ``batch`` identifies the
-        source, so that a repeated batch whose staging was complete is only put
+        table keeps only keys that the source holds.  ``retract`` lists more such
+        values, with their partition: rows of a value that the source no longer
+        has at all go too.  Null is a value, and a partition, like any other.
+        ``batch`` identifies the source, so that a repeated batch whose staging was complete is only put
         in place again.
         """
         self.create()
@@ -194,27 +208,48 @@ class KeyedTable:
             if any((r[2] or 0) > 1 for r in touched):
                 raise ValueError(f"the source of {self.path} holds a key more than once")
             touched = {r[0]: r[1] for r in touched}
+            if retract is not None:
+                if whole is None:
+                    raise ValueError("retract needs whole, the column whose values it lists")
+                retract = retract.select(whole, *[c for c in [self.part] if c != whole]).distinct().persist()
+                for r in retract.select(self.part).distinct().collect():
+                    touched.setdefault(r[0], 0)
             if not touched:
                 return 0
             staged = self._staged_batch(spark)
             if staged is None or staged[0] != batch:
-                staged = batch, self._stage(source, list(touched), preserve, seq, null_keys, batch, whole, reload)
+                staged = batch, self._stage(source, list(touched), preserve, seq, null_keys, batch, whole, reload, retract)
         finally:
             source.unpersist()
+            if retract is not None:
+                retract.unpersist()
         merged = self._load(spark, f"{self.path}.staged")
         writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(self.part).parquet(self.path)
+        self._empty(spark, set(touched) - {r[0] for r in merged.select(self.part).distinct().collect()} if retract is not None else set())
         return sum(touched.values()) - staged[1]
 
+    def _empty(self, spark: SparkSession, parts: set) -> None:
+        """Leave no row in the partitions: the dynamic overwrite passes over those for which nothing is staged."""
+        columns = T.StructType([f for f in self.stored if f.name != self.part])
+        for value in parts:
+            folder = NULL_PARTITION if value is None else escaped(str(value))
+            spark.createDataFrame([], columns).write.mode("overwrite").parquet(f"{self.path}/{self.part}={folder}")
+
     def _stage(
         self, source: DataFrame, touched: list, preserve: Sequence[str], seq: str | None, null_keys: str, batch: str,
-        whole: str | None = None, reload: bool = False,
+        whole: str | None = None, reload: bool = False, retract: DataFrame | None = None,
     ) -> int:
         spark = source.sparkSession
-        old = self._load(spark, self.path).where(F.col(self.part).isin(touched))
+        null_part = None in touched
+        wanted = F.col(self.part).isin([t for t in touched if t is not None])
+        old = self._load(spark, self.path).where(wanted | F.col(self.part).isNull() if null_part else wanted)
         if whole:
             named = source.select(*[F.col(k).alias(f"_k_{k}") for k in self.keys], F.lit(True).alias("_held"))
-            groups = source.select(F.col(whole).alias("_group"), F.lit(True).alias("_sent")).distinct()
+            groups = source.select(F.col(whole).alias("_group"))
+            if retract is not None:
+                groups = groups.union(retract.select(whole))
+            groups = groups.distinct().withColumn("_sent", F.lit(True))
             same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in self.keys]
             marked = old.join(groups, F.col(whole).eqNullSafe(F.col("_group")), "left").join(named, same, "left")
             old = marked.where("_sent is null or _held").select(*old.columns)
@@ -227,7 +262,7 @@ class KeyedTable:
         with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
             merged = merge_upsert(
                 *[side.withColumn(SLICE, cut).repartition(self.part, SLICE) for side in (old, source)],
-                self.keys, preserve, seq, null_keys, [self.part, SLICE], reload, seen,
+                self.keys, preserve, seq, null_keys, [self.part, SLICE], reload, seen, null_part,
             )
             merged.drop(SLICE).write.mode("overwrite").partitionBy(self.part).parquet(f"{self.path}.staged")
         ignored = seen.get.get("rows") or 0

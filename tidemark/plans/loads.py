@@ -75,10 +75,14 @@ def load_visits(
         stamp = F.col("rec_update_timestamp")
         changed = (stamp > F.lit(marks.low)) & (stamp <= F.lit(marks.high))
         # Two literals bound the touched days, so the scan of old readings is pruned.
-        first, last = batch.agg(F.min("visit_date"), F.max("visit_date")).first()
-        days = traffic.where(F.col("visit_date").between(F.lit(first), F.lit(last)))
+        date = F.col("visit_date")
+        first, last, undated = batch.agg(F.min(date), F.max(date), F.max(date.isNull())).first()
+        span = date.between(F.lit(first), F.lit(last))
+        days = traffic.where(span | date.isNull() if undated else span)
         rows = stamped_visits(store_visits(days, store_hub, changed), job, now)
-        return table.merge(as_table(rows, STORE_VISITS.schema), seq=None, whole="visit_date")
+        # Readings without a date are a day of their own, and a day that lost all its readings goes.
+        touched = batch.select("visit_date", "visit_date_key")
+        return table.merge(as_table(rows, STORE_VISITS.schema), seq=None, null_keys="match", whole="visit_date", retract=touched)
 
     return run_incremental(spark, job, USECASE_AUDIT.path(root), traffic, load, now=now)
 
@@ -140,10 +144,13 @@ def load_metrics(
 
     def merge(batch: DataFrame, marks: Marks) -> int:
         days = touched_days(batch, sales, visits, marks.low)
-        lines = sales.join(days, F.col("order_date_key") == F.col("_day"), "left_semi")
-        rows = measured(newest_lines(lines, sales)).withColumn(MONTH.name, F.expr("date_key div 100").cast("int"))
+        lines = sales.join(days, F.col("order_date_key").eqNullSafe(F.col("_day")), "left_semi")
+        month = F.expr("date_key div 100").cast("int")
+        rows = measured(newest_lines(lines, sales)).withColumn(MONTH.name, month)
         table = KeyedTable(spark, STORE_METRICS.path(root), rows.schema, GRAIN, partition_by=MONTH.name)
-        return table.merge(rows, seq=None, whole="date_key")
+        # Sales without an order day are a day of their own; a day whose sales all moved has no row here, and goes.
+        touched = days.select(F.col("_day").alias("date_key")).withColumn(MONTH.name, month)
+        return table.merge(rows, seq=None, null_keys="match", whole="date_key", retract=touched)
 
     return run_incremental(spark, job, USECASE_AUDIT.path(root), sales, merge if mode == "merge" else insert, now=now)
 

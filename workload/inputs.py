@@ -63,6 +63,20 @@ VIEWS = {
           cast(o_orderdate as timestamp) + interval 0 day as order_timestamp,
           concat('CUR', cast(c_nationkey as varchar(20))) as currency_code
         from {orders} left join {customer} on o_custkey = c_custkey""",
+    # Every seventh order has no time of order.
+    "v_undated_log": """
+        select order_id, store_num, case when order_id % 7 = 0 then null else order_timestamp end as order_timestamp, currency_code
+        from {v_order_log}""",
+    # The same after a correction: no order is left on the first of a month.
+    "v_moved_log": """
+        select order_id, store_num, currency_code,
+          case when extract(day from order_timestamp) = 1 then order_timestamp + interval 1 day else order_timestamp end as order_timestamp
+        from {v_undated_log}""",
+    # Every item sent again.
+    "v_resent_items": """
+        select order_id, id, sku_number, ship_store_num, order_status, item_type, unit_price, quantity, tax_type, tax, tax_type2, tax2,
+          vat, ship_date, charge_timestamp, rec_update_timestamp + interval 4000 day as rec_update_timestamp
+        from {v_items}""",
     # Two validity versions per store.
     "v_mst_store": """
         select cast(s_suppkey*10+v as int) as store_rhid, concat('G',cast(s_suppkey as varchar(20))) as store_grpid,

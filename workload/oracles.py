@@ -238,7 +238,7 @@ def metrics_sql(per_day: bool) -> str:
     group by 1, 2"""
 
 
-def gold_end_to_end(per_day: bool = False, items: str = "{v_items}") -> str:
+def gold_end_to_end(per_day: bool = False, items: str = "{v_items}", order_log: str = "{v_order_log}") -> str:
     """The metrics over the online fact and the visits, in the gold table's types."""
     text = metrics_sql(per_day).replace("{v_fact}", "fact").replace("{v_visits}", "seen")
     typed = ", ".join(
@@ -246,7 +246,7 @@ def gold_end_to_end(per_day: bool = False, items: str = "{v_items}") -> str:
         for f in AGG_STORE_METRICS_DAILY.fields
         if not f.name.startswith("rec_")
     )
-    parts, fact_rows = ECOM.replace("{v_items}", items).rsplit("\nselect distinct", 1)
+    parts, fact_rows = ECOM.replace("{v_items}", items).replace("{v_order_log}", order_log).rsplit("\nselect distinct", 1)
     return f"""{parts}, fact as (select distinct{fact_rows}),
         seen as ({visits_sql("{v_traffic}")}) select {typed} from ({text}) g"""
 
@@ -546,6 +546,7 @@ ORACLES = {
         select * replace (cast(entry_count as int) as entry_count, cast(exit_count as int) as exit_count)
         from ({VISITS_MERGE.replace("'first'", "'visits'").replace("'second'", "'visits'")}) m""",
     "gold_two_loads": gold_end_to_end(per_day=True, items="{v_changed_items}"),
+    "gold_moved_days": gold_end_to_end(per_day=True, items="{v_resent_items}", order_log="{v_moved_log}"),
     "load_run_log": f"""
         with {HUBS}, daily as ({visits_sql("{v_traffic}")}), counts as (
           select (select count(*) from {{v_traffic}}) as rows_in, (select count(*) from daily) as rows_out)

@@ -298,6 +298,23 @@ def gold_two_loads(spark, sf_dir):
     return gold.drop(*[c for c in gold.columns if c.startswith("rec_")], "month_key")
 
 
+@query
+def gold_moved_days(spark, sf_dir):
+    """Orders without a day, then a correction that empties the first day of every month."""
+    root = work_path(spark, "moved")
+    hub = q.store_hub(spark, sf_dir)
+    masters = [frame(spark, sf_dir, n) for n in ("v_mst_store", "v_mst_product", "v_mst_product_line")]
+    loads.load_visits(spark, root, "visits", frame(spark, sf_dir, "v_traffic"), hub, datetime(2024, 2, 1))
+    for day, (items, log) in enumerate((("v_items", "v_undated_log"), ("v_resent_items", "v_moved_log")), 1):
+        loads.load_ecom_sales(
+            spark, root, "ecom", frame(spark, sf_dir, items), frame(spark, sf_dir, log), hub,
+            q.currency_hub(spark, sf_dir), q.product_hub(spark, sf_dir), datetime(2024, 2, day),
+        )
+        loads.load_metrics(spark, root, "gold", *masters, now=datetime(2024, 2, day, 12))
+    gold = spark.read.schema(STORE_METRICS.schema).parquet(STORE_METRICS.path(root))
+    return gold.drop(*[c for c in gold.columns if c.startswith("rec_")], "month_key")
+
+
 @query
 def load_run_log(spark, sf_dir):
     """The run log of two visit loads by name; the second has nothing to do."""
