@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -67,3 +68,90 @@ def flatten(df: DataFrame, headers: dict[str, str] | None = None) -> DataFrame:
     """``data.*`` plus chosen header fields as {header field: output column}."""
     headers = headers or {}
     return df.select("data.*", *[F.col(f"headers.{k}").alias(v) for k, v in headers.items()])
+
+
+def decode_by_writer(
+    frames: DataFrame,
+    writers: Mapping[int, T.StructType],
+    reader: T.StructType,
+    value: str = "value",
+    keep: Sequence[str] = ("ingest_date",),
+) -> DataFrame:
+    """Frames decoded by the schema each one names, laid out as ``reader``; nothing is lost on the way.
+
+    A frame is a magic zero byte, four bytes of schema id and a JSON payload. The payload becomes a
+    variant, once; a writer's columns are then taken out of it by path and cast as
+    that writer declared them before they take the reader's type. Beside
+    ``data`` come:
+
+    * ``rescued``: a JSON object of what has no place in the reader's row: fields
+      that it lacks, and values that would not cast; null if there are none;
+    * ``error``: why a frame could not be decoded (``frame``, ``schema`` or ``payload``), else null;
+    * ``raw``: the bytes of such a frame, for a quarantine folder.
+
+    A null frame, or one shorter than its header or with another magic byte, is a
+    ``frame`` error, an id that ``writers`` lacks a ``schema`` error, and bytes
+    that are no JSON object a ``payload`` error.
+    """
+    raw = F.col(value)
+    framed = F.coalesce((F.length(raw) >= WIRE_HEADER_BYTES) & (F.hex(F.substring(raw, 1, 1)) == "00"), F.lit(False))
+    schema_id = F.when(framed, F.conv(F.hex(F.substring(raw, 2, 4)), 16, 10).cast("bigint"))
+    body = F.when(framed, F.substring(raw, F.lit(WIRE_HEADER_BYTES + 1), F.length(raw)).cast("string"))
+    parsed = F.try_parse_json(F.try_validate_utf8(body))
+    known = F.coalesce(F.col("schema_id").isin(*writers), F.lit(False))
+    record = F.try_variant_get("_v", "$", "map<string,variant>")
+    named = frames.select(raw.alias("raw"), schema_id.alias("schema_id"), parsed.alias("_v"), framed.alias("_framed"), *keep)
+    error = F.when(~F.col("_framed"), "frame").when(~known, "schema").when(record.isNull(), "payload")
+    checked = named.withColumn("error", error)
+
+    def by_writer(of: Callable[[T.StructType], Column]) -> Column:
+        chosen = F.lit(None)
+        for number, writer in writers.items():
+            chosen = F.when(F.col("error").isNull() & (F.col("schema_id") == number), of(writer)).otherwise(chosen)
+        return chosen
+
+    data = by_writer(lambda w: _laid_out("$", w, reader)).alias("data")
+    rescued = by_writer(lambda w: F.concat(*_homeless("$", w, reader))).alias("_rescued")
+    out = checked.select("schema_id", data, rescued, "error", F.when(F.col("error").isNotNull(), F.col("raw")).alias("raw"), *keep)
+    text = F.when(F.size("_rescued") > 0, F.to_json(F.map_from_entries("_rescued"))).alias("rescued")
+    return out.select("schema_id", "data", text, "error", "raw", *keep)
+
+
+def _value(path: str, writer: T.DataType, reader: T.DataType) -> Column:
+    """A field as its writer declared it, in the reader's type; null if either cast fails."""
+    return F.try_variant_get("_v", path, writer.simpleString()).try_cast(reader)
+
+
+def _laid_out(path: str, writer: T.StructType, reader: T.StructType) -> Column:
+    """The reader's row out of the variant; a part that the payload lacks is null, and so is a field its writer did not have."""
+    declared = {f.name: f.dataType for f in writer.fields}
+    fields = []
+    for f in reader.fields:
+        at, own = f"{path}.{f.name}", declared.get(f.name)
+        if own is None:
+            fields.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif isinstance(f.dataType, T.StructType):
+            present = F.try_variant_get("_v", at, "map<string,variant>").isNotNull()
+            fields.append(F.when(present, _laid_out(at, own, f.dataType)).alias(f.name))
+        else:
+            fields.append(_value(at, own, f.dataType).alias(f.name))
+    return F.struct(*fields)
+
+
+def _homeless(path: str, writer: T.StructType, reader: T.StructType) -> list[Column]:
+    """Arrays of (path, JSON text) of what the payload holds there and the reader's row does not."""
+    declared = {f.name: f.dataType for f in writer.fields}
+    nested = {f.name for f in reader.fields if isinstance(f.dataType, T.StructType) and f.name in declared}
+    entries = F.map_entries(F.try_variant_get("_v", path, "map<string,variant>"))
+    placed = [F.when(_value(f"{path}.{f.name}", declared[f.name], f.dataType).isNotNull(), F.lit(f.name)) for f in reader.fields if f.name in declared and f.name not in nested]
+    placed += [F.when(F.try_variant_get("_v", f"{path}.{n}", "map<string,variant>").isNotNull(), F.lit(n)) for n in nested]
+    homes = F.array(*placed).cast("array<string>")
+    lost = F.filter(entries, lambda e: ~F.coalesce(F.array_contains(F.array_compact(homes), e["key"]), F.lit(False)) & ~F.is_variant_null(e["value"]))
+    prefix = path.removeprefix("$").removeprefix(".")
+    own = F.transform(lost, lambda e: F.struct(F.concat(F.lit(f"{prefix}." if prefix else ""), e["key"]).alias("key"), F.to_json(e["value"]).alias("value")))
+    none = F.array().cast("array<struct<key:string,value:string>>")
+    parts = [F.coalesce(own, none)]
+    for f in reader.fields:
+        if f.name in nested:
+            parts += _homeless(f"{path}.{f.name}", declared[f.name], f.dataType)
+    return parts

@@ -95,6 +95,60 @@ def effective_join(
     return matched.select(*fact.columns, *[F.col(f"_hub_{o}").alias(o) for o in columns.values()])
 
 
+def interval_sweep(
+    fact: DataFrame,
+    hub: DataFrame,
+    code: str,
+    ts: str,
+    columns: Mapping[str, str] | Sequence[str],
+    closed: str = "both",
+    slices: Sequence[object] = (),
+) -> DataFrame:
+    """The same left join for a hub whose codes have one version at a time, as one pass over facts and versions.
+
+    Facts and versions are put in one line by code and time, and each fact takes
+    the last version before it, if that is still in force: the work
+    is linear in both, where the hash join compares every fact of a code with every version
+    of it. It is meant for hubs too big to broadcast and for codes with
+    thousands of versions.
+
+    A code's versions must not overlap (``hub_overlaps`` lists those that do);
+    where they do, the one that started last counts. Versions that only touch,
+    the end of one being the start of the next, give a fact at that instant the
+    later one. ``slices`` are ascending instants that cut the time line of each code: a slice
+    is sorted in a task of its own, so a code with a third of all facts is
+    spread over as many tasks, and a version that spans several slices is put at the start of each.
+    Facts with a null code or time get nulls.
+    """
+    if closed not in ("both", "left"):
+        raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
+    if not isinstance(columns, Mapping):
+        columns = {c: c for c in columns}
+    cuts = F.array(*[F.lit(s).cast("timestamp") for s in slices]).cast("array<timestamp>")
+
+    def slice_of(time: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c <= time))
+
+    version = F.struct(F.col(END).alias("_end"), *[F.col(c).alias(o) for c, o in columns.items()])
+    kept = hub.where(F.col("hub_code").isNotNull() & F.col(START).isNotNull() & F.col(END).isNotNull() & (F.col(START) <= F.col(END)))
+    versions = kept.select(
+        F.col("hub_code").alias("_code"), F.col(START).cast("timestamp").alias("_at"), F.lit(0).alias("_side"), version.alias("_version"),
+        F.explode(F.sequence(slice_of(F.col(START)), slice_of(F.col(END)))).alias("_slice"),
+    )
+    at = F.col(ts).cast("timestamp")
+    row = F.struct(*[F.col(f"`{c}`") for c in fact.columns])
+    known = F.col(code).isNotNull() & at.isNotNull()
+    facts = fact.where(known).select(F.col(code).cast("string").alias("_code"), at.alias("_at"), F.lit(1).alias("_side"), row.alias("_row"), slice_of(at).alias("_slice"))
+    line = facts.unionByName(versions, allowMissingColumns=True)
+    so_far = Window.partitionBy("_code", "_slice").orderBy("_at", "_side", F.col("_version._end")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = line.withColumn("_last", F.last("_version", ignorenulls=True).over(so_far)).where("_side = 1")
+    valid = F.col("_at") < F.col("_last._end") if closed == "left" else F.col("_at") <= F.col("_last._end")
+    found = swept.select("_row.*", *[F.when(valid, F.col(f"_last.`{o}`")).alias(o) for o in columns.values()])
+    types = {f.name: f.dataType for f in found.schema.fields}
+    rest = fact.where(~F.coalesce(known, F.lit(False))).select(*fact.columns, *[F.lit(None).cast(types[o]).alias(o) for o in columns.values()])
+    return found.unionByName(rest)
+
+
 def hub_overlaps(hub: DataFrame) -> DataFrame:
     """Hub rows whose validity touches or overlaps the next version of the same code."""
     following = Window.partitionBy("source_system_natural_key").orderBy(START, END)

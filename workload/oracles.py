@@ -339,6 +339,23 @@ ORACLES = {
             '00' || lpad(hex(user_id), 8, '0') || hex(encode(props)) as frame from {v_cdc})
         select event_id, cast('0x' || substr(frame, 3, 8) as bigint) as schema_id,
           decode(unhex(substr(frame, 11))) as payload from framed""",
+    "decode_by_writer": """
+        with sent as (
+          select event_id, user_id, amount, event_type, event_id % 2 = 0 and event_type <> 'signup' as second, event_id % 10 = 0 as unpriced,
+            case when event_id % 7 = 0 then 'frame' when event_type = 'error' then 'schema' when event_type = 'signup' then 'payload' end as error,
+            case when event_type = 'error' then 9 when event_id % 2 = 0 and event_type <> 'signup' then 2 else 1 end as number,
+            '{"event_id":' || event_id || coalesce(',"amount":"' || cast(amount as varchar) || '"', '') || ',"event_type":"' || event_type || '"}' as first,
+            '{"data":{"event_id":' || event_id || case when event_id % 10 = 0 then ',"amount":"n/a"' else coalesce(',"amount":"' || cast(amount as varchar) || '"', '') end
+              || ',"visitor":' || user_id || '},"event_type":"' || event_type || '"}' as other
+          from {v_cdc})
+        select event_id as sent, case when error = 'frame' then null else number end as schema_id,
+          case when error is null and not second then event_id end as event_id, case when error is null and not second then amount end as amount,
+          case when error is null and second then event_id end as inner_id, case when error is null and second and not unpriced then amount end as inner_amount,
+          case when error is null then event_type end as event_type,
+          case when error is null and second then '{' || case when unpriced then '"data.amount":"\\"n/a\\"",' else '' end || '"data.visitor":"' || user_id || '"}' end as rescued,
+          error,
+          case when error = 'frame' then 2 when error is not null then 5 + strlen(case when event_type = 'signup' then first[:-2] when second then other else first end) end as raw_bytes
+        from sent""",
     "envelope_decode": f"""
         select {", ".join(f"case when event_type <> 'error' then {c} end as {c}" for c in EVENT.split(", "))},
           case when operation = 'UPDATE' then cast(amount + 1 as decimal(20,6)) end as before_amount,
@@ -436,6 +453,7 @@ ORACLES = {
     "merge_upsert": merge_sql("early", "late", True),
     "merge_reload": RELOAD,
     "merge_rebucket": merge_sql("early", "late", True),
+    "merge_bucketed_table": merge_sql("late", "early", True),
     "merge_out_of_order": merge_sql("late", "early", True),
     "merge_unguarded": merge_sql("late", "early", False),
     "distinct_lines": "select distinct l_orderkey, l_linenumber, l_returnflag from {lineitem}",
@@ -479,6 +497,8 @@ ORACLES = {
         where next_start_timestamp <= effective_end_timestamp""",
     "asof_store_join": asof(
         "store_hub", "store_num", {"store_rhid": "store_rhid", "store_grpid": "store_grpid"}, "o"),
+    "asof_store_sweep": asof(
+        "store_hub", "store_num", {"store_rhid": "store_rhid", "store_grpid": "store_grpid"}, "o"),
     "asof_ship_store_join": asof(
         "store_hub", "ship_store_num", {"store_rhid": "ship_store_rhid", "store_grpid": "ship_store_grpid"}, "i"),
     "asof_currency_join": asof(

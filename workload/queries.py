@@ -105,6 +105,27 @@ def wire_header_strip(spark, sf_dir):
     return stripped.select("event_id", "schema_id", F.decode("payload", "UTF-8").alias("payload"))
 
 
+@query
+def decode_by_writer(spark, sf_dir):
+    """Frames of two schemas, of an unknown one, cut short, and without a header, each decoded as its writer declared it."""
+    events = frame(spark, sf_dir, "v_cdc")
+    first = F.to_json(F.struct("event_id", F.col("amount").cast("string").alias("amount"), "event_type"))
+    priced = F.when(F.col("event_id") % 10 == 0, F.lit("n/a")).otherwise(F.col("amount").cast("string"))
+    second = F.to_json(F.struct(F.struct("event_id", priced.alias("amount"), F.col("user_id").alias("visitor")).alias("data"), "event_type"))
+    text = F.when(F.col("event_type") == "signup", F.substring(first, F.lit(1), F.length(first) - 1)).when(F.col("event_id") % 2 == 0, second).otherwise(first)
+    number = F.when(F.col("event_type") == "error", 9).when((F.col("event_id") % 2 == 0) & (F.col("event_type") != "signup"), 2).otherwise(1)
+    value = F.when(F.col("event_id") % 7 == 0, F.encode(F.lit("{}"), "UTF-8")).otherwise(framed(number, text))
+    data = T.StructType().add("event_id", T.LongType()).add("amount", T.StringType())
+    writers = {1: T.StructType([*data.fields]).add("event_type", T.StringType()), 2: T.StructType().add("data", data).add("event_type", T.StringType())}
+    inner = T.StructType().add("event_id", T.IntegerType()).add("amount", MONEY)
+    reader = T.StructType([*inner.fields]).add("data", inner).add("event_type", T.StringType())
+    out = envelope.decode_by_writer(events.select(value.alias("value"), F.col("event_id").alias("sent")), writers, reader, keep=("sent",))
+    return out.select(
+        "sent", "schema_id", "data.event_id", "data.amount", F.col("data.data.event_id").alias("inner_id"), F.col("data.data.amount").alias("inner_amount"),
+        "data.event_type", "rescued", "error", F.length("raw").alias("raw_bytes"),
+    )
+
+
 @query
 def envelope_decode(spark, sf_dir):
     """Payloads of error events arrive cut short and decode to nulls."""
@@ -461,6 +482,14 @@ def asof_store_join(spark, sf_dir):
     return asof(spark, sf_dir, store_hub(spark, sf_dir), "store_num", sales_ecom.STORE)
 
 
+@query
+def asof_store_sweep(spark, sf_dir):
+    """The store in force at each order, from one pass over orders and versions, cut at two instants."""
+    lines = order_lines(spark, sf_dir).select("order_id", "order_item_id", "store_num", "order_timestamp")
+    cuts = ["1995-01-01 00:00:00", "1998-01-01 00:00:00"]
+    return lookup.interval_sweep(lines, store_hub(spark, sf_dir), "store_num", "order_timestamp", sales_ecom.STORE, slices=cuts)
+
+
 @query
 def asof_ship_store_join(spark, sf_dir):
     return asof(spark, sf_dir, store_hub(spark, sf_dir), "ship_store_num", sales_ecom.SHIP_STORE)

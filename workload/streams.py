@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.config import JobConfig
 from tidemark.operators import audit
+from tidemark.operators.bucketed import BucketedTable
 from tidemark.operators.merge import KeyedTable
 from tidemark.plans import jobs as batch_jobs
 from tidemark.plans import loads
@@ -226,6 +228,16 @@ def merge_keyed_table(spark, sf_dir):
     return table.read()
 
 
+@query
+def merge_bucketed_table(spark, sf_dir):
+    """The two halves of a month merged into a catalog table that keeps its buckets, late half first."""
+    early, late = q.states(spark, sf_dir)
+    table = BucketedTable(spark, f"merged_{uuid.uuid4().hex}", late.schema, ["user_id"], buckets=8)
+    table.merge(late, preserve=["rec_create_timestamp"], batch="late")
+    table.merge(early, preserve=["rec_create_timestamp"], batch="early")
+    return table.read()
+
+
 @query
 def merge_rebucket(spark, sf_dir):
     """The first half merged into few buckets, then the second into more."""
