@@ -345,3 +345,22 @@ def test_stages_keep_columns(spark, docs, none):
     for _, function in corpus_pipeline.STAGES[:-1]:
         assert function(spark, plain, "").columns == plain.columns
         assert function(spark, plain.limit(0), "").collect() == []
+
+
+def test_a_long_conversation_is_read_back_in_linear_time(spark):
+    """10,000 turns: the ancestors of each are one interval."""
+    rows = spark.range(10_000).selectExpr("1L as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "concat('t', id) as text")
+    nodes = chat.format_tree(chat.conversation_paths(rows), RANKS, runs_of_paths=True)
+    assert nodes.selectExpr("max(size(ancestors))").first()[0] == 1
+    (got,) = chat.format_conversations(rows, RANKS).collect()
+    want = "".join(f"{'user' if i % 2 == 0 else 'assistant'}\nt{i}\n" for i in range(10_000))
+    assert got["n_turns"] == 10_000 and got["turns_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_a_page_wrapped_in_a_form_has_its_text():
+    body = "<h1>Title</h1>" + "".join(f"<p>{'some prose of paragraph ' * 12}{k}</p>" for k in range(4))
+    for wrapper in ("form", "fieldset", "aside"):
+        page = f"<body><{wrapper}><nav><a href='/'>Home</a></nav>{body}</{wrapper}></body>"
+        assert extract.main_text(page).startswith("Title\nsome prose") and "Home" not in extract.main_text(page)
+    asked = f"<body><article>{body}</article><form><label>Your name and a long explanation of this form of ours here</label></form></body>"
+    assert "Your name" not in extract.main_text(asked) and extract.main_text(asked).endswith("3")

@@ -32,8 +32,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import count
 
 import pyarrow as pa
 import tiktoken
@@ -150,12 +152,20 @@ def _runs_of_paths(paths: DataFrame) -> DataFrame:
     return distinct.join(dealt, "leaf", "left").withColumn("unit", F.coalesce("unit", F.xxhash64(first)))
 
 
+def _below(row: dict) -> list[dict]:
+    """What the nodes below a node may attend to: its ancestors and itself, touching intervals as one."""
+    own, above = {"start": row["start"], "stop": row["start"] + len(row["tokens"])}, row["ancestors"]
+    if above and above[-1]["stop"] == own["start"]:
+        return [*above[:-1], {"start": above[-1]["start"], "stop": own["stop"]}]
+    return [*above, own]
+
+
 def format_tree(paths: DataFrame, vocabulary_path: str, runs_of_paths: bool = False) -> DataFrame:
     """Nodes of all units, depth first.
 
     (unit, node, parent, start, tokens, position_ids, ancestors, loss_start,
     loss_end, leaf): ``start`` is the node's place in the unit's sequence,
-    ``ancestors`` its ancestors' intervals there, ``leaf`` set where a
+    ``ancestors`` its ancestors' intervals there, those that touch as one, ``leaf`` set where a
     conversation ends.
     """
     ddl = (
@@ -166,10 +176,14 @@ def format_tree(paths: DataFrame, vocabulary_path: str, runs_of_paths: bool = Fa
     units = _runs_of_paths(paths) if runs_of_paths else _units(paths)
     dealt = units.select("unit", F.array_join("keys", "").alias("path"), "keys", "turns").repartition("unit").sortWithinPartitions("unit", "path")
 
+    def told(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(rows), 256):
+            yield pa.RecordBatch.from_pylist(rows[at : at + 256], schema=to_arrow_schema(schema))
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocabulary(vocabulary_path).encode_ordinary
         for run in runs(batches, ("unit",)):
-            unit, rows, open_nodes, place = run.column("unit")[0].as_py(), [], [], 0
+            unit, rows, open_nodes, place, numbers = run.column("unit")[0].as_py(), [], [], 0, count()
             for keys, turns in zip(run.column("keys").to_pylist(), run.column("turns").to_pylist(), strict=True):
                 shared = 0
                 while shared < min(len(open_nodes), len(keys)) and open_nodes[shared]["key"] == keys[shared]:
@@ -182,21 +196,29 @@ def format_tree(paths: DataFrame, vocabulary_path: str, runs_of_paths: bool = Fa
                     position = above["position"] + len(above["row"]["tokens"]) if above else 0
                     lost = turn["role"] == LOSS_ROLE
                     row = {
-                        "unit": unit, "node": len(rows), "parent": above["row"]["node"] if above else -1, "start": place, "tokens": tokens,
+                        "unit": unit, "node": next(numbers), "parent": above["row"]["node"] if above else -1, "start": place, "tokens": tokens,
                         "position_ids": list(range(position, position + len(tokens))),
-                        "ancestors": [{"start": o["row"]["start"], "stop": o["row"]["start"] + len(o["row"]["tokens"])} for o in open_nodes],
+                        "ancestors": _below(above["row"]) if above else [],
                         "loss_start": len(opening) if lost else 0, "loss_end": len(opening) + len(text) if lost else 0, "leaf": None,
                     }
                     rows.append(row)
                     open_nodes.append({"key": key, "position": position, "row": row})
                     place += len(tokens)
-                open_nodes[-1]["row"]["leaf"] = keys[-1]
-            for at in range(0, len(rows), 256):
-                yield pa.RecordBatch.from_pylist(rows[at : at + 256], schema=to_arrow_schema(schema))
+                open_nodes[-1]["row"]["leaf"] = keys[-1]  # a path comes before those that go on from it, so its rows are complete
+                if len(rows) >= 256:
+                    yield from told(rows)
+                    rows = []
+            yield from told(rows)
 
     return dealt.mapInArrow(emit, schema)
 
 
+def _within(start: int, stop: int, intervals: list[dict]) -> bool:
+    """Whether one of the ascending intervals holds this one."""
+    at = bisect_right(intervals, start, key=lambda x: x["start"]) - 1
+    return at >= 0 and stop <= intervals[at]["stop"]
+
+
 def read_back(nodes: DataFrame, vocabulary_path: str) -> DataFrame:
     """Digests of each conversation, from the tokens, intervals and masks of ``format_tree`` alone.
 
@@ -204,22 +226,22 @@ def read_back(nodes: DataFrame, vocabulary_path: str) -> DataFrame:
     """
     ddl = "leaf string, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
     schema = as_schema(ddl)
-    dealt = nodes.select("unit", "node", "start", "tokens", "ancestors", "loss_start", "loss_end", "leaf").repartition("unit").sortWithinPartitions("unit", "node")
+    dealt = nodes.select("unit", "node", "parent", "start", "tokens", "ancestors", "loss_start", "loss_end", "leaf").repartition("unit").sortWithinPartitions("unit", "node")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = vocabulary(vocabulary_path).decode_bytes
         for run in runs(batches, ("unit",)):
-            parts: dict[int, tuple[str, str]] = {}
+            open_nodes: list[tuple[int, int, int, str, str]] = []
             out = []
-            for row in run.select(["start", "tokens", "ancestors", "loss_start", "loss_end", "leaf"]).to_pylist():
-                for start in [x for x in parts if x not in {a["start"] for a in row["ancestors"]}]:
-                    del parts[start]  # depth first: no later node stands below it
+            for row in run.select(["node", "parent", "start", "tokens", "ancestors", "loss_start", "loss_end", "leaf"]).to_pylist():
+                while open_nodes and open_nodes[-1][0] != row["parent"]:
+                    open_nodes.pop()  # depth first: no later node stands below it
                 tokens, a, b = row["tokens"], row["loss_start"], row["loss_end"]
-                parts[row["start"]] = (decode(tokens).decode(), unescape(decode(tokens[a:b]).decode()))
+                open_nodes.append((row["node"], row["start"], row["start"] + len(tokens), decode(tokens).decode(), unescape(decode(tokens[a:b]).decode())))
                 if row["leaf"] is None:
                     continue
-                seen = [parts[x["start"]] for x in row["ancestors"]] + [parts[row["start"]]]
-                formatted, loss = "".join(p for p, _ in seen), "".join(x for _, x in seen)
+                seen = [o for o in open_nodes[:-1] if _within(o[1], o[2], row["ancestors"])] + [open_nodes[-1]]
+                formatted, loss = "".join(o[3] for o in seen), "".join(o[4] for o in seen)
                 turns = parse_turns(formatted)
                 out.append(
                     {
