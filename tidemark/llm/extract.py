@@ -46,7 +46,9 @@ DENSE = 40  #: code points a tag from which on a line tells against a name
 # The elements of HTML by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template title head svg math canvas iframe object audio video select option optgroup datalist textarea button".split())
-BOILERPLATE = frozenset("nav footer aside form dialog menu fieldset".split())
+BOILERPLATE = frozenset("nav footer dialog menu".split())
+#: Boilerplate too, unless they hold most of the page: some page builders wrap everything in a form.
+WRAPPERS = frozenset("aside form fieldset".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split()
@@ -112,8 +114,8 @@ def noise_names(tag: str, attributes: list[tuple[str, str | None]], in_content:
     named = [value for name, value in attributes if name in ("class", "id", "role") and value]
     if tag == "article":
         return {x.lower() for value in named for x in value.split()} & NOT_ARTICLES
-    words = set().union(*map(_named_words, named))
-    return words & (NOISE if in_content else NOISE | HEADER)
+    words = set().union(*map(_named_words, named)) & (NOISE if in_content else NOISE | HEADER)
+    return words | {f"<{tag}>"} if tag in WRAPPERS else words
 
 
 class Line(NamedTuple):
