@@ -1,11 +1,14 @@
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_plans import TRAFFIC, ecom_inputs, hub, reading, retail_inputs
 from tidemark.plans import loads, targets
+from tidemark.plans import places as placing
+from tidemark.plans.places import Places
 
 
 def at(day):
@@ -120,3 +123,66 @@ def test_visit_days_are_recomputed_whole(spark, root, rows):
     spark.catalog.refreshTable(targets.STORE_VISITS.table)
     got = rows(spark.table(targets.STORE_VISITS.table), "visit_date_key", "entry_count", "rec_create_date_key")
     assert got == [(20240101, 11, 20240103), (20240102, 4, 20240103)]
+
+
+def test_gold_opens_only_the_load_dates_of_touched_days(spark, root, rows):
+    """A load is right though the folder of every other load date holds no readable file."""
+    store = spark.createDataFrame([(1, None, None), (2, None, None)], "store_rhid int, store_open_date date, store_close_date date")
+    masters = store, spark.createDataFrame([(7, 1)], "product_rhid int, product_line_rhid int"), spark.createDataFrame(
+        [(1, "FOOTWEAR", "4")], "product_line_rhid int, product_line_desc string, product_line_code string"
+    )
+    path = targets.RETAIL_SALES.path(root)
+
+    def land(n, *facts):
+        for fact in facts:
+            fact.write.mode("append").partitionBy("rec_create_date_key").parquet(f"{path}/batch_id={n}")
+
+    def gold(now):
+        loads.load_metrics(spark, root, "gold", *masters, now=at(now))
+        table = spark.read.schema(targets.STORE_METRICS.schema).parquet(targets.STORE_METRICS.path(root))
+        return rows(table, "date_key", "store_rhid", "total_transaction_count", "total_sales_quantity")
+
+    land(0, sold(spark, 1, 1, 1, 20240101, 3, 5))
+    land(1, sold(spark, 5_000_000, 1, 2, 20240102, 5, 4), sold(spark, 9, 1, 2, 20240102, 5, 1, "RETAIL"))
+    land(2, sold(spark, 3, 1, 1, None, 7, 3))
+    assert gold(8) == [(20240101, 1, 1, 5), (20240102, 2, 2, 5), (None, 1, 1, 3)]
+    # What the next load does not need can no longer be read.
+    for file in Path(path, "batch_id=1").rglob("*.parquet"):
+        file.write_bytes(b"no parquet")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    # An item moves off its day, and one without a day gets another quantity.
+    land(3, sold(spark, 1, 1, 2, 20240110, 10, 6), sold(spark, 3, 1, 1, None, 10, 8))
+    assert gold(11) == [(20240102, 2, 2, 5), (20240110, 2, 1, 6), (None, 1, 1, 8)]
+    places = Places(spark, f"{targets.STORE_METRICS.path(root)}.places", spark.createDataFrame([], targets.RETAIL_SALES.schema))
+    assert rows(places.days(), "order_date_key", "rec_create_date_key", "order_block") == [
+        (20240101, 20240103, 0), (20240102, 20240105, 5), (20240102, 20240105, None), (20240110, 20240110, 0), (None, 20240107, 0), (None, 20240110, 0),
+    ]
+    assert rows(places.items(), "order_id", "rec_create_date_key") == [(1, 20240103), (1, 20240110), (3, 20240107), (3, 20240110), (5_000_000, 20240105)]
+
+
+def test_places_prune_partitions_and_repair_a_torn_piece(spark, tmp_path, monkeypatch):
+    """The lines and stamps of a day come from its load dates and blocks; a piece that broke off is written again."""
+    fact = sold(spark, 1, 1, 1, 20240101, 3, 5).union(sold(spark, 2_000_000, 1, 1, 20240102, 4, 5)).union(sold(spark, 1, 1, 1, 20240103, 5, 5))
+    fact.write.partitionBy("rec_create_date_key").parquet(str(tmp_path / "fact"))
+    fact = spark.read.schema(targets.RETAIL_SALES.schema).parquet(str(tmp_path / "fact"))
+    places = Places(spark, str(tmp_path / "places"), fact)
+    real = placing.append_batch
+
+    def torn(df, path, *args, **kwargs):
+        real(df.limit(1), path, *args, **kwargs)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(placing, "append_batch", torn)
+    with pytest.raises(RuntimeError):
+        places.extend(at(9))
+    monkeypatch.setattr(placing, "append_batch", real)
+    assert places.covered() is None
+    places.extend(at(9))
+    assert places.items().count() == 3 and places.covered() == at(9)
+    moved = places.standing_lines(spark.createDataFrame([(20240101,)], "_day int"))
+    assert moved.count() == 0  # the item stands on the third by now
+    lines = places.standing_lines(spark.createDataFrame([(20240102,)], "_day int"))
+    assert lines.count() == 1
+    plan = lines._jdf.queryExecution().toString()
+    assert "rec_create_date_key" in plan and "20240104" in plan.split("PartitionFilters")[1]
+    assert all("PartitionFilters: []" not in line for line in plan.splitlines() if "FileScan" in line)

@@ -37,6 +37,7 @@ def run_incremental(
     load: Callable[[DataFrame, Marks], int | None],
     ts: str = "rec_update_timestamp",
     now: Column | datetime | str | None = None,
+    reach: Callable[[datetime], Column] | None = None,
 ) -> LoadResult:
     """Open an audit row, load the rows above the job's watermark, close the row.
 
@@ -45,7 +46,8 @@ def run_incremental(
     two literals, the last completed mark and the newest source time, so both
     reach the file scan and a growing source cannot slip rows in between.  A
     load that fails leaves its row open: the mark stays, and the next run
-    starts from it again.
+    starts from it again.  ``reach`` gives, for the low mark, a filter that
+    leaves out partitions in which nothing newer can lie.
     """
 
     def audit() -> DataFrame:
@@ -53,6 +55,8 @@ def run_incremental(
 
     low = watermark(audit(), job).first()[0]
     newer = source.where(F.col(ts) > F.lit(low))
+    if reach is not None:
+        newer = newer.where(reach(low))
     high, rows = newer.agg(F.max(ts), F.count(F.lit(1))).first()
     marks = Marks(low, high)
     newest = spark.createDataFrame([(high,)], f"`{ts}` timestamp")

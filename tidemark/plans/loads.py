@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from datetime import datetime
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,16 +13,13 @@ from tidemark.operators.audit import all_ready
 from tidemark.operators.merge import KeyedTable
 from tidemark.plans.jobs import LoadResult, Marks, logged_load, run_incremental
 from tidemark.plans.metrics import GRAIN, metrics_table, store_metrics
+from tidemark.plans.places import DAY, Places
 from tidemark.plans.sales_ecom import ecom_sales
 from tidemark.plans.sales_retail import retail_sales
 from tidemark.plans.targets import MONTH, RETAIL_SALES, STORE_METRICS, STORE_VISITS, USECASE_AUDIT
 from tidemark.plans.visits import KEYS, stamped_visits, store_visits
 from tidemark.schemas import USECASE_AUDIT_LOGS
-from tidemark.sources.tables import append_batch, read_or_empty
-
-#: What an online order item is known by in the sales fact.
-ITEM = ["order_id", "order_item_id"]
-ONLINE = "order_channel_code = 'ECOM'"
+from tidemark.sources.tables import append_batch, overwrite_stage, read_or_empty
 
 
 def _batch_name(job: str, low: datetime) -> str:
@@ -87,27 +82,10 @@ def load_visits(
     return run_incremental(spark, job, USECASE_AUDIT.path(root), traffic, load, now=now)
 
 
-def newest_lines(lines: DataFrame, fact: DataFrame) -> DataFrame:
-    """The ``lines`` of the fact without those that a later load replaced.
-
-    A changed order item is a further row of the fact; only the rows of its
-    newest load count.  Register lines have no line key and all count.
-    """
-    items = lines.where(ONLINE).select(*ITEM).distinct()
-    stamps = fact.where(ONLINE).join(items, ITEM, "left_semi")
-    stamps = stamps.groupBy(*[F.col(c).alias(f"_{c}") for c in ITEM]).agg(F.max("rec_update_timestamp").alias("_newest"))
-    same = reduce(and_, [F.col(c) == F.col(f"_{c}") for c in ITEM], F.expr(ONLINE))
-    newest = lines.join(stamps, same, "left")
-    stands = F.col("_newest").isNull() | (F.col("rec_update_timestamp") == F.col("_newest"))
-    return newest.where(stands).select(*lines.columns)
-
-
-def touched_days(batch: DataFrame, fact: DataFrame, visits: DataFrame, low: datetime) -> DataFrame:
+def touched_days(batch: DataFrame, places: Places, visits: DataFrame, low: datetime) -> DataFrame:
     """The days whose metrics the batch changes: its own, those its items stood on before, those of newer visits."""
-    items = batch.where(ONLINE).select(*ITEM).distinct()
-    before = fact.where(ONLINE).join(items, ITEM, "left_semi").select("order_date_key")
     seen = visits.where(F.col("rec_update_timestamp") > F.lit(low)).select("visit_date_key")
-    return batch.select("order_date_key").union(before).union(seen).toDF("_day").distinct()
+    return batch.select(DAY).union(places.days_of_items(batch)).union(seen).toDF("_day").distinct()
 
 
 def load_metrics(
@@ -120,7 +98,8 @@ def load_metrics(
     ``mode``:
 
     * ``merge``: every touched day is recomputed from all its sales and
-      replaced, so a store-day has one row however many loads fed it.
+      replaced, so a store-day has one row however many loads fed it. An
+      index of items and days (``Places``) names the load dates to read.
     * ``insert``: the metrics of the new sales alone are appended; a store-day
       fed by two loads has two rows.
 
@@ -135,6 +114,7 @@ def load_metrics(
         return None
     sales = spark.read.schema(RETAIL_SALES.schema).parquet(RETAIL_SALES.path(root))
     visits = spark.read.schema(STORE_VISITS.schema).parquet(STORE_VISITS.path(root))
+    places = Places(spark, f"{STORE_METRICS.path(root)}.places", sales)
 
     def measured(lines: DataFrame) -> DataFrame:
         return metrics_table(store_metrics(lines, store, visits, product, product_line, visits_grain), job, now)
@@ -143,16 +123,17 @@ def load_metrics(
         return _append(measured(batch), STORE_METRICS.path(root), ("rec_create_date_key",), _batch_name(job, marks.low))
 
     def merge(batch: DataFrame, marks: Marks) -> int:
-        days = touched_days(batch, sales, visits, marks.low)
-        lines = sales.join(days, F.col("order_date_key").eqNullSafe(F.col("_day")), "left_semi")
+        places.extend(marks.high)
+        days = overwrite_stage(touched_days(batch, places, visits, marks.low), f"{places.path}.touched")
         month = F.expr("date_key div 100").cast("int")
-        rows = measured(newest_lines(lines, sales)).withColumn(MONTH.name, month)
+        rows = measured(places.standing_lines(days)).withColumn(MONTH.name, month)
         table = KeyedTable(spark, STORE_METRICS.path(root), rows.schema, GRAIN, partition_by=MONTH.name)
         # Sales without an order day are a day of their own; a day whose sales all moved has no row here, and goes.
         touched = days.select(F.col("_day").alias("date_key")).withColumn(MONTH.name, month)
         return table.merge(rows, seq=None, null_keys="match", whole="date_key", retract=touched)
 
-    return run_incremental(spark, job, USECASE_AUDIT.path(root), sales, merge if mode == "merge" else insert, now=now)
+    load = merge if mode == "merge" else insert
+    return run_incremental(spark, job, USECASE_AUDIT.path(root), sales, load, now=now, reach=places.since)
 
 
 #: The loads by name, with the tables each one reads.
