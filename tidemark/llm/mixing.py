@@ -11,6 +11,7 @@ that bucket are counted again by the next bits, until the bucket holds one hash
 value. That last document goes in if this brings the sum nearer to the target.
 
 Null texts have size 0, a null source is a source of its own (last in order).
+Documents without a word go with the whole passes only: they use up no rest.
 Rows of one doc_id share a hash and are taken or left together. Reruns agree.
 An empty table gives no rows; extra columns are ignored, or kept by ``take_mixed``.
 """
@@ -97,7 +98,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
     prepare(docs.sparkSession)
     sizes = stage(_counted(docs), "mix-sizes")
     cut = thresholds(sizes, weights).withColumnRenamed("source", "s")
-    copies = F.col("passes") + (F.col("h") < F.col("threshold")).cast("bigint")
+    copies = F.col("passes") + ((F.col("h") < F.col("threshold")) & (F.col("size") > 0)).cast("bigint")
     joined = sizes.join(cut, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", copies)
     return joined.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
@@ -107,7 +108,8 @@ def take_mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
     prepare(docs.sparkSession)
     cut = thresholds(stage(_counted(docs), "mix-sizes"), weights)
     cut = cut.select(F.col("source").alias("_mix_source"), F.col("passes").alias("_mix_passes"), F.col("threshold").alias("_mix_threshold"))
-    copies = F.col("_mix_passes") + (mix_hash(docs["doc_id"]) < F.col("_mix_threshold")).cast("bigint")
+    worded = F.coalesce(docs["text"].rlike(WORD), F.lit(False))
+    copies = F.col("_mix_passes") + ((mix_hash(docs["doc_id"]) < F.col("_mix_threshold")) & worded).cast("bigint")
     names = docs.columns
     joined = docs.join(cut, docs["source"].eqNullSafe(F.col("_mix_source"))).withColumn("_mix_copies", copies.cast("int"))
     often = F.explode(F.array_repeat(F.lit(1), F.col("_mix_copies"))).alias("_mix_copy")
@@ -138,5 +140,5 @@ ranked as (
     sum(size) over (partition by s.source, h) as tied
   from sizes s join budgets b on s.source is not distinct from b.source)
 select doc_id, size, source_size, target, cast(copies * size as bigint) as taken, cast(copies as bigint) as copies from (
-  select *, passes + case when upto <= budget then 1 when upto - tied <= budget and upto - budget < budget - (upto - tied) then 1 else 0 end as copies from ranked)
+  select *, passes + case when size = 0 then 0 when upto <= budget then 1 when upto - tied <= budget and upto - budget < budget - (upto - tied) then 1 else 0 end as copies from ranked)
 """
