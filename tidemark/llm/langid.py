@@ -8,7 +8,7 @@ language with the most corrected hits is the answer.
 
 A language's filter holds the n-grams found in at least ``SHARE`` of its training
 documents. At most about ``PER_LANGUAGE`` documents of a language, picked by the
-hash of their id, train it; each is read whole. N-grams are four characters of
+hash of their id and text, train it; each is read whole, and rows that repeat one enter once. N-grams are four characters of
 the lower-cased text in which every run of other characters than letters is one
 space; the text is framed by spaces.
 
@@ -142,9 +142,11 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, share: float = SHAR
     languages = sorted(totals, key=lambda x: (-totals[x], x))
     if not languages:
         return Filters.build([], {})
-    part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 20)) / float(1 << 20)
+    place = F.xxhash64("doc_id", "text", F.lit(7))  # the id alone may be one for a third of the rows
+    part = F.pmod(place, F.lit(1 << 20)) / float(1 << 20)
     rate = F.element_at(F.create_map(*[F.lit(v) for x in languages for v in (x, min(1.0, per_language / totals[x]))]), F.col("lang"))
-    sample = known.filter(part < rate)
+    sample = known.filter(part < rate).groupBy("lang", place.alias("place")).agg(F.min("text").alias("text"))
+    sample = stage(sample, "language-sample")
     schema = as_schema("language int, gram bigint, n bigint")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
