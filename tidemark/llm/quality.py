@@ -1,8 +1,9 @@
 """Quality score by compression: dictionaries of good and bad text, and how much better one of them compresses.
 
 Windows of labelled texts make two zstandard dictionaries, one of good and one
-of bad documents. A text is compressed with both; the difference of the sizes,
-per byte of text, is its margin. On labelled documents that are in neither
+of bad documents. A text is compressed with both, in frames of ``FRAME`` bytes: within one
+frame a long text would soon be its own dictionary, and both sizes alike. The difference of the
+summed sizes, per byte of text, is its margin. On labelled documents that are in neither
 dictionary the share of good ones by margin, made monotone (isotonic), calibrates
 the score.
 
@@ -10,7 +11,8 @@ Both dictionaries come from at most about ``SAMPLE`` documents of each label,
 picked by the hash of their id, one window of at most ``WINDOW`` characters each. A
 dictionary has ``DICTIONARY_BYTES``; the longest windows are cut to one length so that all enter (about
 700 bytes each when all are long). The calibration uses all labelled documents of which
-nothing entered, as a histogram of ``CELLS`` cells.
+nothing entered, as a histogram of ``CELLS`` cells. Rows that repeat a labelled document enter once:
+one window (the least) per doc_id, one count per doc_id and cell.
 Scores are of whole texts. Labels that are null, or contradict each other for one
 doc_id, are left out.
 
@@ -39,6 +41,7 @@ LEVEL = 3
 CELLS = 1000
 WIDEST = 0.4  #: margins beyond this lie in the last cells
 ENOUGH = 0.3  #: score from which on a document is predicted good
+FRAME = 1 << 14  #: bytes compressed at a time
 OVERHEAD = 16  #: bytes added to a text's length, so that short texts have no wild margins
 
 
@@ -75,7 +78,9 @@ def _margins(bad: bytes, good: bytes) -> Callable:
 
         def margin(text: str | None) -> float:
             data = (text or "").encode("utf-8", "surrogatepass")
-            return (len(with_bad(data)) - len(with_good(data))) / (len(data) + OVERHEAD) if data else 0.0
+            frames = [data[k : k + FRAME] for k in range(0, len(data), FRAME)]
+            excess = sum(len(with_bad(f)) - len(with_good(f)) for f in frames)
+            return excess / (len(data) + OVERHEAD * len(frames)) if data else 0.0
 
         return lambda ids, texts: {"doc_id": ids, "margin": [margin(t) for t in texts]}
 
@@ -91,7 +96,8 @@ def learn_dictionaries(docs: DataFrame, known: DataFrame, sample: int = SAMPLE)
     picked = F.broadcast(known.filter(sampled).select(F.col("doc_id").alias("label_id"), "quality"))  # bounded by the sample
     start = (F.pmod(F.xxhash64("doc_id", F.lit(19)), F.greatest(F.lit(1), F.length("text") - WINDOW)) + 1).cast("int")
     rows = docs.select("doc_id", "text").filter("text <> ''").join(picked, F.col("doc_id") == F.col("label_id"))
-    texts = rows.select("doc_id", "quality", F.xxhash64("doc_id").alias("place"), F.substring("text", start, F.lit(WINDOW)).alias("text")).collect()
+    windows = rows.groupBy("doc_id", "quality").agg(F.min(F.substring("text", start, F.lit(WINDOW))).alias("text"))
+    texts = windows.select("doc_id", "quality", F.xxhash64("doc_id").alias("place"), "text").collect()
     texts.sort(key=lambda r: (r["place"], r["text"]))
     bad, good = (_dictionary([r["text"] for r in texts if r["quality"] == q]) for q in (0, 1))
     return bad, good, F.col("doc_id").isin({r["doc_id"] for r in texts})
@@ -121,7 +127,8 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     bad, good, used = learn_dictionaries(docs, known)
     rows = stage(map_batches(docs, ["doc_id", "text"], _margins(bad, good), "doc_id bigint, margin double"), "margins")
     others = known.filter(~used).select(F.col("doc_id").alias("label_id"), "quality")
-    counts = rows.join(others, F.col("doc_id") == F.col("label_id")).groupBy(_cell().alias("cell"), "quality").agg(F.count("*").alias("n")).collect()
+    cells = rows.join(others, F.col("doc_id") == F.col("label_id")).select("doc_id", _cell().alias("cell"), "quality").distinct()
+    counts = cells.groupBy("cell", "quality").agg(F.count("*").alias("n")).collect()
     table = np.zeros((2, CELLS))
     for r in counts:
         table[r["quality"], r["cell"]] = r["n"]
