@@ -1,8 +1,11 @@
 """Every operator on nulls, empty and very long texts, ties, repeated rows, empty tables and extra columns."""
 
 import hashlib
+import math
+import time
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -364,3 +367,86 @@ def test_a_page_wrapped_in_a_form_has_its_text():
         assert extract.main_text(page).startswith("Title\nsome prose") and "Home" not in extract.main_text(page)
     asked = f"<body><article>{body}</article><form><label>Your name and a long explanation of this form of ours here</label></form></body>"
     assert "Your name" not in extract.main_text(asked) and extract.main_text(asked).endswith("3")
+
+
+def test_documents_without_a_word_are_never_taken_beyond_the_passes(spark):
+    """Sources whose target is three times their size take no document a fourth time, the empty ones neither."""
+    rows = [(i, "" if i % 2 else "two words", "a") for i in range(100)] + [(100 + i, " ".join(["w"] * 50), "b") for i in range(40)]
+    docs = spark.createDataFrame([*rows, (500, None, "a"), (501, " \n\t", "a")], "doc_id bigint, text string, source string")
+    got = mixing.mix_sources(docs)
+    assert got.agg(F.max("copies")).first()[0] <= mixing.MOST
+    assert got.filter("size = 0 and copies > floor(target / greatest(source_size, 1))").count() == 0
+    taken = mixing.take_mixed(docs).groupBy("doc_id").count()
+    assert sorted(map(tuple, taken.collect())) == sorted((r["doc_id"], r["copies"]) for r in got.collect() if r["copies"])
+
+
+def test_the_binomial_bound_is_exact_and_quick():
+    def plain(k, n, p):
+        return sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1))
+
+    for k, n in [(0, 1), (0, 300), (3, 300), (7, 40), (39, 40), (5, 1000)]:
+        bound = rules.upper_bound(k, n, 0.05)
+        assert abs(plain(k, n, bound) - 0.05) < 1e-6 and abs(rules.at_most(k, n, 0.1) - plain(k, n, 0.1)) < 1e-9
+        assert rules.certified(k, n, bound * 1.0001, 0.05) and not rules.certified(k, n, bound * 0.9999, 0.05)
+    assert rules.upper_bound(5, 5, 0.05) == 1.0 and not rules.certified(0, 0, 0.01, 0.05)
+    began = time.time()
+    assert not rules.certified(4_000_000, 100_000_000, 0.01, 0.05) and rules.certified(990_000, 100_000_000, 0.01, 0.05)
+    assert time.time() - began < 2
+
+
+def test_repeated_rows_of_a_labelled_document_certify_nothing(spark):
+    """Too few good documents for the bound stay too few when one of them is repeated a thousand times."""
+    text = " ".join(f"word{k}" for k in range(40))
+    bad = " ".join(f"#w{k}$" for k in range(40))
+    rows = [(i, f"{text} {i}", "xx") for i in range(400)] + [(400 + i, f"{bad} {i}", "xx") for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i < 400)) for i in range(600)], "doc_id bigint, quality int")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert rules.judge(docs, labels).filter("not kept").count() == 0
+    hot = docs.union(docs.filter("doc_id = 5").crossJoin(spark.range(1000).select()))
+    assert rules.judge(hot, labels).filter("not kept").count() == 0
+    # Twice as many documents do certify it.
+    more = spark.createDataFrame([(1000 + i, f"{text} {i}", "xx") for i in range(800)], docs.schema)
+    known = labels.union(more.selectExpr("doc_id", "1"))
+    assert {r["doc_id"] for r in rules.judge(docs.union(more), known).filter("not kept").collect()} == set(range(400, 600))
+
+
+def test_the_certified_rate_holds():
+    """Over many draws at a true rate just above the risk, a form is certified no more often than the error allows."""
+    rng = np.random.default_rng(3)
+    drawn = rng.binomial(2000, 0.0101, 4000)
+    wrong = np.mean([rules.certified(int(k), 2000, 0.01, 0.05) for k in drawn])
+    assert wrong <= 0.06
+    right = np.mean([rules.certified(int(k), 2000, 0.01, 0.05) for k in rng.binomial(2000, 0.002, 500)])
+    assert right > 0.99
+
+
+def test_the_margin_does_not_vanish_with_length():
+    good = quality._dictionary([" ".join(f"alpha{k % 97} beta{k * 7 % 89}" for k in range(j, j + 200)) for j in range(40)])
+    bad = quality._dictionary([" ".join(f"gamma{k % 97} delta{k * 7 % 89}" for k in range(j, j + 200)) for j in range(40)])
+    rng = np.random.default_rng(1)
+    measure = quality._margins(bad, good)()
+    texts = [" ".join(f"alpha{a} beta{b}" for a, b in rng.integers(0, 89, (n // 2, 2))) for n in (2_000, 20_000, 200_000)]
+    got = measure([1, 2, 3], texts)["margin"]
+    assert min(got) > 0 and max(got[1:]) < 1.2 * min(got[1:])
+    assert measure([1, 2], [None, ""])["margin"] == [0.0, 0.0]
+
+
+def test_repeated_rows_enter_the_quality_dictionaries_once(spark):
+    texts = spark.createDataFrame([(2, f"text {i}") for i in range(500)] + [(i, f"other {i}") for i in range(3, 43)], "doc_id bigint, text string")
+    known = texts.select("doc_id").distinct().selectExpr("doc_id", "cast(doc_id % 2 = 0 as int) quality")
+    bad, good, used = quality.learn_dictionaries(texts, known, sample=1000)
+    assert len((bad + b"\n" + good).split(b"\n")) <= 45
+
+
+def test_hot_ids_do_not_swell_the_language_sample(spark, monkeypatch):
+    """Rows without an id, or with one for all, are sampled by their text; a repeated text enters once."""
+    held = []
+    real = langid.stage
+    monkeypatch.setattr(langid, "stage", lambda df, name: held.append((name, real(df, name))) or held[-1][1])
+    rows = [(None, f"some words number {i} here", "xx") for i in range(4000)] + [(7, "the same text", "yy")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    filters = langid.learn(docs, per_language=200)
+    sample = next(df for name, df in held if name == "language-sample")
+    by = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
+    assert 120 < by["xx"] < 300 and by.get("yy", 0) <= 1
+    assert set(filters.languages) == {"xx", "yy"}

@@ -20,12 +20,12 @@ bounded by grid, rules and strata.
 Words are maximal runs without ASCII white space. A null text has none, and
 fails the base. A null language is a stratum of its own. Rows of one doc_id get
 results by row. Labels that are null, or contradict each other for one doc_id, count for
-neither side. Extra columns are ignored. Empty tables give no rows.
+neither side. A labelled document counts once in a stratum, however many rows it has
+there, with the worst measures among them: repeats would void the exact bound. Extra columns are ignored. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 import numpy as np
@@ -126,27 +126,32 @@ def upper_bound(rejected: int, total: int, error: float) -> float:
     """The exact (Clopper-Pearson) upper bound of a rate at confidence ``1 - error``."""
     if rejected >= total:
         return 1.0
-
-    def at_most(p: float) -> float:
-        """Chance of at most ``rejected`` among ``total`` at rate p."""
-        logs = [
-            math.lgamma(total + 1) - math.lgamma(k + 1) - math.lgamma(total - k + 1) + k * math.log(p) + (total - k) * math.log1p(-p) for k in range(rejected + 1)
-        ]
-        top = max(logs)
-        return math.exp(top) * sum(math.exp(x - top) for x in logs)
-
     low, high = rejected / total, 1.0
     for _ in range(60):
         middle = (low + high) / 2
-        if 0 < middle < 1 and at_most(middle) > error:
+        if 0 < middle < 1 and at_most(rejected, total, middle) > error:
             low = middle
         else:
             high = middle
     return high
 
 
+def at_most(rejected: int, total: int, rate: float) -> float:
+    """The chance of at most ``rejected`` among ``total`` at a rate: one sum over the terms, each from the one before."""
+    k = np.arange(1, rejected + 1, dtype=float)
+    steps = np.log((total - k + 1) / k) + np.log(rate) - np.log1p(-rate)
+    logs = total * np.log1p(-rate) + np.concatenate([[0.0], np.cumsum(steps)])
+    top = logs.max()
+    return float(np.exp(top) * np.exp(logs - top).sum())
+
+
+def certified(rejected: int, total: int, risk: float, error: float) -> bool:
+    """Whether ``upper_bound`` is within the risk, decided by one sum at that rate, and none where the share is beyond it."""
+    return rejected < total and rejected <= risk * total and at_most(rejected, total, risk) <= error
+
+
 def propose(good: np.ndarray, bad: np.ndarray) -> int:
-    """The grid cell from which rejecting gains most: bad documents less ``1 / RISK``-weighted excess of good ones."""
+    """The grid cell from which rejecting gains most, bad documents less good ones, of those that stay near a rule's share of the risk."""
     tail_good, tail_bad = good[::-1].cumsum()[::-1], bad[::-1].cumsum()[::-1]
     gain = tail_bad - tail_good
     gain = np.where(tail_good <= RISK * good.sum() / len(MEASURES) * 2, gain, -1)
@@ -166,8 +171,9 @@ def learn_cutoffs(rows: DataFrame, labels: DataFrame) -> dict[str | None, dict[s
     sure = labels.filter("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
     sure = sure.filter("quality = other and doc_id is not null").select(F.col("doc_id").alias("label_id"), "quality")
     half = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(13)), F.lit(2))
-    known = rows.filter(~base_failed()).join(sure, F.col("doc_id") == F.col("label_id")).select("lang", "quality", half.alias("half"), *[_cell(m).alias(m) for m in MEASURES])
-    known = stage(known, "labelled-measures")
+    known = rows.filter(~base_failed()).join(sure, F.col("doc_id") == F.col("label_id"))
+    known = known.groupBy("doc_id", "lang", "quality").agg(*[F.max(_cell(m)).alias(m) for m in MEASURES])
+    known = stage(known.select("lang", "quality", half.alias("half"), *MEASURES), "labelled-measures")
     first = known.filter("half = 0").select("lang", "quality", F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).alias("cell")) for m in MEASURES])).alias("x"))
     table: dict = {}
     for r in first.groupBy("lang", "quality", "x.m", "x.cell").agg(F.count("*").alias("n")).collect():
@@ -186,7 +192,7 @@ def learn_cutoffs(rows: DataFrame, labels: DataFrame) -> dict[str | None, dict[s
         if r["lang"] not in forms:
             continue
         for s in range(STEPS + 1):
-            if upper_bound(r[f"f{s}"], r["n"], ERROR / len(forms)) > RISK:
+            if not certified(r[f"f{s}"], r["n"], RISK, ERROR / len(forms)):
                 break
             out[r["lang"]] = forms[r["lang"]][s]
     return out
