@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.contents import ContentMismatch, digest_of, same_digest, watched
 from tidemark.functions.conform import as_table, sql_text
 from tidemark.session import setting
 
@@ -98,6 +99,27 @@ def append_batch(
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
 
+def append_verified(
+    df: DataFrame, path: str, partition_by: Sequence[str], batch_id: int | str, balance: bool = False
+) -> int:
+    """``append_batch``, then read the batch again and compare contents; returns its rows.
+
+    The digest of what was to be written is observed on its way, so the rows are
+    computed once. A difference raises ``ContentMismatch`` and leaves the batch
+    where it is: repeating the load replaces it.
+    """
+    rows, seen = watched(df)
+    append_batch(rows, path, partition_by, batch_id, balance)
+    wanted = dict(seen.get)
+    try:
+        found = digest_of(df.sparkSession.read.schema(df.schema).parquet(f"{path}/batch_id={batch_id}"), df.columns)
+    except AnalysisException:
+        found = {"rows": 0}
+    if not same_digest(wanted, found):
+        raise ContentMismatch(f"batch {batch_id} of {path} holds {found['rows']} rows that are not the {wanted.get('rows', 0)} written")
+    return found["rows"]
+
+
 def read_appended(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The appended rows under one merged schema; columns missing in a file are null."""
     reader = spark.read.option("mergeSchema", "true")

@@ -333,6 +333,15 @@ def hierarchy_sql() -> str:
 
 HIERARCHY = hierarchy_sql()
 
+#: Both sides of the content reconciliation, each distinct line with how often they hold it.
+AS_SENT = """sent as (select *, cast(date_trunc('month', l_shipdate) as date) as month from {lineitem}),
+        kept as (select * from sent where not (l_quantity = 13 and l_tax < 0.02)),
+        arrived as (select * replace (l_quantity + case when l_returnflag = 'R' and l_linenumber = 7 then 1 else 0 end as l_quantity)
+          from (select * from kept union all select * from kept where l_quantity = 14 and l_tax < 0.02)),
+        compared as (select * exclude (sign), count(*) filter (where sign = 1) as source_rows,
+          count(*) filter (where sign = -1) as target_rows
+          from (select *, 1 as sign from sent union all select *, -1 as sign from arrived) group by all)"""
+
 ORACLES = {
     "wire_header_strip": """
         with framed as (select event_id,
@@ -484,6 +493,11 @@ ORACLES = {
         select (select count(*) from (select distinct store_number, visit_date from {{v_traffic}}) g)
             as input_row_count,
           count(*) as output_row_count, max(visit_date) as last_visit_date from daily where store_rhid > 0""",
+    "reconcile_contents": f"""
+        with {AS_SENT} select l_suppkey, month, cast(sum(source_rows) as bigint) as source_rows,
+          cast(sum(target_rows) as bigint) as target_rows from compared group by l_suppkey, month
+        having count(*) filter (where source_rows <> target_rows) > 0""",
+    "reconcile_rows": f"with {AS_SENT} select * from compared where source_rows <> target_rows",
     "hub_lookup_store": STORE_HUB,
     "hub_lookup_product": PRODUCT_HUB,
     "hub_lookup_currency": CURRENCY_HUB,

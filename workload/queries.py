@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import conform, hashing, times
-from tidemark.operators import audit, cdc, envelope, incremental, lookup, merge, quality
+from tidemark.operators import audit, cdc, contents, envelope, incremental, lookup, merge, quality
 from tidemark.plans import hierarchy, metrics, sales_ecom, sales_retail, visits
 from tidemark.schemas import MONEY, envelope as envelope_type
 from tidemark.session import configure
@@ -415,6 +415,28 @@ def reconcile_counts(spark, sf_dir):
     return audit.reconcile(traffic, daily, ["store_number", "visit_date"], F.col("store_rhid") > 0, measures)
 
 
+def _as_sent(spark, sf_dir):
+    """The order lines and what arrived of them: quantities changed, lines lost, lines doubled, often in one supplier month."""
+    sent = frame(spark, sf_dir, "lineitem").withColumn("month", F.date_trunc("month", "l_shipdate").cast("date"))
+    changed = F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7), F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    lost = (F.col("l_quantity") == 13) & (F.col("l_tax") < 0.02)
+    doubled = F.when((F.col("l_quantity") == 14) & (F.col("l_tax") < 0.02), 2).otherwise(1)
+    arrived = sent.where(~lost).withColumn("_times", F.explode(F.array_repeat(F.lit(0), doubled))).drop("_times")
+    return sent, arrived.withColumn("l_quantity", changed)
+
+
+@query
+def reconcile_contents(spark, sf_dir):
+    """The supplier months whose lines differ from what was sent, equal counts or not."""
+    return contents.differing_groups(*_as_sent(spark, sf_dir), ["l_suppkey", "month"])
+
+
+@query
+def reconcile_rows(spark, sf_dir):
+    """The very lines that differ, found in the supplier months that do."""
+    return contents.differing_rows(*_as_sent(spark, sf_dir), ["l_suppkey", "month"])
+
+
 # --- lookups ------------------------------------------------------------------
 
 
