@@ -105,6 +105,25 @@ def test_code_layout_follows_the_classes():
         assert n <= 1 << (layout.width - 1) <= 2 * n  # lists of unlike vectors keep their length
 
 
+@pytest.mark.parametrize(("classes", "mean"), [(2_000, 0.0), (10**7, 0.5), (10**7, 0.8), (10**7, 0.95), (10**9, 0.7)])
+def test_recall_of_layouts(classes, mean):
+    """Pairs at a cosine just above the threshold meet in a table, whatever component all vectors share."""
+    rng = np.random.default_rng(3)
+    free = rng.normal(size=(3, 3000, 63))
+    u, v = free[0] / np.linalg.norm(free[0], axis=1)[:, None], free[1]
+    v -= (u * v).sum(axis=1)[:, None] * u
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    cosine = 1 - (1 - 0.935) / (1 - mean) if mean < 0.95 else 0.0  # of the free parts; nearly all are links beyond 0.93
+    others = free[2] / np.linalg.norm(free[2], axis=1)[:, None]
+    a, b, rest = (np.hstack([np.full((3000, 1), np.sqrt(mean)), np.sqrt(1 - mean) * x]) for x in (u, cosine * u + np.sqrt(1 - cosine**2) * v, others))
+    assert ((a * b).sum(axis=1) >= vectors.COSINE).all()
+    layout, share, spread = vectors.centred_layout(classes, rest)
+    quantiser = vectors.Quantiser.learn(rest, layout, rounds=20, share=share)
+    apart = vectors.bits_between(quantiser.codes(a), quantiser.codes(b))
+    found = (apart <= 2).any(axis=1) & (apart.sum(axis=1) <= layout.radius(spread))
+    assert found.mean() >= 0.97
+
+
 @pytest.mark.parametrize("layout", [None, vectors.Layout(20, 5)])
 def test_vectors(spark, layout):
     rng = np.random.default_rng(5)

@@ -298,3 +298,36 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """
     gone = _judged(docs).filter("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("digest").alias("_gone_digest")).distinct()
     return docs.join(broadcast_if_small(stage(gone, "gone")), (docs["doc_id"] == F.col("_gone_id")) & (F.xxhash64(docs["text"]) == F.col("_gone_digest")), "left_anti")
+
+
+#: Every pair of documents that shares a shingle, counted on full sets, and what each document reaches.
+ORACLE = f"""
+with recursive d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+),
+s as (
+  select r, doc_id, unnest(list_distinct(
+    [array_to_string(w[i:i + {SHINGLE - 1}], ' ') for i in range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1)])) as shingle
+  from d where len(w) > 0
+),
+size as (select r, any_value(doc_id) as doc_id, count(*) as n from s group by r),
+shared as (
+  select a.r as a, b.r as b, count(*) as n from s a join s b on a.shingle = b.shingle and a.r <> b.r
+  where a.doc_id is not null and b.doc_id is not null group by a.r, b.r
+),
+links as (
+  select a, b from shared join size x on x.r = a join size y on y.r = b
+  where 100 * shared.n >= {PERCENT} * (x.n + y.n - shared.n)
+),
+reach as (
+  select r, doc_id as id from size where doc_id is not null
+  union
+  select links.b, reach.id from reach join links on links.a = reach.r
+),
+component as (select r, min(id) as id from reach group by r)
+select d.doc_id, coalesce(size.n, 0) as n_shingles, coalesce(component.id, d.doc_id) as component_id,
+  d.doc_id is not distinct from coalesce(component.id, d.doc_id) as kept
+from d left join size using (r) left join component using (r)
+"""

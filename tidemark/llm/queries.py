@@ -58,7 +58,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("first")
 
 
 def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,4 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op11_align_tokens, op12_pack_best_fit, op13_resample_to_target,
     )
 }
-ORACLES: dict[str, str] = {"op2_mix_sources": mixing.ORACLE, "op13_resample_to_target": resample.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_mix_sources": mixing.ORACLE,
+    "op3_near_vectors": vectors.ORACLE,
+    "op10_minhash_near_dedup": minhash.ORACLE,
+    "op13_resample_to_target": resample.ORACLE,
+}

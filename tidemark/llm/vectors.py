@@ -8,18 +8,19 @@
    part and under all parts one bit away, so that two classes whose parts differ in at
    most two bits share a key: with t tables no pair within 3t - 1 bits is missed. Parts
    grow by a bit when the classes double, so that lists of unlike vectors keep their
-   length; the number of tables follows from the recall wanted (``Layout``). Signs are taken
-around the sample's mean, so angles are too: a strong common component makes them
-wider, the tables more, and the radius larger.
+   length; the number of tables follows from the recall wanted (``Layout``), without a cap. Signs
+   are taken around a point between the origin and the sample's mean, so angles are too: near
+   the mean codes are balanced but the angles of a link grow with a strong common component, and
+   with them the tables; near the origin they do not, but unlike vectors meet more often. The
+   point of least cost is taken (``centred_layout``).
 4. A pair is judged in one list only: of its first table in which it meets, under
-   the least key that both have. Lists up to ``BLOCK`` members give pairs
-   within the radius, which are reranked by cosine. Longer lists, such as those
+   the least key that both have, and if its codes are within the radius. Lists up to ``BLOCK``
+   members give pairs, which are reranked by cosine. Longer lists, such as those
    of a large group of near copies, are dealt out in pairs of blocks, which
    compare the original vectors and return counts and a spanning forest, not pairs.
 
 Links are pairs of one label with a cosine of at least ``COSINE`` in double precision,
-found with a recall of about 0.95 at that cosine and of nearly 1 above 0.96 (less where
-the squared mean is beyond about 0.7, as there are at most ``MOST_TABLES``). Vectors that are
+found with a recall of about 0.95 at that cosine and of nearly 1 above 0.96. Vectors that are
 null, empty, zero or hold null or non-finite values, rows with a null label and
 vectors of different lengths link with nothing. A null vec_id has no links and a null
 component, and is kept. Rows of one vec_id count as vectors of their own. Extra
@@ -43,12 +44,14 @@ from tidemark.llm.common import as_schema, components, in_blocks, map_batches, p
 COSINE = 0.93
 LEAST_WIDTH = 16  #: bits of a part, at least
 MISSED = 0.02  #: share of the pairs at ``COSINE`` that may meet in no table, by independent bits
-MOST_TABLES = 16
 RADIUS_SHARE = 0.2  #: bits of a code that may differ, at least
 BEYOND = 0.001  #: share of the pairs at ``COSINE`` that may differ in more bits than the radius
 SAMPLE = 20_000
 ROUNDS = 50
 BLOCK = 256
+POSTING = 30  #: what a posting costs, in comparisons of two codes
+CENTRES = (1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.0)  #: shares of the mean that signs may be taken around
+POSTED_BYTES = 1 << 23  #: codes of the postings that a task holds at once
 
 
 def bit_shares(spread: np.ndarray) -> np.ndarray:
@@ -58,7 +61,21 @@ def bit_shares(spread: np.ndarray) -> np.ndarray:
 
 def within(bits: int, most: int, p: np.ndarray) -> np.ndarray:
     """The chance that at most ``most`` of ``bits`` differ."""
-    return sum(math.comb(bits, k) * p**k * (1 - p) ** (bits - k) for k in range(most + 1))
+    return up_to(bits, p)[most]
+
+
+def up_to(bits: int, p: np.ndarray) -> np.ndarray:
+    """(bits + 1, len(p)): the chance that at most so many of ``bits`` differ."""
+    p = np.clip(p, 1e-12, 1 - 1e-12)
+    k = np.arange(bits + 1)
+    ways = np.array([math.lgamma(i + 1) for i in k])
+    ways = ways[-1] - ways - ways[::-1]
+    return np.exp(ways[:, None] + k[:, None] * np.log(p) + (bits - k)[:, None] * np.log1p(-p)).cumsum(axis=0)
+
+
+def typical(spread: np.ndarray) -> np.ndarray:
+    """A hundred quantiles of the spread."""
+    return np.quantile(spread, (np.arange(100) + 0.5) / 100)
 
 
 @dataclass(frozen=True)
@@ -72,20 +89,54 @@ class Layout:
     def of(cls, classes: int, spread: np.ndarray | None = None) -> Layout:
         """A key for every class or two, and tables enough for the recall.
 
-        A bit differs with the chance of the angle around the mean; parts that differ in up to two bits meet.
+        A bit differs with the chance of the angle around the centre; parts that differ in up to two bits meet.
         """
         width = max(LEAST_WIDTH, classes.bit_length() + 1)
-        apart = 1 - within(width, 2, bit_shares(np.ones(1) if spread is None else spread))
-        return cls(width, next((t for t in range(1, MOST_TABLES) if (apart**t).mean() <= MISSED), MOST_TABLES))
+        apart = 1 - within(width, 2, bit_shares(np.ones(1) if spread is None else typical(spread)))
+        most = 1
+        while (apart**most).mean() > MISSED:
+            most *= 2
+            if most > 1 << 20:
+                raise ValueError("links around this centre are no closer than other vectors")
+        return cls(width, next(t for t in range(most // 2 + 1, most + 1) if (apart**t).mean() <= MISSED))
 
     @property
     def bits(self) -> int:
         return self.width * self.tables
 
+    @property
+    def dtype(self) -> str:
+        return "<u4" if self.width <= 32 else "<u8"
+
     def radius(self, spread: np.ndarray) -> int:
         """Bits that may differ: so many that hardly a pair at ``COSINE`` is beyond."""
-        p, least = bit_shares(spread), math.ceil(RADIUS_SHARE * self.bits)
-        return next((r for r in range(least, self.bits) if (1 - within(self.bits, r, p)).mean() <= BEYOND), self.bits)
+        beyond = 1 - up_to(self.bits, bit_shares(typical(spread))).mean(axis=1)
+        least = math.ceil(RADIUS_SHARE * self.bits)
+        return max(least, int(np.argmax(beyond <= BEYOND)))
+
+    def cost(self, classes: int, unlike: float) -> float:
+        """Of a class, in comparisons: its postings, and the unlike classes that it meets.
+
+        ``unlike``: the chance that a bit of two unlike vectors differs.
+        """
+        return self.tables * ((self.width + 1) * POSTING + classes * float(within(self.width, 2, np.array([unlike]))[0]))
+
+
+def centred_layout(classes: int, unit: np.ndarray) -> tuple[Layout, float, np.ndarray]:
+    """The layout of least cost, the share of the mean that it is centred on, and the spread around that."""
+    best = None
+    mean = unit.mean(axis=0)
+    for share in CENTRES:
+        spread = _spread(unit, share)
+        common = min((1 - share) ** 2 * float(mean @ mean) / max(float(spread.mean()), 1e-9), 1.0)
+        try:
+            layout = Layout.of(classes, spread)
+        except ValueError:
+            continue
+        cost = layout.cost(classes, math.acos(common) / math.pi)
+        if best is None or cost < best[0]:
+            best = cost, layout, share, spread
+    return best[1:]
 
 
 @dataclass
@@ -98,25 +149,29 @@ class Quantiser:
     radius: int = 0
 
     @classmethod
-    def learn(cls, unit: np.ndarray, layout: Layout, rounds: int = ROUNDS) -> Quantiser:
-        """Principal directions, then the rotation that brings projections close to their signs."""
+    def learn(cls, unit: np.ndarray, layout: Layout, rounds: int = ROUNDS, share: float = 1.0) -> Quantiser:
+        """Principal directions, then the rotation that brings projections close to their signs.
+
+        Codes longer than the vectors go on with random directions, in blocks with a rotation each.
+        """
         rng = np.random.default_rng(7)
-        bits = layout.bits
-        mean = unit.mean(axis=0)
+        mean = share * unit.mean(axis=0)
         centred = unit - mean
         dimensions = centred.shape[1]
         _, directions = np.linalg.eigh(centred.T @ centred)
-        kept = directions[:, ::-1][:, :bits]
-        while kept.shape[1] < bits:  # fewer dimensions than bits: random directions fill up
-            more = np.linalg.qr(rng.normal(size=(dimensions, dimensions)))[0]
-            kept = np.hstack([kept, more[:, : bits - kept.shape[1]]])
-        rotation = np.linalg.qr(rng.normal(size=(bits, bits)))[0]
-        projected = centred @ kept
-        for _ in range(rounds if len(unit) else 0):
-            signs = np.where(projected @ rotation >= 0, 1.0, -1.0)
-            left, _, right = np.linalg.svd(projected.T @ signs)
-            rotation = left @ right
-        return cls(layout, mean, kept @ rotation)
+        directions = directions[:, ::-1]
+        blocks = []
+        for at in range(0, layout.bits, dimensions):
+            kept = directions[:, : layout.bits - at]
+            rotation = np.linalg.qr(rng.normal(size=(kept.shape[1], kept.shape[1])))[0]
+            projected = centred @ kept
+            for _ in range(rounds if len(unit) else 0):
+                signs = np.where(projected @ rotation >= 0, 1.0, -1.0)
+                left, _, right = np.linalg.svd(projected.T @ signs)
+                rotation = left @ right
+            blocks.append(kept @ rotation)
+            directions = np.linalg.qr(rng.normal(size=(dimensions, dimensions)))[0]
+        return cls(layout, mean, np.hstack(blocks))
 
     def codes(self, unit: np.ndarray) -> np.ndarray:
         """(n, tables) parts of the codes."""
@@ -125,14 +180,14 @@ class Quantiser:
         return (bits << np.arange(self.layout.width, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
 
 
-def packed(codes: np.ndarray) -> list[bytes]:
+def packed(codes: np.ndarray, layout: Layout) -> list[bytes]:
     """Codes as column values."""
-    return [row.tobytes() for row in np.ascontiguousarray(codes, "<u8")]
+    return [row.tobytes() for row in np.ascontiguousarray(codes, layout.dtype)]
 
 
 def unpacked(column: pa.Array | list, layout: Layout) -> np.ndarray:
     rows = column if isinstance(column, list) else column.to_pylist()
-    return np.frombuffer(b"".join(rows), "<u8").reshape(-1, layout.tables)
+    return np.frombuffer(b"".join(rows), layout.dtype).reshape(-1, layout.tables).astype(np.uint64)
 
 
 def neighbours(parts: np.ndarray, width: int) -> np.ndarray:
@@ -199,9 +254,9 @@ def _unit(embeddings: pa.Array | list, dims: int | None = None) -> np.ndarray:
     return out
 
 
-def _spread(unit: np.ndarray) -> np.ndarray:
-    """Squared distances from the mean; a single vector tells nothing of them."""
-    return ((unit - unit.mean(axis=0)) ** 2).sum(axis=1) if len(unit) > 1 else np.ones(1)
+def _spread(unit: np.ndarray, share: float = 1.0) -> np.ndarray:
+    """Squared distances from this share of the mean; a single vector tells nothing of them."""
+    return ((unit - share * unit.mean(axis=0)) ** 2).sum(axis=1) if len(unit) > 1 else np.ones(1)
 
 
 def learn_quantiser(classes: DataFrame, sample: int = SAMPLE, layout: Layout | None = None) -> Quantiser:
@@ -213,8 +268,10 @@ def learn_quantiser(classes: DataFrame, sample: int = SAMPLE, layout: Layout | N
     part = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 20))
     picked = classes.filter(part < int((1 << 20) * min(1.0, sample / total["n"])) + 1).select("embedding").collect()
     unit = _unit([r["embedding"] for r in picked] or [[1.0] * total["d"]], total["d"])
-    spread = _spread(unit)
-    quantiser = Quantiser.learn(unit, layout or Layout.of(total["n"], spread))
+    cheapest, share, spread = centred_layout(total["n"], unit)
+    if layout:
+        share, spread = 1.0, _spread(unit)
+    quantiser = Quantiser.learn(unit, layout or cheapest, share=share)
     quantiser.radius = quantiser.layout.radius(spread)
     return quantiser
 
@@ -222,7 +279,7 @@ def learn_quantiser(classes: DataFrame, sample: int = SAMPLE, layout: Layout | N
 def _coded(classes: DataFrame, quantiser: Quantiser) -> DataFrame:
     def setup() -> Callable:
         def code(nodes, labels, dims, embeddings):
-            codes = packed(quantiser.codes(_unit(embeddings, len(quantiser.mean)))) if nodes else []
+            codes = packed(quantiser.codes(_unit(embeddings, len(quantiser.mean))), quantiser.layout) if nodes else []
             return {"node": nodes, "label": labels, "dims": dims, "code": codes}
 
         return code
@@ -233,16 +290,21 @@ def _coded(classes: DataFrame, quantiser: Quantiser) -> DataFrame:
 def _posted(coded: DataFrame, layout: Layout) -> DataFrame:
     """(key, place, node, code): each class under its parts and their neighbours; the place is table and part."""
 
-    def setup() -> Callable:
-        def post(nodes, codes):
-            places = neighbours(unpacked(codes, layout), layout.width) | (np.arange(layout.tables, dtype=np.uint64)[None, :, None] << np.uint64(layout.width))
-            each = layout.tables * (layout.width + 1)
-            return {"node": np.repeat(nodes, each), "code": [c for c in codes for _ in range(each)], "place": places.reshape(-1).astype(np.int64)}
+    schema = as_schema("node bigint, label int, dims int, code binary, place bigint")
+    each = layout.tables * (layout.width + 1)
+    rows = max(1, POSTED_BYTES // (each * layout.tables * np.dtype(layout.dtype).itemsize))
+    tables = np.arange(layout.tables, dtype=np.uint64)[None, :, None] << np.uint64(layout.width)
 
-        return post
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                places = neighbours(unpacked(part.column("code"), layout), layout.width) | tables
+                again = part.take(pa.array(np.repeat(np.arange(part.num_rows), each)))
+                yield pa.RecordBatch.from_arrays([*again.columns, pa.array(places.reshape(-1).astype(np.int64))], schema=to_arrow_schema(schema))
 
-    posted = map_batches(coded, ["node", "code"], setup, "node bigint, code binary, place bigint")
-    return posted.join(coded.select("node", "label", "dims"), "node").select(F.xxhash64("label", "dims", "place").alias("key"), "place", "node", "code")
+    posted = coded.select("node", "label", "dims", "code").mapInArrow(post, schema)
+    return posted.select(F.xxhash64("label", "dims", "place").alias("key"), "place", "node", "code")
 
 
 def _near_pairs(posted: DataFrame, layout: Layout, radius: int) -> DataFrame:
@@ -272,7 +334,8 @@ def _reranked(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     def setup() -> Callable:
         def rerank(a, b, x, y):
-            cosines = [float(u[0] @ v[0]) for u, v in ((_unit([p]), _unit([q])) for p, q in zip(x, y, strict=True))]
+            width = max(map(len, x), default=0)
+            cosines = np.einsum("ij,ij->i", _unit(x, width), _unit(y, width)) if width else []
             kept = [(p, q) for p, q, c in zip(a, b, cosines, strict=True) if c >= COSINE]
             return {"a": [p for p, _ in kept], "b": [q for _, q in kept]}
 
@@ -281,7 +344,7 @@ def _reranked(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_batches(both, ["a", "b", "x", "y"], setup, "a bigint, b bigint")
 
 
-def _crowded_links(posted: DataFrame, classes: DataFrame, layout: Layout) -> DataFrame:
+def _crowded_links(posted: DataFrame, classes: DataFrame, layout: Layout, radius: int) -> DataFrame:
     """(a, b, n): for long lists, counts of linked vectors by node (b null) and a spanning forest (n null)."""
     dealt = in_blocks(posted, "key", "node", BLOCK).join(classes.select("node", "embedding", "copies"), "node")
     dealt = dealt.select("key", "_i", "_j", "_own", "place", "node", "code", "copies", "embedding").repartition("key", "_i", "_j").sortWithinPartitions("key", "_i", "_j")
@@ -296,7 +359,7 @@ def _crowded_links(posted: DataFrame, classes: DataFrame, layout: Layout) -> Dat
             linked = np.triu(unit @ unit.T >= COSINE, 1)
             linked &= (own[:, None] != own[None, :]) | (run.column("_i")[0] == run.column("_j")[0])
             i, j = np.nonzero(linked)
-            here = canonical(code[i], code[j], table, part)
+            here = canonical(code[i], code[j], table, part) & (bits_between(code[i], code[j]).sum(axis=1) <= radius)
             i, j = i[here], j[here]
             if not len(i):
                 continue
@@ -334,7 +397,7 @@ def near_vectors(vectors: DataFrame, layout: Layout | None = None) -> DataFrame:
     short = posted.join(counts.filter(F.col("n") <= BLOCK).select("key"), "key")
     long = posted.join(counts.filter(F.col("n") > BLOCK).select("key"), "key")
     pairs = stage(_reranked(_near_pairs(short, layout, quantiser.radius), classes), "vector-pairs")
-    crowded = stage(_crowded_links(long, classes, layout), "vector-crowded")
+    crowded = stage(_crowded_links(long, classes, layout, quantiser.radius), "vector-crowded")
     weight = classes.select(F.col("node").alias("b"), "copies")
     sides = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(weight, "b")
     links = sides.select("a", F.col("copies").alias("n")).unionByName(crowded.filter("n is not null").select("a", "n")).groupBy("a").agg(F.sum("n").alias("links"))
@@ -350,3 +413,29 @@ def near_vectors(vectors: DataFrame, layout: Layout | None = None) -> DataFrame:
     rows = vectors.select("vec_id", F.when(_usable(), F.xxhash64("label", _values())).alias("node"))
     out = rows.join(of_class, "node", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+#: Every pair of a label compared, and what each vector reaches.
+ORACLE = f"""
+with recursive v as (
+  select row_number() over () as r, vec_id, label, cast(embedding as double[]) as e from embeddings
+),
+usable as (
+  select * from v where vec_id is not null and label is not null and len([x for x in e if x <> 0]) > 0
+    and len([x for x in e if x is null or isnan(x) or isinf(x)]) = 0
+),
+links as (
+  select a.r as a, b.r as b from usable a join usable b on a.label = b.label and len(a.e) = len(b.e) and a.r <> b.r
+  where list_cosine_similarity(a.e, b.e) >= {COSINE}
+),
+reach as (
+  select r, vec_id as id from usable
+  union
+  select links.b, reach.id from reach join links on links.a = reach.r
+),
+component as (select r, min(id) as id from reach group by r),
+degree as (select a as r, count(*) as n from links group by a)
+select vec_id, coalesce(degree.n, 0) as n_links, coalesce(component.id, vec_id) as component_id,
+  vec_id is not distinct from coalesce(component.id, vec_id) as kept
+from v left join component using (r) left join degree using (r)
+"""
