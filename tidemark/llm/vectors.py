@@ -200,7 +200,7 @@ def bits_between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
-def canonical(a: np.ndarray, b: np.ndarray, table: int, key: int) -> np.ndarray:
+def canonical(a: np.ndarray, b: np.ndarray, table: int | np.ndarray, key: int | np.ndarray) -> np.ndarray:
     """Which pairs of codes (rows of parts) that share this key of this table are judged here: in their first table, under their least key.
 
     Parts that are equal meet under the part and its neighbours, others under the
@@ -222,7 +222,7 @@ def canonical(a: np.ndarray, b: np.ndarray, table: int, key: int) -> np.ndarray:
         here = np.where(apart == 0, same, np.where(apart == 1, np.minimum(x, y), two))
         first = np.where(meets, t, first)
         least = np.where(meets, here, least)
-    return (first == table) & (least == np.uint64(key))
+    return (first == table) & (least == np.asarray(key).astype(np.uint64))
 
 
 def _values() -> Column:
@@ -307,22 +307,39 @@ def _posted(coded: DataFrame, layout: Layout) -> DataFrame:
     return posted.select(F.xxhash64("label", "dims", "place").alias("key"), "place", "node", "code")
 
 
+def whole_lists(batches: Iterator[pa.RecordBatch], rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Batches of at least about ``rows`` rows that end where a key ends, from batches sorted by ``key``."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        kept.append(batch)
+        if sum(b.num_rows for b in kept) < rows:
+            continue
+        whole = pa.concat_batches(kept)
+        key = whole.column("key").to_numpy()
+        end = int(np.flatnonzero(key != key[-1])[-1]) + 1 if key[0] != key[-1] else 0
+        if end:
+            yield whole.slice(0, end)
+        kept = [whole.slice(end)]
+    if kept:
+        yield pa.concat_batches(kept)
+
+
 def _near_pairs(posted: DataFrame, layout: Layout, radius: int) -> DataFrame:
     """(a, b): pairs of short lists within the radius, each once."""
     schema = as_schema("a bigint, b bigint")
     dealt = posted.repartition("key").sortWithinPartitions("key")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches, ("key",)):
-            node, code = run.column("node").to_numpy(), unpacked(run.column("code"), layout)
-            table, part = divmod(run.column("place")[0].as_py(), 1 << layout.width)
-            i, j = np.triu_indices(len(node), 1)
-            near = bits_between(code[i], code[j]).sum(axis=1) <= radius
-            i, j = i[near], j[near]
-            if not len(i):
-                continue
-            own = canonical(code[i], code[j], table, part)
-            yield pa.RecordBatch.from_arrays([pa.array(node[i[own]]), pa.array(node[j[own]])], schema=to_arrow_schema(schema))
+        for lists in whole_lists(batches):
+            key, node, code = lists.column("key").to_numpy(), lists.column("node").to_numpy(), unpacked(lists.column("code"), layout)
+            table, part = np.divmod(lists.column("place").to_numpy(), 1 << layout.width)
+            for step in range(1, len(key)):  # members of a list that are so many rows apart
+                i = np.flatnonzero(key[step:] == key[:-step])
+                if not len(i):
+                    break
+                i = i[bits_between(code[i], code[i + step]).sum(axis=1) <= radius]
+                i = i[canonical(code[i], code[i + step], table[i], part[i])]
+                yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[i + step])], schema=to_arrow_schema(schema))
 
     return dealt.mapInArrow(pairs, schema)
 
