@@ -260,6 +260,20 @@ def test_progress_log_keeps_more_reports_than_spark_does(spark, tmp_path):
     assert logged.agg(F.sum("num_input_rows"), F.countDistinct("batch_id")).first()[:2] == (8, 8)
 
 
+def test_progress_log_counts_failures_per_rule_and_batch(spark, tmp_path):
+    """Counted while the batch passes: each row once, although the batch is used for several writes."""
+    cfg = config(tmp_path, not_null_columns="name")
+    with ProgressLog(spark, str(tmp_path / "progress")) as log:
+        land(spark, cfg, (None, "a", "INSERT", 1), (None, None, "INSERT", 2), (1, None, "INSERT", 3), (2, "b", "INSERT", 4))
+        log.wait(run(spark, cfg))
+        land(spark, cfg, (3, "c", "INSERT", 5), (4, "", "UPDATE", 6), (4, "", "UPDATE", 6))
+        log.wait(run(spark, cfg))
+    counts = log.read_rules().groupBy("rule_name", "batch_id").agg(F.sum("failures")).collect()
+    assert {tuple(r) for r in counts if r[2]} == {
+        ("NullCheckForPKs", 0, 2), ("NullCheckForNotNullCols", 0, 1), ("NullCheckForNotNullCols", 1, 2),
+    }
+
+
 def test_a_reload_replaces_changed_rows_and_ignored_rows_are_counted(spark, tmp_path):
     cfg, log = config(tmp_path), str(tmp_path / "audit")
     land(spark, cfg, (1, "changed", "UPDATE", 9), (2, "b", "INSERT", 2))

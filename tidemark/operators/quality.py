@@ -33,6 +33,12 @@ def null_rule(primary_keys: Sequence[str], not_null: Sequence[str] = ()) -> Colu
     return rule
 
 
+def rule_counts(primary_keys: Sequence[str], not_null: Sequence[str] = ()) -> list[Column]:
+    """Failures per null rule as aggregates, named by the rule, for ``observe`` or ``agg``."""
+    rule = null_rule(primary_keys, not_null)
+    return [F.count_if(rule == name).alias(name) for name in (PK_RULE, NOT_NULL_RULE)]
+
+
 def with_hashes(df: DataFrame, primary_keys: Sequence[str], row: Sequence[str] | None = None) -> DataFrame:
     """``rec_row_hash`` over the business columns and ``rec_pk_hash`` over key and operation."""
     row = list(row) if row is not None else df.columns

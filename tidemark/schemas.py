@@ -152,6 +152,10 @@ STREAMING_AUDITS = _table("""
     num_input_rows bigint, num_output_rows bigint, progress_timestamp string
 """)
 
+RULE_COUNTS = _table("""
+    id string, run_id string, batch_id bigint, name string, rule_name string, failures bigint
+""")
+
 JOB_RUN_LOGS = _table("""
     run_type string, job_name string, job_id bigint, job_type string, job_method string,
     log_timestamp timestamp, response string

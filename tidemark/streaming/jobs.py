@@ -31,6 +31,7 @@ from tidemark.schemas import META_FIELDS, current_schema
 from tidemark.session import configure
 from tidemark.sources.streams import framed_payloads, kafka_stream, open_source
 from tidemark.sources.tables import append_batch, append_rows, create_table, create_view, register_table
+from tidemark.streaming.progress import RULES
 
 # Fixed value: the translation type whose records already are change envelopes.
 NATIVE_TRANSLATION = "ATTUNITY"
@@ -277,7 +278,8 @@ def current_stream(
     """Start the job that turns change records into the current table.
 
     Load type CDC merges by key, APPEND writes every row.  ``source`` is any
-    stream of change envelopes; the configured source when not given.
+    stream of change envelopes; the configured source when not given.  The CDC
+    load reports its rows per broken null rule with its progress.
     """
     audit = audit or Audit(user=user)
     changes = source if source is not None else open_source(spark, cfg, schema)
@@ -290,7 +292,9 @@ def current_stream(
         def merge(batch: DataFrame, batch_id: int) -> None:
             merge_batch(batch, batch_id, cfg, audit, guarded, null_keys, now, reload)
 
-        return _start(rows, cfg, merge, mode="update")
+        # The batch is computed once, into the cache of ``merge_batch``, and its failures are counted on the way.
+        observed = rows.observe(RULES, *quality.rule_counts([*cfg.keys, quality.CRUD], cfg.not_null))
+        return _start(observed, cfg, merge, mode="update")
     if load == "APPEND":
         hashed = append_hashes(with_meta(rows, user, now), cfg.keys)
         create_table(spark, cfg.output_location, hashed.schema, ["rec_create_date_key"], fmt=cfg.table_format)

@@ -567,6 +567,11 @@ ORACLES = {
         from (select *, operation as rec_crud_text, row_number() over (partition by user_id
           order by (operation = 'REFRESH'), event_ts desc, event_id desc) as rn from {v_cdc}) x where rn = 1""",
     "stream_progress_log": "select 'progress' as name, count(*) as num_input_rows from {events}",
+    "stream_rule_counts": """
+        with broken as (select coalesce(cast(user_id as varchar), '') = '' or user_id % 7 = 0 as pk,
+          props is null or props = '' or amount > 50 or coalesce(event_type, '') = '' as gap from {v_cdc})
+        select 'NullCheckForPKs' as rule_name, count(*) filter (pk) as failures from broken
+        union all select 'NullCheckForNotNullCols', count(*) filter (not pk and gap) from broken""",
     "audit_run_log": """
         select 'logged' as job_name, 'KAFKA' as source_type, 'events' as source_name, 'TABLE' as sink_type,
           'DL User' as rec_create_user_name, count(*) as input_row_count, count(*) as output_row_count,

@@ -181,6 +181,17 @@ def stream_progress_log(spark, sf_dir):
     return log.read().where(F.col("name") == cfg.job_name).groupBy("name").agg(F.sum("num_input_rows").alias("num_input_rows"))
 
 
+@query
+def stream_rule_counts(spark, sf_dir):
+    """Rows per broken null rule, as the merge job's progress reports carry them."""
+    cfg = config(spark, "rule_counts", not_null_columns="props, event_type")
+    gaps = {"user_id": F.expr("if(user_id % 7 = 0, null, user_id)"), "props": F.expr("if(amount > 50, null, props)")}
+    log_of = spark.sql(VIEWS["v_cdc"], events=event_stream(spark, sf_dir)).withColumns(gaps)
+    with ProgressLog(spark, f"{cfg.output_location}.progress") as log:
+        log.wait(jobs.wait(jobs.current_stream(spark, cfg, q.as_envelopes(log_of), now=NOW), cfg))
+    return log.read_rules().where(F.col("name") == cfg.job_name).groupBy("rule_name").agg(F.sum("failures").alias("failures"))
+
+
 @query
 def audit_run_log(spark, sf_dir):
     """The run log of an ingest job, summed over its batches."""
