@@ -26,6 +26,17 @@ def test_corrupt_payload_gives_nulls(spark, text):
     assert got[1]["data"] == (1, "a") and got[1]["operation"] == "INSERT" and got[1]["beforeData"] is None
 
 
+def test_payload_cut_anywhere_gives_nulls_and_a_wrong_type_one_null(spark):
+    good = '{"data":{"id":1,"name":"a"},"headers":{"operation":"INSERT","transactionEventCounter":112165}}'
+    odd = good.replace("112165", '"x"').replace('"id":1', '"id":"y"')
+    df = spark.createDataFrame([*[(good[:n],) for n in range(len(good))], (None,), (odd,)], "payload string").withColumn("ingest_date", F.current_date())
+    got = envelope.decode_envelope(df, envelope_type(ROW)).select("data", "headers").collect()
+    assert all(tuple(r) == (None, None) for r in got[:-1])
+    assert got[-1]["data"] == (None, "a") and got[-1]["headers"]["operation"] == "INSERT"
+    landed = spark.createDataFrame([('{"a": 5, "b": ',), ('{"a": 5, "b": "x"}',)], "value string")
+    assert [tuple(r) for r in envelope.json_value(landed, T.StructType.fromDDL("a int, b int")).collect()] == [(None, None), (5, None)]
+
+
 def test_avro_needs_its_module_and_other_formats_fail(spark):
     with pytest.raises(ValueError):
         envelope.decode_payload(F.lit("x"), ROW, "xml")

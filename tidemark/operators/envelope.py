@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WIRE_HEADER_BYTES = 5  # one magic byte, four bytes of schema id
+CORRUPT = "_corrupt"
 
 
 def strip_wire_header(df: DataFrame, value: str = "value", payload: str = "payload") -> DataFrame:
@@ -24,11 +25,23 @@ def strip_wire_header(df: DataFrame, value: str = "value", payload: str = "paylo
 def decode_payload(payload: Column, schema: T.StructType | str, fmt: str = "json") -> Column:
     """The payload as a struct; a corrupt one gives nulls instead of failing.
 
+    A JSON text that ends too early is corrupt wherever it ends, and none of
+    its fields count; in a whole one, only a field of another type is null.
+
     ``json`` takes a StructType.  ``avro`` takes the schema document and needs
     Spark's Avro module on the classpath.
     """
     if fmt == "json":
-        return F.from_json(payload.cast("string"), schema, {"mode": "PERMISSIVE"})
+        text, options = payload.cast("string"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        flag = T.StructField(CORRUPT, T.StringType())
+        untyped = T.StructType([*[T.StructField(n, T.StringType()) for n in schema.names], flag])
+
+        def checked(row: Column) -> Column:
+            # Whatever the types, a whole text can be read: looked at only where reading by the types met a fault.
+            torn = row[CORRUPT].isNotNull() & F.from_json(text, untyped, options)[CORRUPT].isNotNull()
+            return F.when(~torn, row.dropFields(CORRUPT))
+
+        return F.transform(F.array(F.from_json(text, T.StructType([*schema.fields, flag]), options)), checked)[0]
     if fmt == "avro":
         from pyspark.sql.avro.functions import from_avro
 
@@ -60,7 +73,7 @@ def decode_envelope(
 
 def json_value(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Parse a JSON text column and lay its fields out; key and value are dropped."""
-    parsed = df.withColumn("_parsed", F.from_json(F.col(value).cast("string"), schema, {"mode": "PERMISSIVE"}))
+    parsed = df.withColumn("_parsed", decode_payload(F.col(value), schema))
     return parsed.select("_parsed.*", *[c for c in df.columns if c not in ("key", value)])
 
 
