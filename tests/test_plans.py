@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -70,6 +71,25 @@ def test_ecom_by_branch_equals_the_single_pass(spark, rows):
     assert rows(sales_ecom.ecom_sales(*inputs, "j", NOW)) == rows(sales_ecom.ecom_sales_by_branch(*inputs, "j", NOW))
 
 
+@pytest.mark.parametrize("closed", ["both", "left"])
+def test_large_hubs_are_carried_with_the_same_rows_and_lines_move_once_after_their_header(spark, rows, closed):
+    middle = dt.datetime(2021, 5, 1)
+    lines, log, stores, currency, _ = ecom_inputs(spark, [(1, i, f"sku{i % 4}" if i % 3 else None, f"S{i % 3}") for i in range(24)])
+    gone = [("sku1", 1, FOREVER[0], middle), ("sku1", 2, middle, FOREVER[1]), ("sku2", 3, FOREVER[0], dt.datetime(2020, 1, 1))]
+    many = [("sku3", 10 + n, dt.datetime(2000 + n, 1, 1), dt.datetime(2001 + n, 1, 1)) for n in range(30)]
+    products = hub(spark, {"sku0": 9}, "product", gone + many)
+    inputs = lines, log.union(log.selectExpr("2", "null", "null", "null")), stores, currency, products
+    wanted = rows(sales_ecom.ecom_sales(*inputs, "j", NOW, closed))
+    assert rows(sales_ecom.ecom_sales(*inputs, "j", NOW, closed, limit=0)) == wanted
+    assert rows(sales_ecom.ecom_sales_by_branch(*inputs, "j", NOW, closed, limit=0)) == wanted
+    few = hub(spark, {"sku": 7}, "product")
+    plan = sales_ecom.ecom_sales(*inputs[:4], few, "j", NOW, limit=0)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("SortMergeJoin [order_id")]
+    assert "Exchange" not in above
+    plan = sales_ecom.ecom_sales_by_branch(*inputs[:4], few, "j", NOW)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(order_id#" in plan and not re.search(r"Exchange hashpartitioning\(order_id#\d+, order_item_id", plan)
+
+
 def test_touching_store_versions_fan_out_unless_half_open(spark):
     lines, log, _, currency, product = ecom_inputs(spark, [(1, 1, "sku", None)])
     middle = dt.datetime(2021, 5, 1)

@@ -10,10 +10,12 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.sizing import BROADCAST_LIMIT, broadcast_if_small
+from tidemark.operators.sizing import BROADCAST_LIMIT, broadcast_if_small, measured_bytes
 
 START = "effective_start_timestamp"
 END = "effective_end_timestamp"
+#: Versions that a code may have for a row to carry them all.
+FEW = 8
 
 
 def lookup_hub(
@@ -75,24 +77,83 @@ def effective_join(
     """
     if not isinstance(columns, Mapping):
         columns = {c: c for c in columns}
+    side = hub_side(hub, columns, system)
+    matched = fact.join(
+        side if limit is None else broadcast_if_small(side, limit),
+        (F.col(code).cast("string") == F.col("_code")) & _in_force(F.col(ts), F.col("_start"), F.col("_end"), closed),
+        "left",
+    )
+    return matched.select(*fact.columns, *[F.col(f"_hub_{o}").alias(o) for o in columns.values()])
+
+
+def hub_side(hub: DataFrame, columns: Mapping[str, str], system: str | None = None) -> DataFrame:
+    """What an effective-dated join needs of the hub: its codes, their validity and the columns looked up."""
     if system is not None:
         hub = hub.where(F.col("source_system_name") == system)
-    side = hub.where(F.col("hub_code").isNotNull()).select(
+    return hub.where(F.col("hub_code").isNotNull()).select(
         F.col("hub_code").alias("_code"),
         F.col(START).alias("_start"),
         F.col(END).alias("_end"),
         *[F.col(c).alias(f"_hub_{out}") for c, out in columns.items()],
     )
-    at = F.col(ts).cast("timestamp")
-    upper = at < F.col("_end") if closed == "left" else at <= F.col("_end")
+
+
+def _in_force(ts: Column, start: Column, end: Column, closed: str) -> Column:
     if closed not in ("both", "left"):
         raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
-    matched = fact.join(
-        side if limit is None else broadcast_if_small(side, limit),
-        (F.col(code).cast("string") == F.col("_code")) & (at >= F.col("_start")) & upper,
-        "left",
-    )
-    return matched.select(*fact.columns, *[F.col(f"_hub_{o}").alias(o) for o in columns.values()])
+    at = ts.cast("timestamp")
+    return (at >= start) & (at < end if closed == "left" else at <= end)
+
+
+@dataclass(frozen=True)
+class CarriedVersions:
+    """The effective-dated join in two steps, for a hub that is too large to broadcast.
+
+    ``attach`` gives each row the versions of its code, before the time is known
+    or where the codes are fewer than the facts; ``pick`` keeps the ones in
+    force at the time.  Together they return what ``effective_join`` does, but
+    the facts need not move by the code after they have met their time: ``pick``
+    moves nothing.  Codes of more than ``few`` versions are not carried; ``pick``
+    looks them up by ``effective_join``.
+    """
+
+    hub: DataFrame
+    code: str
+    columns: Mapping[str, str]
+    closed: str = "both"
+    system: str | None = None
+    few: int = FEW
+
+    @property
+    def _carried(self) -> str:
+        return "_versions_" + "_".join(self.columns.values())
+
+    def _counted(self) -> DataFrame:
+        same_code = Window.partitionBy("_code")
+        return hub_side(self.hub, self.columns, self.system).withColumn("_n", F.count(F.lit(1)).over(same_code))
+
+    def attach(self, rows: DataFrame) -> DataFrame:
+        version = F.struct("_start", "_end", *[f"_hub_{o}" for o in self.columns.values()])
+        carried = self._counted().where(F.col("_n") <= self.few).groupBy("_code").agg(F.collect_list(version).alias(self._carried))
+        return rows.join(carried, F.col(self.code).cast("string") == F.col("_code"), "left").drop("_code")
+
+    def pick(self, fact: DataFrame, ts: str) -> DataFrame:
+        held = F.filter(self._carried, lambda v: _in_force(F.col(ts), v["_start"], v["_end"], self.closed))
+        names = [c for c in fact.columns if c != self._carried]
+        outs = list(self.columns.values())
+        found = fact.select("*", F.explode_outer(held).alias("_version"))
+        found = found.select(*names, *[F.col(f"_version._hub_{o}").alias(o) for o in outs])
+        rest = self._counted().where(F.col("_n") > self.few).drop("_n")
+        size = measured_bytes(rest)
+        if not size:
+            return found
+        # No row has versions from both, so the first that is there counts.
+        rest = rest.select(F.col("_code").alias("hub_code"), F.col("_start").alias(START), F.col("_end").alias(END), *[f"_hub_{o}" for o in outs])
+        both = effective_join(
+            found, F.broadcast(rest) if size <= BROADCAST_LIMIT else rest, self.code, ts,
+            {f"_hub_{o}": f"_rest_{o}" for o in outs}, self.closed, limit=None,
+        )
+        return both.select(*names, *[F.coalesce(o, f"_rest_{o}").alias(o) for o in outs])
 
 
 def interval_sweep(

@@ -45,6 +45,11 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
 
 def broadcast_small(frames: Sequence[DataFrame], limit: int = BROADCAST_LIMIT) -> list[DataFrame]:
     """The same for several frames, all measured in one job."""
+    return [F.broadcast(df) if small else df for df, small in zip(frames, are_small(frames, limit), strict=True)]
+
+
+def are_small(frames: Sequence[DataFrame], limit: int = BROADCAST_LIMIT) -> list[bool]:
+    """Which of the frames are within ``limit`` bytes, all measured in one job."""
     sizes = [_size(df).select(F.lit(i).alias("i"), "bytes") for i, df in enumerate(frames)]
     measured = dict(tuple(r) for r in reduce(DataFrame.unionByName, sizes).collect())
-    return [F.broadcast(df) if measured[i] <= limit else df for i, df in enumerate(frames)]
+    return [measured[i] <= limit for i in range(len(frames))]

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.conform import as_table
 from tidemark.functions.times import clock, date_key, load_stamp, to_utc
-from tidemark.operators.lookup import assemble_branches, effective_join
-from tidemark.operators.sizing import broadcast_small
+from tidemark.operators.lookup import CarriedVersions, assemble_branches, effective_join, hub_side
+from tidemark.operators.sizing import BROADCAST_LIMIT, are_small
 from tidemark.schemas import DTL_RETAIL_SALES
 
 KEYS = ("order_id", "order_item_id")
+HEADER_CODES = ("store_num", "currency_code")  # the others are codes of the item
 
 # Fact column <- order item column.
 ITEM_COLUMNS = {
@@ -60,7 +61,8 @@ PRODUCT = {
 
 def order_lines(items: DataFrame, order_log: DataFrame) -> DataFrame:
     """Each order item with its order's store, currency and time: the one large join."""
-    header = order_log.select("order_id", "store_num", "currency_code", "order_timestamp")
+    carried = [c for c in order_log.columns if c.startswith("_versions_")]
+    header = order_log.select("order_id", *HEADER_CODES, "order_timestamp", *carried)
     lines = items.drop(*[c for c in header.columns if c != "order_id" and c in items.columns])
     return lines.withColumnRenamed("id", "order_item_id").join(header, "order_id")
 
@@ -91,28 +93,44 @@ def ecom_sales(
     job: str,
     now: Column | datetime | str | None = None,
     closed: str = "both",
+    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """The sales fact rows of a set of order items.
 
-    Items meet their headers once and then pass four effective-dated lookups;
-    small hubs are broadcast, so the lines move only for the header join.  The
-    distinct reuses that join's partitioning by order.
+    Items meet their headers once and then pass four effective-dated lookups.
+    Hubs within ``limit`` bytes are broadcast. A larger one is met by the side
+    that has its code, items or headers, before these two meet, and the version
+    is picked after: the distinct always finds the lines where that meeting
+    left them, by order.
     """
-    store_hub, currency_hub, product_hub = broadcast_small([store_hub, currency_hub, product_hub])
+    lookups = _lookups(store_hub, currency_hub, product_hub)
+    small = are_small([hub_side(hub, columns) for hub, _, columns in lookups], limit)
+    carried = {}
+    for (hub, code, columns), fits in zip(lookups, small, strict=True):
+        if not fits:
+            carried[code] = CarriedVersions(hub, code, columns, closed)
+            if code in HEADER_CODES:
+                order_log = carried[code].attach(order_log)
+            else:
+                items = carried[code].attach(items)
     lines = order_lines(items, order_log)
-    for hub, code, columns in (
-        (store_hub, "store_num", STORE),
-        (store_hub, "ship_store_num", SHIP_STORE),
-        (currency_hub, "currency_code", CURRENCY),
-        (product_hub, "sku_number", PRODUCT),
-    ):
-        lines = effective_join(lines, hub, code, "order_timestamp", _known(hub, columns), closed, limit=None)
+    for hub, code, columns in lookups:
+        if code in carried:
+            lines = carried[code].pick(lines, "order_timestamp")
+        else:
+            lines = effective_join(lines, F.broadcast(hub), code, "order_timestamp", columns, closed, limit=None)
     looked_up = [*STORE, *SHIP_STORE.values(), *CURRENCY, *PRODUCT]
     kept = [F.col(c) for c in (*KEYS, *looked_up) if c in lines.columns]
     rows = lines.select(*kept, *[v.alias(n) for n, v in fact_columns(lines).items()]).distinct()
     return _stamped(rows, job, now)
 
 
+def _lookups(store_hub: DataFrame, currency_hub: DataFrame, product_hub: DataFrame) -> list[tuple[DataFrame, str, dict[str, str]]]:
+    """The four lookups: hub, code, columns."""
+    found = ((store_hub, "store_num", STORE), (store_hub, "ship_store_num", SHIP_STORE), (currency_hub, "currency_code", CURRENCY), (product_hub, "sku_number", PRODUCT))
+    return [(hub, code, _known(hub, columns)) for hub, code, columns in found]
+
+
 def _known(hub: DataFrame, columns: Mapping[str, str]) -> dict[str, str]:
     return {c: out for c, out in columns.items() if c in hub.columns}
 
@@ -131,24 +149,29 @@ def ecom_sales_by_branch(
     job: str,
     now: Column | datetime | str | None = None,
     closed: str = "both",
+    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """The same fact put together from four separately looked-up branches.
 
     It equals ``ecom_sales`` while (order, item) is unique among the items, and
     is there for staging the branches one by one.
     """
-    store_hub, currency_hub, product_hub = broadcast_small([store_hub, currency_hub, product_hub])
-    lines = order_lines(items, order_log)
-
-    def branch(hub: DataFrame, code: str, columns: Mapping[str, str], extra: Mapping[str, Column]) -> DataFrame:
-        found = effective_join(lines, hub, code, "order_timestamp", _known(hub, columns), closed, limit=None)
-        names = [out for c, out in columns.items() if c in hub.columns]
-        return found.select(*KEYS, *names, *[v.alias(n) for n, v in extra.items()]).distinct()
-
-    product = branch(product_hub, "sku_number", PRODUCT, fact_columns(lines))
-    others = [
-        branch(store_hub, "store_num", STORE, {}),
-        branch(store_hub, "ship_store_num", SHIP_STORE, {}),
-        branch(currency_hub, "currency_code", CURRENCY, {}),
-    ]
+    lookups = _lookups(store_hub, currency_hub, product_hub)
+    small = are_small([hub_side(hub, columns) for hub, _, columns in lookups], limit)
+
+    def branch(hub: DataFrame, code: str, columns: Mapping[str, str], fits: bool) -> DataFrame:
+        if fits:
+            lines = order_lines(items, order_log)
+            found = effective_join(lines, F.broadcast(hub), code, "order_timestamp", columns, closed, limit=None)
+        else:
+            carried = CarriedVersions(hub, code, columns, closed)
+            sides = (items, carried.attach(order_log)) if code in HEADER_CODES else (carried.attach(items), order_log)
+            lines = order_lines(*sides)
+            found = carried.pick(lines, "order_timestamp")
+        extra = fact_columns(lines) if code == "sku_number" else {}
+        return found.select(*KEYS, *columns.values(), *[v.alias(n) for n, v in extra.items()]).distinct()
+
+    # Every branch lies by order, and stays there for the assembly.
+    items.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    *others, product = [branch(*one, fits) for one, fits in zip(lookups, small, strict=True)]
     return _stamped(assemble_branches(product, others, KEYS).distinct(), job, now)
