@@ -121,6 +121,20 @@ def test_retail_line_with_product_store_and_clock(spark):
     assert retail(spark, [(1, 1, "S1")], system="WEB").first()["product_rhid"] is None
 
 
+def test_retail_products_beyond_the_limit_meet_the_size_codes(spark, rows):
+    sales, upcref, stores, _ = retail_inputs(spark, [(1, 1, "S1"), (2, 1, "S2"), (3, 1, None)])
+    at = dt.datetime(2021, 5, 1)
+    gone = ("old", 3, FOREVER[0], dt.datetime(2020, 1, 1))
+    products = hub(spark, {}, "product", [("sku", 1, FOREVER[0], at), ("sku", 2, at, FOREVER[1]), gone])
+    codes = upcref.union(upcref.selectExpr("1", "'M'", "'old'")).union(upcref.selectExpr("1", "'M'", "null"))
+    for how in ("keyed", "line"):
+        found = [sales_retail.retail_sales(sales, codes, stores, products, "j", NOW, "POS", how, limit=n) for n in (1 << 20, 0)]
+        assert rows(found[0]) == rows(found[1]) and found[1].where("product_rhid = 2").count() == 3
+    joins = re.findall("Join LeftOuter, (.*)", found[1]._jdf.queryExecution().optimizedPlan().toString())
+    lines, codes = ([i for i, on in enumerate(joins) if c in on] for c in ("up_seq", "up_code"))
+    assert max(lines) < min(codes)  # the plan is written from its last join to its first
+
+
 def test_retail_exact_duplicates_collapse(spark):
     for how in ("keyed", "line"):
         assert retail(spark, [(1, 1, "S1")] * 3, assembly=how).count() == 1

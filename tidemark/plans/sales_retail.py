@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.conform import as_table
 from tidemark.functions.times import clock, date_key, load_stamp, to_utc, twelve_hour
-from tidemark.operators.lookup import effective_join
-from tidemark.operators.sizing import broadcast_small
+from tidemark.operators.lookup import CarriedVersions, effective_join, hub_side
+from tidemark.operators.sizing import BROADCAST_LIMIT, are_small
 from tidemark.plans.sales_ecom import PRODUCT
 from tidemark.schemas import DTL_RETAIL_SALES
 
@@ -57,19 +58,27 @@ def _sale_lines(sales: DataFrame) -> DataFrame:
 
 
 def _with_product(
-    lines: DataFrame, upcref: DataFrame, product_hub: DataFrame, system: str | None, closed: str
+    lines: DataFrame, upcref: DataFrame, product_hub: DataFrame, system: str | None, closed: str, small: bool
 ) -> DataFrame:
+    columns = _known(product_hub, PRODUCT)
     codes = upcref.select("up_seq", "up_size", "up_code")
+    carried = CarriedVersions(product_hub, "up_code", columns, closed, system)
+    if not small:
+        codes = carried.attach(codes)
     crossed = lines.join(
         codes, (F.col("sl_seq") == F.col("up_seq")) & (F.col("sl_size_id") == F.col("up_size")), "left"
     )
-    columns = {c: out for c, out in PRODUCT.items() if c in product_hub.columns}
-    return effective_join(crossed, product_hub, "up_code", "sl_date", columns, closed, system, limit=None)
+    if not small:
+        return carried.pick(crossed, "sl_date")
+    return effective_join(crossed, F.broadcast(product_hub), "up_code", "sl_date", columns, closed, system, limit=None)
+
+
+def _known(hub: DataFrame, columns: Mapping[str, str]) -> dict[str, str]:
+    return {c: out for c, out in columns.items() if c in hub.columns}
 
 
 def _with_store(lines: DataFrame, store_hub: DataFrame, closed: str) -> DataFrame:
-    columns = {c: out for c, out in STORE.items() if c in store_hub.columns}
-    return effective_join(lines, store_hub, "sl_store", "sl_date", columns, closed, limit=None)
+    return effective_join(lines, store_hub, "sl_store", "sl_date", _known(store_hub, STORE), closed, limit=None)
 
 
 def retail_sales(
@@ -82,6 +91,7 @@ def retail_sales(
     system: str | None = None,
     assembly: str = "line",
     closed: str = "both",
+    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """The sales fact rows of a set of register lines, without duplicates.
 
@@ -94,11 +104,14 @@ def retail_sales(
 
     ``system`` restricts the product codes to one source system.  The keyed
     store half is made distinct first, so a key repeated n times costs n rows
-    and not n squared.
+    and not n squared.  Products beyond ``limit`` bytes are met by the size codes,
+    of which there are fewer than lines, and not by the lines themselves.
     """
-    store_hub, product_hub = broadcast_small([store_hub, product_hub])
+    sides = hub_side(store_hub, _known(store_hub, STORE)), hub_side(product_hub, _known(product_hub, PRODUCT), system)
+    few_stores, few_products = are_small(sides, limit)
+    store_hub = F.broadcast(store_hub) if few_stores else store_hub
     lines = _sale_lines(sales)
-    found = _with_product(lines, upcref, product_hub, system, closed)
+    found = _with_product(lines, upcref, product_hub, system, closed, few_products)
     helpers = ("sl_date", "sl_seq", "sl_size_id", "up_seq", "up_size", "up_code")
     if assembly == "line":
         rows = _with_store(found, store_hub, closed).drop(*helpers, "sl_store")
