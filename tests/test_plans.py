@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.lookup import hub_code, lookup_hub
 from tidemark.plans import hierarchy, metrics, sales_ecom, sales_retail, visits
 from tidemark.schemas import AGG_STORE_METRICS_DAILY, DTL_RETAIL_SALES, PRODUCT_LINES
+from tidemark.session import setting
 
 NOW = "2024-02-01 10:11:12"
 FOREVER = (dt.datetime(1900, 1, 1), dt.datetime(9999, 1, 1))
@@ -289,3 +290,27 @@ def test_a_late_reading_of_one_unmapped_number_keeps_the_others(spark, rows):
     mapped = hub(spark, {"S1": 1, "X": 2, "Y": 2}, "store")
     moved = visits.stamped_visits(visits.store_visits(spark.createDataFrame(late, TRAFFIC), mapped, changed), "two", "2024-01-09")
     assert rows(visits.merge_visits(target, moved), "store_rhid", "entry_count") == [(2, 101)]
+
+
+def test_lines_that_lie_by_order_stay_there_whatever_the_hubs(spark, rows):
+    """Bucketed items and headers: large hubs get codes, orders and times, and the wide lines are not exchanged."""
+    lines, log, stores, currency, _ = ecom_inputs(spark, [(1, i % 9, f"sku{i % 4}" if i % 3 else None, f"S{i % 3}") for i in range(24)])
+    middle = dt.datetime(2021, 5, 1)
+    products = hub(spark, {"sku0": 9}, "product", [("sku1", 1, FOREVER[0], middle), ("sku1", 2, middle, FOREVER[1])])
+    wanted = rows(sales_ecom.ecom_sales(lines, log, stores, currency, products, "j", NOW))
+    landed = []
+    for name, table in (("lines", lines), ("log", log)):
+        table.write.format("parquet").mode("overwrite").bucketBy(4, "order_id").sortBy("order_id").saveAsTable(f"lying_{name}")
+        landed.append(spark.table(f"lying_{name}"))
+    try:
+        for limit in (0, 64 << 20):
+            with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+                found = sales_ecom.ecom_sales(*landed, stores, currency, products, "j", NOW, limit=limit, lying=True)
+                plan = found._jdf.queryExecution().executedPlan().toString()
+                assert rows(found) == wanted
+            exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+            assert not any("order_item_id" in line for line in exchanges)
+            assert not re.search(r"Exchange hashpartitioning\(order_id#", plan)
+    finally:
+        for name in ("lines", "log"):
+            spark.sql(f"drop table if exists lying_{name}")

@@ -156,6 +156,35 @@ class CarriedVersions:
         return both.select(*names, *[F.coalesce(o, f"_rest_{o}").alias(o) for o in outs])
 
 
+def effective_join_lying(
+    fact: DataFrame,
+    hub: DataFrame,
+    code: str,
+    ts: str,
+    columns: Mapping[str, str],
+    by: str,
+    closed: str = "both",
+    asking: DataFrame | None = None,
+) -> DataFrame:
+    """``effective_join`` for facts that lie by ``by`` and a hub too large to broadcast.
+
+    Only the distinct (``by``, code, time) go to the hub, and what they found
+    comes back to where the facts lie: these do not move, whatever their width,
+    and lie by ``by`` afterwards.  It needs
+    ``spark.sql.requireAllClusterKeysForCoPartition`` off when it runs.  The
+    facts are computed twice, so they should be read from a table; ``asking``
+    has the same codes and times at less cost, if there is such a frame.
+    """
+    keys, outs = [by, code, ts], list(columns.values())
+    known = (fact if asking is None else asking).where(F.col(code).isNotNull() & F.col(ts).isNotNull())
+    asked = known.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    held = _in_force(F.col(f"_k_{ts}"), F.col("_start"), F.col("_end"), closed)
+    found = asked.join(hub_side(hub, columns), (F.col(f"_k_{code}").cast("string") == F.col("_code")) & held)
+    found = found.select(*[f"_k_{k}" for k in keys], *[f"_hub_{o}" for o in outs])
+    same = reduce(and_, [F.col(k) == F.col(f"_k_{k}") for k in keys])
+    return fact.join(found, same, "left").select(*fact.columns, *[F.col(f"_hub_{o}").alias(o) for o in outs])
+
+
 def interval_sweep(
     fact: DataFrame,
     hub: DataFrame,

@@ -3,7 +3,7 @@
 The fact lies by load date, its metrics by order day, and a changed order item
 is a further row somewhere else. Two narrow tables lead from one to the other:
 
-* ``items``: per online item, day and load date the newest time stamp, below
+* ``items``: per online line its item, day, load date and time stamp, below
   the block of its order ids. Order numbers rise with time, so the items of a
   load, and those of a day, lie in few blocks.
 * ``days``: per day the load dates that hold lines of it, and the blocks of
@@ -54,20 +54,30 @@ def among(column: str, values: Iterable) -> Column:
     return found | F.col(column).isNull() if None in values else found
 
 
-def newest_lines(lines: DataFrame, stamps: DataFrame) -> DataFrame:
+def newest_lines(lines: DataFrame, stamps: DataFrame, block: Column) -> DataFrame:
     """The ``lines`` of the fact without those that a later load replaced.
 
     A changed order item is a further row of the fact; only the rows of its
     newest load count. ``stamps`` holds the time stamps of online items, in any
-    number of rows. Register lines have no line key and all count.
+    number of rows, with their block, which is ``block`` in the lines. Register
+    lines have no line key and all count.
+
+    What has the newest stamp of its block stands without a look at its item;
+    the other lines alone meet the stamps that can be newer.
     """
-    items = lines.where(ONLINE).select(*ITEM).distinct()
-    newest = stamps.join(items, ITEM, "left_semi")
-    newest = newest.groupBy(*[F.col(c).alias(f"_{c}") for c in ITEM]).agg(F.max(STAMP).alias("_newest"))
-    same = reduce(and_, [F.col(c) == F.col(f"_{c}") for c in ITEM], F.expr(ONLINE))
-    marked = lines.join(newest, same, "left")
-    stands = F.col("_newest").isNull() | (F.col(STAMP) == F.col("_newest"))
-    return marked.where(stands).select(*lines.columns)
+    ends = stamps.groupBy(F.col(BLOCK).alias("_of")).agg(F.min(STAMP).alias("_least"), F.max(STAMP).alias("_most"))
+    ends = F.broadcast(ends)  # a row per block
+    bare = F.col(STAMP).isNull()
+    placed = lines.withColumn("_block", block).join(ends, F.col("_block") == F.col("_of"), "left")
+    doubtful = F.expr(ONLINE) & F.col("_most").isNotNull() & (bare | (F.col(STAMP) < F.col("_most")))
+    doubtful = F.coalesce(doubtful, F.lit(False))
+    newer = stamps
+    if lines.where(F.expr(ONLINE) & bare).isEmpty():  # a line without a stamp is older than any
+        newer = stamps.join(ends, F.col(BLOCK) == F.col("_of")).where(F.col(STAMP) > F.col("_least"))
+    newest = newer.groupBy(*[F.col(c).alias(f"_{c}") for c in ITEM]).agg(F.max(STAMP).alias("_newest"))
+    same = reduce(and_, [F.col(c) == F.col(f"_{c}") for c in ITEM], bare | (F.col(STAMP) < F.col("_newest")))
+    kept = placed.where(doubtful).join(newest, same, "left_anti")
+    return placed.where(~doubtful).select(*lines.columns).unionByName(kept.select(*lines.columns))
 
 
 class Places:
@@ -105,22 +115,30 @@ class Places:
             new = new.where(self.since(low) & (F.col(STAMP) > F.lit(low)))
         name = "all" if low is None else f"{low:%Y%m%dT%H%M%S%f}"
         lines = new.select(*ITEM, DAY, FOLDER, STAMP, self._block(), F.expr(ONLINE).alias("_online"))
-        items = lines.where("_online").groupBy(*ITEM, DAY, FOLDER, BLOCK).agg(F.max(STAMP).alias(STAMP))
+        items = lines.where("_online").drop("_online")
         append_batch(items, f"{self.path}/items", [BLOCK], name, balance=True)
         append_batch(lines.select(DAY, FOLDER, BLOCK).distinct(), f"{self.path}/days", [], name)
         mark = self.spark.range(1).select(F.lit(high).cast("timestamp").alias("covered"))
         append_batch(mark.coalesce(1), f"{self.path}/marks", [], name)
 
-    def days_of_items(self, batch: DataFrame) -> DataFrame:
-        """The days on which the online items of the batch stand or stood, in any load."""
+    def days_of_items(self, batch: DataFrame, low: datetime | None = None) -> DataFrame:
+        """The days on which the online items of the batch stand or stood, in any load.
+
+        With ``low``, the mark that the batch follows, the days of the batch's own lines are left out.
+        """
         online = batch.where(ONLINE)
         blocks = [r[0] for r in online.select(self._block()).distinct().collect()]
-        return self.items().where(among(BLOCK, blocks)).join(online.select(*ITEM).distinct(), ITEM, "left_semi").select(DAY)
+        known = self.items().where(among(BLOCK, blocks))
+        if low is not None:
+            known = known.where((F.col(STAMP) <= F.lit(low)) | ~self.since(low))
+            if known.isEmpty():
+                return known.select(DAY)
+        return known.join(online.select(*ITEM).distinct(), ITEM, "left_semi").select(DAY)
 
     def standing_lines(self, days: DataFrame) -> DataFrame:
         """All lines of the ``days`` (``_day``) that no later load replaced, from the load dates that hold some."""
         same_day = F.col(DAY).eqNullSafe(F.col("_day"))
         found = self.days().join(days, same_day, "left_semi").select(FOLDER, BLOCK).distinct().collect()
         lines = self.fact.where(among(FOLDER, {r[FOLDER] for r in found})).join(days, same_day, "left_semi")
-        stamps = self.items().where(among(BLOCK, {r[BLOCK] for r in found})).select(*ITEM, STAMP)
-        return newest_lines(lines, stamps)
+        stamps = self.items().where(among(BLOCK, {r[BLOCK] for r in found})).select(*ITEM, STAMP, BLOCK)
+        return newest_lines(lines, stamps, self._block())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.conform import as_table
 from tidemark.functions.times import clock, date_key, load_stamp, to_utc
-from tidemark.operators.lookup import CarriedVersions, assemble_branches, effective_join, hub_side
+from tidemark.operators.lookup import CarriedVersions, assemble_branches, effective_join, effective_join_lying, hub_side
 from tidemark.operators.sizing import BROADCAST_LIMIT, are_small
 from tidemark.schemas import DTL_RETAIL_SALES
 
@@ -94,6 +94,7 @@ def ecom_sales(
     now: Column | datetime | str | None = None,
     closed: str = "both",
     limit: int = BROADCAST_LIMIT,
+    lying: bool = False,
 ) -> DataFrame:
     """The sales fact rows of a set of order items.
 
@@ -102,21 +103,27 @@ def ecom_sales(
     that has its code, items or headers, before these two meet, and the version
     is picked after: the distinct always finds the lines where that meeting
     left them, by order.
+
+    With ``lying`` items and headers are tables, cheap to read again: the lines
+    stay where they met, and only their codes, with order and time, go to a
+    large hub (``effective_join_lying``, which says what setting that needs).
     """
     lookups = _lookups(store_hub, currency_hub, product_hub)
     small = are_small([hub_side(hub, columns) for hub, _, columns in lookups], limit)
     carried = {}
     for (hub, code, columns), fits in zip(lookups, small, strict=True):
-        if not fits:
+        if not fits and not lying:
             carried[code] = CarriedVersions(hub, code, columns, closed)
             if code in HEADER_CODES:
                 order_log = carried[code].attach(order_log)
             else:
                 items = carried[code].attach(items)
-    lines = order_lines(items, order_log)
-    for hub, code, columns in lookups:
+    lines = met = order_lines(items, order_log)
+    for (hub, code, columns), fits in zip(lookups, small, strict=True):
         if code in carried:
             lines = carried[code].pick(lines, "order_timestamp")
+        elif not fits:
+            lines = effective_join_lying(lines, hub, code, "order_timestamp", columns, "order_id", closed, met)
         else:
             lines = effective_join(lines, F.broadcast(hub), code, "order_timestamp", columns, closed, limit=None)
     looked_up = [*STORE, *SHIP_STORE.values(), *CURRENCY, *PRODUCT]

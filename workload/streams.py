@@ -23,7 +23,7 @@ from tidemark.sources import streams, tables
 from tidemark.streaming import jobs
 from tidemark.streaming.progress import ProgressLog
 from workload import queries as q
-from workload.inputs import VIEWS, frame
+from workload.inputs import VIEWS, frame, landed_by_order
 from workload.queries import ENVELOPE, NOW, query
 
 def config(spark: SparkSession, name: str, **settings) -> JobConfig:
@@ -328,9 +328,10 @@ def gold_moved_days(spark, sf_dir):
     hub = q.store_hub(spark, sf_dir)
     masters = [frame(spark, sf_dir, n) for n in ("v_mst_store", "v_mst_product", "v_mst_product_line")]
     loads.load_visits(spark, root, "visits", frame(spark, sf_dir, "v_traffic"), hub, datetime(2024, 2, 1))
+    landed = landed_by_order(spark, sf_dir)
     for day, (items, log) in enumerate((("v_items", "v_undated_log"), ("v_resent_items", "v_moved_log")), 1):
         loads.load_ecom_sales(
-            spark, root, "ecom", frame(spark, sf_dir, items), frame(spark, sf_dir, log), hub,
+            spark, root, "ecom", frame(spark, sf_dir, items, landed), frame(spark, sf_dir, log, landed), hub,
             q.currency_hub(spark, sf_dir), q.product_hub(spark, sf_dir), datetime(2024, 2, day),
         )
         loads.load_metrics(spark, root, "gold", *masters, now=datetime(2024, 2, day, 12))
