@@ -470,8 +470,9 @@ def gold_end_to_end(spark, sf_dir):
     root = work_path(spark, "lake")
     now = datetime(2024, 2, 1, 10, 11, 12)
     hub = q.store_hub(spark, sf_dir)
+    landed = landed_by_order(spark, sf_dir)
     loads.load_ecom_sales(
-        spark, root, "ecom", frame(spark, sf_dir, "v_items"), frame(spark, sf_dir, "v_order_log"), hub,
+        spark, root, "ecom", landed["v_items"], landed["v_order_log"], hub,
         q.currency_hub(spark, sf_dir), q.product_hub(spark, sf_dir), now,
     )
     loads.load_visits(spark, root, "visits", frame(spark, sf_dir, "v_traffic"), hub, now)
