@@ -310,10 +310,11 @@ def gold_two_loads(spark, sf_dir):
     hub = q.store_hub(spark, sf_dir)
     masters = [frame(spark, sf_dir, n) for n in ("v_mst_store", "v_mst_product", "v_mst_product_line")]
     loads.load_visits(spark, root, "visits", frame(spark, sf_dir, "v_traffic"), hub, datetime(2024, 2, 1))
-    first = frame(spark, sf_dir, "v_items").where("id <> 1")
-    for day, items in enumerate((first, frame(spark, sf_dir, "v_changed_items")), 1):
+    landed = landed_by_order(spark, sf_dir)
+    first = landed["v_items"].where("id <> 1")
+    for day, items in enumerate((first, frame(spark, sf_dir, "v_changed_items", landed)), 1):
         loads.load_ecom_sales(
-            spark, root, "ecom", items, frame(spark, sf_dir, "v_order_log"), hub,
+            spark, root, "ecom", items, landed["v_order_log"], hub,
             q.currency_hub(spark, sf_dir), q.product_hub(spark, sf_dir), datetime(2024, 2, day),
         )
         loads.load_metrics(spark, root, "gold", *masters, now=datetime(2024, 2, day, 12))
