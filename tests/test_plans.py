@@ -244,6 +244,30 @@ def test_metrics_by_store_equal_the_real_fan_out(spark, rows, limit):
     assert rows(got, *want.columns) == rows(want)
 
 
+def test_lines_without_a_product_are_dealt_out_and_still_meet_the_unknown_one(spark, rows):
+    """Products too many to broadcast, the unknown one among them twice: same sums, and no task has all lines without one."""
+    sales, store, seen, product, lines = gold_inputs(spark)
+    listed = product.unionByName(spark.createDataFrame([(-1, 1), (-1, 2)], product.schema))
+    wanted = metrics.store_metrics(sales, store, seen, listed, lines)
+    assert rows(metrics.store_metrics(sales, store, seen, listed, lines, limit=0)) == rows(wanted)
+    many = spark.range(4000).select(
+        F.lit(1).alias("store_rhid"), F.col("id").alias("date_key"), F.lit(-1).alias("product_rhid"), F.lit(1).alias("_lines")
+    )
+    products = metrics._product_lines(listed, lines)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), setting(spark, "spark.sql.adaptive.enabled", "false"):
+        met = metrics._with_line(many, products)
+        tasks = [r["count"] for r in met.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(tasks) == 8000 and max(tasks) < 4000
+
+
+def test_the_wide_form_of_the_metrics_is_not_held_for_all_store_days_of_a_task(spark):
+    """One aggregation of the sales, by store, day and line; what is wide comes from a sort, and no wide row is sorted again."""
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        plan = metrics.store_metrics(*gold_inputs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"HashAggregate\(keys=\[store_rhid#\d+, date_key#\d+\w*\]", plan)
+    assert "ShuffledHashJoin" in plan and "Window" in plan
+
+
 def test_metrics_by_day_count_a_day_once(spark):
     got = metrics.store_metrics(*gold_inputs(spark))
     by = {(r["store_rhid"], r["date_key"]): r for r in got.collect()}

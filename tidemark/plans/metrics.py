@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.conform import as_table
@@ -15,6 +15,7 @@ from tidemark.schemas import AGG_STORE_METRICS_DAILY, MONEY, PRODUCT_LINES
 
 TAXES = ("tax_type1_amt", "tax_type2_amt", "tax_type3_amt", "tax_type4_amt")
 GRAIN = ("store_rhid", "date_key")
+UNKNOWN_PRODUCT = -1  # fixed value
 ABSENT = ("return_quantity", "discount_usd_amount", "promo_usd_amount", "shipping_usd_amount")
 
 
@@ -28,7 +29,7 @@ def _measures(sales: DataFrame) -> DataFrame:
     return sales.select(
         F.coalesce("store_rhid", F.lit(UNKNOWN_STORE)).alias("store_rhid"),
         F.col("order_date_key").alias("date_key"),
-        F.coalesce("product_rhid", F.lit(-1)).alias("product_rhid"),
+        F.coalesce("product_rhid", F.lit(UNKNOWN_PRODUCT)).alias("product_rhid"),
         F.lit(1).cast("bigint").alias("_lines"),
         F.col("order_id").isNotNull().cast("bigint").alias("_orders"),
         _zero("sales_qty").cast("bigint").alias("_qty"),
@@ -55,13 +56,13 @@ def _product_lines(product: DataFrame, product_line: DataFrame) -> DataFrame:
     )
 
 
-def _sums(prefix: str, line: str | None = None) -> list[Column]:
-    """The four sums of one product line (or of all) over rows that are sums per line already."""
+def _sums(prefix: str, day: WindowSpec, line: str | None = None) -> list[Column]:
+    """The four sums of one product line (or of all) over the rows of a store and day, which are sums per line already."""
 
     def total(column: str) -> Column:
         if line is None:
-            return F.sum(column)
-        return F.coalesce(F.sum(F.when(F.col("_line") == line, F.col(column))), F.lit(0))
+            return F.sum(column).over(day)
+        return F.coalesce(F.sum(F.when(F.col("_line") == line, F.col(column))).over(day), F.lit(0))
 
     counted = "_orders" if line is None else "_lines"
     return [
@@ -72,21 +73,43 @@ def _sums(prefix: str, line: str | None = None) -> list[Column]:
     ]
 
 
+def _with_line(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """The product line of each line, for products that are too many to broadcast.
+
+    Lines without a product would all meet in one task: they are dealt by store
+    and day, and what is listed under the unknown product comes to them.
+    """
+    product = F.col("product_rhid")
+    unknown = product == UNKNOWN_PRODUCT
+    dealt = lines.withColumn("_key", F.when(unknown, F.xxhash64(*GRAIN)).otherwise(product.cast("bigint")))
+    listed = products.where(F.col("_product") != UNKNOWN_PRODUCT).withColumnRenamed("_line", "_known_line")
+    same = (F.col("_key") == F.col("_product").cast("bigint")) & (product == F.col("_product"))
+    others = products.where(F.col("_product") == UNKNOWN_PRODUCT).select(F.col("_product").alias("_other"), F.col("_line").alias("_other_line"))
+    joined = dealt.join(listed, same, "left").join(F.broadcast(others), product == F.col("_other"), "left")
+    # No line meets both, so the first that is there counts.
+    return joined.select(*lines.columns, F.coalesce("_known_line", "_other_line").alias("_line"))
+
+
 def _per_store_day(sales: DataFrame, product: DataFrame, product_line: DataFrame, limit: int) -> DataFrame:
     lines = _measures(sales)
     products = _product_lines(product, product_line)
     if measured_bytes(products) <= limit:
-        products = F.broadcast(products)
+        joined = lines.join(F.broadcast(products), F.col("product_rhid") == F.col("_product"), "left")
     else:
         # Too many products to broadcast: sum per product first, so the join
         # moves sums and a hot product is one row per store and day.
         lines = lines.groupBy(*GRAIN, "product_rhid").agg(*[F.sum(m).alias(m) for m in MEASURES])
-    joined = lines.join(products, F.col("product_rhid") == F.col("_product"), "left")
+        joined = _with_line(lines, products)
     # Five plain sums per sales line; the wide conditional form is taken over
-    # at most one row per store, day and product line.
+    # at most one row per store, day and product line. These few lie side by
+    # side after a sort: no task holds the wide form of all its store-days.
     by_line = joined.groupBy(*GRAIN, "_line").agg(*[F.sum(m).alias(m) for m in MEASURES])
-    wide = [c for name in PRODUCT_LINES for c in _sums(name.lower(), name)]
-    return by_line.groupBy(*GRAIN).agg(F.sum("_lines").alias("_lines"), *_sums("total"), *wide)
+    in_order = Window.partitionBy(*GRAIN).orderBy("_line")
+    day = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    wide = [c for name in PRODUCT_LINES for c in _sums(name.lower(), day, name)]
+    sums = [F.sum("_lines").over(day).alias("_all_lines"), *_sums("total", day), *wide]
+    daily = by_line.select(*GRAIN, *sums, F.row_number().over(in_order).alias("_nth")).where("_nth = 1")
+    return daily.drop("_nth").withColumnRenamed("_all_lines", "_lines")
 
 
 def store_metrics(
@@ -123,7 +146,8 @@ def store_metrics(
     seen = [F.count(F.lit(1)).alias("_visits"), F.sum("entry_count").alias("_entries")]
     if visits_grain == "day":
         per = visits.groupBy(F.col("store_rhid").alias("_vs"), F.col("visit_date_key").alias("_vd")).agg(*seen)
-        joined = joined.join(per, of_store & (F.col("date_key") == F.col("_vd")), "left")
+        # One narrow row per store and day: hashed, so the wide rows need not be sorted.
+        joined = joined.join(per.hint("shuffle_hash"), of_store & (F.col("date_key") == F.col("_vd")), "left")
         factor = F.lit(1).cast("bigint")
         visit_count = F.col("_entries")
     else:
