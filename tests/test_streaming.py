@@ -345,3 +345,16 @@ def test_parts_keep_their_partitions_and_are_one_batch_each(spark, monkeypatch):
     stream = sources[-1].writeStream.option("checkpointLocation", cfg.checkpoint_location).trigger(**cfg.trigger)
     stream.foreachBatch(lambda df, i: batches.append((df.count(), df.select(F.input_file_name()).distinct().count()))).start().awaitTermination()
     assert len(batches) == 1 and batches[0][0] == 40 and batches[0][1] > 2
+
+
+def test_a_replay_takes_the_messages_as_they_were_landed(spark, monkeypatch):
+    from workload import streams as workload_streams
+
+    rows = spark.range(40).selectExpr("cast('{}' as binary) as value", "timestamp_seconds(id) as timestamp").repartition(4)
+    monkeypatch.setattr(workload_streams.q, "changes", lambda spark, sf_dir: None)
+    monkeypatch.setattr(workload_streams.q, "as_messages", lambda changes: rows)
+    cfg = workload_streams.config(spark, "replayed")
+    query, part = workload_streams.ingest_in_parts(spark, "", cfg, ("second(timestamp) < 30", "second(timestamp) >= 30"))
+    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [10]
+    assert part.inputFiles() and part.count() == 10
+    assert part.columns == rows.columns

@@ -434,11 +434,12 @@ def ingest_in_parts(spark: SparkSession, sf_dir: str, cfg: JobConfig, parts: tup
     """Land the messages in runs of one job, one for each condition and each one batch; the last run and its messages."""
     folder = work_path(spark, f"{cfg.job_name}-in")
     messages = q.as_messages(q.changes(spark, sf_dir))
-    for condition in parts:
-        part = messages.where(condition)
-        part.write.mode("append").parquet(folder)
-        source = spark.readStream.schema(messages.schema).parquet(folder)  # all files that are new
+    for number, condition in enumerate(parts):
+        landed = f"{folder}/{number}"
+        messages.where(condition).write.parquet(landed)
+        source = spark.readStream.schema(messages.schema).parquet(f"{folder}/*")  # all files that are new
         query = jobs.wait(jobs.ingest_stream(spark, cfg, ENVELOPE, source), cfg)
+    part = spark.read.schema(messages.schema).parquet(landed)  # as they were sent, not made anew
     return query, part
 
 
