@@ -293,7 +293,11 @@ def current_stream(
             merge_batch(batch, batch_id, cfg, audit, guarded, null_keys, now, reload)
 
         # The batch is computed once, into the cache of ``merge_batch``, and its failures are counted on the way.
-        observed = rows.observe(RULES, *quality.rule_counts([*cfg.keys, quality.CRUD], cfg.not_null))
+        try:
+            observed = rows.observe(RULES, *quality.rule_counts([*cfg.keys, quality.CRUD], cfg.not_null))
+        except Exception as error:  # a configured column that the rows lack: no batch would be there to log it
+            audit.record(spark, cfg, ("KAFKA" if cfg.kafka_topic else "TABLE", cfg.input_location), 0, 0, error)
+            raise
         return _start(observed, cfg, merge, mode="update")
     if load == "APPEND":
         hashed = append_hashes(with_meta(rows, user, now), cfg.keys)
